@@ -84,16 +84,16 @@ FORECAST_MODES = ["operational", "oracle_weather"]
 
 # --- fixed values: model selection -------------------------------------------
 CHAMPION_TOLERANCE = 1.01
-DEPLOYABLE_GROUPS = ["tabular_linear", "tabular_tree", "tabular_boosting"]
+DEPLOYABLE_GROUPS = ["tabular_linear", "tabular_tree", "tabular_boosting", "tabular_foundation"]
 GROUP_ORDER = {
     "corrected_baseline": 0,
-    "tabular_linear": 1,
-    "tabular_tree": 2,
-    "tabular_boosting": 3,
-    "sequential_window": 4,
-    "statistical": 5,
-    "neuralforecast": 6,
-    "foundation": 7,
+    "statistical": 1,
+    "tabular_linear": 2,
+    "tabular_tree": 3,
+    "tabular_boosting": 4,
+    "tabular_foundation": 5,
+    "sequential_window": 6,
+    "neuralforecast": 7,
 }
 UNKNOWN_GROUP_ORDER = 99
 

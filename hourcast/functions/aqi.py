@@ -36,24 +36,54 @@ def round_1dp_exact(c) -> Column:
     return r / F.lit(10.0)
 
 
+def _segment(cr: Column) -> Column:
+    """0-based breakpoint segment of a 1-dp concentration in [0, 500.4]."""
+    seg = F.lit(0)
+    for c_lo, _c_hi, _i_lo, _i_hi in C.PM25_BREAKPOINTS[1:]:
+        seg = seg + (cr >= F.lit(c_lo)).cast("int")
+    return seg
+
+
 def pm25_to_aqi(c) -> Column:
-    """PM2.5 concentration -> integer US AQI (NULL stays NULL)."""
+    """PM2.5 concentration -> integer US AQI (NULL stays NULL, NaN -> 500).
+
+    The segment's slope (i_hi - i_lo) / (c_hi - c_lo) is the same double the
+    published formula computes; the AQI is rint(slope * (c - c_lo) + i_lo)."""
     x = _col(c).cast("double")
     cr = round_1dp_exact(x)
-    expr = F.when(x.isNull(), F.lit(None).cast("int")).when(cr < 0, F.lit(0))
-    for c_lo, c_hi, i_lo, i_hi in C.PM25_BREAKPOINTS:
-        val = F.rint(F.lit(float(i_hi - i_lo)) / F.lit(c_hi - c_lo) * (cr - F.lit(c_lo)) + F.lit(float(i_lo)))
-        expr = expr.when((cr >= F.lit(c_lo)) & (cr <= F.lit(c_hi)), val.cast("int"))
-    return expr.otherwise(F.lit(500))
+    bp = C.PM25_BREAKPOINTS
+    slope = F.array(*[F.lit((i_hi - i_lo) / (c_hi - c_lo)) for c_lo, c_hi, i_lo, i_hi in bp])
+    c_lo = F.array(*[F.lit(float(b[0])) for b in bp])
+    i_lo = F.array(*[F.lit(float(b[2])) for b in bp])
+    k = _segment(cr) + 1
+    val = F.rint(F.element_at(slope, k) * (cr - F.element_at(c_lo, k)) + F.element_at(i_lo, k))
+    top = bp[-1][1]
+    return (F.when(x.isNull(), F.lit(None).cast("int"))
+             .when(cr < 0, F.lit(0))
+             .when(F.isnan(cr) | (cr > F.lit(top)), F.lit(500))
+             .otherwise(val.cast("int")))
 
 
 def aqi_level_index(aqi) -> Column:
     """AQI -> 0..5 level index (<0 -> Good, >500 -> Hazardous)."""
     a = _col(aqi)
-    expr = F.when(a.isNull(), F.lit(None).cast("int")).when(a < 0, F.lit(0))
-    for i, (upper, _label, _color) in enumerate(C.AQI_LEVELS):
-        expr = expr.when(a <= upper, F.lit(i))
-    return expr.otherwise(F.lit(len(C.AQI_LEVELS) - 1))
+    idx = F.lit(0)
+    for upper, _label, _color in C.AQI_LEVELS[:-1]:
+        idx = idx + (a > F.lit(upper)).cast("int")
+    return F.when(a.isNotNull(), idx)
+
+
+def pm25_level_index(c) -> Column:
+    """Concentration -> level index directly from the rounded concentration.
+
+    Equal to aqi_level_index(pm25_to_aqi(c)): AQI is monotone in the 1-dp
+    concentration and each level is exactly one breakpoint segment (the last
+    two segments and anything above 500.4 are Hazardous)."""
+    x = _col(c).cast("double")
+    cr = round_1dp_exact(x)
+    idx = F.least(_segment(cr), F.lit(len(C.AQI_LEVELS) - 1))
+    return (F.when(x.isNull(), F.lit(None).cast("int")).when(cr < 0, F.lit(0))
+             .when(F.isnan(cr), F.lit(len(C.AQI_LEVELS) - 1)).otherwise(idx))
 
 
 def _pick(idx: Column, values: list) -> Column:
@@ -75,9 +105,13 @@ def aqi_color(aqi) -> Column:
     return _pick(aqi_level_index(aqi), [lv[2] for lv in C.AQI_LEVELS])
 
 
+def level_label(idx) -> Column:
+    return _pick(_col(idx), [lv[1] for lv in C.AQI_LEVELS])
+
+
 def pm25_level(c) -> Column:
     """Concentration -> level label (the composition used by every metric)."""
-    return aqi_label(pm25_to_aqi(c))
+    return level_label(pm25_level_index(c))
 
 
 def is_unhealthy_level(label) -> Column:

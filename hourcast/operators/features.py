@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from hourcast import config as C
 from hourcast.config import KEY, TARGET, TIME
-from hourcast.operators.series import (POS, block_hours, block_window, core_only, with_halo, with_pos)
+from hourcast.operators.series import (POS, block_hours, block_window, core_only, series_keys, with_halo,
+                                       with_pos)
 
 FEATURE_HALO_BACK = max(C.LAGS + [m + 1 for m in C.ROLL_MEANS] + C.DIFFS)
 FEATURE_HALO_FWD = max(C.HORIZONS)
@@ -74,7 +75,7 @@ def _target_cols(y, w, horizons):
 def _windowed(df: DataFrame, builders, back: int, fwd: int, block: int | None) -> DataFrame:
     block = block_hours(df, block)
     hx = with_halo(with_pos(df), back, fwd, block)
-    w = block_window()
+    w = block_window(series_keys(hx))
     cols = [c for b in builders for c in b(w)]
     return core_only(hx.select("*", *cols))
 
@@ -165,7 +166,7 @@ def window_matrix(valid: DataFrame, lookback: int = C.WINDOW_LAGS, block: int |
     over the already masked rows; incomplete windows dropped."""
     block = block_hours(valid, block)
     hx = with_halo(with_pos(valid), lookback, 0, block)
-    fr = block_window().rowsBetween(-lookback, -1)
+    fr = block_window(series_keys(hx)).rowsBetween(-lookback, -1)
     out = core_only(hx.select("*", F.collect_list(F.col(TARGET)).over(fr).alias("_hist")))
     # collect_list is oldest-first; lag k is element size-k+1
     out = out.filter(F.size("_hist") == lookback)

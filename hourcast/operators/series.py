@@ -64,8 +64,13 @@ def with_halo(df: DataFrame, back: int, fwd: int, block: int) -> DataFrame:
               .withColumn(BLK, F.col("_t.b")).withColumn(CORE, F.col("_t.c")).drop("_t"))
 
 
-def block_window(order: str = POS) -> Window:
-    return Window.partitionBy(KEY, BLK).orderBy(order)
+def series_keys(df: DataFrame) -> list[str]:
+    """A series is a station, or a (station, mode, horizon) target series."""
+    return [KEY] + [c for c in ("mode", "horizon") if c in df.columns]
+
+
+def block_window(keys=None, order: str = POS) -> Window:
+    return Window.partitionBy(*(keys or [KEY]), BLK).orderBy(order)
 
 
 def core_only(df: DataFrame) -> DataFrame:

@@ -26,3 +26,22 @@ SQL["hourly_grid"] = with_(O.AQ, O.WEATHER, O.grid(trim=False)) + sel_r6(
     C.MEASURES, ["station_id", "datetime"], "grid")
 SQL["clean_series"] = with_(O.panel_clean()) + sel_r6(C.MEASURES, ["station_id", "datetime"] + O.FLAGS, "clean")
 SQL["build_features"] = with_(O.panel_clean(), O.features()) + sel_r6(FEAT_DOUBLES, FEAT_OTHER, "feat")
+
+# ---------------------------------------------------------------- prep / split
+BASE = [O.panel_clean(), O.features(), O.valid_all(), O.split()]
+SQL["valid_rows"] = with_(*BASE[:3]) + f"SELECT station_id, horizon, date, {O.r6('y')} AS y FROM valid"
+SQL["chrono_split"] = with_(*BASE) + f"SELECT station_id, horizon, date, idx, n, split, {O.r6('y')} AS y FROM split"
+_PRED = f"SELECT station_id, horizon, model, date, {O.r6('y')} AS y, {O.r6('yhat')} AS yhat FROM preds"
+SQL["persistence"] = with_(*BASE, O.baselines(only="Persistence")) + _PRED
+SQL["seasonal_naive"] = (with_(*BASE, O.baselines(only="SeasonalNaive_24h", name="p1"),
+                               O.baselines(only="SeasonalNaive_168h", name="p2"),
+                               "preds AS (SELECT * FROM p1 UNION ALL SELECT * FROM p2)") + _PRED)
+SQL["rolling_mean_baseline"] = (with_(*BASE, O.baselines(only="RollingMean_24h", name="p1"),
+                                      O.baselines(only="RollingMean_168h", name="p2"),
+                                      "preds AS (SELECT * FROM p1 UNION ALL SELECT * FROM p2)") + _PRED)
+SQL["persistence_metrics"] = with_(*BASE, O.baselines(only="Persistence"), O.metrics()) + "SELECT * FROM met"
+SQL["regression_metrics"] = with_(*BASE, O.baselines(), O.metrics()) + "SELECT * FROM met"
+_SEL = [*BASE, O.baselines(), O.metrics(), O.meta(), O.selection()]
+SQL["rank_models"] = with_(*_SEL) + "SELECT station_id, mode, horizon, model, MAE, rank_mae FROM sel"
+SQL["select_champion"] = (with_(*_SEL) +
+                          "SELECT station_id, mode, horizon, model, MAE, rank_mae, selected_champion FROM sel")

@@ -29,3 +29,75 @@ def q_clean_series(spark, sf):
 @query("build_features")
 def q_build_features(spark, sf):
     return P.rounded(P.panel_features(spark, sf))
+
+
+# ---------------------------------------------------------------- prep / split
+from hourcast.plans import benchmark as BM  # noqa: E402
+from hourcast.operators import select as SEL  # noqa: E402
+from hourcast.operators import metrics as MET  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+
+def _features(spark, sf):
+    return P.panel_features(spark, sf)
+
+
+def _split(spark, sf):
+    return BM.split_all(_features(spark, sf))
+
+
+@query("valid_rows")
+def q_valid_rows(spark, sf):
+    from hourcast.operators.prep import valid_rows_all
+    v = valid_rows_all(_features(spark, sf))
+    return P.rounded(v.select("station_id", "horizon", "date", "y"))
+
+
+@query("chrono_split")
+def q_chrono_split(spark, sf):
+    s = _split(spark, sf)
+    return P.rounded(s.select("station_id", "horizon", "date", "idx", "n", "split", "y"))
+
+
+@query("persistence")
+def q_persistence(spark, sf):
+    return P.rounded(BM.baseline_predictions(_split(spark, sf), only="Persistence"))
+
+
+@query("seasonal_naive")
+def q_seasonal_naive(spark, sf):
+    s = _split(spark, sf)
+    a = BM.baseline_predictions(s, only="SeasonalNaive_24h")
+    b = BM.baseline_predictions(s, only="SeasonalNaive_168h")
+    return P.rounded(a.unionByName(b))
+
+
+@query("rolling_mean_baseline")
+def q_rolling_mean(spark, sf):
+    s = _split(spark, sf)
+    a = BM.baseline_predictions(s, only="RollingMean_24h")
+    b = BM.baseline_predictions(s, only="RollingMean_168h")
+    return P.rounded(a.unionByName(b))
+
+
+@query("persistence_metrics")
+def q_persistence_metrics(spark, sf):
+    """Flagship: how good is persistence per station and horizon?"""
+    return MET.regression_metrics(BM.baseline_predictions(_split(spark, sf), only="Persistence"))
+
+
+@query("regression_metrics")
+def q_regression_metrics(spark, sf):
+    return MET.regression_metrics(BM.baseline_predictions(_split(spark, sf)))
+
+
+@query("rank_models")
+def q_rank_models(spark, sf):
+    m = BM.baseline_metrics(_features(spark, sf))
+    return SEL.rank_models(m).select("station_id", "mode", "horizon", "model", "MAE", "rank_mae")
+
+
+@query("select_champion")
+def q_select_champion(spark, sf):
+    m = BM.baseline_selection(_features(spark, sf))
+    return m.select("station_id", "mode", "horizon", "model", "MAE", "rank_mae", "selected_champion")
