@@ -45,3 +45,81 @@ _SEL = [*BASE, O.baselines(), O.metrics(), O.meta(), O.selection()]
 SQL["rank_models"] = with_(*_SEL) + "SELECT station_id, mode, horizon, model, MAE, rank_mae FROM sel"
 SQL["select_champion"] = (with_(*_SEL) +
                           "SELECT station_id, mode, horizon, model, MAE, rank_mae, selected_champion FROM sel")
+
+# ---------------------------------------------------------------- cleaning ops
+MEAS = C.MEASURES
+_R6M = ", ".join(f"{O.r6(c)} AS {c}" for c in MEAS)
+SQL["dedupe_hourly"] = with_(O.READINGS) + f"""SELECT station_id, datetime, seq, {O.r6('pm2_5')} AS pm2_5, {O.r6('pm10')} AS pm10
+FROM (SELECT *, row_number() OVER (PARTITION BY station_id, datetime ORDER BY seq) AS rn FROM readings) WHERE rn = 1"""
+SQL["merge_outer"] = with_(O.AQ, O.WEATHER, """keys AS (
+  SELECT station_id, datetime FROM aq
+  UNION SELECT st.station_id, w.datetime FROM (SELECT DISTINCT station_id FROM aq) st, weather w)""") + f"""
+SELECT k.station_id, k.datetime, {', '.join(O.r6(('aq.' if c in C.AQ_COLUMNS else 'w.') + c) + ' AS ' + c for c in MEAS)}
+FROM keys k LEFT JOIN aq ON aq.station_id = k.station_id AND aq.datetime = k.datetime
+LEFT JOIN weather w ON w.datetime = k.datetime"""
+SQL["drop_partition_cols"] = with_(O.AQ) + f"SELECT station_id, datetime, {O.r6('pm2_5')} AS pm2_5, {O.r6('pm10')} AS pm10 FROM aq"
+SQL["detect_time_column"] = with_(O.WEATHER) + "SELECT datetime, " + ", ".join(
+    f"{O.r6(c)} AS {c}" for c in C.WEATHER_COLUMNS) + " FROM weather"
+SQL["trim_leading_missing"] = with_(O.AQ, O.WEATHER, O.grid(trim=False)) + f"""SELECT station_id, datetime, {_R6M}
+FROM (SELECT *, min(CASE WHEN pm2_5 IS NOT NULL THEN pos END) OVER (PARTITION BY station_id) AS f FROM grid)
+WHERE f IS NULL OR pos >= f"""
+_NULLED = [O.AQ, O.WEATHER, O.grid(True), O.nulled()]
+SQL["null_outliers"] = with_(*_NULLED) + f"SELECT station_id, datetime, {_R6M} FROM nulled"
+SQL["missing_flags"] = with_(*_NULLED, O.flagged()) + f"SELECT station_id, datetime, {', '.join(O.FLAGS)} FROM flagged"
+
+
+def _nv_cols(src):
+    back = f"OVER ({O.W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    fwd = f"OVER ({O.W} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
+    nv = []
+    for c in MEAS:
+        nv += [f"max(CASE WHEN {c} IS NOT NULL THEN pos END) {back} AS pp_{c}",
+               f"last_value({c} IGNORE NULLS) {back} AS pv_{c}",
+               f"min(CASE WHEN {c} IS NOT NULL THEN pos END) {fwd} AS np_{c}",
+               f"first_value({c} IGNORE NULLS) {fwd} AS nv_{c}"]
+    return f"nvx AS (SELECT *, {', '.join(nv)} FROM {src})"
+
+
+_interp = ", ".join(O.r6(f"""CASE WHEN {c} IS NOT NULL THEN {c}
+  WHEN pp_{c} IS NOT NULL AND pos - pp_{c} <= 3 THEN
+    coalesce((nv_{c} - pv_{c}) / CAST(np_{c} - pp_{c} AS DOUBLE) * CAST(pos - pp_{c} AS DOUBLE) + pv_{c}, pv_{c}) END""")
+                   + f" AS {c}" for c in MEAS)
+SQL["interpolate_capped"] = with_(*_NULLED, _nv_cols("nulled")) + f"SELECT station_id, datetime, {_interp} FROM nvx"
+SQL["forward_fill"] = with_(*_NULLED, _nv_cols("nulled")) + "SELECT station_id, datetime, " + ", ".join(
+    O.r6(f"coalesce({c}, pv_{c})") + f" AS {c}" for c in MEAS) + " FROM nvx"
+SQL["leading_fill"] = with_(*_NULLED, _nv_cols("nulled")) + "SELECT station_id, datetime, " + ", ".join(
+    O.r6(f"coalesce({c}, first_value({c} IGNORE NULLS) OVER (PARTITION BY station_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING), 0.0)")
+    + f" AS {c}" for c in MEAS) + " FROM nulled"
+_stack = " UNION ALL ".join(
+    f"SELECT station_id, n_rows, '{c}' AS column_name, {c} AS n_missing FROM mr" for c in MEAS)
+SQL["missing_report"] = with_(O.AQ, O.WEATHER, O.grid(True), "mr AS (SELECT station_id, count(*) AS n_rows, " + ", ".join(
+    f"count(*) FILTER (WHERE {c} IS NULL) AS {c}" for c in MEAS) + " FROM grid GROUP BY 1)") + \
+    f"SELECT station_id, n_rows, column_name, n_missing, {O.r6('n_missing * 100.0 / n_rows')} AS pct_missing FROM ({_stack})"
+
+# ---------------------------------------------------------------- feature ops
+_CLEAN = [O.panel_clean(), O.features(name="feat")]
+SQL["calendar_features"] = with_(*_CLEAN) + "SELECT station_id, datetime, hour, day_of_week, month, day_of_year, year FROM feat_all"
+SQL["season_flags"] = with_(*_CLEAN) + "SELECT station_id, datetime, is_weekend, is_winter, is_summer, season FROM feat_all"
+
+
+def _fsel(cols):
+    return "SELECT station_id, datetime, " + ", ".join(f"{O.r6(c)} AS {c}" for c in cols) + " FROM feat_all"
+
+
+SQL["cyclical_features"] = with_(*_CLEAN) + _fsel(["hour_sin", "hour_cos", "dow_sin", "dow_cos", "month_sin", "month_cos"])
+SQL["lag_features"] = with_(*_CLEAN) + _fsel([f"pm2_5_lag_{k}" for k in C.LAGS])
+SQL["rolling_features"] = with_(*_CLEAN) + _fsel([f"pm2_5_roll{n}_mean" for n in C.ROLL_MEANS] + ["pm2_5_roll24_std", "pm2_5_roll24_max"])
+SQL["trend_features"] = with_(*_CLEAN) + _fsel(["pm2_5_diff_1h", "pm2_5_diff_24h"])
+SQL["ratio_features"] = with_(*_CLEAN) + _fsel(["pm25_pm10_ratio"])
+SQL["horizon_targets"] = with_(*_CLEAN) + _fsel([f"target_pm2_5_t{h}" for h in C.HORIZONS])
+SQL["target_coverage"] = with_(*_CLEAN) + " UNION ALL ".join(
+    f"SELECT station_id, {h} AS horizon, count(target_pm2_5_t{h}) AS n_valid FROM feat_all GROUP BY 1" for h in C.HORIZONS)
+SQL["drop_incomplete_inference"] = with_(*_CLEAN) + "SELECT station_id, date FROM feat"
+SQL["drop_incomplete_training"] = with_(O.panel_clean(), O.features(is_inference=False)) + "SELECT station_id, date FROM feat"
+SQL["window_matrix"] = with_(*BASE) + f"""SELECT station_id, date, split, {O.r6('l1')} AS lag_1, {O.r6('l168')} AS lag_168,
+  {O.r6('ws')} AS window_sum FROM (
+  SELECT *, lag(y, 0) OVER w AS y0, lag(pm2_5, 1) OVER w AS l1, lag(pm2_5, 168) OVER w AS l168,
+         sum(pm2_5) OVER (w ROWS BETWEEN 168 PRECEDING AND 1 PRECEDING) AS ws,
+         count(*) OVER (w ROWS BETWEEN 168 PRECEDING AND 1 PRECEDING) AS wn
+  FROM split WHERE horizon = 24 WINDOW w AS (PARTITION BY station_id ORDER BY pos))
+WHERE wn = 168 AND split IN ('train', 'test')"""

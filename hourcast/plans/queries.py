@@ -43,7 +43,7 @@ def _features(spark, sf):
 
 
 def _split(spark, sf):
-    return BM.split_all(_features(spark, sf))
+    return P.panel_split(spark, sf)
 
 
 @query("valid_rows")
@@ -101,3 +101,157 @@ def q_rank_models(spark, sf):
 def q_select_champion(spark, sf):
     m = BM.baseline_selection(_features(spark, sf))
     return m.select("station_id", "mode", "horizon", "model", "MAE", "rank_mae", "selected_champion")
+
+
+# ---------------------------------------------------------------- cleaning ops
+from hourcast import config as C  # noqa: E402
+from hourcast.operators import features as FE  # noqa: E402
+from hourcast.operators.series import POS  # noqa: E402
+
+MEAS = C.MEASURES
+
+
+def _grid(spark, sf, trim=False):
+    return CL.hourly_grid(SP.aq_hourly(spark, sf), SP.weather_hourly(spark, sf), trim=trim)
+
+
+@query("dedupe_hourly")
+def q_dedupe(spark, sf):
+    return P.rounded(CL.dedupe_hourly(SP.readings(spark, sf)))
+
+
+@query("merge_outer")
+def q_merge_outer(spark, sf):
+    return P.rounded(CL.merge_outer(SP.aq_hourly(spark, sf), SP.weather_hourly(spark, sf)))
+
+
+@query("drop_partition_cols")
+def q_drop_partition_cols(spark, sf):
+    aq = SP.aq_hourly(spark, sf).withColumn("year", F.year("datetime")).withColumn("month", F.month("datetime"))
+    return P.rounded(CL.drop_partition_cols(aq))
+
+
+@query("detect_time_column")
+def q_detect_time(spark, sf):
+    w = SP.weather_hourly(spark, sf).withColumnRenamed("datetime", "time")
+    w = w.withColumn("time", F.date_format("time", "yyyy-MM-dd'T'HH:mm"))
+    return P.rounded(CL.detect_time_column(w))
+
+
+@query("trim_leading_missing")
+def q_trim(spark, sf):
+    return P.rounded(CL.trim_leading_missing(_grid(spark, sf)))
+
+
+@query("null_outliers")
+def q_null_outliers(spark, sf):
+    return P.rounded(CL.null_outliers(_grid(spark, sf, True)))
+
+
+@query("missing_flags")
+def q_missing_flags(spark, sf):
+    g = CL.null_outliers(_grid(spark, sf, True))
+    return P.rounded(CL.missing_flags(g, MEAS)).select("station_id", "datetime",
+                                                        *[f"{c}_missing_flag" for c in MEAS])
+
+
+@query("interpolate_capped")
+def q_interpolate(spark, sf):
+    return P.rounded(CL.interpolate_capped(CL.null_outliers(_grid(spark, sf, True)), MEAS))
+
+
+@query("forward_fill")
+def q_ffill(spark, sf):
+    return P.rounded(CL.forward_fill(CL.null_outliers(_grid(spark, sf, True)), MEAS))
+
+
+@query("leading_fill")
+def q_leading_fill(spark, sf):
+    return P.rounded(CL.leading_fill(CL.null_outliers(_grid(spark, sf, True)), MEAS))
+
+
+@query("missing_report")
+def q_missing_report(spark, sf):
+    return CL.missing_report(_grid(spark, sf, True), MEAS)
+
+
+# ---------------------------------------------------------------- feature ops
+def _clean(spark, sf):
+    return P.panel_clean(spark, sf)
+
+
+@query("calendar_features")
+def q_calendar(spark, sf):
+    return FE.calendar_features(_clean(spark, sf)).select(
+        "station_id", "datetime", "hour", "day_of_week", "month", "day_of_year", "year")
+
+
+@query("season_flags")
+def q_season(spark, sf):
+    return FE.season_flags(FE.calendar_features(_clean(spark, sf))).select(
+        "station_id", "datetime", "is_weekend", "is_winter", "is_summer", "season")
+
+
+@query("cyclical_features")
+def q_cyclical(spark, sf):
+    df = FE.cyclical_features(FE.calendar_features(_clean(spark, sf)))
+    return P.rounded(df.select("station_id", "datetime", "hour_sin", "hour_cos", "dow_sin", "dow_cos",
+                               "month_sin", "month_cos"))
+
+
+def _sel(df, cols):
+    return P.rounded(df.select("station_id", "datetime", *cols))
+
+
+@query("lag_features")
+def q_lags(spark, sf):
+    return _sel(FE.lag_features(_clean(spark, sf)), [f"pm2_5_lag_{k}" for k in C.LAGS])
+
+
+ROLL_COLS = [f"pm2_5_roll{n}_mean" for n in C.ROLL_MEANS] + ["pm2_5_roll24_std", "pm2_5_roll24_max"]
+
+
+@query("rolling_features")
+def q_rolling(spark, sf):
+    return _sel(FE.rolling_features(_clean(spark, sf)), ROLL_COLS)
+
+
+@query("trend_features")
+def q_trend(spark, sf):
+    return _sel(FE.trend_features(_clean(spark, sf)), ["pm2_5_diff_1h", "pm2_5_diff_24h"])
+
+
+@query("ratio_features")
+def q_ratio(spark, sf):
+    return _sel(FE.ratio_features(_clean(spark, sf)), ["pm25_pm10_ratio"])
+
+
+@query("horizon_targets")
+def q_targets(spark, sf):
+    return _sel(FE.horizon_targets(_clean(spark, sf)), [FE.target_col(h) for h in C.HORIZONS])
+
+
+@query("target_coverage")
+def q_target_coverage(spark, sf):
+    return FE.target_coverage(FE.horizon_targets(_clean(spark, sf)))
+
+
+@query("drop_incomplete_inference")
+def q_drop_inf(spark, sf):
+    return P.panel_features(spark, sf).select("station_id", "date")
+
+
+@query("drop_incomplete_training")
+def q_drop_train(spark, sf):
+    return P.panel_features(spark, sf, is_inference=False).select("station_id", "date")
+
+
+@query("window_matrix")
+def q_window_matrix(spark, sf):
+    """168-lag windows of the h=24 masked rows, kept for train and test rows."""
+    s = _split(spark, sf).filter(F.col("horizon") == 24)
+    wm = FE.window_matrix(s)
+    wm = wm.filter(F.col("split").isin("train", "test"))
+    return wm.select("station_id", "date", "split", P.r6(F.col("window")[0]).alias("lag_1"),
+                     P.r6(F.col("window")[167]).alias("lag_168"),
+                     P.r6(F.aggregate("window", F.lit(0.0), lambda a, x: a + x)).alias("window_sum"))

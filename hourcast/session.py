@@ -68,3 +68,34 @@ def conf_int(spark: SparkSession, key: str, default: int) -> int:
     except Exception:  # noqa: BLE001 - Spark Connect raises on unknown keys
         v = None
     return int(v) if v not in (None, "") else default
+
+
+_MATERIALIZED: dict = {}
+
+
+def materialized(spark: SparkSession, name: str, memo_key: tuple, build) -> DataFrame:
+    """``materialize(build(), ...)`` unless this application already wrote it."""
+    key = (spark.sparkContext.applicationId, name, memo_key)
+    if key in _MATERIALIZED:
+        return spark.read.parquet(_MATERIALIZED[key])
+    return materialize(build(), name, memo_key)
+
+
+def materialize(df: DataFrame, name: str, memo_key: tuple | None = None) -> DataFrame:
+    """Write ``df`` as a Parquet table under the shared checkpoint folder and
+    read it back: cuts lineage (a lost executor recomputes from the table, not
+    from the raw inputs), computes the input once, and keeps column pruning and
+    predicate pushdown for every later reader.  ``memo_key`` reuses a table
+    already written in this application (inputs are immutable)."""
+    spark = df.sparkSession
+    app = spark.sparkContext.applicationId
+    key = (app, name, memo_key) if memo_key is not None else None
+    if key is not None and key in _MATERIALIZED:
+        return spark.read.parquet(_MATERIALIZED[key])
+    import uuid
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/hourcast-tables/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").parquet(path)
+    if key is not None:
+        _MATERIALIZED[key] = path
+    return spark.read.parquet(path)
