@@ -123,3 +123,220 @@ SQL["window_matrix"] = with_(*BASE) + f"""SELECT station_id, date, split, {O.r6(
          count(*) OVER (w ROWS BETWEEN 168 PRECEDING AND 1 PRECEDING) AS wn
   FROM split WHERE horizon = 24 WINDOW w AS (PARTITION BY station_id ORDER BY pos))
 WHERE wn = 168 AND split IN ('train', 'test')"""
+
+# ---------------------------------------------------------------- AQI and scalar functions
+_EV = "ev AS (SELECT event_id, value FROM events)"
+_EVA = [_EV, O.with_aqi("ev", {"v": "value"}, "eva")]
+SQL["pm25_to_aqi"] = with_(*_EVA) + "SELECT event_id, value, aqi_v AS aqi FROM eva"
+SQL["aqi_to_level"] = with_(*_EVA) + f"SELECT event_id, aqi_v AS aqi, lvl_v AS label, {O.color_of('aqi_v')} AS color FROM eva"
+_IDX = "CASE WHEN aqi_v IS NULL THEN NULL ELSE " + " + ".join(
+    f"CAST(aqi_v > {u} AS INTEGER)" for u, _l, _c in C.AQI_LEVELS[:-1]) + " END"
+_DIM = "dim(level_idx, label_us, label_vn, color_lower, aqi_low, aqi_high) AS (VALUES " + ", ".join(
+    f"({i}, '{C.AQI_LEVELS_US[i]}', '{C.AQI_LEVELS_VN[i]}', '{C.AQI_COLORS[i]}', {C.AQI_BREAKPOINTS[i]}, {C.AQI_BREAKPOINTS[i + 1]})"
+    for i in range(len(C.AQI_LEVELS))) + ")"
+SQL["aqi_labels"] = with_(*_EVA, _DIM) + f"""SELECT e.event_id, e.level_idx, d.label_us, d.label_vn, d.color_lower, d.aqi_low, d.aqi_high
+FROM (SELECT event_id, {_IDX} AS level_idx FROM eva) e LEFT JOIN dim d USING (level_idx)"""
+_ADV = "adv(label, advice) AS (VALUES " + ", ".join(f"('{k}', '{v}')" for k, v in C.AQI_ADVICE.items()) + ")"
+SQL["aqi_advice"] = with_(*_EVA, _ADV) + f"""SELECT e.event_id, e.lvl_v AS label, coalesce(a.advice, '{C.AQI_ADVICE_DEFAULT}') AS advice
+FROM eva e LEFT JOIN adv a ON a.label = e.lvl_v"""
+SQL["is_unhealthy"] = with_(*_EVA) + f"SELECT event_id, lvl_v IN {O.UNHEALTHY_SQL} AS is_unhealthy FROM eva"
+SQL["safe_model_name"] = """SELECT p_partkey, replace(replace(replace(replace(lower(concat(p_name, ' (v1/', p_brand, ')')),
+  ' ', '_'), '/', '_'), '(', ''), ')', '') AS safe_name FROM part"""
+SQL["parse_horizons"] = """SELECT o_orderkey, array_to_string(list_transform(list_filter(list_transform(string_split(
+  concat_ws(',', CAST(o_custkey % 100 AS VARCHAR), ' ', CAST(o_orderkey % 72 AS VARCHAR)), ','), x -> trim(x)),
+  x -> x <> ''), x -> CAST(x AS INTEGER)), '|') AS horizons FROM orders"""
+
+# ---------------------------------------------------------------- prep
+_FEAT = [O.panel_clean(), O.features()]
+SQL["oracle_weather_shift"] = with_(*_FEAT) + "SELECT station_id, date, " + ", ".join(
+    O.r6(f"lead({c}, 24) OVER (PARTITION BY station_id ORDER BY pos)") + f" AS {c}" for c in C.WEATHER_COLUMNS) + " FROM feat"
+SQL["time_series_folds"] = with_(*BASE, """tv AS (
+  SELECT station_id, date, row_number() OVER (PARTITION BY station_id ORDER BY pos) - 1 AS i,
+         count(*) OVER (PARTITION BY station_id) AS m
+  FROM split WHERE horizon = 24 AND split IN ('train', 'valid'))""") + """SELECT station_id, date, fold, role FROM (
+  SELECT station_id, date, fold,
+         CASE WHEN i < m - floor(m / 6) * 5 + (fold - 1) * floor(m / 6) THEN 'train'
+              WHEN i < m - floor(m / 6) * 5 + fold * floor(m / 6) THEN 'test' END AS role, floor(m / 6) AS ts
+  FROM tv, (SELECT CAST(unnest(range(1, 6)) AS INTEGER) AS fold))
+WHERE role IS NOT NULL AND ts > 0"""
+SQL["rolling_origin_windows"] = with_(*_FEAT, """ro AS (
+  SELECT station_id, date, pm2_5, row_number() OVER (PARTITION BY station_id ORDER BY pos) - 1 AS i,
+         count(*) OVER (PARTITION BY station_id) AS m FROM feat),
+ro2 AS (SELECT *, m - floor(m * 0.8::DOUBLE) AS holdout,
+               m - least(6, greatest(1, floor((m - floor(m * 0.8::DOUBLE)) / 72))) * 72 AS ts0 FROM ro),
+ro3 AS (SELECT *, CAST(floor((i - ts0) / 72) AS INTEGER) AS "window" FROM ro2)""") + f"""SELECT station_id, date, "window",
+  CAST(ts0 + "window" * 72 - 1 AS BIGINT) AS cutoff_idx, CAST(i - (ts0 + "window" * 72 - 1) AS INTEGER) AS forecast_horizon,
+  {O.r6('pm2_5')} AS pm2_5
+FROM ro3 WHERE i >= ts0 AND holdout >= 72 AND (i - (ts0 + "window" * 72 - 1)) IN (1, 24, 48, 72)"""
+SQL["train_valid_union"] = with_(*BASE) + "SELECT station_id, horizon, date, split FROM split WHERE split IN ('train', 'valid')"
+
+# ---------------------------------------------------------------- legacy baselines, metrics, selection
+
+
+def _legacy_sql(period, name):
+    lag = "CASE horizon " + " ".join(f"WHEN {h} THEN lag(y, {h}) OVER w" for h in C.HORIZONS) + " END" \
+        if period is None else f"lag(y, {period}) OVER w"
+    return with_(*BASE, f"""lg AS (
+  SELECT s.*, CASE WHEN split = 'test' THEN idx - nv ELSE idx END AS p2
+  FROM split s JOIN (SELECT station_id, horizon, count(*) FILTER (WHERE split = 'valid') AS nv FROM split GROUP BY 1, 2)
+       USING (station_id, horizon) WHERE split IN ('train', 'test')),
+lg2 AS (SELECT *, {lag} AS p FROM lg WINDOW w AS (PARTITION BY station_id, horizon ORDER BY p2)),
+tm AS (SELECT station_id, horizon, avg(CASE WHEN split = 'train' THEN y END) AS tm FROM split GROUP BY 1, 2)""") + f"""
+SELECT station_id, horizon, '{name}' AS model, date, {O.r6('y')} AS y, {O.r6('coalesce(p, tm)')} AS yhat
+FROM lg2 JOIN tm USING (station_id, horizon) WHERE split = 'test'"""
+
+
+SQL["naive_legacy"] = _legacy_sql(None, "NaivePersistence")
+SQL["seasonal_naive_legacy"] = _legacy_sql(168, "SeasonalNaive(168h)")
+_P = [*BASE, O.baselines()]
+SQL["mae_rmse_r2"] = with_(*_P) + f"""SELECT station_id, horizon, model, {O.rnd('avg(abs(yhat - y))', 2)} AS MAE,
+  {O.rnd('sqrt(avg((yhat - y) * (yhat - y)))', 2)} AS RMSE,
+  {O.rnd('CASE WHEN var_pop(y) * count(y) = 0 THEN CASE WHEN sum((yhat - y) * (yhat - y)) = 0 THEN 1.0 ELSE 0.0 END ELSE 1.0 - sum((yhat - y) * (yhat - y)) / (var_pop(y) * count(y)) END', 4)} AS R2
+FROM preds GROUP BY 1, 2, 3"""
+_PL = [*_P, "pm AS (SELECT * FROM preds WHERE y IS NOT NULL AND yhat IS NOT NULL AND NOT isnan(y) AND NOT isnan(yhat))",
+       O.with_aqi("pm", {"t": "y", "p": "yhat"}, "pl")]
+_LABELS = [lv[1] for lv in C.AQI_LEVELS]
+SQL["aqi_confusion"] = with_(*_PL) + " UNION ALL ".join(
+    f"SELECT station_id, horizon, model, {i} AS true_idx, '{t}' AS true_level, " + ", ".join(
+        f"count(*) FILTER (WHERE lvl_t = '{t}' AND lvl_p = '{p}') AS pred_{j}" for j, p in enumerate(_LABELS))
+    + " FROM pl GROUP BY 1, 2, 3" for i, t in enumerate(_LABELS))
+SQL["aqi_accuracy"] = with_(*_PL) + f"SELECT station_id, horizon, model, {O.rnd('avg(CAST(lvl_t = lvl_p AS DOUBLE))', 6)} AS accuracy FROM pl GROUP BY 1, 2, 3"
+_F1 = " + ".join(
+    f"(CASE WHEN 2 * count(*) FILTER (WHERE lvl_t = '{t}' AND lvl_p = '{t}') + count(*) FILTER (WHERE lvl_t <> '{t}' AND lvl_p = '{t}') + count(*) FILTER (WHERE lvl_t = '{t}' AND lvl_p <> '{t}') > 0 "
+    f"THEN 2 * count(*) FILTER (WHERE lvl_t = '{t}' AND lvl_p = '{t}') / (2 * count(*) FILTER (WHERE lvl_t = '{t}' AND lvl_p = '{t}') + count(*) FILTER (WHERE lvl_t <> '{t}' AND lvl_p = '{t}') + count(*) FILTER (WHERE lvl_t = '{t}' AND lvl_p <> '{t}')) ELSE 0.0 END)"
+    for t in _LABELS)
+SQL["f1_macro"] = with_(*_PL) + f"SELECT station_id, horizon, model, {O.rnd('(' + _F1 + ') / 6.0', 6)} AS f1_macro FROM pl GROUP BY 1, 2, 3"
+SQL["recall_unhealthy"] = with_(*_PL) + f"""SELECT station_id, horizon, model,
+  {O.rnd(f"CASE WHEN count(*) FILTER (WHERE lvl_t IN {O.UNHEALTHY_SQL}) > 0 THEN count(*) FILTER (WHERE lvl_t IN {O.UNHEALTHY_SQL} AND lvl_p IN {O.UNHEALTHY_SQL}) / count(*) FILTER (WHERE lvl_t IN {O.UNHEALTHY_SQL}) ELSE 0.0 END", 6)} AS recall_unhealthy
+FROM pl GROUP BY 1, 2, 3"""
+_SELQ = with_(*_SEL)
+_DEPL = "(" + ", ".join(f"'{g}'" for g in C.DEPLOYABLE_GROUPS) + ")"
+SQL["deployable_champion"] = _SELQ + f"""SELECT c.station_id, c.mode, c.horizon, c.model AS champion, c."group" AS champion_group,
+  CASE WHEN c."group" IN {_DEPL} THEN c.model ELSE b.model END AS deployable_model
+FROM (SELECT * FROM sel WHERE mode = 'operational' AND selected_champion) c
+LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY station_id, mode, horizon
+                 ORDER BY rank_mae NULLS LAST, complexity_rank, runtime_seconds, spec_order) AS rn
+           FROM sel WHERE mode = 'operational' AND status = 'ok' AND MAE IS NOT NULL AND "group" IN {_DEPL}) WHERE rn = 1) b
+ON b.station_id = c.station_id AND b.mode = c.mode AND b.horizon = c.horizon"""
+_SC = 'station_id, mode, horizon, model, "group", MAE, rank_mae, selected_champion'
+SQL["leaderboard"] = _SELQ + f"SELECT {_SC} FROM sel WHERE status = 'ok' AND selected_champion"
+SQL["final_leaderboard"] = _SELQ + f"SELECT {_SC} FROM sel WHERE status = 'ok' AND selected_champion AND mode = 'operational'"
+_GO = "CASE \"group\" " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in C.GROUP_ORDER.items()) + f" ELSE {C.UNKNOWN_GROUP_ORDER} END"
+SQL["combined_leaderboard"] = _SELQ + f"""SELECT station_id, horizon, model, "group", coalesce(tuned, false) AS tuned, MAE, group_order,
+  CAST(row_number() OVER (PARTITION BY station_id, horizon ORDER BY group_order, MAE, model) AS INTEGER) AS position
+FROM (SELECT *, {_GO} AS group_order FROM sel WHERE status = 'ok' AND mode = 'operational')"""
+SQL["compare_models"] = _SELQ + """SELECT station_id, horizon, model, MAE,
+  CAST(floor(rank() OVER (PARTITION BY station_id, horizon ORDER BY MAE) + (count(*) OVER (PARTITION BY station_id, horizon, MAE) - 1) / 2.0) AS INTEGER) AS avg_rank
+FROM meta"""
+SQL["metrics_union"] = with_(*BASE, O.baselines(), O.metrics()) + """SELECT 'operational' AS mode, station_id, horizon, model, MAE, RMSE, R2, n_test FROM met
+UNION ALL SELECT 'oracle_weather' AS mode, station_id, horizon, model, MAE, RMSE, R2, n_test FROM met"""
+SQL["skip_report"] = with_(*BASE) + """SELECT DISTINCT station_id, horizon, 'SeasonalNaive_24h' AS model, 'skipped' AS status,
+  concat('shift_period=24 < horizon=', horizon) AS reason FROM split WHERE horizon > 24"""
+
+# ---------------------------------------------------------------- backtests
+SQL["backtest_k1_k3"] = with_(*_PL) + f"""SELECT station_id, model, horizon, {O.r6('avg(abs(yhat - y))')} AS mae,
+  {O.r6('sqrt(avg((yhat - y) * (yhat - y)))')} AS rmse, {O.r6(O.rnd('(' + _F1 + ') / 6.0', 6))} AS f1_macro,
+  CASE WHEN horizon = 1 THEN 'K1' WHEN horizon = 24 THEN 'K2' ELSE 'K3' END AS scenario
+FROM pl WHERE horizon IN (1, 24, 72) GROUP BY station_id, model, horizon"""
+SQL["backtest_k4"] = with_(*_P, "thr AS (SELECT station_id, model, quantile_cont(y, 0.95) AS threshold_95 FROM preds WHERE horizon = 24 AND y IS NOT NULL GROUP BY 1, 2)",
+                           "k4 AS (SELECT p.*, t.threshold_95 FROM preds p JOIN thr t USING (station_id, model) WHERE p.horizon = 24 AND p.y IS NOT NULL AND p.yhat IS NOT NULL AND p.y >= t.threshold_95)",
+                           O.with_aqi("k4", {"t": "y", "p": "yhat"}, "k4l")) + f"""SELECT t.station_id, t.model, {O.r6('t.threshold_95')} AS threshold_95,
+  {O.r6('a.mae')} AS mae, {O.r6('a.rmse')} AS rmse, {O.r6('a.recall_unhealthy')} AS recall_unhealthy
+FROM thr t LEFT JOIN (SELECT station_id, model, avg(abs(yhat - y)) AS mae, sqrt(avg((yhat - y) * (yhat - y))) AS rmse,
+  CASE WHEN count(*) FILTER (WHERE lvl_t IN {O.UNHEALTHY_SQL}) > 0 THEN count(*) FILTER (WHERE lvl_t IN {O.UNHEALTHY_SQL} AND lvl_p IN {O.UNHEALTHY_SQL}) / count(*) FILTER (WHERE lvl_t IN {O.UNHEALTHY_SQL}) ELSE 0.0 END AS recall_unhealthy
+  FROM k4l GROUP BY 1, 2) a USING (station_id, model)"""
+SQL["backtest_k5"] = with_(*_P) + f"""SELECT station_id, model,
+  {O.r6('avg(abs(yhat - y)) FILTER (WHERE month(date) IN (12, 1, 2))')} AS mae_winter,
+  {O.r6('avg(abs(yhat - y)) FILTER (WHERE month(date) IN (6, 7, 8))')} AS mae_summer,
+  count(*) FILTER (WHERE month(date) IN (12, 1, 2)) AS count_winter, count(*) FILTER (WHERE month(date) IN (6, 7, 8)) AS count_summer
+FROM preds WHERE horizon = 24 AND y IS NOT NULL AND yhat IS NOT NULL GROUP BY 1, 2"""
+
+# ---------------------------------------------------------------- EDA
+SQL["daily_trend"] = with_(O.DAILY, """dd AS (SELECT station_id, CAST(datetime AS DATE) AS day, avg(pm2_5) AS daily_mean FROM daily GROUP BY 1, 2),
+db AS (SELECT station_id, CAST(unnest(generate_series(min(day)::TIMESTAMP, max(day)::TIMESTAMP, INTERVAL 1 DAY)) AS DATE) AS day FROM dd GROUP BY 1),
+ds AS (SELECT db.station_id, db.day, dd.daily_mean FROM db LEFT JOIN dd USING (station_id, day))""") + f"""SELECT station_id, day, {O.r6('daily_mean')} AS daily_mean,
+  {O.r6('CASE WHEN count(daily_mean) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) = 7 THEN avg(daily_mean) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) END')} AS trend_7d,
+  {O.r6('CASE WHEN count(daily_mean) OVER (w ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) = 30 THEN avg(daily_mean) OVER (w ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) END')} AS trend_30d
+FROM ds WINDOW w AS (PARTITION BY station_id ORDER BY day)"""
+_CL = [O.panel_clean()]
+SQL["seasonal_decompose"] = with_(*_CL, """sd AS (
+  SELECT station_id, datetime, pos, pm2_5 AS observed,
+         CASE WHEN count(pm2_5) OVER (w ROWS BETWEEN 12 PRECEDING AND 12 FOLLOWING) = 25
+              THEN (sum(pm2_5) OVER (w ROWS BETWEEN 11 PRECEDING AND 11 FOLLOWING)
+                    + 0.5 * (lag(pm2_5, 12) OVER w + lead(pm2_5, 12) OVER w)) / 24.0 END AS trend,
+         CAST(pos % 24 AS INTEGER) AS phase
+  FROM clean WINDOW w AS (PARTITION BY station_id ORDER BY pos)),
+ph AS (SELECT station_id, phase, pm - avg(pm) OVER (PARTITION BY station_id) AS seasonal
+       FROM (SELECT station_id, phase, avg(observed - trend) AS pm FROM sd GROUP BY 1, 2))""") + f"""SELECT s.station_id, s.datetime, {O.r6('s.observed')} AS observed,
+  {O.r6('s.trend')} AS trend, s.phase, {O.r6('p.seasonal')} AS seasonal, {O.r6('s.observed - s.trend - p.seasonal')} AS resid
+FROM sd s LEFT JOIN ph p USING (station_id, phase)"""
+
+
+def _box(src_ctes, src, by_expr, by):
+    return with_(*src_ctes, f"""bx AS (SELECT station_id, {by_expr} AS {by}, pm2_5 AS v FROM {src}),
+bq AS (SELECT station_id, {by}, count(v) AS n, quantile_cont(v, [0.25, 0.5, 0.75]) AS q FROM bx GROUP BY 1, 2),
+bq2 AS (SELECT station_id, {by}, n, q[1] AS q1, q[2] AS median, q[3] AS q3 FROM bq)""") + f"""SELECT b.station_id, b.{by}, b.n,
+  {O.r6('b.q1')} AS q1, {O.r6('b.median')} AS median, {O.r6('b.q3')} AS q3,
+  {O.r6('min(CASE WHEN x.v >= b.q1 - 1.5 * (b.q3 - b.q1) THEN x.v END)')} AS whisker_lo,
+  {O.r6('max(CASE WHEN x.v <= b.q3 + 1.5 * (b.q3 - b.q1) THEN x.v END)')} AS whisker_hi,
+  count(*) FILTER (WHERE x.v < b.q1 - 1.5 * (b.q3 - b.q1) OR x.v > b.q3 + 1.5 * (b.q3 - b.q1)) AS n_outliers
+FROM bq2 b JOIN bx x USING (station_id, {by}) GROUP BY b.station_id, b.{by}, b.n, b.q1, b.median, b.q3"""
+
+
+SQL["box_by_month"] = _box([O.DAILY], "daily", "CAST(month(datetime) AS INTEGER)", "month")
+SQL["box_by_hour"] = _box(_CL, "clean", "CAST(hour(datetime) AS INTEGER)", "hour")
+SQL["hour_dow_pivot"] = with_(*_CL) + "SELECT station_id, CAST(hour(datetime) AS INTEGER) AS hour, " + ", ".join(
+    O.r6(f"avg(CASE WHEN isodow(datetime) - 1 = {i} THEN pm2_5 END)") + f" AS dow_{i}" for i in range(7)) + " FROM clean GROUP BY 1, 2"
+_ACF_K = range(C.ACF_MAX_LAG + 1)
+SQL["acf"] = with_(*_CL, """ad AS (SELECT c.station_id, c.pos, c.pm2_5 - m.m AS d FROM clean c JOIN (SELECT station_id, avg(pm2_5) AS m FROM clean GROUP BY 1) m USING (station_id))""",
+                   "ap AS (SELECT station_id, " + ", ".join(f"d * lag(d, {k}) OVER w AS p{k}" for k in _ACF_K) + " FROM ad WINDOW w AS (PARTITION BY station_id ORDER BY pos))",
+                   "asum AS (SELECT station_id, " + ", ".join(f"sum(p{k}) AS s{k}" for k in _ACF_K) + " FROM ap GROUP BY 1)") + \
+    f"SELECT station_id, unnest([{', '.join(str(k) for k in _ACF_K)}]::INTEGER[]) AS lag, " + \
+    f"unnest([{', '.join(O.r6(f's{k} / s0') for k in _ACF_K)}]) AS acf FROM asum"
+_SP_COLS = ["pm2_5", "pm10", "temperature_2m", "relative_humidity_2m", "wind_speed_10m", "pressure_msl"]
+_PAIRS = [(a, b) for i, a in enumerate(_SP_COLS) for j, b in enumerate(_SP_COLS) if j <= i]
+SQL["spearman_matrix"] = with_(*_CL, "rk AS (SELECT station_id, " + ", ".join(
+    f"rank() OVER (PARTITION BY station_id ORDER BY {c}) + (count(*) OVER (PARTITION BY station_id, {c}) - 1) / 2.0 AS r_{c}"
+    for c in _SP_COLS) + " FROM clean)") + " UNION ALL ".join(
+    f"SELECT station_id, '{a}' AS col_a, '{b}' AS col_b, {O.r6(f'corr(r_{a}, r_{b})')} AS rho FROM rk GROUP BY 1" for a, b in _PAIRS)
+SQL["missing_by_month"] = with_(*_CL) + "SELECT station_id, strftime(datetime, '%Y-%m') AS month, " + ", ".join(
+    O.r6(f"avg({c}_missing_flag) * 100") + f" AS {c}" for c in ("pm2_5", "pm10", "temperature_2m")) + " FROM clean GROUP BY 1, 2"
+SQL["pred_vs_actual_tail"] = with_(*_P) + f"""SELECT station_id, horizon, model, date, {O.r6('y')} AS y, {O.r6('yhat')} AS yhat FROM (
+  SELECT *, max(date) OVER (PARTITION BY station_id, horizon, model) AS last FROM preds WHERE model = 'Persistence')
+WHERE date > last - INTERVAL 200 HOUR"""
+
+# ---------------------------------------------------------------- serving
+_LAST = """la AS (
+  SELECT station_id, coalesce(arg_max(CASE WHEN pm2_5_missing_flag = 0 THEN {'d': date, 'v': pm2_5} END,
+                                       CASE WHEN pm2_5_missing_flag = 0 THEN date END), arg_max({'d': date, 'v': pm2_5}, date)) AS r
+  FROM feat GROUP BY 1),
+la2 AS (SELECT station_id, r.d AS date, r.v AS pm2_5 FROM la)"""
+_LA = [*_FEAT, _LAST, O.with_aqi("la2", {"a": "pm2_5"}, "la3")]
+SQL["latest_actual"] = with_(*_LA) + f"SELECT station_id, date, {O.r6('pm2_5')} AS pm2_5, aqi_a AS aqi, lvl_a AS level, {O.color_of('aqi_a')} AS color FROM la3"
+SQL["sensor_lag_hours"] = with_(*_FEAT, _LAST) + """SELECT station_id, date,
+  greatest(0, CAST(trunc(date_diff('second', date, (SELECT max(date) FROM feat)) / 3600.0) AS BIGINT)) AS lag_hours FROM la2"""
+SQL["aqi_delta_24h"] = with_(*_LA, """pv AS (SELECT f.station_id, f.pm2_5 FROM feat f JOIN (SELECT station_id, max(pos) AS lp FROM feat GROUP BY 1) l
+  ON l.station_id = f.station_id AND f.pos = l.lp - 24)""", O.with_aqi("pv", {"b": "pm2_5"}, "pv2")) + """SELECT a.station_id, a.aqi_a AS aqi, p.aqi_b AS prev_aqi, a.aqi_a - p.aqi_b AS delta_aqi
+FROM la3 a JOIN pv2 p USING (station_id)"""
+SQL["nowcast_validation"] = with_(*_FEAT, """nm AS (SELECT * FROM (SELECT station_id, date, pm2_5, row_number() OVER (PARTITION BY station_id ORDER BY date DESC) AS rd
+  FROM feat WHERE pm2_5_missing_flag = 0) WHERE rd <= 73),
+nm2 AS (SELECT *, lag(pm2_5, 1) OVER (PARTITION BY station_id ORDER BY date) AS pred,
+               row_number() OVER (PARTITION BY station_id ORDER BY date) AS rn FROM nm)""") + f"""SELECT station_id,
+  {O.r6('avg(abs(pred - pm2_5))')} AS mae, count(*) AS n_hours FROM nm2 WHERE rn > 1 GROUP BY 1"""
+
+# ---------------------------------------------------------------- state and sources
+SQL["filter_time_range"] = with_(O.AQ) + f"""SELECT station_id, datetime, {O.r6('pm2_5')} AS pm2_5, {O.r6('pm10')} AS pm10 FROM aq
+WHERE datetime > TIMESTAMP '2024-01-05 00:00:00' AND datetime <= least(TIMESTAMP '2024-01-20 00:00:00', TIMESTAMP '2024-01-15 12:00:00')"""
+SQL["plan_time_chunks"] = """WITH r AS (SELECT min(o_orderdate) AS s, max(o_orderdate) AS e FROM orders),
+c AS (SELECT unnest(generate_series(s, e, INTERVAL 30 DAY)) AS chunk_start, e FROM r)
+SELECT chunk_start, least(chunk_start + INTERVAL 30 DAY, e) AS chunk_end FROM c WHERE chunk_start < e"""
+SQL["read_partitioned"] = with_(O.AQ) + f"""SELECT station_id, datetime, {O.r6('pm2_5')} AS pm2_5, {O.r6('pm10')} AS pm10,
+  CAST(year(datetime) AS INTEGER) AS year, CAST(month(datetime) AS INTEGER) AS month FROM aq"""
+SQL["read_features"] = with_(*_FEAT) + "SELECT station_id, date, " + ", ".join(
+    f"{O.r6(c)} AS {c}" for c in ("pm2_5", "pm2_5_lag_24", "target_pm2_5_t24")) + " FROM feat"
+SQL["high_watermark"] = with_(O.AQ) + "SELECT station_id, coalesce(max(datetime), TIMESTAMP '2024-01-01 00:00:00') AS last_data_time FROM aq GROUP BY 1"
+SQL["advance_watermark"] = with_(O.AQ, O.WEATHER) + "SELECT station_id, least(max(datetime), (SELECT max(datetime) FROM weather)) AS last_data_time FROM aq GROUP BY 1"
+SQL["needs_rebuild"] = with_(O.AQ, *_FEAT) + """SELECT r.station_id, (f.mx IS NULL OR r.mx > f.mx) AS needs_rebuild
+FROM (SELECT station_id, max(datetime) AS mx FROM aq GROUP BY 1) r LEFT JOIN (SELECT station_id, max(date) AS mx FROM feat GROUP BY 1) f USING (station_id)"""
+SQL["staleness"] = with_(*_FEAT) + """SELECT station_id, max(date) AS feature_max,
+  date_diff('second', max(date), (SELECT max(date) FROM feat)) > 6 * 3600 AS is_stale FROM feat GROUP BY 1"""

@@ -255,3 +255,351 @@ def q_window_matrix(spark, sf):
     return wm.select("station_id", "date", "split", P.r6(F.col("window")[0]).alias("lag_1"),
                      P.r6(F.col("window")[167]).alias("lag_168"),
                      P.r6(F.aggregate("window", F.lit(0.0), lambda a, x: a + x)).alias("window_sum"))
+
+
+# ---------------------------------------------------------------- AQI and scalar functions
+from hourcast.functions import aqi as AQ  # noqa: E402
+from hourcast.functions import text as TX  # noqa: E402
+
+
+def _values(spark, sf):
+    return SP.table(spark, sf, "events").select("event_id", "value")
+
+
+@query("pm25_to_aqi")
+def q_pm25_to_aqi(spark, sf):
+    return _values(spark, sf).select("event_id", "value", AQ.pm25_to_aqi("value").alias("aqi"))
+
+
+@query("aqi_to_level")
+def q_aqi_to_level(spark, sf):
+    a = _values(spark, sf).select("event_id", AQ.pm25_to_aqi("value").alias("aqi"))
+    lv = AQ.aqi_to_level(F.col("aqi"))
+    return a.select("event_id", "aqi", lv["label"].alias("label"), lv["color"].alias("color"))
+
+
+def _level_dim(spark):
+    rows = [(i, C.AQI_LEVELS[i][1], C.AQI_LEVELS_US[i], C.AQI_LEVELS_VN[i], C.AQI_COLORS[i],
+             C.AQI_BREAKPOINTS[i], C.AQI_BREAKPOINTS[i + 1]) for i in range(len(C.AQI_LEVELS))]
+    return spark.createDataFrame(rows, "level_idx int, label string, label_us string, label_vn string, "
+                                       "color_lower string, aqi_low int, aqi_high int")
+
+
+@query("aqi_labels")
+def q_aqi_labels(spark, sf):
+    """Alternative label sets via a broadcast join of the fixed 6-row level dimension."""
+    a = _values(spark, sf).select("event_id", AQ.aqi_level_index(AQ.pm25_to_aqi("value")).alias("level_idx"))
+    dim = _level_dim(spark).drop("label")
+    return a.join(F.broadcast(dim), "level_idx", "left")
+
+
+@query("aqi_advice")
+def q_aqi_advice(spark, sf):
+    a = _values(spark, sf).select("event_id", AQ.pm25_level("value").alias("label"))
+    adv = spark.createDataFrame(list(C.AQI_ADVICE.items()), "label string, advice string")
+    j = a.join(F.broadcast(adv), "label", "left")
+    return j.select("event_id", "label", F.coalesce("advice", F.lit(C.AQI_ADVICE_DEFAULT)).alias("advice"))
+
+
+@query("is_unhealthy")
+def q_is_unhealthy(spark, sf):
+    return _values(spark, sf).select("event_id", AQ.is_unhealthy("value").alias("is_unhealthy"))
+
+
+@query("safe_model_name")
+def q_safe_model_name(spark, sf):
+    p = SP.table(spark, sf, "part").select("p_partkey", F.concat("p_name", F.lit(" (v1/"), "p_brand", F.lit(")"))
+                                           .alias("name"))
+    return p.select("p_partkey", TX.safe_model_name("name").alias("safe_name"))
+
+
+@query("parse_horizons")
+def q_parse_horizons(spark, sf):
+    o = SP.table(spark, sf, "orders").select(
+        "o_orderkey", F.concat_ws(",", (F.col("o_custkey") % 100).cast("string"), F.lit(" "),
+                                  (F.col("o_orderkey") % 72).cast("string")).alias("spec"))
+    return o.select("o_orderkey", F.array_join(TX.parse_horizons("spec"), "|").alias("horizons"))
+
+
+# ---------------------------------------------------------------- prep
+from hourcast.operators import prep as PR  # noqa: E402
+from hourcast.operators import baselines as BL  # noqa: E402
+
+
+@query("oracle_weather_shift")
+def q_oracle_weather(spark, sf):
+    f = PR.oracle_weather_shift(_features(spark, sf), 24, "oracle_weather")
+    return P.rounded(f.select("station_id", "date", *C.WEATHER_COLUMNS))
+
+
+@query("time_series_folds")
+def q_folds(spark, sf):
+    s = PR.train_valid_union(_split(spark, sf).filter(F.col("horizon") == 24)).drop("idx", "n")
+    return PR.time_series_folds(s).select("station_id", "date", "fold", "role")
+
+
+@query("rolling_origin_windows")
+def q_rolling_origin(spark, sf):
+    s = _features(spark, sf).select("station_id", "date", POS, "pm2_5")
+    return P.rounded(PR.rolling_origin_windows(s).select(
+        "station_id", "date", "window", "cutoff_idx", "forecast_horizon", "pm2_5"))
+
+
+@query("train_valid_union")
+def q_tv_union(spark, sf):
+    return PR.train_valid_union(_split(spark, sf)).select("station_id", "horizon", "date", "split")
+
+
+# ---------------------------------------------------------------- legacy baselines, metrics, selection
+def _preds(spark, sf):
+    return BM.baseline_predictions(_split(spark, sf))
+
+
+@query("naive_legacy")
+def q_naive_legacy(spark, sf):
+    return P.rounded(BL.naive_legacy(_split(spark, sf)))
+
+
+@query("seasonal_naive_legacy")
+def q_snaive_legacy(spark, sf):
+    return P.rounded(BL.seasonal_naive_legacy(_split(spark, sf), 168))
+
+
+@query("mae_rmse_r2")
+def q_mae_rmse_r2(spark, sf):
+    return MET.mae_rmse_r2(_preds(spark, sf))
+
+
+@query("aqi_confusion")
+def q_confusion(spark, sf):
+    return MET.aqi_confusion(_preds(spark, sf))
+
+
+@query("aqi_accuracy")
+def q_accuracy(spark, sf):
+    return MET.aqi_accuracy(_preds(spark, sf))
+
+
+@query("f1_macro")
+def q_f1(spark, sf):
+    return MET.f1_macro(_preds(spark, sf))
+
+
+@query("recall_unhealthy")
+def q_recall(spark, sf):
+    return MET.recall_unhealthy(_preds(spark, sf))
+
+
+def _selection(spark, sf):
+    return BM.baseline_selection(_features(spark, sf))
+
+
+SEL_COLS = ["station_id", "mode", "horizon", "model", "group", "MAE", "rank_mae", "selected_champion"]
+
+
+@query("deployable_champion")
+def q_deployable(spark, sf):
+    return SEL.deployable_champion(_selection(spark, sf))
+
+
+@query("leaderboard")
+def q_leaderboard(spark, sf):
+    return SEL.leaderboard(_selection(spark, sf)).select(*SEL_COLS)
+
+
+@query("final_leaderboard")
+def q_final_leaderboard(spark, sf):
+    return SEL.final_leaderboard(_selection(spark, sf)).select(*SEL_COLS)
+
+
+@query("combined_leaderboard")
+def q_combined(spark, sf):
+    return SEL.combined_leaderboard(_selection(spark, sf)).select(
+        "station_id", "horizon", "model", "group", "tuned", "MAE", "group_order", "position")
+
+
+@query("compare_models")
+def q_compare(spark, sf):
+    return SEL.compare_models(BM.baseline_metrics(_features(spark, sf))).select(
+        "station_id", "horizon", "model", "MAE", "avg_rank")
+
+
+@query("metrics_union")
+def q_metrics_union(spark, sf):
+    f = _features(spark, sf)
+    a = BM.baseline_metrics(f, mode="operational")
+    b = BM.baseline_metrics(f, mode="oracle_weather")
+    return SEL.metrics_union(a, b).select("mode", "station_id", "horizon", "model", "MAE", "RMSE", "R2", "n_test")
+
+
+@query("skip_report")
+def q_skip_report(spark, sf):
+    """Models not run, with reasons: seasonal naive with a period shorter than
+    the horizon, per station and horizon of the data."""
+    sh = _split(spark, sf).select("station_id", "horizon").distinct()
+    return (sh.filter(F.col("horizon") > 24)
+              .select("station_id", "horizon", F.lit("SeasonalNaive_24h").alias("model"),
+                      F.lit("skipped").alias("status"),
+                      F.concat(F.lit("shift_period=24 < horizon="), F.col("horizon")).alias("reason")))
+
+
+# ---------------------------------------------------------------- backtests
+from hourcast.operators import backtest as BT  # noqa: E402
+
+
+@query("backtest_k1_k3")
+def q_k1_k3(spark, sf):
+    return P.rounded(BT.backtest_k1_k3(_preds(spark, sf)))
+
+
+@query("backtest_k4")
+def q_k4(spark, sf):
+    return P.rounded(BT.backtest_k4(_preds(spark, sf)))
+
+
+@query("backtest_k5")
+def q_k5(spark, sf):
+    return P.rounded(BT.backtest_k5(_preds(spark, sf)))
+
+
+# ---------------------------------------------------------------- EDA
+from hourcast.operators import eda as ED  # noqa: E402
+
+
+@query("daily_trend")
+def q_daily_trend(spark, sf):
+    return P.rounded(ED.daily_trend(SP.daily_series(spark, sf)))
+
+
+@query("seasonal_decompose")
+def q_decompose(spark, sf):
+    return P.rounded(ED.seasonal_decompose(_clean(spark, sf)))
+
+
+@query("box_by_month")
+def q_box_month(spark, sf):
+    return P.rounded(ED.box_by_month(SP.daily_series(spark, sf)))
+
+
+@query("box_by_hour")
+def q_box_hour(spark, sf):
+    return P.rounded(ED.box_by_hour(_clean(spark, sf)))
+
+
+@query("hour_dow_pivot")
+def q_pivot(spark, sf):
+    return P.rounded(ED.hour_dow_pivot(_clean(spark, sf)))
+
+
+@query("acf")
+def q_acf(spark, sf):
+    return P.rounded(ED.acf(_clean(spark, sf)))
+
+
+@query("pacf")
+def q_pacf(spark, sf):
+    return P.rounded(ED.pacf(ED.acf(_clean(spark, sf))))
+
+
+@query("spearman_matrix")
+def q_spearman(spark, sf):
+    return P.rounded(ED.spearman_matrix(_clean(spark, sf)))
+
+
+@query("missing_by_month")
+def q_missing_month(spark, sf):
+    return P.rounded(ED.missing_by_month(_clean(spark, sf)))
+
+
+@query("pred_vs_actual_tail")
+def q_tail(spark, sf):
+    return P.rounded(ED.pred_vs_actual_tail(_preds(spark, sf).filter(F.col("model") == "Persistence")))
+
+
+# ---------------------------------------------------------------- serving
+from hourcast.operators import serve as SV  # noqa: E402
+
+
+def _as_of(features):
+    """'now' for serving queries: the newest feature time over all stations."""
+    return features.agg(F.max("date")).first()[0]
+
+
+@query("latest_actual")
+def q_latest(spark, sf):
+    return P.rounded(SV.latest_actual(_features(spark, sf)))
+
+
+@query("sensor_lag_hours")
+def q_sensor_lag(spark, sf):
+    f = _features(spark, sf)
+    return SV.sensor_lag_hours(SV.latest_actual(f), _as_of(f)).select("station_id", "date", "lag_hours")
+
+
+@query("aqi_delta_24h")
+def q_aqi_delta(spark, sf):
+    return SV.aqi_delta_24h(_features(spark, sf)).select("station_id", "aqi", "prev_aqi", "delta_aqi")
+
+
+@query("nowcast_validation")
+def q_nowcast_validation(spark, sf):
+    """Nowcast validation of the persistence nowcaster (input = previous measured pm2_5)."""
+    fr = SV.nowcast_validation_frame(_features(spark, sf), ["pm2_5"])
+    return P.rounded(SV.nowcast_validation_mae(fr.withColumn("prediction", F.col("pm2_5"))))
+
+
+# ---------------------------------------------------------------- state and sources
+from hourcast.sources import state as ST  # noqa: E402
+from hourcast.sources import files as FL  # noqa: E402
+
+
+@query("filter_time_range")
+def q_filter_time_range(spark, sf):
+    aq = SP.aq_hourly(spark, sf)
+    return P.rounded(FL.filter_time_range(aq, "2024-01-05 00:00:00", "2024-01-20 00:00:00", "2024-01-15 12:00:00"))
+
+
+@query("plan_time_chunks")
+def q_chunks(spark, sf):
+    r = SP.table(spark, sf, "orders").agg(F.min("o_orderdate").cast("timestamp_ntz").alias("start"),
+                                          F.max("o_orderdate").cast("timestamp_ntz").alias("end"))
+    return FL.plan_time_chunks(r).select("chunk_start", "chunk_end")
+
+
+@query("read_partitioned")
+def q_read_partitioned(spark, sf):
+    from hourcast.session import ensure_checkpoint_dir
+    import uuid
+    lake = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lake-{uuid.uuid4().hex[:8]}"
+    FL.append_partitioned(SP.aq_hourly(spark, sf), lake, "aq")
+    return P.rounded(FL.read_partitioned(spark, lake, "aq"))
+
+
+@query("read_features")
+def q_read_features(spark, sf):
+    f = _features(spark, sf)
+    return P.rounded(f.select("station_id", "date", "pm2_5", "pm2_5_lag_24", "target_pm2_5_t24"))
+
+
+@query("high_watermark")
+def q_high_watermark(spark, sf):
+    state = SP.aq_hourly(spark, sf).select("station_id", F.col("datetime").alias("last_data_time"))
+    return ST.high_watermark(state)
+
+
+@query("advance_watermark")
+def q_advance_watermark(spark, sf):
+    return ST.advance_watermark(SP.aq_hourly(spark, sf), SP.weather_hourly(spark, sf))
+
+
+@query("needs_rebuild")
+def q_needs_rebuild(spark, sf):
+    raw = SP.aq_hourly(spark, sf).groupBy("station_id").agg(F.max("datetime").alias("max_time"))
+    feat = _features(spark, sf).groupBy("station_id").agg(F.max("date").alias("max_time"))
+    return ST.needs_rebuild(raw, feat)
+
+
+@query("staleness")
+def q_staleness(spark, sf):
+    f = _features(spark, sf)
+    return ST.staleness(f, _as_of(f))
