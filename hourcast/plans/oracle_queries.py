@@ -143,8 +143,8 @@ SQL["is_unhealthy"] = with_(*_EVA) + f"SELECT event_id, lvl_v IN {O.UNHEALTHY_SQ
 SQL["safe_model_name"] = """SELECT p_partkey, replace(replace(replace(replace(lower(concat(p_name, ' (v1/', p_brand, ')')),
   ' ', '_'), '/', '_'), '(', ''), ')', '') AS safe_name FROM part"""
 SQL["parse_horizons"] = """SELECT o_orderkey, array_to_string(list_transform(list_filter(list_transform(string_split(
-  concat_ws(',', CAST(o_custkey % 100 AS VARCHAR), ' ', CAST(o_orderkey % 72 AS VARCHAR)), ','), x -> trim(x)),
-  x -> x <> ''), x -> CAST(x AS INTEGER)), '|') AS horizons FROM orders"""
+  concat_ws(',', CAST(o_custkey % 100 AS VARCHAR), ' ', CAST(o_orderkey % 72 AS VARCHAR)), ','), lambda x: trim(x)),
+  lambda x: x <> ''), lambda x: CAST(x AS INTEGER)), '|') AS horizons FROM orders"""
 
 # ---------------------------------------------------------------- prep
 _FEAT = [O.panel_clean(), O.features()]
@@ -336,7 +336,7 @@ SQL["read_features"] = with_(*_FEAT) + "SELECT station_id, date, " + ", ".join(
     f"{O.r6(c)} AS {c}" for c in ("pm2_5", "pm2_5_lag_24", "target_pm2_5_t24")) + " FROM feat"
 SQL["high_watermark"] = with_(O.AQ) + "SELECT station_id, coalesce(max(datetime), TIMESTAMP '2024-01-01 00:00:00') AS last_data_time FROM aq GROUP BY 1"
 SQL["advance_watermark"] = with_(O.AQ, O.WEATHER) + "SELECT station_id, least(max(datetime), (SELECT max(datetime) FROM weather)) AS last_data_time FROM aq GROUP BY 1"
-SQL["needs_rebuild"] = with_(O.AQ, *_FEAT) + """SELECT r.station_id, (f.mx IS NULL OR r.mx > f.mx) AS needs_rebuild
+SQL["needs_rebuild"] = with_(*_FEAT) + """SELECT r.station_id, (f.mx IS NULL OR r.mx > f.mx) AS needs_rebuild
 FROM (SELECT station_id, max(datetime) AS mx FROM aq GROUP BY 1) r LEFT JOIN (SELECT station_id, max(date) AS mx FROM feat GROUP BY 1) f USING (station_id)"""
 SQL["staleness"] = with_(*_FEAT) + """SELECT station_id, max(date) AS feature_max,
   date_diff('second', max(date), (SELECT max(date) FROM feat)) > 6 * 3600 AS is_stale FROM feat GROUP BY 1"""

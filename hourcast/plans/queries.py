@@ -288,7 +288,7 @@ def _level_dim(spark):
 @query("aqi_labels")
 def q_aqi_labels(spark, sf):
     """Alternative label sets via a broadcast join of the fixed 6-row level dimension."""
-    a = _values(spark, sf).select("event_id", AQ.aqi_level_index(AQ.pm25_to_aqi("value")).alias("level_idx"))
+    a = _values(spark, sf).select("event_id", AQ.pm25_level_index("value").alias("level_idx"))
     dim = _level_dim(spark).drop("label")
     return a.join(F.broadcast(dim), "level_idx", "left")
 
