@@ -603,3 +603,53 @@ def q_needs_rebuild(spark, sf):
 def q_staleness(spark, sf):
     f = _features(spark, sf)
     return ST.staleness(f, _as_of(f))
+
+
+# ---------------------------------------------------------------- models (rows-only checks; numpy parity in tests)
+from hourcast.plans import models as PMOD  # noqa: E402
+from hourcast.operators import models as MOD  # noqa: E402
+
+
+def _spec(name, scale=0.04):
+    return {s.name: s for s in PMOD.model_specs(tree_scale=scale)}[name]
+
+
+def _model_query(name, tune=False):
+    def q(spark, sf):
+        s = _spec(name)
+        return P.rounded(s.build(_split(spark, sf), tune and s.tunable, s.name)
+                         .withColumn("model", F.lit(name)))
+    return q
+
+
+for _qid, _name, _tune in (("ridge", "Ridge", False), ("elastic_net", "ElasticNet", False),
+                           ("ols", "LinearRegression", False), ("window_ridge", "WindowRidge_168h", False),
+                           ("dlinear", "DLinear", False), ("nlinear", "NLinear", False),
+                           ("fourier_regression", "FourierRegression", False),
+                           ("arma_regression", "SARIMAX", False), ("random_forest", "RandomForest", False),
+                           ("extra_trees", "ExtraTrees", False), ("gbt", "XGBoost", False),
+                           ("tune", "Ridge", True), ("fit_predict", "ElasticNet", True)):
+    REGISTRY[_qid] = _model_query(_name, _tune)
+
+
+@query("cross_validate")
+def q_cross_validate(spark, sf):
+    tv = PR.train_valid_union(_split(spark, sf))
+    return P.rounded(MOD.cross_validate(tv, C.FEATURES, "ridge", {"alpha": 1.0}))
+
+
+@query("refit_full")
+def q_refit_full(spark, sf):
+    """Coefficients of the export model fitted on all valid rows of each series."""
+    c = MOD.fit_linear_grid(_split(spark, sf), C.FEATURES, ["station_id", "horizon"], "ridge", [{"alpha": 1.0}])
+    return c.select("station_id", "horizon", P.r6("intercept").alias("intercept"),
+                    F.size("coef").alias("n_coef"))
+
+
+@query("benchmark")
+def q_benchmark(spark, sf):
+    """Baselines + linear, window and statistical models, metrics, champion rule."""
+    specs = [s for s in PMOD.model_specs(include_trees=False) if s.name in ("Ridge", "WindowRidge_168h", "SARIMAX")]
+    met, _ = PMOD.benchmark(_split(spark, sf), specs, BM.baseline_metrics(_features(spark, sf)), tune=False)
+    return met.select("station_id", "mode", "horizon", "model", "group", "complexity_rank", "MAE", "RMSE", "R2",
+                      "n_test", "rank_mae", "selected_champion")
