@@ -653,3 +653,72 @@ def q_benchmark(spark, sf):
     met, _ = PMOD.benchmark(_split(spark, sf), specs, BM.baseline_metrics(_features(spark, sf)), tune=False)
     return met.select("station_id", "mode", "horizon", "model", "group", "complexity_rank", "MAE", "RMSE", "R2",
                       "n_test", "rank_mae", "selected_champion")
+
+
+# ---------------------------------------------------------------- streaming (rows-only; batch = stream in tests)
+from hourcast.streaming import ingest as STR  # noqa: E402
+
+
+@query("stream_hourly_avg")
+def q_stream_hourly_avg(spark, sf):
+    out = STR.run_available(spark, STR.stream_hourly_avg(STR.read_readings_stream(spark, sf)), "hourly")
+    return P.rounded(out.drop("year", "month"))
+
+
+@query("stream_dedupe")
+def q_stream_dedupe(spark, sf):
+    out = STR.run_available(spark, STR.stream_dedupe(STR.read_readings_stream(spark, sf)), "dedupe")
+    return P.rounded(out.select("station_id", "event_id", "value"))
+
+
+@query("stream_append")
+def q_stream_append(spark, sf):
+    return P.rounded(STR.run_available(spark, STR.stream_hourly_avg(STR.read_readings_stream(spark, sf)), "append"))
+
+
+# ---------------------------------------------------------------- explainability (rows-only; additivity in tests)
+from hourcast.operators import explain as EX  # noqa: E402
+
+
+def _ridge_fit(spark, sf):
+    s = _split(spark, sf)
+    tr = s.filter(F.col("split") == "train")
+    coefs = MOD.fit_linear_grid(tr, C.FEATURES, ["station_id", "horizon"], "ridge", [{"alpha": 1.0}])
+    return s, tr, coefs
+
+
+@query("shapley_summary")
+def q_shap_summary(spark, sf):
+    s, tr, coefs = _ridge_fit(spark, sf)
+    return P.rounded(EX.shapley_summary(EX.shapley_linear(tr, tr, coefs, C.FEATURES)))
+
+
+@query("shapley_extreme_row")
+def q_shap_extreme(spark, sf):
+    s, tr, coefs = _ridge_fit(spark, sf)
+    return P.rounded(EX.shapley_extreme_row(EX.shapley_linear(tr, tr, coefs, C.FEATURES), tr))
+
+
+@query("permutation_importance")
+def q_perm_importance(spark, sf):
+    s, tr, coefs = _ridge_fit(spark, sf)
+    return P.rounded(EX.permutation_importance(s.filter(F.col("split") == "test"), coefs, C.FEATURES))
+
+
+# ---------------------------------------------------------------- model serving
+@query("forecast_horizons")
+def q_forecast_horizons(spark, sf):
+    """Latest row of every station scored by its per-horizon ridge -> AQI level."""
+    s, tr, coefs = _ridge_fit(spark, sf)
+    rows = SV.forecast_rows(_features(spark, sf))
+    pred = MOD.predict_linear(rows, coefs.drop("param_id", "params"), C.FEATURES, "prediction")
+    return P.rounded(SV.with_aqi_level(pred.select("station_id", "horizon", "date", "target_time", "prediction")))
+
+
+@query("nowcast")
+def q_nowcast(spark, sf):
+    """h=1 champion-style nowcast from the last row of each station."""
+    s, tr, coefs = _ridge_fit(spark, sf)
+    rows = SV.forecast_rows(_features(spark, sf), [1])
+    pred = MOD.predict_linear(rows, coefs.drop("param_id", "params"), C.FEATURES, "prediction")
+    return P.rounded(SV.with_aqi_level(pred.select("station_id", "date", "target_time", "prediction")))
