@@ -18,7 +18,7 @@ W = "PARTITION BY station_id ORDER BY pos"
 
 def r6(expr: str) -> str:
     """Round to 6 dp the same way in both engines: round(x * 1e6) / 1e6."""
-    return f"round(({expr}) * 1000000.0) / 1000000.0"
+    return f"(CASE WHEN round(({expr}) * 1000000.0) = 0 THEN 0.0::DOUBLE ELSE round(({expr}) * 1000000.0) / 1000000.0 END)"
 
 
 def hour_pos(col: str) -> str:
@@ -125,7 +125,9 @@ def feature_exprs(horizons=C.HORIZONS) -> list[str]:
         return f"CASE WHEN count({y}) {fr} = {n} THEN {agg}({y}) {fr} END AS {name}"
 
     for n in C.ROLL_MEANS:
-        win.append(full(n, "avg", f"{y}_roll{n}_mean"))
+        # explicit oldest-to-newest sum: the same addition order as a sliding frame in Spark
+        chain = " + ".join(f"lag({y}, {k}) OVER ({W})" for k in range(n, 0, -1))
+        win.append(f"({chain}) / {float(n)!r} AS {y}_roll{n}_mean")
     win.append(full(C.ROLL_STD, "stddev_samp", f"{y}_roll{C.ROLL_STD}_std"))
     win.append(full(C.ROLL_MAX, "max", f"{y}_roll{C.ROLL_MAX}_max"))
     win.append(f"{y} - lag({y}, 1) OVER ({W}) AS {y}_diff_1h")
@@ -208,7 +210,7 @@ UNHEALTHY_SQL = "(" + ", ".join(f"'{x}'" for x in C.UNHEALTHY_LEVELS) + ")"
 
 def rnd(expr: str, digits: int) -> str:
     m = float(10 ** digits)
-    return f"round(({expr}) * {m!r}) / {m!r}"
+    return f"(CASE WHEN round(({expr}) * {m!r}) = 0 THEN 0.0::DOUBLE ELSE round(({expr}) * {m!r}) / {m!r} END)"
 
 
 # --------------------------------------------------------------------------
