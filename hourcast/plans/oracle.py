@@ -250,7 +250,11 @@ def baselines(src: str = "split", horizons=C.HORIZONS, only: str | None = None,
                 continue
             if "OVER_ROLL" in expr:
                 a, b = expr.split("OVER_ROLL(")[1].rstrip(")").split(",")
-                e = f"avg(y) OVER ({ww} ROWS BETWEEN {a} PRECEDING AND {b} PRECEDING)"
+                n = int(a) - int(b) + 1
+                fr = f"OVER ({ww} ROWS BETWEEN {a} PRECEDING AND {b} PRECEDING)"
+                # full frames: explicit oldest-first sum (Spark's sliding-frame order)
+                chain = " + ".join(f"lag(y, {k}) OVER ({ww})" for k in range(int(a), int(b) - 1, -1))
+                e = f"CASE WHEN count(y) {fr} = {n} THEN ({chain}) / {float(n)!r} ELSE avg(y) {fr} END"
             else:
                 e = f"{expr} OVER ({ww})"
             sels.append(f"SELECT station_id, horizon, '{model}' AS model, date, y, split, {e} AS p "

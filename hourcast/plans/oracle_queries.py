@@ -255,14 +255,14 @@ FROM preds WHERE horizon = 24 AND y IS NOT NULL AND yhat IS NOT NULL GROUP BY 1,
 SQL["daily_trend"] = with_(O.DAILY, """dd AS (SELECT station_id, CAST(datetime AS DATE) AS day, avg(pm2_5) AS daily_mean FROM daily GROUP BY 1, 2),
 db AS (SELECT station_id, CAST(unnest(generate_series(min(day)::TIMESTAMP, max(day)::TIMESTAMP, INTERVAL 1 DAY)) AS DATE) AS day FROM dd GROUP BY 1),
 ds AS (SELECT db.station_id, db.day, dd.daily_mean FROM db LEFT JOIN dd USING (station_id, day))""") + f"""SELECT station_id, day, {O.r6('daily_mean')} AS daily_mean,
-  {O.r6('CASE WHEN count(daily_mean) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) = 7 THEN avg(daily_mean) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) END')} AS trend_7d,
-  {O.r6('CASE WHEN count(daily_mean) OVER (w ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) = 30 THEN avg(daily_mean) OVER (w ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) END')} AS trend_30d
+  {O.r6('(' + ' + '.join(f'lag(daily_mean, {k}) OVER w' for k in range(6, -1, -1)) + ') / 7.0')} AS trend_7d,
+  {O.r6('(' + ' + '.join(f'lag(daily_mean, {k}) OVER w' for k in range(29, -1, -1)) + ') / 30.0')} AS trend_30d
 FROM ds WINDOW w AS (PARTITION BY station_id ORDER BY day)"""
 _CL = [O.panel_clean()]
 SQL["seasonal_decompose"] = with_(*_CL, """sd AS (
   SELECT station_id, datetime, pos, pm2_5 AS observed,
          CASE WHEN count(pm2_5) OVER (w ROWS BETWEEN 12 PRECEDING AND 12 FOLLOWING) = 25
-              THEN (sum(pm2_5) OVER (w ROWS BETWEEN 11 PRECEDING AND 11 FOLLOWING)
+              THEN ((lag(pm2_5, 11) OVER w + lag(pm2_5, 10) OVER w + lag(pm2_5, 9) OVER w + lag(pm2_5, 8) OVER w + lag(pm2_5, 7) OVER w + lag(pm2_5, 6) OVER w + lag(pm2_5, 5) OVER w + lag(pm2_5, 4) OVER w + lag(pm2_5, 3) OVER w + lag(pm2_5, 2) OVER w + lag(pm2_5, 1) OVER w + pm2_5 + lead(pm2_5, 1) OVER w + lead(pm2_5, 2) OVER w + lead(pm2_5, 3) OVER w + lead(pm2_5, 4) OVER w + lead(pm2_5, 5) OVER w + lead(pm2_5, 6) OVER w + lead(pm2_5, 7) OVER w + lead(pm2_5, 8) OVER w + lead(pm2_5, 9) OVER w + lead(pm2_5, 10) OVER w + lead(pm2_5, 11) OVER w)
                     + 0.5 * (lag(pm2_5, 12) OVER w + lead(pm2_5, 12) OVER w)) / 24.0 END AS trend,
          CAST(pos % 24 AS INTEGER) AS phase
   FROM clean WINDOW w AS (PARTITION BY station_id ORDER BY pos)),
@@ -340,3 +340,23 @@ SQL["needs_rebuild"] = with_(*_FEAT) + """SELECT r.station_id, (f.mx IS NULL OR
 FROM (SELECT station_id, max(datetime) AS mx FROM aq GROUP BY 1) r LEFT JOIN (SELECT station_id, max(date) AS mx FROM feat GROUP BY 1) f USING (station_id)"""
 SQL["staleness"] = with_(*_FEAT) + """SELECT station_id, max(date) AS feature_max,
   date_diff('second', max(date), (SELECT max(date) FROM feat)) > 6 * 3600 AS is_stale FROM feat GROUP BY 1"""
+
+# ---------------------------------------------------------------- sources with SQL form
+SQL["append_partitioned"] = with_(O.AQ) + """SELECT CAST(year(datetime) AS INTEGER) AS year, CAST(month(datetime) AS INTEGER) AS month,
+  count(*) AS n_rows FROM aq GROUP BY 1, 2"""
+SQL["localize_time"] = "SELECT event_id, CAST(ts AS TIMESTAMP) + INTERVAL 7 HOUR AS datetime FROM events"
+SQL["latest_feature_row"] = with_(*_FEAT, "lf AS (SELECT station_id, max(pos) AS lp FROM feat GROUP BY 1)") + f"""SELECT f.station_id, f.date,
+  {O.r6('f.pm2_5')} AS pm2_5, {O.r6('f.pm2_5_lag_1')} AS pm2_5_lag_1, {O.r6('f.pm2_5_roll24_mean')} AS pm2_5_roll24_mean,
+  {O.r6('f.pm2_5')} AS pm2_5_seq_lag_1,
+  {O.r6('(SELECT g.pm2_5 FROM feat g WHERE g.station_id = f.station_id AND g.pos = l.lp - 23)')} AS pm2_5_seq_lag_24,
+  {O.r6('(SELECT g.pm2_5 FROM feat g WHERE g.station_id = f.station_id AND g.pos = l.lp - 167)')} AS pm2_5_seq_lag_168
+FROM feat f JOIN lf l ON l.station_id = f.station_id AND f.pos = l.lp"""
+SQL["inject_future_weather"] = with_(*_FEAT, "lr AS (SELECT f.* FROM feat f JOIN (SELECT station_id, max(date) AS d FROM feat GROUP BY 1) m ON m.station_id = f.station_id AND m.d = f.date)",
+                                     "hz AS (SELECT CAST(unnest([1, 24, 48, 72]) AS INTEGER) AS horizon)") + \
+    "SELECT lr.station_id, lr.date, hz.horizon, " + ", ".join(
+        O.r6(f"coalesce(w.{c}, lr.{c})") + f" AS {c}" for c in C.WEATHER_COLUMNS) + \
+    " FROM lr CROSS JOIN hz LEFT JOIN weather w ON w.datetime = lr.date + hz.horizon * INTERVAL 1 HOUR"
+SQL["read_weather_json"] = SQL["detect_time_column"]
+SQL["read_weather_forecast"] = SQL["detect_time_column"]
+SQL["read_aq_csv"] = f"""SELECT 'sensor' AS station_id, date_trunc('second', ts) + INTERVAL 7 HOUR AS datetime,
+  {O.r6('value')} AS pm2_5, {O.r6('value * 2')} AS pm10 FROM events"""

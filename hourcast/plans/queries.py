@@ -722,3 +722,175 @@ def q_nowcast(spark, sf):
     rows = SV.forecast_rows(_features(spark, sf), [1])
     pred = MOD.predict_linear(rows, coefs.drop("param_id", "params"), C.FEATURES, "prediction")
     return P.rounded(SV.with_aqi_level(pred.select("station_id", "date", "target_time", "prediction")))
+
+
+# ---------------------------------------------------------------- file sources and sinks (write, then read back)
+import uuid as _uuid  # noqa: E402
+
+from hourcast.session import ensure_checkpoint_dir as _ckpt  # noqa: E402
+
+
+def _scratch(spark, name):
+    return f"{_ckpt(spark).rstrip('/')}/{name}-{_uuid.uuid4().hex[:8]}"
+
+
+@query("read_aq_csv")
+def q_read_aq_csv(spark, sf):
+    """Readings landed as sensor CSV (epoch seconds, dotted column names), read back typed in local time."""
+    ev = SP.table(spark, sf, "events")
+    path = _scratch(spark, "aq-csv")
+    (ev.select(F.unix_seconds(F.col("ts").cast("timestamp")).alias("time_stamp"),
+               F.col("value").alias("pm2.5_atm"), (F.col("value") * 2).alias("pm10.0_atm"))
+       .write.option("header", True).csv(path))
+    return P.rounded(FL.read_aq_csv(spark, path, "sensor"))
+
+
+def _field(name):
+    return lambda s: s[name]
+
+
+def _weather_payload_path(spark, sf):
+    """Weather landed as JSON payloads of parallel arrays, one document per day."""
+    w = SP.weather_hourly(spark, sf).withColumn("_day", F.to_date("datetime"))
+    doc = w.groupBy("_day").agg(F.struct(
+        F.array_sort(F.collect_list(F.date_format("datetime", "yyyy-MM-dd'T'HH:mm"))).alias("time"),
+        *[F.transform(F.array_sort(F.collect_list(F.struct(F.col("datetime"), F.col(c)))), _field(c))
+          .alias(c) for c in C.WEATHER_COLUMNS]).alias("hourly"))
+    path = _scratch(spark, "weather-json")
+    doc.select("hourly").write.json(path)
+    return path
+
+
+@query("read_weather_json")
+def q_read_weather_json(spark, sf):
+    return P.rounded(FL.weather_from_payload(spark.read.schema(FL.WEATHER_JSON_SCHEMA).json(
+        _weather_payload_path(spark, sf))))
+
+
+@query("read_weather_forecast")
+def q_read_weather_forecast(spark, sf):
+    return P.rounded(FL.weather_from_payload(spark.read.schema(FL.WEATHER_JSON_SCHEMA).json(
+        _weather_payload_path(spark, sf))))
+
+
+@query("append_partitioned")
+def q_append_partitioned(spark, sf):
+    lake = _scratch(spark, "lake")
+    FL.append_partitioned(SP.aq_hourly(spark, sf), lake, "aq")
+    return FL.read_partitioned(spark, lake, "aq").groupBy("year", "month").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("localize_time")
+def q_localize_time(spark, sf):
+    ev = SP.table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("datetime"))
+    return CL.localize_time(ev.withColumn("datetime", F.to_utc_timestamp("datetime", "UTC")), "datetime")
+
+
+@query("latest_feature_row")
+def q_latest_feature_row(spark, sf):
+    cols = ["pm2_5", "pm2_5_lag_1", "pm2_5_roll24_mean", "pm2_5_seq_lag_1", "pm2_5_seq_lag_24", "pm2_5_seq_lag_168"]
+    return P.rounded(FE.latest_feature_row(_features(spark, sf), cols))
+
+
+@query("inject_future_weather")
+def q_inject_future_weather(spark, sf):
+    rows = SV.forecast_rows(_features(spark, sf)).select("station_id", "date", "horizon", *C.WEATHER_COLUMNS)
+    return P.rounded(FE.inject_future_weather(rows, SP.weather_hourly(spark, sf)))
+
+
+@query("compare_cv")
+def q_compare_cv(spark, sf):
+    tv = PR.train_valid_union(_split(spark, sf))
+    parts = [MOD.cross_validate(tv, C.FEATURES, "ridge", {"alpha": a}).withColumn("model", F.lit(f"Ridge_a{a}"))
+             for a in (0.1, 10.0)]
+    return P.rounded(SEL.compare_models(parts[0].unionByName(parts[1]), by="mae_mean"))
+
+
+def _champions(spark, sf):
+    sel = _selection(spark, sf)
+    return sel.filter(F.col("selected_champion") & (F.col("mode") == "operational"))
+
+
+MANIFEST_SCHEMA = ("station_id string, horizon int, model_name string, artifact_path string, forecast_mode string, "
+                   "uses_future_weather_forecast boolean, feature_columns array<string>, target string, "
+                   "trained_at string, MAE double, RMSE double, R2 double, recall_unhealthy_plus double, "
+                   "mae_top5 double, selection_rule string")
+
+
+@query("write_manifest")
+def q_write_manifest(spark, sf):
+    path = _scratch(spark, "manifest")
+    FL.write_manifest(FL.manifest_rows(_champions(spark, sf), C.FEATURES), path)
+    return FL.read_manifest(spark, path, MANIFEST_SCHEMA).drop("trained_at", "feature_columns")
+
+
+@query("read_manifest")
+def q_read_manifest(spark, sf):
+    return q_write_manifest(spark, sf)
+
+
+@query("champion_entry")
+def q_champion_entry(spark, sf):
+    return FL.champion_entry(q_write_manifest(spark, sf), 24)
+
+
+@query("write_model")
+def q_write_model(spark, sf):
+    """Pooled Spark ML ridge for h=1 saved and loaded back through the candidate list."""
+    s = _split(spark, sf).filter(F.col("horizon") == 1)
+    model = MOD.spark_ml_linear(C.FEATURES, reg=0.1).fit(s.filter(F.col("split") == "train"))
+    path = _scratch(spark, "model")
+    FL.write_model(model, path)
+    label, loaded = FL.read_model([("champion", path + "-missing"), ("legacy", path)])
+    out = loaded.transform(s.filter(F.col("split") == "test"))
+    return P.rounded(out.select("station_id", "date", "y", "yhat", F.lit(label).alias("source")))
+
+
+@query("read_model")
+def q_read_model(spark, sf):
+    return q_write_model(spark, sf)
+
+
+@query("write_model_card")
+def q_write_model_card(spark, sf):
+    skipped = [r.asDict() for r in q_skip_report(spark, sf).select(
+        "model", "status", "reason", F.lit("operational").alias("mode")).distinct().collect()]
+    path = _scratch(spark, "model-card")
+    FL.write_model_card(spark, skipped, path, {"scope": "station panel", "primary_mode": "operational"})
+    return spark.read.json(f"{path}/skipped")
+
+
+@query("update_feature_state")
+def q_update_feature_state(spark, sf):
+    path = _scratch(spark, "feature-state")
+    st = ST.feature_state(_features(spark, sf), SP.aq_hourly(spark, sf), generated_at="2024-02-01 00:00:00")
+    ST.update_feature_state(st, path)
+    return spark.read.parquet(path)
+
+
+@query("write_features")
+def q_write_features(spark, sf):
+    path = _scratch(spark, "features")
+    FL.write_features(_features(spark, sf).select("station_id", "date", "pm2_5", "target_pm2_5_t1"), path)
+    return P.rounded(FL.read_features(spark, path))
+
+
+@query("write_leaderboards")
+def q_write_leaderboards(spark, sf):
+    path = _scratch(spark, "reports")
+    FL.write_leaderboards(_selection(spark, sf), path)
+    return spark.read.parquet(f"{path}/final_leaderboard").select("station_id", "horizon", "model", "MAE")
+
+
+@query("write_metrics_csv")
+def q_write_metrics_csv(spark, sf):
+    path = _scratch(spark, "metrics-csv")
+    FL.write_metrics_csv(BM.baseline_metrics(_features(spark, sf)), path)
+    return spark.read.option("header", True).option("inferSchema", True).csv(path)
+
+
+@query("write_runtime_csv")
+def q_write_runtime_csv(spark, sf):
+    path = _scratch(spark, "runtime-csv")
+    FL.write_runtime_csv(BM.baseline_metrics(_features(spark, sf)), path)
+    return spark.read.option("header", True).csv(path)
