@@ -152,7 +152,7 @@ def fill_capped(df: DataFrame, cols=None, limit: int = C.INTERPOLATION_LIMIT, bl
     cols = cols or [c for c in numeric_columns(df)]
     block = block_hours(df, block)
     nv = nearest_valid(with_pos(df), cols, block)
-    out = nv
+    vals = {}
     for c in cols:
         pv, nx = F.col(f"_pv_{c}"), F.col(f"_nv_{c}")
         step = F.least(F.col(POS) - pv["p"], F.lit(limit)).cast("double")
@@ -165,8 +165,9 @@ def fill_capped(df: DataFrame, cols=None, limit: int = C.INTERPOLATION_LIMIT, bl
                    .when(pv.isNotNull(), pv["v"])
                    .when(nx.isNotNull(), nx["v"])
                    .otherwise(F.lit(0.0)))
-        out = out.withColumn(c, val.cast("double")).drop(f"_pv_{c}", f"_nv_{c}")
-    return out
+        vals[c] = val.cast("double").alias(c)
+    tmp = {f"_{t}_{c}" for c in cols for t in ("pv", "nv")}
+    return nv.select(*[vals.get(x, F.col(f"`{x}`")) for x in nv.columns if x not in tmp])
 
 
 def interpolate_capped(df: DataFrame, cols=None, limit: int = C.INTERPOLATION_LIMIT,

@@ -105,8 +105,10 @@ def nearest_valid(df: DataFrame, cols: list[str], block: int) -> DataFrame:
         *[F.first(f"_bf_{c}", ignorenulls=True).over(wb.rowsBetween(1, Window.unboundedFollowing)).alias(f"_cn_{c}")
           for c in cols])
     out = local.join(carry, [KEY, BLK], "left")
+    fills = []
     for c in cols:
-        out = (out.withColumn(f"_pv_{c}", F.coalesce(F.col(f"_lp_{c}"), F.col(f"_cp_{c}")))
-                  .withColumn(f"_nv_{c}", F.coalesce(F.col(f"_ln_{c}"), F.col(f"_cn_{c}")))
-                  .drop(f"_lp_{c}", f"_cp_{c}", f"_ln_{c}", f"_cn_{c}"))
+        fills += [F.coalesce(F.col(f"_lp_{c}"), F.col(f"_cp_{c}")).alias(f"_pv_{c}"),
+                  F.coalesce(F.col(f"_ln_{c}"), F.col(f"_cn_{c}")).alias(f"_nv_{c}")]
+    tmp = {f"_{t}_{c}" for c in cols for t in ("lp", "cp", "ln", "cn")}
+    out = out.select(*[F.col(f"`{x}`") for x in out.columns if x not in tmp], *fills)
     return out.drop(BLK)
