@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from hourcast import config as C
 from hourcast.config import KEY, TIME
-from hourcast.operators.series import POS, block_hours, epoch_hour, nearest_valid, with_pos
+from hourcast.operators.series import POS, block_hours, epoch_hour, hour_to_ntz, nearest_valid, with_pos
 
 PARTITION_COLS = ("year", "month")
 
@@ -20,10 +20,14 @@ PARTITION_COLS = ("year", "month")
 # row-level steps
 # --------------------------------------------------------------------------
 def dedupe_hourly(readings: DataFrame, tie_break: str = "seq") -> DataFrame:
-    """Keep the first reading per (station, hour); ``tie_break`` orders duplicates."""
-    w = Window.partitionBy(KEY, TIME).orderBy(F.col(tie_break).asc_nulls_last())
-    return (readings.withColumn("_rn", F.row_number().over(w))
-                    .filter(F.col("_rn") == 1).drop("_rn"))
+    """Keep the first reading per (station, hour); ``tie_break`` orders duplicates.
+
+    An aggregate (``min_by``) rather than a window: duplicates are combined
+    map-side, so even a station-hour holding a large share of all rows never
+    lands whole in one task."""
+    rest = [c for c in readings.columns if c not in (KEY, TIME)]
+    first = F.min_by(F.struct(*[F.col(c) for c in rest]), F.col(tie_break)).alias("_r")
+    return readings.groupBy(KEY, TIME).agg(first).select(KEY, TIME, *[F.col("_r")[c].alias(c) for c in rest])
 
 
 def drop_partition_cols(df: DataFrame) -> DataFrame:
@@ -101,7 +105,7 @@ def spine(bounds: DataFrame, block: int) -> DataFrame:
     hours = blocks.select(KEY, F.explode(F.sequence(
         F.greatest(F.col("_lo"), F.col("_b") * block),
         F.least(F.col("_hi"), F.col("_b") * block + (block - 1)))).alias(POS))
-    return hours.withColumn(TIME, F.timestamp_seconds(F.col(POS) * 3600).cast("timestamp_ntz"))
+    return hours.withColumn(TIME, hour_to_ntz(POS))
 
 
 def hourly_grid(aq: DataFrame, weather: DataFrame | None = None, trim: bool = False,

@@ -31,9 +31,24 @@ def block_hours(df: DataFrame, override: int | None = None) -> int:
     return conf_int(df.sparkSession, BLOCK_CONF, DEFAULT_BLOCK_HOURS)
 
 
+EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
 def epoch_hour(c: str = TIME) -> Column:
-    """Whole hours since the epoch of a TIMESTAMP_NTZ (wall clock) value."""
-    return F.floor(F.unix_seconds(F.col(c).cast("timestamp")) / F.lit(3600)).cast("long")
+    """Whole hours since the epoch of a TIMESTAMP_NTZ wall-clock value, from
+    its calendar fields only (independent of the session time zone)."""
+    col = F.col(c)
+    return (F.datediff(F.to_date(col), F.lit("1970-01-01").cast("date")).cast("long") * 24
+            + F.hour(col)).cast("long")
+
+
+def hour_to_ntz(pos) -> Column:
+    """Inverse of ``epoch_hour``: epoch hour -> TIMESTAMP_NTZ (pure wall-clock arithmetic)."""
+    p = F.col(pos) if isinstance(pos, str) else pos
+    days = F.floor(p / 24).cast("int")
+    hours = (p - F.floor(p / 24) * 24).cast("int")
+    return (F.lit(EPOCH_NTZ).cast("timestamp_ntz")
+            + F.make_dt_interval(days=days, hours=hours))
 
 
 def with_pos(df: DataFrame, time_col: str = TIME) -> DataFrame:

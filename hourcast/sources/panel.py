@@ -19,7 +19,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _hour(c: str = "ts"):
-    return F.date_trunc("hour", F.col(c)).cast("timestamp_ntz")
+    """Start of the hour of a TIMESTAMP_NTZ, by wall-clock fields (time-zone free)."""
+    return F.to_timestamp_ntz(F.date_format(F.col(c), "yyyy-MM-dd HH:00:00"))
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
