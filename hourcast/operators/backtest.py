@@ -9,6 +9,7 @@ from hourcast import config as C
 from hourcast.config import KEY
 from hourcast.functions.aqi import is_unhealthy_level, pm25_level
 from hourcast.operators.metrics import f1_macro
+from hourcast.operators.series import exact_quantiles
 
 KEYS = [KEY, "model"]
 
@@ -31,7 +32,7 @@ def backtest_k4(preds: DataFrame, horizon: int = 24) -> DataFrame:
     """High-pollution episodes: truth >= p95 of all truth rows (taken before
     dropping NULL predictions); MAE, RMSE, unhealthy recall on those rows."""
     p = preds.filter((F.col("horizon") == horizon) & F.col("y").isNotNull())
-    thr = p.groupBy(*KEYS).agg(F.percentile("y", F.lit(0.95)).alias("threshold_95"))
+    thr = exact_quantiles(p, "y", KEYS, [0.95]).select(*KEYS, F.col("q")[0].alias("threshold_95"))
     d = _clean(p).join(thr, KEYS).filter(F.col("y") >= F.col("threshold_95"))
     e = F.col("yhat") - F.col("y")
     tu = is_unhealthy_level(pm25_level("y"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from hourcast import config as C
 from hourcast.config import KEY, TARGET, TIME
-from hourcast.operators.series import (BLK, POS, block_hours, block_window, core_only, series_keys, with_halo,
+from hourcast.operators.series import (BLK, POS, exact_quantiles, block_hours, block_window, core_only, series_keys, with_halo,
                                        with_pos)
 
 
@@ -57,8 +57,8 @@ def box_stats(df: DataFrame, by: str, value: str = TARGET) -> DataFrame:
     """Box plot statistics per station and ``by``: quartiles (linear), 1.5 IQR
     whiskers clipped to the data, outlier count."""
     keys = [KEY, by]
-    q = df.groupBy(*keys).agg(F.count(value).alias("n"),
-                              F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"))
+    n = df.groupBy(*keys).agg(F.count(value).alias("n"))
+    q = exact_quantiles(df, value, keys, [0.25, 0.5, 0.75], name="_q").join(n, keys)
     q = q.select(*keys, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
     j = df.select(*keys, F.col(value).alias("_v")).join(q.select(*keys, "q1", "q3"), keys)
     lo = F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))

@@ -127,3 +127,45 @@ def nearest_valid(df: DataFrame, cols: list[str], block: int) -> DataFrame:
     tmp = {f"_{t}_{c}" for c in cols for t in ("lp", "cp", "ln", "cn")}
     out = out.select(*[F.col(f"`{x}`") for x in out.columns if x not in tmp], *fills)
     return out.drop(BLK)
+
+
+def exact_quantiles(df: DataFrame, col: str, keys: list[str], probs: list[float], bins: int = 256,
+                    name: str = "q") -> DataFrame:
+    """Exact linear-interpolated quantiles (numpy 'linear', Spark ``percentile``)
+    per key without holding a group in one buffer: values are binned by
+    approximate quantile edges, bin counts give prefix offsets, and only the
+    rows of the bins holding the wanted order statistics are ranked.
+    Returns (keys..., ``name``: array<double> in the order of ``probs``)."""
+    keys = list(keys)
+    d = df.select(*keys, F.col(col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    edges = d.groupBy(*keys).agg(F.percentile_approx("_v", [i / bins for i in range(1, bins)], 10 * bins)
+                                 .alias("_e"))
+    d = d.join(edges, keys).withColumn("_b", F.size(F.filter("_e", lambda e: e < F.col("_v")))).drop("_e")
+    cnt = d.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_bn"))
+    wb = Window.partitionBy(*keys).orderBy("_b")
+    cnt = cnt.select(*keys, "_b", "_bn",
+                     F.coalesce(F.sum("_bn").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+                     .alias("_off"), F.sum("_bn").over(Window.partitionBy(*keys)).alias("_n"))
+    # wanted order statistics (0-based): floor and ceil of (n-1)p for every p
+    want = cnt.select(*keys, "_b", "_off", "_bn", F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_pi"), F.lit(float(p)).alias("_p"),
+                 F.floor((F.col("_n") - 1) * F.lit(float(p))).alias("_lo"),
+                 F.ceil((F.col("_n") - 1) * F.lit(float(p))).alias("_hi")) for i, p in enumerate(probs)])).alias("_w"))
+    want = want.select(*keys, "_b", "_off", "_bn", "_w.*")
+    want = want.select("*", F.explode(F.array("_lo", "_hi")).alias("_k"))
+    want = want.filter((F.col("_k") >= F.col("_off")) & (F.col("_k") < F.col("_off") + F.col("_bn")))
+    need_bins = want.select(*keys, "_b").distinct()
+    rows = d.join(need_bins, [*keys, "_b"])
+    w = Window.partitionBy(*keys, "_b").orderBy("_v")
+    ranked = rows.withColumn("_r", F.row_number().over(w) - 1)
+    picked = want.join(ranked, [*keys, "_b"]).filter(F.col("_r") == F.col("_k") - F.col("_off"))
+    per = picked.groupBy(*keys, "_pi", "_p", "_lo", "_hi").agg(
+        F.max(F.when(F.col("_k") == F.col("_lo"), F.col("_v"))).alias("_vlo"),
+        F.max(F.when(F.col("_k") == F.col("_hi"), F.col("_v"))).alias("_vhi"))
+    pos = F.col("_n1") * F.col("_p")
+    n1 = per.join(cnt.select(*keys, (F.col("_n") - 1).alias("_n1")).distinct(), keys)
+    val = F.when(F.col("_hi") == F.col("_lo"), F.col("_vlo")).otherwise(
+        (F.col("_hi") - pos) * F.col("_vlo") + (pos - F.col("_lo")) * F.col("_vhi"))
+    out = n1.select(*keys, "_pi", val.alias("_q"))
+    return out.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_pi", "_q"))).alias("_s")).select(
+        *keys, F.transform("_s", lambda s: s["_q"]).alias(name))
