@@ -129,6 +129,9 @@ def nearest_valid(df: DataFrame, cols: list[str], block: int) -> DataFrame:
     return out.drop(BLK)
 
 
+BUFFERED_QUANTILE_MAX_ROWS = 1_000_000
+
+
 def exact_quantiles(df: DataFrame, col: str, keys: list[str], probs: list[float], bins: int = 256,
                     name: str = "q") -> DataFrame:
     """Exact linear-interpolated quantiles (numpy 'linear', Spark ``percentile``)
@@ -138,6 +141,11 @@ def exact_quantiles(df: DataFrame, col: str, keys: list[str], probs: list[float]
     Returns (keys..., ``name``: array<double> in the order of ``probs``)."""
     keys = list(keys)
     d = df.select(*keys, F.col(col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    # size check: when every group is provably small, Spark's buffering
+    # ``percentile`` (same arithmetic) is cheaper than the binned plan
+    largest = d.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    if largest <= BUFFERED_QUANTILE_MAX_ROWS:
+        return d.groupBy(*keys).agg(F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs])).alias(name))
     edges = d.groupBy(*keys).agg(F.percentile_approx("_v", [i / bins for i in range(1, bins)], 10 * bins)
                                  .alias("_e"))
     d = d.join(edges, keys).withColumn("_b", F.size(F.filter("_e", lambda e: e < F.col("_v")))).drop("_e")

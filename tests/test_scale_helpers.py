@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from hourcast.operators.series import exact_quantiles
 
 
-def test_exact_quantiles_match_numpy(spark):
+def test_exact_quantiles_match_numpy(spark, monkeypatch):
+    from hourcast.operators import series
+    monkeypatch.setattr(series, "BUFFERED_QUANTILE_MAX_ROWS", 0)  # force the binned plan
     rng = np.random.RandomState(1)
     sizes = {"a": 3000, "b": 7, "c": 1, "d": 40}
     rows = [(k, float(v)) for k, n in sizes.items() for v in np.round(rng.gamma(2, 20, size=n), 1)]
