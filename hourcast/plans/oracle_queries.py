@@ -360,3 +360,5 @@ SQL["read_weather_json"] = SQL["detect_time_column"]
 SQL["read_weather_forecast"] = SQL["detect_time_column"]
 SQL["read_aq_csv"] = f"""SELECT 'sensor' AS station_id, date_trunc('second', ts) + INTERVAL 7 HOUR AS datetime,
   {O.r6('value')} AS pm2_5, {O.r6('value * 2')} AS pm10 FROM events"""
+SQL["write_features"] = with_(*_FEAT) + f"SELECT station_id, date, {O.r6('pm2_5')} AS pm2_5, {O.r6('target_pm2_5_t1')} AS target_pm2_5_t1 FROM feat"
+SQL["write_leaderboards"] = _SELQ + "SELECT station_id, horizon, model, MAE FROM sel WHERE status = 'ok' AND selected_champion AND mode = 'operational'"
