@@ -128,12 +128,22 @@ def pacf(acf_df: DataFrame, max_lag: int = C.ACF_MAX_LAG) -> DataFrame:
     return acf_df.groupBy(KEY).applyInPandas(per_station, f"{KEY} string, lag int, pacf double")
 
 
+RANK_WINDOW_MAX_ROWS = 1_000_000
+
+
 def value_rank(df: DataFrame, col: str, keys=None, bins: int = 64) -> DataFrame:
     """Average rank (ties share the mean rank, 1-based) of ``col`` within each
     key group, without sorting a whole group in one task: values are cut into
     approximate-quantile bins, ranked inside (group, bin), and offset by the
     counts of earlier bins.  Equal values always share a bin, so ties are exact."""
     keys = list(keys or [KEY])
+    w = Window.partitionBy(*keys).orderBy(col)
+    wt = Window.partitionBy(*keys, col)
+    # size check: provably small groups are ranked by a plain window
+    largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    if largest <= RANK_WINDOW_MAX_ROWS:
+        r = F.rank().over(w) + (F.count(F.lit(1)).over(wt) - 1) / 2.0
+        return df.withColumn(f"{col}_rank", r.cast("double"))
     probs = [i / bins for i in range(1, bins)]
     edges = df.groupBy(*keys).agg(F.percentile_approx(col, probs, 1000).alias("_edges"))
     d = df.join(edges, keys).withColumn(

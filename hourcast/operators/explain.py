@@ -55,8 +55,10 @@ def permutation_importance(test: DataFrame, coefs: DataFrame, features: list[str
     reps = F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("rep")
     feats = F.explode(F.sequence(F.lit(0), F.lit(len(features) - 1))).alias("fi")
     x = base.select(*KEYS, "date", "y", "yhat", "coef", _x(features).alias("_x"), reps).select("*", feats)
+    # random order per (repeat, feature) from a seeded hash (stable under recomputation)
+    u = F.xxhash64("date", "rep", "fi", F.lit(seed))
     w_pos = Window.partitionBy(*KEYS, "rep", "fi").orderBy("date")
-    w_rnd = Window.partitionBy(*KEYS, "rep", "fi").orderBy(F.rand(seed), "date")
+    w_rnd = Window.partitionBy(*KEYS, "rep", "fi").orderBy(u, "date")
     x = x.withColumn("_i", F.row_number().over(w_pos)).withColumn("_k", F.row_number().over(w_rnd))
     src = x.select(*KEYS, "rep", "fi", F.col("_k").alias("_i"), F.element_at("_x", F.col("fi") + 1).alias("_xs"))
     j = x.join(src, KEYS + ["rep", "fi", "_i"])

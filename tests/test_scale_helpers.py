@@ -38,7 +38,9 @@ def test_series_index_and_tail_with_small_blocks(spark):
     assert tail_rows(df, 10, order="datetime", block=16).filter("station_id = 't'").count() == 1
 
 
-def test_spearman_matches_pandas(spark):
+def test_spearman_matches_pandas(spark, monkeypatch):
+    from hourcast.operators import eda
+    monkeypatch.setattr(eda, "RANK_WINDOW_MAX_ROWS", 0)  # force the binned ranks
     import pandas as pd
 
     from hourcast.operators.eda import spearman_matrix
