@@ -164,7 +164,6 @@ def benchmark(split: DataFrame, specs: list[ModelSpec], baselines: DataFrame | N
     met = met.select(F.lit(mode).alias("mode"), "*", F.lit("ok").alias("status"), F.lit("").alias("error"))
     if baselines is not None:
         met = met.unionByName(baselines, allowMissingColumns=True)
-        allp = allp.select(*PRED).unionByName(baselines.sparkSession.createDataFrame([], allp.select(*PRED).schema))
     if errors:
         met = met.unionByName(error_rows(spark, errors), allowMissingColumns=True)
     return select_champion(met), allp.select(*PRED)
