@@ -43,3 +43,23 @@ def test_entry(spark):
     import __spark_entry__ as E
     df = E.entry(spark)
     assert df.count() > 0 and "MAE" in df.columns
+
+
+def test_stream_dedupe_and_state(spark):
+    from hourcast.sources import state as ST
+    from hourcast.streaming import ingest as S
+    out = S.run_available(spark, S.stream_dedupe(S.read_readings_stream(spark, SF001)), "dd")
+    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    assert out.count() == ev.select("event_id").distinct().count()
+    # watermark rule: both sources -> min of the maxima; one source -> its max
+    aq = spark.createDataFrame([("s", "2024-01-02 00:00:00")], "station_id string, datetime string") \
+        .withColumn("datetime", F.to_timestamp_ntz("datetime"))
+    w = spark.createDataFrame([("2024-01-01 12:00:00",)], "datetime string") \
+        .withColumn("datetime", F.to_timestamp_ntz("datetime"))
+    got = ST.advance_watermark(aq, w).first().last_data_time
+    assert str(got) == "2024-01-01 12:00:00"
+    empty_w = w.limit(0)
+    assert str(ST.advance_watermark(aq, empty_w).first().last_data_time) == "2024-01-02 00:00:00"
+    stale = ST.staleness(aq.withColumnRenamed("datetime", "date"), "2024-01-02 06:00:00").first().is_stale
+    stale2 = ST.staleness(aq.withColumnRenamed("datetime", "date"), "2024-01-02 06:00:01").first().is_stale
+    assert stale is False and stale2 is True
