@@ -362,3 +362,7 @@ SQL["read_aq_csv"] = f"""SELECT 'sensor' AS station_id, date_trunc('second', ts)
   {O.r6('value')} AS pm2_5, {O.r6('value * 2')} AS pm10 FROM events"""
 SQL["write_features"] = with_(*_FEAT) + f"SELECT station_id, date, {O.r6('pm2_5')} AS pm2_5, {O.r6('target_pm2_5_t1')} AS target_pm2_5_t1 FROM feat"
 SQL["write_leaderboards"] = _SELQ + "SELECT station_id, horizon, model, MAE FROM sel WHERE status = 'ok' AND selected_champion AND mode = 'operational'"
+SQL["update_feature_state"] = with_(*_FEAT) + """SELECT r.station_id, TIMESTAMP '2024-02-01 00:00:00' AS generated_at,
+  r.mx AS raw_data_max_time, f.mx AS feature_data_max_time, '1' AS feature_version
+FROM (SELECT station_id, max(datetime) AS mx FROM aq GROUP BY 1) r
+LEFT JOIN (SELECT station_id, max(date) AS mx FROM feat GROUP BY 1) f USING (station_id)"""

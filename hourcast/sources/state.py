@@ -39,7 +39,7 @@ def feature_state(features: DataFrame, raw: DataFrame, version: str = "1", gener
     """One state row per station: generated_at, raw max, feature max, version."""
     r = raw.groupBy(KEY).agg(F.max(TIME).alias("raw_data_max_time"))
     f = features.groupBy(KEY).agg(F.max("date").alias("feature_data_max_time"))
-    ts = F.current_timestamp() if generated_at is None else F.lit(generated_at).cast("timestamp")
+    ts = (F.current_timestamp() if generated_at is None else F.lit(generated_at)).cast("timestamp_ntz")
     return r.join(f, KEY, "left").select(KEY, ts.alias("generated_at"), "raw_data_max_time",
                                          "feature_data_max_time", F.lit(version).alias("feature_version"))
 
