@@ -366,3 +366,13 @@ SQL["update_feature_state"] = with_(*_FEAT) + """SELECT r.station_id, TIMESTAMP
   r.mx AS raw_data_max_time, f.mx AS feature_data_max_time, '1' AS feature_version
 FROM (SELECT station_id, max(datetime) AS mx FROM aq GROUP BY 1) r
 LEFT JOIN (SELECT station_id, max(date) AS mx FROM feat GROUP BY 1) f USING (station_id)"""
+SQL["write_model_card"] = with_(*BASE) + """SELECT DISTINCT 'SeasonalNaive_24h' AS model, 'skipped' AS status,
+  concat('shift_period=24 < horizon=', horizon) AS reason, 'operational' AS mode FROM split WHERE horizon > 24"""
+_MAN = _SELQ + """SELECT station_id, CAST(horizon AS INTEGER) AS horizon, model AS model_name,
+  concat('models/champions/t', horizon, '_', replace(replace(replace(replace(lower(model), ' ', '_'), '/', '_'), '(', ''), ')', '')) AS artifact_path,
+  'operational' AS forecast_mode, false AS uses_future_weather_forecast, 'pm2_5' AS target,
+  MAE, RMSE, R2, recall_unhealthy_plus, mae_top5, 'lowest MAE; within 1%, simpler/faster wins' AS selection_rule
+FROM sel WHERE selected_champion AND mode = 'operational'"""
+SQL["write_manifest"] = _MAN
+SQL["read_manifest"] = _MAN
+SQL["champion_entry"] = f"SELECT * FROM ({_MAN}) WHERE horizon = 24"
