@@ -86,3 +86,17 @@ def test_block_invariance_panel(spark):
     a = rounded(feature_table(CL.clean_series(aq, w, block=50), block=50))
     b = rounded(feature_table(CL.clean_series(aq, w)))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0 and a.count() > 0
+
+
+def test_feature_plan_has_no_station_only_window(spark):
+    """Every feature window is partitioned by (station_id, _blk); lag, rolling
+    and lead columns share one Window node."""
+    import re
+
+    from conftest import SF001
+    from hourcast.operators.features import build_features
+    from hourcast.plans.common import panel_clean
+    plan = build_features(panel_clean(spark, SF001))._jdf.queryExecution().executedPlan().toString()
+    windows = [ln for ln in plan.splitlines() if re.search(r"\bWindow \[", ln)]
+    assert len(windows) == 1
+    assert all("_blk" in ln for ln in windows)
