@@ -376,3 +376,4 @@ FROM sel WHERE selected_champion AND mode = 'operational'"""
 SQL["write_manifest"] = _MAN
 SQL["read_manifest"] = _MAN
 SQL["champion_entry"] = f"SELECT * FROM ({_MAN}) WHERE horizon = 24"
+SQL["stream_dedupe"] = f"SELECT event_type AS station_id, event_id, {O.r6('value')} AS value FROM events"
