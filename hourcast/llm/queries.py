@@ -1,13 +1,17 @@
 """Registered queries of the training-data operators, and DuckDB SQL for those that SQL can express."""
 from __future__ import annotations
 
-from hourcast.llm import line_dedup, mixing
+from hourcast.llm import bpe, line_dedup, mixing, token_counts, warc
 
 QUERIES = {
     "op2_line_dedup": line_dedup.op2,
+    "op3_token_counts": token_counts.op3,
     "op4_mix_sources": mixing.op4,
+    "op6_warc": warc.op6,
+    "op7_bpe": bpe.op7,
 }
 SQL = {
     "op2_line_dedup": line_dedup.SQL2,
     "op4_mix_sources": mixing.SQL4,
+    "op6_warc": warc.SQL6,
 }
