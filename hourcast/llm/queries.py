@@ -1,12 +1,13 @@
 """Registered queries of the training-data operators, and DuckDB SQL for those that SQL can express."""
 from __future__ import annotations
 
-from hourcast.llm import bpe, line_dedup, mixing, token_counts, warc
+from hourcast.llm import bpe, line_dedup, mixing, token_counts, toxicity, warc
 
 QUERIES = {
     "op2_line_dedup": line_dedup.op2,
     "op3_token_counts": token_counts.op3,
     "op4_mix_sources": mixing.op4,
+    "op5_toxicity": toxicity.op5,
     "op6_warc": warc.op6,
     "op7_bpe": bpe.op7,
 }
