@@ -1,9 +1,10 @@
 """Registered queries of the training-data operators, and DuckDB SQL for those that SQL can express."""
 from __future__ import annotations
 
-from hourcast.llm import bpe, line_dedup, mixing, token_counts, toxicity, warc
+from hourcast.llm import bpe, jaccard_join, line_dedup, mixing, token_counts, toxicity, warc
 
 QUERIES = {
+    "op1_ngram_jaccard_join": jaccard_join.op1,
     "op2_line_dedup": line_dedup.op2,
     "op3_token_counts": token_counts.op3,
     "op4_mix_sources": mixing.op4,
