@@ -25,7 +25,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
+_BYTE = [mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)), mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x2545F4914F6CDD1D))]
 _powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 
@@ -39,11 +39,11 @@ def powers(kind: str, n: int) -> np.ndarray:
     return have[:n]
 
 
-def prefix_hash(data: np.ndarray) -> np.ndarray:
-    """P with P[j] - P[i] = sum of byte values times base**position over data[i:j] (wrapping)."""
+def prefix_hash(data: np.ndarray, table: int = 0) -> np.ndarray:
+    """P with P[j] - P[i] = sum of byte values (by ``table``) times base**position over data[i:j] (wrapping)."""
     out = np.empty(len(data) + 1, np.uint64)
     out[0] = 0
-    np.cumsum(_BYTE[data] * powers("up", len(data)), out=out[1:])
+    np.cumsum(_BYTE[table][data] * powers("up", len(data)), out=out[1:])
     return out
 
 

@@ -1,7 +1,7 @@
 """Registered queries of the training-data operators, and DuckDB SQL for those that SQL can express."""
 from __future__ import annotations
 
-from hourcast.llm import bpe, embedding_dedup, hnsw, jaccard_join, line_dedup, mixing, token_counts, toxicity, warc
+from hourcast.llm import bpe, embedding_dedup, hnsw, jaccard_join, line_dedup, mixing, suffix_dedup, token_counts, toxicity, warc
 
 QUERIES = {
     "op1_ngram_jaccard_join": jaccard_join.op1,
@@ -13,6 +13,7 @@ QUERIES = {
     "op7_bpe": bpe.op7,
     "op8_ann_hnsw": hnsw.op8,
     "op9_embedding_near_dedup": embedding_dedup.op9,
+    "op10_suffix_array_dedup": suffix_dedup.op10,
 }
 SQL = {
     "op2_line_dedup": line_dedup.SQL2,
