@@ -18,10 +18,8 @@ from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from hourcast.llm.store import table
 
@@ -147,7 +145,7 @@ class Coder:
         self.tokens = self.bpe.text | {i: t for t, i in self.special.items()}
         self.special_at = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.pieces: dict[str, list[int]] = {}
-        self.chunks: dict[str, tuple[int, str, str, list[int]]] = {}
+        self.chunks: dict[str, tuple[int, str, str, bytes]] = {}
 
     def chunk_ids(self, chunk: str) -> list[int]:
         ids: list[int] = []
@@ -165,8 +163,8 @@ class Coder:
                     ids += found
         return ids
 
-    def coded(self, text: str) -> list[tuple[int, str, str, list[int]]]:
-        """For each chunk of the text: number of ids, the ids and their tokens joined by spaces, the ids."""
+    def coded(self, text: str) -> list[tuple[int, str, str, bytes]]:
+        """For each chunk of the text: number of ids, the ids and their tokens joined by spaces, the ids as int32."""
         out, chunks = [], self.chunks
         for chunk in _SPACES.split(text) if _ODD_SPACE.search(text) else text.split():
             found = chunks.get(chunk)
@@ -174,7 +172,7 @@ class Coder:
                 if len(chunks) > KEPT:
                     chunks.clear()
                 ids = self.chunk_ids(chunk)
-                found = chunks[chunk] = (len(ids), " ".join(map(str, ids)), " ".join([self.tokens[i] for i in ids]), ids)
+                found = chunks[chunk] = (len(ids), " ".join(map(str, ids)), " ".join([self.tokens[i] for i in ids]), np.array(ids, np.int32).tobytes())
             if found[0]:
                 out.append(found)
         return out
@@ -191,8 +189,8 @@ def _coder(source: str) -> Coder:
     return _coders[key]
 
 
-def encode_documents(docs: DataFrame, tokenizer_path: str, digests: bool = False) -> DataFrame:
-    """doc_id, n_tokens, and either ids array<int> and decoded string, or the digests of both (``digests``).
+def encode_documents(docs: DataFrame, tokenizer_path: str, outputs: tuple[str, ...] = ("ids", "decoded")) -> DataFrame:
+    """doc_id, n_tokens and the named outputs: ids array<int>, decoded string, ids_sha256, decoded_sha256.
 
     ids are those of the tokenizers library with add_special_tokens=False; decoded is its decode(ids,
     skip_special_tokens=False). ids_sha256 is that of the decimal ids joined by one space. A null or empty text, or
@@ -202,30 +200,28 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, digests: bool = False
         source = docs.sparkSession.sparkContext.broadcast(f.read())  # one vocabulary: a few MB at any input size
     kind = docs.schema["doc_id"].dataType.simpleString()
 
+    def made(output: str, rows: list[list[tuple]]) -> pa.Array:
+        if output == "ids":
+            values = np.frombuffer(b"".join([c[3] for row in rows for c in row]), np.int32)
+            ends = np.cumsum([0] + [sum([c[0] for c in row]) for row in rows])
+            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
+        place = 1 if output == "ids_sha256" else 2
+        joined = (" ".join([c[place] for c in row]) for row in rows)
+        if output == "decoded":
+            return pa.array(list(joined), pa.string())
+        return pa.array([hashlib.sha256(x.encode("utf-8", "surrogatepass")).hexdigest() for x in joined], pa.string())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(source.value)
         for batch in batches:
-            texts, n, ids, decoded = batch.column("text"), [], [], []
-            for text in texts:
-                coded = coder.coded(text.as_py() or "")
-                n.append(sum([c[0] for c in coded]))
-                joined = " ".join([c[2] for c in coded])
-                if digests:
-                    ids.append(hashlib.sha256(" ".join([c[1] for c in coded]).encode()).hexdigest())
-                    decoded.append(hashlib.sha256(joined.encode("utf-8", "surrogatepass")).hexdigest())
-                else:
-                    ids.append(np.array([i for c in coded for i in c[3]], np.int32))
-                    decoded.append(joined)
-            made = [pa.array(ids, pa.string() if digests else pa.list_(pa.int32())), pa.array(decoded, pa.string())]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), *made], names)
-
-    names = ["doc_id", "n_tokens", *(["ids_sha256", "decoded_sha256"] if digests else ["ids", "decoded"])]
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, {names[2]} {'string' if digests else 'array<int>'}, {names[3]} string")
-
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                rows = [coder.coded(text.as_py() or "") for text in part.column("text")]
+                n = pa.array([sum([c[0] for c in row]) for row in rows], pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), n, *(made(o, rows) for o in outputs)], ["doc_id", "n_tokens", *outputs])
 
-def decode_ids(ids: pd.Series, tokens: dict[int, str]) -> pd.Series:
-    """The library's decode of id lists: without a decoder in the tokenizer, the tokens joined by spaces."""
-    return ids.map(lambda row: " ".join(tokens[i] for i in row))
+    kinds = {"ids": "array<int>", "decoded": "string", "ids_sha256": "string", "decoded_sha256": "string"}
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, " + ", ".join(f"{o} {kinds[o]}" for o in outputs))
 
 
 def word_bpe_path() -> str:
@@ -235,5 +231,4 @@ def word_bpe_path() -> str:
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode_documents(table(spark, sf_dir, "documents"), word_bpe_path(), digests=True).select(
-        "doc_id", "n_tokens", F.col("ids_sha256"), F.col("decoded_sha256"))
+    return encode_documents(table(spark, sf_dir, "documents"), word_bpe_path(), ("ids_sha256", "decoded_sha256"))

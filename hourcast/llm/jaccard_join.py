@@ -220,5 +220,15 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFram
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("smallest", "component").alias("component_id"))
 
 
+def one_of_each_group(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` whose doc_id names its component; of rows that repeat doc_id and text one stays.
+
+    Rows without doc_id stay unless they link with a row that has one.
+    """
+    kept = jaccard_join(docs, words, percent).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
+    rows = docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__kept")), "left_semi")
+    return rows.dropDuplicates(["doc_id", "text"])
+
+
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"), words=4, percent=85)

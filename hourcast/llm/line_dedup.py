@@ -242,6 +242,15 @@ def dedup_lines(docs: DataFrame, **parameters) -> DataFrame:
     return index.rewrite(docs)
 
 
+def without_repeated_lines(docs: DataFrame, **parameters) -> DataFrame:
+    """``docs`` with the lines that stay as text, and n_chars, where there is such a column, counted anew if lines went."""
+    rows = dedup_lines(docs, **parameters)
+    columns = {"text": F.col("kept")}
+    if "n_chars" in docs.columns:
+        columns["n_chars"] = F.when(F.col("n_dropped") > 0, F.char_length("kept")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    return rows.select(*[columns[c].alias(c) if c in columns else F.col(c) for c in docs.columns])
+
+
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", sha256(F.coalesce("kept", F.lit(""))).alias("kept_sha256"))

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from hourcast.llm.store import shuffle_partitions, table, written
 
 WORD = r"[^\x20\x09-\x0D]+"
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def target_sizes(totals: DataFrame, cap: int = 3, cycle: int = 3) -> DataFrame:

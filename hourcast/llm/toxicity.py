@@ -163,7 +163,30 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = 20_000, most_words:
     return NoisyOrModel({w: float(x) for w, x in zip(words, at[:-1]) if x > 0}, float(at[-1]))
 
 
-def score_documents(docs: DataFrame, model: NoisyOrModel, threshold: float = 0.5, spans: bool = True) -> DataFrame:
+class Scorer:
+    """Scores texts by a model in one task."""
+
+    def __init__(self, weights: dict[str, float], bias: float, threshold: float):
+        self.weights, self.bias, self.threshold = weights, bias, threshold
+        self.bare, self.hits_of = float(np.logaddexp(0, bias)), Hits(weights)
+
+    def __call__(self, text: str) -> tuple[float, list[dict]]:
+        """The score of a text and its offending sentences."""
+        quiet, offends = 0.0, []
+        for m in _SENTENCE.finditer(text):
+            hits = {x for w in _WORD.findall(m.group().lower()) for x in self.hits_of[w]}
+            if hits:
+                z = self.bias + sum([self.weights[x] for x in sorted(hits)])
+                quiet += math.log1p(math.exp(-abs(z))) + max(z, 0.0)
+                p = 1 / (1 + math.exp(-z))
+                if p >= self.threshold:
+                    offends.append({"start": m.start(), "end": m.end(), "score": p})
+            else:
+                quiet += self.bare
+        return -math.expm1(-quiet), offends
+
+
+def score_documents(docs: DataFrame, model: NoisyOrModel, threshold: float = 0.5) -> DataFrame:
     """doc_id, score, predicted, and the offending sentences as (start, end, score) with a score of ``threshold`` or more.
 
     One row per row of ``docs``; only doc_id and text are read, and doc_id is only passed on. Null, empty or wordless
@@ -174,29 +197,26 @@ def score_documents(docs: DataFrame, model: NoisyOrModel, threshold: float = 0.5
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, bias = sent.value
-        bare, hits_of = float(np.logaddexp(0, bias)), Hits(weights)
+        score = Scorer(*sent.value, threshold)
         for batch in batches:
-            scores, found = [], []
-            for text in batch.column("text"):
-                quiet, offends = 0.0, []
-                for m in _SENTENCE.finditer(text.as_py() or ""):
-                    hits = {x for w in _WORD.findall(m.group().lower()) for x in hits_of[w]}
-                    if hits:
-                        z = bias + sum([weights[x] for x in sorted(hits)])
-                        quiet += math.log1p(math.exp(-abs(z))) + max(z, 0.0)
-                        p = 1 / (1 + math.exp(-z))
-                        if spans and p >= threshold:
-                            offends.append({"start": m.start(), "end": m.end(), "score": p})
-                    else:
-                        quiet += bare
-                scores.append(-math.expm1(-quiet))
-                found.append(offends)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), pa.array(found, span)], ["doc_id", "score", "predicted", "offending"])
+            found = [score(text.as_py() or "") for text in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([f[0] for f in found], pa.float64()), pa.array([int(f[0] >= 0.5) for f in found], pa.int32()), pa.array([f[1] for f in found], span)], ["doc_id", "score", "predicted", "offending"])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double, predicted int, offending array<struct<start:int,end:int,score:double>>")
 
 
+def keep_clean(docs: DataFrame, model: NoisyOrModel) -> DataFrame:
+    """The rows of ``docs`` that are not predicted toxic, with all their columns."""
+    sent = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))  # at most most_words words
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = Scorer(*sent.value, 2.0)
+        for batch in batches:
+            yield batch.filter(pa.array([score(text.as_py() or "")[0] < 0.5 for text in batch.column("text")], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = score_documents(docs, fit(docs, table(spark, sf_dir, "labels")))
