@@ -39,7 +39,8 @@ def principal_axes(classes: DataFrame) -> dict[int, np.ndarray]:
             for dim, g in f.groupby("dim"):
                 x = unit(np.stack(g["embedding"]).astype(np.float64))
                 sums[dim] = sums.get(dim, 0) + x.T @ x
-        yield pd.DataFrame({"dim": list(sums), "m": [s.ravel() for s in sums.values()]}, columns=["dim", "m"])
+        if sums:
+            yield pd.DataFrame({"dim": list(sums), "m": [s.ravel() for s in sums.values()]})
 
     def added(f: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"dim": f["dim"].iloc[:1].tolist(), "m": [np.sum(f["m"].tolist(), axis=0)]})
