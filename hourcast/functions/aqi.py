@@ -87,7 +87,8 @@ def pm25_level_index(c) -> Column:
 
 
 def _pick(idx: Column, values: list) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), idx + 1)
+    # the guard matters: element_at over non-null literals is planned as never NULL
+    return F.when(idx.isNotNull(), F.element_at(F.array(*[F.lit(v) for v in values]), idx + 1))
 
 
 def aqi_to_level(aqi) -> Column:
