@@ -158,3 +158,28 @@ SHAP_MAX_SAMPLES = 1000
 TOP_N_FEATURES = 15
 PERMUTATION_REPEATS = 10
 NOWCAST_VALIDATION_HOURS = 72
+
+# --- fixed values: models the published run leaves out, and its reasons -------
+_NO_NEURAL = "neuralforecast>=3.1.0/torch stack is not installed, not compatible with this Python env, or not requested for this run"
+SKIPPED_MODELS = [
+    ("CatBoost", "catboost is not installed or optional models disabled"),
+    ("TabPFNRegressor_v2", "tabpfn is not installed or optional models disabled"),
+    ("DLinear", _NO_NEURAL),
+    ("NLinear", _NO_NEURAL),
+    ("LSTM", _NO_NEURAL),
+    ("GRU", _NO_NEURAL),
+    ("TCN", _NO_NEURAL),
+    ("NHITS", _NO_NEURAL),
+    ("NBEATSx", _NO_NEURAL),
+    ("TFT", _NO_NEURAL),
+]
+
+# --- fixed values: published sizes of the tree models --------------------------
+TREE_PRESETS = {
+    "RandomForest": dict(kind="rf", numTrees=300, maxDepth=12, minInstancesPerNode=2, featureSubsetStrategy="all"),
+    "ExtraTrees": dict(kind="rf", numTrees=300, maxDepth=12, minInstancesPerNode=2, bootstrap=False, featureSubsetStrategy="onethird"),
+    "XGBoost": dict(kind="gbt", maxIter=500, maxDepth=6, stepSize=0.03, subsamplingRate=0.8, featureSubsetStrategy="0.8"),
+    "LightGBM": dict(kind="gbt", maxIter=500, maxDepth=6, stepSize=0.03, subsamplingRate=0.8, featureSubsetStrategy="0.8"),
+    "CatBoost": dict(kind="gbt", maxIter=500, maxDepth=6, stepSize=0.03),
+}
+ELASTIC_NET_MAX_ITER = 10_000

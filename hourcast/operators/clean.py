@@ -83,43 +83,56 @@ def missing_flags(df: DataFrame, cols=None) -> DataFrame:
 # --------------------------------------------------------------------------
 # grid and merge
 # --------------------------------------------------------------------------
+OFFSET = "_offset"
+
+
+def _with_offset(df: DataFrame) -> DataFrame:
+    """Position (whole hours) and ``_offset`` (milliseconds past the hour) of each row's time."""
+    ms = F.expr(f"minute({TIME}) * 60000 + cast(extract(SECOND FROM {TIME}) * 1000 as int)")
+    return with_pos(df).withColumn(OFFSET, ms.cast("int"))
+
+
 def _station_bounds(aq: DataFrame, weather: DataFrame | None, trim: bool) -> DataFrame:
-    aqp = with_pos(aq)
-    b = aqp.groupBy(KEY).agg(F.min(POS).alias("_lo"), F.max(POS).alias("_hi"),
-                             F.min(F.when(F.col(C.TARGET).isNotNull(), F.col(POS))).alias("_first"))
+    """Per station the grid's first and last position and its anchor: the offset of the first time of all."""
+    at = F.struct(POS, OFFSET)
+    rows = _with_offset(aq)
+    b = rows.groupBy(KEY).agg(F.min(at).alias("_from"), F.max(at).alias("_to"))
     if weather is not None:
-        # the shared weather range is two scalars (one global aggregate)
-        wlo, whi = with_pos(weather).agg(F.min(POS), F.max(POS)).first()
-        if wlo is not None:
-            b = b.select(KEY, F.least("_lo", F.lit(wlo)).alias("_lo"),
-                         F.greatest("_hi", F.lit(whi)).alias("_hi"), "_first")
-    start = F.coalesce(F.col("_first"), F.col("_lo")) if trim else F.col("_lo")
-    return b.select(KEY, start.alias("_lo"), F.col("_hi"))
+        # the shared weather range is a scalar subquery inside the plan
+        w = _with_offset(weather)
+        b = b.select(KEY, F.least("_from", w.agg(F.min(at)).scalar()).alias("_from"), F.greatest("_to", w.agg(F.max(at)).scalar()).alias("_to"))
+    late = (F.col("_to")[OFFSET] < F.col("_from")[OFFSET]).cast("long")  # the last hour is not reached
+    b = b.select(KEY, F.col("_from")[OFFSET].alias(OFFSET), F.col("_from")[POS].alias("_lo"), (F.col("_to")[POS] - late).alias("_hi"))
+    if trim:
+        known = rows.filter(F.col(C.TARGET).isNotNull()).join(b, [KEY, OFFSET]).groupBy(KEY).agg(F.min(POS).alias("_first"))
+        b = b.join(known, KEY, "left").select(KEY, OFFSET, F.coalesce("_first", "_lo").alias("_lo"), "_hi")
+    return b
 
 
 def spine(bounds: DataFrame, block: int) -> DataFrame:
     """Every hour lo..hi per station, generated block by block so that no
     single row ever holds a station's whole history as one array."""
-    blocks = bounds.select(KEY, "_lo", "_hi", F.explode(F.sequence(
+    blocks = bounds.select(KEY, OFFSET, "_lo", "_hi", F.explode(F.sequence(
         F.floor(F.col("_lo") / block), F.floor(F.col("_hi") / block))).alias("_b"))
-    hours = blocks.select(KEY, F.explode(F.sequence(
+    hours = blocks.select(KEY, OFFSET, F.explode(F.sequence(
         F.greatest(F.col("_lo"), F.col("_b") * block),
         F.least(F.col("_hi"), F.col("_b") * block + (block - 1)))).alias(POS))
-    return hours.withColumn(TIME, hour_to_ntz(POS))
+    return hours.withColumn(TIME, hour_to_ntz(POS) + F.make_dt_interval(secs=F.col(OFFSET).cast("decimal(18,6)") / 1000))
 
 
 def hourly_grid(aq: DataFrame, weather: DataFrame | None = None, trim: bool = False,
                 block: int | None = None) -> DataFrame:
-    """Gap-free hourly grid per station over min..max of (station hours ∪
-    weather hours); off-grid rows vanish, missing hours become NULL rows.
+    """Gap-free hourly grid per station over min..max of (station times ∪
+    weather times), anchored at the first of them; rows that are not a whole
+    number of hours from it vanish, missing hours become NULL rows.
     This is the panel form of the full outer merge of AQ and weather."""
     block = block_hours(aq, block)
     sp = spine(_station_bounds(aq, weather, trim), block)
-    aqp = with_pos(aq).drop(TIME)
-    out = sp.join(aqp, [KEY, POS], "left")
+    out = sp.join(_with_offset(aq).drop(TIME), [KEY, POS, OFFSET], "left")
     if weather is not None:
-        out = out.join(with_pos(weather).drop(TIME), POS, "left")
-    return out
+        out = out.join(_with_offset(weather).drop(TIME), [POS, OFFSET], "left")
+    rest = [c for c in out.columns if c not in (KEY, POS, TIME, OFFSET)]
+    return out.select(KEY, POS, TIME, *rest)
 
 
 def merge_outer(aq: DataFrame, weather: DataFrame, block: int | None = None) -> DataFrame:
@@ -127,10 +140,11 @@ def merge_outer(aq: DataFrame, weather: DataFrame, block: int | None = None) ->
     hours plus every weather hour inside the station's grid, no filling."""
     block = block_hours(aq, block)
     sp = spine(_station_bounds(aq, weather, trim=False), block)
-    a = with_pos(aq).drop(TIME).withColumn("_in_aq", F.lit(True))
-    w = with_pos(weather).drop(TIME).withColumn("_in_w", F.lit(True))
-    out = sp.join(a, [KEY, POS], "left").join(w, POS, "left")
-    return out.filter(F.col("_in_aq").isNotNull() | F.col("_in_w").isNotNull()).drop("_in_aq", "_in_w")
+    a = _with_offset(aq).drop(TIME).withColumn("_in_aq", F.lit(True))
+    w = _with_offset(weather).drop(TIME).withColumn("_in_w", F.lit(True))
+    out = sp.join(a, [KEY, POS, OFFSET], "left").join(w, [POS, OFFSET], "left")
+    rest = [c for c in out.columns if c not in (KEY, POS, TIME, OFFSET, "_in_aq", "_in_w")]
+    return out.filter(F.col("_in_aq").isNotNull() | F.col("_in_w").isNotNull()).select(KEY, POS, TIME, *rest)
 
 
 def trim_leading_missing(df: DataFrame, target: str = C.TARGET) -> DataFrame:

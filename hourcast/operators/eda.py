@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from hourcast import config as C
 from hourcast.config import KEY, TARGET, TIME
-from hourcast.operators.series import (BLK, POS, exact_quantiles, block_hours, block_window, core_only, series_keys, with_halo,
-                                       with_pos)
+from hourcast.operators.serve import tail_rows
+from hourcast.operators.series import (BLK, POS, exact_quantiles, block_hours, block_window, core_only, series_keys,
+                                       value_counts, with_halo, with_pos)
 
 
 def daily_spine(series: DataFrame, value: str = TARGET) -> DataFrame:
@@ -128,35 +129,14 @@ def pacf(acf_df: DataFrame, max_lag: int = C.ACF_MAX_LAG) -> DataFrame:
     return acf_df.groupBy(KEY).applyInPandas(per_station, f"{KEY} string, lag int, pacf double")
 
 
-RANK_WINDOW_MAX_ROWS = 1_000_000
-
-
 def value_rank(df: DataFrame, col: str, keys=None, bins: int = 64) -> DataFrame:
     """Average rank (ties share the mean rank, 1-based) of ``col`` within each
-    key group, without sorting a whole group in one task: values are cut into
-    approximate-quantile bins, ranked inside (group, bin), and offset by the
-    counts of earlier bins.  Equal values always share a bin, so ties are exact."""
+    key group: rank every distinct value once, from the counts of distinct
+    values, and join the ranks back to the rows."""
     keys = list(keys or [KEY])
-    w = Window.partitionBy(*keys).orderBy(col)
-    wt = Window.partitionBy(*keys, col)
-    # size check: provably small groups are ranked by a plain window
-    largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    if largest <= RANK_WINDOW_MAX_ROWS:
-        r = F.rank().over(w) + (F.count(F.lit(1)).over(wt) - 1) / 2.0
-        return df.withColumn(f"{col}_rank", r.cast("double"))
-    probs = [i / bins for i in range(1, bins)]
-    edges = df.groupBy(*keys).agg(F.percentile_approx(col, probs, 1000).alias("_edges"))
-    d = df.join(edges, keys).withColumn(
-        "_bin", F.size(F.filter("_edges", lambda e: e < F.col(col)))).drop("_edges")
-    cnt = d.groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("_bn"))
-    wb = Window.partitionBy(*keys).orderBy("_bin")
-    off = cnt.select(*keys, "_bin", F.coalesce(F.sum("_bn").over(wb.rowsBetween(Window.unboundedPreceding, -1)),
-                                              F.lit(0)).alias("_off"))
-    w = Window.partitionBy(*keys, "_bin").orderBy(col)
-    wt = Window.partitionBy(*keys, "_bin", col)
-    r = F.rank().over(w) + (F.count(F.lit(1)).over(wt) - 1) / 2.0
-    return (d.withColumn("_r", r).join(off, [*keys, "_bin"])
-             .withColumn(f"{col}_rank", F.col("_off") + F.col("_r")).drop("_bin", "_r", "_off"))
+    vc = value_counts(df, col, keys, bins)
+    rank = (F.col("_before") + (F.col("_cnt") + 1) / 2.0).cast("double")
+    return df.join(vc.select(*keys, F.col("_v").alias(col), rank.alias(f"{col}_rank")), [*keys, col])
 
 
 SPEARMAN_COLUMNS = ["pm2_5", "pm10", "co", "no2", "so2", "ozone", "temperature_2m", "relative_humidity_2m",
@@ -192,10 +172,5 @@ def missing_by_month(clean: DataFrame, cols=("pm2_5", "pm10", "co", "no2", "so2"
 
 
 def pred_vs_actual_tail(preds: DataFrame, n: int = C.TAIL_ROWS, keys=(KEY, "horizon", "model")) -> DataFrame:
-    """Last ``n`` (actual, predicted) rows of each hourly test series: the test
-    block is contiguous, so the tail is a date range (no group-wide sort)."""
-    keys = list(keys)
-    last = preds.groupBy(*keys).agg(F.max("date").alias("_last"))
-    return (preds.join(last, keys)
-                 .filter(F.col("date") > F.col("_last") - F.make_dt_interval(hours=F.lit(n)))
-                 .drop("_last"))
+    """Last ``n`` (actual, predicted) rows of each test series, whatever gaps it has."""
+    return tail_rows(preds, n, keys=keys).drop(POS)

@@ -129,51 +129,45 @@ def nearest_valid(df: DataFrame, cols: list[str], block: int) -> DataFrame:
     return out.drop(BLK)
 
 
-BUFFERED_QUANTILE_MAX_ROWS = 1_000_000
+def value_counts(df: DataFrame, col: str, keys: list[str], bins: int = 256) -> DataFrame:
+    """(keys..., _v, _cnt, _before, _n): every distinct value of a group with its
+    count, the number of smaller rows, and the group's rows.  Equal values are
+    combined map-side, so a value that fills a third of a group is one row; the
+    distinct values are cut into bins by approximate quantiles, so no group is
+    sorted in one task."""
+    vc = df.groupBy(*keys, F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_cnt"))
+    edges = vc.groupBy(*keys).agg(F.percentile_approx("_v", [i / bins for i in range(1, bins)], 10 * bins).alias("_e"))
+    vc = vc.join(edges, keys).withColumn("_b", F.size(F.filter("_e", lambda e: e < F.col("_v")))).drop("_e")
+    per_bin = vc.groupBy(*keys, "_b").agg(F.sum("_cnt").alias("_bn"))
+    earlier = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    per_bin = per_bin.select(*keys, "_b", F.coalesce(F.sum("_bn").over(earlier), F.lit(0)).alias("_off"),
+                             F.sum("_bn").over(Window.partitionBy(*keys)).alias("_n"))
+    inside = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    vc = vc.withColumn("_in", F.coalesce(F.sum("_cnt").over(inside), F.lit(0))).join(per_bin, [*keys, "_b"])
+    return vc.select(*keys, "_v", "_cnt", (F.col("_off") + F.col("_in")).alias("_before"), "_n")
 
 
 def exact_quantiles(df: DataFrame, col: str, keys: list[str], probs: list[float], bins: int = 256,
                     name: str = "q") -> DataFrame:
     """Exact linear-interpolated quantiles (numpy 'linear', Spark ``percentile``)
-    per key without holding a group in one buffer: values are binned by
-    approximate quantile edges, bin counts give prefix offsets, and only the
-    rows of the bins holding the wanted order statistics are ranked.
-    Returns (keys..., ``name``: array<double> in the order of ``probs``)."""
+    per key from the counts of distinct values: only the values that hold the
+    wanted order statistics go on.  Returns (keys..., ``name``: array<double> in
+    the order of ``probs``)."""
     keys = list(keys)
-    d = df.select(*keys, F.col(col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    # size check: when every group is provably small, Spark's buffering
-    # ``percentile`` (same arithmetic) is cheaper than the binned plan
-    largest = d.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    if largest <= BUFFERED_QUANTILE_MAX_ROWS:
-        return d.groupBy(*keys).agg(F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs])).alias(name))
-    edges = d.groupBy(*keys).agg(F.percentile_approx("_v", [i / bins for i in range(1, bins)], 10 * bins)
-                                 .alias("_e"))
-    d = d.join(edges, keys).withColumn("_b", F.size(F.filter("_e", lambda e: e < F.col("_v")))).drop("_e")
-    cnt = d.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_bn"))
-    wb = Window.partitionBy(*keys).orderBy("_b")
-    cnt = cnt.select(*keys, "_b", "_bn",
-                     F.coalesce(F.sum("_bn").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-                     .alias("_off"), F.sum("_bn").over(Window.partitionBy(*keys)).alias("_n"))
-    # wanted order statistics (0-based): floor and ceil of (n-1)p for every p
-    want = cnt.select(*keys, "_b", "_off", "_bn", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("_pi"), F.lit(float(p)).alias("_p"),
-                 F.floor((F.col("_n") - 1) * F.lit(float(p))).alias("_lo"),
-                 F.ceil((F.col("_n") - 1) * F.lit(float(p))).alias("_hi")) for i, p in enumerate(probs)])).alias("_w"))
-    want = want.select(*keys, "_b", "_off", "_bn", "_w.*")
-    want = want.select("*", F.explode(F.array("_lo", "_hi")).alias("_k"))
-    want = want.filter((F.col("_k") >= F.col("_off")) & (F.col("_k") < F.col("_off") + F.col("_bn")))
-    need_bins = want.select(*keys, "_b").distinct()
-    rows = d.join(need_bins, [*keys, "_b"])
-    w = Window.partitionBy(*keys, "_b").orderBy("_v")
-    ranked = rows.withColumn("_r", F.row_number().over(w) - 1)
-    picked = want.join(ranked, [*keys, "_b"]).filter(F.col("_r") == F.col("_k") - F.col("_off"))
-    per = picked.groupBy(*keys, "_pi", "_p", "_lo", "_hi").agg(
-        F.max(F.when(F.col("_k") == F.col("_lo"), F.col("_v"))).alias("_vlo"),
-        F.max(F.when(F.col("_k") == F.col("_hi"), F.col("_v"))).alias("_vhi"))
-    pos = F.col("_n1") * F.col("_p")
-    n1 = per.join(cnt.select(*keys, (F.col("_n") - 1).alias("_n1")).distinct(), keys)
-    val = F.when(F.col("_hi") == F.col("_lo"), F.col("_vlo")).otherwise(
-        (F.col("_hi") - pos) * F.col("_vlo") + (pos - F.col("_lo")) * F.col("_vhi"))
-    out = n1.select(*keys, "_pi", val.alias("_q"))
-    return out.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_pi", "_q"))).alias("_s")).select(
-        *keys, F.transform("_s", lambda s: s["_q"]).alias(name))
+    d = df.select(*keys, F.col(col).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
+    vc = value_counts(d, "_x", keys, bins)
+    # 0-based order statistics floor and ceil of (n-1)p for every p
+    pos = [(F.col("_n") - 1) * F.lit(float(p)) for p in probs]
+    want = F.array(*[F.struct(F.lit(i).alias("i"), p.alias("p"), F.floor(p).alias("lo"), F.ceil(p).alias("hi")) for i, p in enumerate(pos)])
+
+    def held(k):
+        return (k >= F.col("_before")) & (k < F.col("_before") + F.col("_cnt"))
+
+    hits = vc.select(*keys, "_v", "_before", "_cnt", F.explode(F.filter(want, lambda w: held(w["lo"]) | held(w["hi"]))).alias("w"))
+    per = hits.groupBy(*keys, "w").agg(F.max(F.when(held(F.col("w.lo")), F.col("_v"))).alias("_vlo"),
+                                       F.max(F.when(held(F.col("w.hi")), F.col("_v"))).alias("_vhi"))
+    val = F.when(F.col("w.hi") == F.col("w.lo"), F.col("_vlo")).otherwise(
+        (F.col("w.hi") - F.col("w.p")) * F.col("_vlo") + (F.col("w.p") - F.col("w.lo")) * F.col("_vhi"))
+    out = per.select(*keys, F.struct(F.col("w.i").alias("i"), val.alias("q")).alias("_s"))
+    return out.groupBy(*keys).agg(F.array_sort(F.collect_list("_s")).alias("_s")).select(
+        *keys, F.transform("_s", lambda s: s["q"]).alias(name))

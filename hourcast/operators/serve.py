@@ -28,17 +28,18 @@ def latest_actual(features: DataFrame) -> DataFrame:
 
 def sensor_lag_hours(latest: DataFrame, as_of) -> DataFrame:
     """max(0, trunc((as_of - latest) / 1 h))."""
-    secs = F.unix_seconds(F.lit(as_of).cast("timestamp")) - F.unix_seconds(F.col("date").cast("timestamp"))
-    return latest.withColumn("lag_hours", F.greatest(F.lit(0), (secs / 3600).cast("long")))
+    lag = F.expr("timestampdiff(HOUR, date, _as_of)")  # whole hours between wall-clock values
+    return latest.withColumn("_as_of", F.lit(as_of).cast("timestamp_ntz")).withColumn("lag_hours", F.greatest(F.lit(0), lag).cast("long")).drop("_as_of")
 
 
 def aqi_delta_24h(features: DataFrame) -> DataFrame:
-    """AQI of the latest actual minus AQI of the 25th row from the end."""
-    df = with_pos(features, "date")
-    last = df.groupBy(KEY).agg(F.max(POS).alias("_last"))
-    prev = (df.join(last, KEY).filter(F.col(POS) == F.col("_last") - 24)
-              .select(KEY, pm25_to_aqi(F.col(TARGET)).alias("prev_aqi")))
-    return latest_actual(features).join(prev, KEY).withColumn("delta_aqi", F.col("aqi") - F.col("prev_aqi"))
+    """AQI of the latest actual minus AQI of the 25th row from the end; a
+    station with fewer rows has its AQI and a NULL delta."""
+    last = tail_rows(features.select(KEY, "date", TARGET), 25)
+    w = Window.partitionBy(KEY).orderBy(F.col("date").desc())  # <= 25 rows per station
+    prev = (last.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 25)
+                .select(KEY, pm25_to_aqi(F.col(TARGET)).alias("prev_aqi")))
+    return latest_actual(features).join(prev, KEY, "left").withColumn("delta_aqi", F.col("aqi") - F.col("prev_aqi"))
 
 
 def tail_rows(df: DataFrame, k: int, order: str = "date", keys=(KEY,), block: int | None = None) -> DataFrame:

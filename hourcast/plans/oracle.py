@@ -30,11 +30,9 @@ def hour_pos(col: str) -> str:
 # --------------------------------------------------------------------------
 AQ = """aq AS (
   SELECT event_type AS station_id, date_trunc('hour', ts) AS datetime,
-         CASE WHEN min(event_id) % 97 = 0 THEN -1.0::DOUBLE
-              WHEN min(event_id) % 89 = 0 THEN 5000.0::DOUBLE
-              ELSE sum(CAST(round(value * 100) AS BIGINT)) / (100.0::DOUBLE * count(*)) END AS pm2_5,
+         sum(CAST(round(value * 100) AS BIGINT)) / (100.0::DOUBLE * count(*)) AS pm2_5,
          max(value) AS pm10
-  FROM events GROUP BY 1, 2 HAVING min(event_id) % 17 <> 0)"""
+  FROM events GROUP BY 1, 2)"""
 
 WEATHER = """weather AS (
   SELECT datetime,
@@ -45,7 +43,7 @@ WEATHER = """weather AS (
          sum(k % 7) / (1.0::DOUBLE * count(*)) AS precipitation
   FROM (SELECT event_id, date_trunc('hour', ts) AS datetime,
                CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)
-  GROUP BY 1 HAVING min(event_id) % 13 <> 0)"""
+  GROUP BY 1)"""
 
 READINGS = """readings AS (
   SELECT event_type AS station_id, date_trunc('hour', ts) AS datetime, event_id AS seq,

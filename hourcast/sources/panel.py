@@ -3,8 +3,7 @@
 ``events`` stands in for landed sensor readings (``event_type`` is the station,
 ``value`` the reading) and for the weather feed (``props.k``); ``orders`` gives a
 long daily series for seasonal operators. Means are built from integer sums so
-that every engine computes them bit for bit; gaps and outliers are injected
-deterministically from ``event_id``.
+that every engine computes them bit for bit.
 """
 from __future__ import annotations
 
@@ -19,8 +18,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _hour(c: str = "ts"):
-    """Start of the hour of a TIMESTAMP_NTZ, by wall-clock fields (time-zone free)."""
-    return F.to_timestamp_ntz(F.date_format(F.col(c), "yyyy-MM-dd HH:00:00"))
+    """Start of the hour of a TIMESTAMP_NTZ: the value less its minutes and seconds (time-zone free)."""
+    return F.expr(f"{c} - make_dt_interval(0, 0, minute({c}), extract(SECOND FROM {c}))")
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,33 +31,25 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def aq_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Station x hour pollutant table (F3 without partitions)."""
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
+    ev = table(spark, sf_dir, "events").select("ts", "event_type", "value")
     g = ev.groupBy(F.col("event_type").alias(KEY), _hour().alias(TIME)).agg(
-        F.min("event_id").alias("_first"),
         F.sum(F.round(F.col("value") * 100).cast("bigint")).alias("_cents"),
         F.count(F.lit(1)).alias("_n"),
         F.max("value").alias("pm10"),
     )
-    pm25 = (F.when(F.col("_first") % 97 == 0, F.lit(-1.0))
-            .when(F.col("_first") % 89 == 0, F.lit(5000.0))
-            .otherwise(F.col("_cents") / (F.lit(100.0) * F.col("_n"))))
-    return (g.filter(F.col("_first") % 17 != 0)
-             .select(KEY, TIME, pm25.alias("pm2_5"), "pm10"))
+    return g.select(KEY, TIME, (F.col("_cents") / (F.lit(100.0) * F.col("_n"))).alias("pm2_5"), "pm10")
 
 
 def weather_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly weather shared by all stations (F4 without partitions)."""
-    ev = table(spark, sf_dir, "events").select(
-        "event_id", _hour().alias(TIME), F.get_json_object("props", "$.k").cast("int").alias("k"))
-    g = ev.groupBy(TIME).agg(
-        F.min("event_id").alias("_first"),
+    ev = table(spark, sf_dir, "events").select(_hour().alias(TIME), F.get_json_object("props", "$.k").cast("int").alias("k"))
+    return ev.groupBy(TIME).agg(
         (F.sum("k") / (F.lit(1.0) * F.count(F.lit(1)))).alias("temperature_2m"),
         F.max("k").cast("double").alias("relative_humidity_2m"),
         F.min("k").cast("double").alias("wind_speed_10m"),
         (F.lit(1000.0) + F.count(F.lit(1))).alias("pressure_msl"),
         (F.sum(F.col("k") % 7) / (F.lit(1.0) * F.count(F.lit(1)))).alias("precipitation"),
     )
-    return g.filter(F.col("_first") % 13 != 0).drop("_first")
 
 
 def daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:

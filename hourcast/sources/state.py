@@ -8,24 +8,32 @@ from hourcast import config as C
 from hourcast.config import KEY, TIME
 
 
-def high_watermark(state: DataFrame, keys=(KEY,), default: str = C.DEFAULT_WATERMARK) -> DataFrame:
-    """Last loaded time per key, the default when nothing was loaded yet."""
-    return state.groupBy(*keys).agg(
-        F.coalesce(F.max("last_data_time"), F.lit(default).cast("timestamp_ntz")).alias("last_data_time"))
-
-
-def advance_watermark(aq: DataFrame, weather: DataFrame, current: DataFrame | None = None) -> DataFrame:
-    """New watermark per station: min(max aq, max weather) when both loaded
-    rows; the one source's max when only one did; unchanged when none."""
-    a = aq.groupBy(KEY).agg(F.max(TIME).alias("_aq"))
-    # the shared weather feed's max is one scalar
-    w_max = weather.agg(F.max(TIME)).first()[0]
-    out = a.withColumn("_w", F.lit(w_max).cast("timestamp_ntz"))
-    new = F.least(F.col("_aq"), F.col("_w"))  # least() skips NULLs
+def high_watermark(state: DataFrame, keys=(KEY,), default: str = C.DEFAULT_WATERMARK,
+                   expected: DataFrame | None = None) -> DataFrame:
+    """Last loaded time per key, the default when nothing was loaded yet; every
+    key of ``expected`` has a row, also when the state is empty."""
+    keys = list(keys)
+    out = state.groupBy(*keys).agg(F.max("last_data_time").alias("last_data_time"))
+    if expected is not None:
+        out = expected.select(*keys).distinct().join(out, keys, "full")
+    return out.select(*keys, F.coalesce("last_data_time", F.lit(default).cast("timestamp_ntz")).alias("last_data_time"))
+
+
+def advance_watermark(aq: DataFrame, weather: DataFrame, current: DataFrame | None = None,
+                      aq_ok: bool = True, weather_ok: bool = True) -> DataFrame:
+    """New watermark of every station known to the load or to ``current``:
+    min(max aq, max weather) when both loaded rows; the one source's max when
+    only one did; unchanged when none did, or when a source failed."""
+    out = aq.groupBy(KEY).agg(F.max(TIME).alias("_aq"))
     if current is not None:
         out = out.join(current.select(KEY, F.col("last_data_time").alias("_cur")), KEY, "full")
-        new = F.coalesce(new, F.col("_cur"))
-    return out.select(KEY, new.alias("last_data_time"))
+    else:
+        out = out.withColumn("_cur", F.lit(None).cast("timestamp_ntz"))
+    # the shared weather feed's max is a scalar subquery; least() skips NULLs
+    new = F.least(F.col("_aq"), weather.agg(F.max(TIME)).scalar())
+    if not (aq_ok and weather_ok):
+        new = F.lit(None).cast("timestamp_ntz")
+    return out.select(KEY, F.coalesce(new, F.col("_cur")).alias("last_data_time"))
 
 
 def needs_rebuild(raw_max: DataFrame, feature_max: DataFrame) -> DataFrame:
@@ -49,8 +57,10 @@ def update_feature_state(state: DataFrame, path: str) -> None:
 
 
 def staleness(features: DataFrame, as_of, max_age_hours: int = C.STALE_AFTER_HOURS) -> DataFrame:
-    """Stale iff as_of - latest feature time > max_age_hours (strict)."""
+    """Stale iff as_of - latest feature time > max_age_hours (strict, wall-clock
+    arithmetic).  A station without any feature time is an error, as serving
+    from it would be."""
     f = features.groupBy(KEY).agg(F.max("date").alias("feature_max"))
-    age = (F.unix_seconds(F.lit(as_of).cast("timestamp_ntz").cast("timestamp"))
-           - F.unix_seconds(F.col("feature_max").cast("timestamp")))
-    return f.select(KEY, "feature_max", (age > max_age_hours * 3600).alias("is_stale"))
+    known = F.when(F.col("feature_max").isNull(), F.raise_error(F.concat(F.lit("no feature time for station "), F.col(KEY))))
+    stale = F.col("feature_max") + F.make_dt_interval(hours=F.lit(max_age_hours)) < F.lit(as_of).cast("timestamp_ntz")
+    return f.select(KEY, "feature_max", F.coalesce(known.cast("boolean"), stale).alias("is_stale"))

@@ -72,9 +72,29 @@ def test_grid_and_dedupe(spark):
     r = spark.createDataFrame(rows, "station_id string, datetime timestamp_ntz, seq long, pm2_5 double")
     d = CL.dedupe_hourly(r).orderBy("datetime").collect()
     assert [x.pm2_5 for x in d][:1] == [9.0]
-    on_grid = CL.dedupe_hourly(r).filter("minute(datetime) = 0").drop("seq")
-    g = CL.hourly_grid(on_grid, block=2).orderBy(POS).toPandas()
-    assert len(g) == 4 and g["pm2_5"].isna().sum() == 2
+    g = CL.hourly_grid(CL.dedupe_hourly(r).drop("seq"), block=2).orderBy(POS).toPandas()
+    assert len(g) == 4 and g["pm2_5"].isna().sum() == 2  # the reading at half past one is off the grid
+
+
+def test_off_grid_readings_vanish_and_the_first_time_anchors(spark):
+    m = lambda h, k: T0 + dt.timedelta(hours=h, minutes=k)
+    rows = [("s1", m(0, 30), 1.0), ("s1", m(1, 0), 7.0), ("s1", m(1, 30), 2.0), ("s1", m(3, 30), 4.0), ("s1", m(4, 10), 9.0),
+            ("s2", m(0, 0), 1.0), ("s2", m(1, 30), 8.0), ("s2", m(2, 0), 3.0), ("s2", m(2, 30), 5.0)]
+    aq = spark.createDataFrame(rows, "station_id string, datetime timestamp_ntz, pm2_5 double")
+    got = [(r.station_id, r.datetime, r.pm2_5) for r in CL.hourly_grid(aq, block=2).orderBy("station_id", "datetime").collect()]
+    assert got == [("s1", m(0, 30), 1.0), ("s1", m(1, 30), 2.0), ("s1", m(2, 30), None), ("s1", m(3, 30), 4.0),
+                   ("s2", m(0, 0), 1.0), ("s2", m(1, 0), None), ("s2", m(2, 0), 3.0)]
+    weather = spark.createDataFrame([(m(0, 0), 20.0), (m(1, 0), 21.0)], "datetime timestamp_ntz, temperature_2m double")
+    got = CL.merge_outer(aq.filter("station_id = 's1'"), weather).orderBy("datetime").collect()
+    assert [(r.datetime, r.pm2_5, r.temperature_2m) for r in got] == [(m(0, 0), None, 20.0), (m(1, 0), 7.0, 21.0)]
+
+
+def test_outliers_of_a_series_become_flagged_gaps(spark):
+    v = [5.0, -1.0, 7.0, 5000.0, 9.0]
+    aq = spark.createDataFrame([("s1", T0 + dt.timedelta(hours=i), x) for i, x in enumerate(v)], "station_id string, datetime timestamp_ntz, pm2_5 double")
+    out = CL.clean_series(aq).orderBy("datetime").toPandas()
+    assert out["pm2_5"].tolist() == [5.0, 6.0, 7.0, 8.0, 9.0]
+    assert out["pm2_5_missing_flag"].tolist() == [0, 1, 0, 1, 0]
 
 
 def test_block_invariance_panel(spark):
