@@ -37,10 +37,12 @@ def shapley_summary(phi: DataFrame, top_n: int = C.TOP_N_FEATURES) -> DataFrame:
     return s.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top_n)
 
 
-def shapley_extreme_row(phi: DataFrame, rows: DataFrame) -> DataFrame:
-    """Attributions of the row with the highest actual value per series."""
-    top = rows.groupBy(*KEYS).agg(F.max_by("date", "y").alias("date"))
-    return phi.join(top, KEYS + ["date"])
+def shapley_extreme_row(rows: DataFrame, train: DataFrame, coefs: DataFrame, features: list[str]) -> DataFrame:
+    """Attributions of the row with the highest actual value per series (the
+    first of equal ones): the row is chosen first, then explained alone."""
+    row = F.struct("date", *features)
+    top = rows.groupBy(*KEYS).agg(F.min_by(row, F.struct(-F.col("y"), F.col("date"))).alias("_r")).select(*KEYS, "_r.*")
+    return shapley_linear(top, train, coefs, features)
 
 
 def permutation_importance(test: DataFrame, coefs: DataFrame, features: list[str],

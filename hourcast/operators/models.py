@@ -25,49 +25,58 @@ from hourcast import config as C
 from hourcast.config import KEY
 
 COEF_SCHEMA_KEYS = {"station_id": "string", "horizon": "int", "mode": "string", "fold": "int", "alpha": "double",
-                    "model": "string"}
+                    "model": "string", "seg": "int"}
 
 
 def _key_schema(keys):
     return ", ".join(f"`{k}` {COEF_SCHEMA_KEYS.get(k, 'string')}" for k in keys)
 
 
+#: Keys whose matrices a task holds before it passes on those of the oldest.
+HELD_KEYS = 256
+
+
 def gram(df: DataFrame, features, keys: list[str], y: str = "y") -> DataFrame:
-    """Long augmented Gram matrix per key: (keys..., i, j, v) for i <= j over
-    a = [1, x_1..x_p, y].  ``features`` is a list of columns or
-    ("array_column", p) for a fixed-length array feature."""
+    """Partial augmented Gram matrices: (keys..., g) with the packed upper
+    triangle of sum a a^T over a = [1, x_1..x_p, y], one row per key and task
+    (a task that meets more than HELD_KEYS keys may pass on a key again).
+    ``features`` is a list of columns or ("array_column", p) for a fixed-length
+    array feature."""
     arr = features if isinstance(features, tuple) else None
     p = arr[1] if arr else len(features)
-    cols = list(keys) + ([arr[0]] if arr else list(features)) + [y]
-    iu, ju = np.triu_indices(p + 2)
+    names = list(keys)
+    cols = names + ([arr[0]] if arr else list(features)) + [y]
+    upper = np.triu_indices(p + 2)
 
     def partial(batches):
+        held = {}
+
+        def rows(some):
+            data = {k: [kv[i] for kv in some] for i, k in enumerate(names)}
+            return pd.DataFrame(data | {"g": [held.pop(kv)[upper] for kv in some]})
+
         for pdf in batches:
             if pdf.empty:
                 continue
-            for kv, g in pdf.groupby(list(keys), sort=False, dropna=False):
-                if arr:
-                    x = np.stack(g[arr[0]].to_numpy()).astype(float)
-                    a = np.column_stack([np.ones(len(g)), x, g[y].to_numpy(dtype=float)])
-                else:
-                    a = np.column_stack([np.ones(len(g))] + [g[c].to_numpy(dtype=float) for c in features]
-                                        + [g[y].to_numpy(dtype=float)])
-                m = a.T @ a
+            x = np.stack(pdf[arr[0]].to_numpy()).astype(float) if arr else pdf[list(features)].to_numpy(dtype=float)
+            a = np.column_stack([np.ones(len(pdf)), x, pdf[y].to_numpy(dtype=float)])
+            for kv, at in pdf.groupby(names, sort=False, dropna=False).indices.items():
                 kv = kv if isinstance(kv, tuple) else (kv,)
-                out = pd.DataFrame({"i": iu.astype("int32"), "j": ju.astype("int32"), "v": m[iu, ju]})
-                for k, val in zip(keys, kv):
-                    out.insert(0, k, val)
-                yield out
+                m = a[at].T @ a[at]
+                held[kv] = held.pop(kv) + m if kv in held else m
+            if len(held) > HELD_KEYS:
+                yield rows(list(held)[:len(held) - HELD_KEYS])
+        if held:
+            yield rows(list(held))
 
-    schema = f"{_key_schema(keys)}, i int, j int, v double"
-    parts = df.select(*cols).dropna().mapInPandas(partial, schema)
-    return parts.groupBy(*keys, "i", "j").agg(F.sum("v").alias("v"))
+    return df.select(*cols).dropna().mapInPandas(partial, f"{_key_schema(keys)}, g array<double>")
 
 
 def _dense(pdf: pd.DataFrame, p: int) -> np.ndarray:
+    """The full matrix of a key: the sum of its packed partials."""
     g = np.zeros((p + 2, p + 2))
-    g[pdf["i"].to_numpy(), pdf["j"].to_numpy()] = pdf["v"].to_numpy()
-    return np.triu(g) + np.triu(g, 1).T
+    g[np.triu_indices(p + 2)] = np.sum(pdf["g"].tolist(), axis=0)
+    return g + np.triu(g, 1).T
 
 
 def _moments(g: np.ndarray):
@@ -93,87 +102,83 @@ def solve_ridge(g: np.ndarray, alpha: float, standardize: bool = True):
     return float(my - mx @ w), w
 
 
-def solve_elastic_net(g: np.ndarray, alpha: float, l1_ratio: float, max_iter: int = 1000, tol: float = 1e-4):
+def solve_elastic_net(g: np.ndarray, alpha: float, l1_ratio: float, max_iter: int = C.ELASTIC_NET_MAX_ITER,
+                      tol: float = 1e-9):
     """StandardScaler + ElasticNet: min 1/(2n)|y - Zw - b|^2 + a*l1*|w|_1 +
-    a*(1-l1)/2*|w|^2 by cyclic coordinate descent on the covariance form;
-    stops when the largest update is below tol x the largest coefficient."""
+    a*(1-l1)/2*|w|^2 on the covariance form, by feature-sign search: the zero
+    coefficient that violates optimality most becomes active, the active ones'
+    linear system is solved, and on the way there the best point among the sign
+    changes is taken.  Each step lowers the objective, so the exact optimum is
+    reached.  Returns (intercept, weights, converged)."""
     n, mx, my, sxx, sxy = _moments(g)
     sd = np.sqrt(np.clip(np.diag(sxx) / n, 0, None))
-    sd = np.where(sd > 0, sd, 1.0)
-    q = sxx / np.outer(sd, sd) / n
-    c = sxy / sd / n
-    p = len(c)
-    w = np.zeros(p)
-    qw = np.zeros(p)  # q @ w kept up to date
+    used = sd > 1e-12 * max(1.0, float(np.abs(mx).max(initial=0)))
+    sd = np.where(used, sd, 1.0)
     l1, l2 = alpha * l1_ratio, alpha * (1 - l1_ratio)
-    diag = np.diag(q).copy()
+    h = sxx / np.outer(sd, sd) / n + l2 * np.eye(len(sd))
+    c = np.where(used, sxy / sd / n, 0.0)
+    slack = tol * max(1.0, float(np.abs(c).max(initial=0)))
+    w, converged = np.zeros(len(c)), False
+
+    def value(v):
+        return 0.5 * v @ h @ v - c @ v + l1 * np.abs(v).sum()
+
     for _ in range(max_iter):
-        w_max = d_max = 0.0
-        for j in range(p):
-            if diag[j] == 0:
-                continue
-            old = w[j]
-            r = c[j] - qw[j] + diag[j] * old
-            new = (r - l1 if r > l1 else (r + l1 if r < -l1 else 0.0)) / (diag[j] + l2)
-            if new != old:
-                qw += q[:, j] * (new - old)
-                w[j] = new
-            d_max = max(d_max, abs(new - old))
-            w_max = max(w_max, abs(new))
-        if w_max == 0.0 or d_max / w_max < tol:
-            break
+        pull = c - h @ w
+        on = np.flatnonzero(w)
+        sign = np.sign(w)
+        settled = not len(on) or np.abs(pull[on] - l1 * sign[on]).max() <= slack
+        if settled:
+            off = np.flatnonzero(used & (w == 0))
+            if not len(off) or np.abs(pull[off]).max() <= l1 + slack:
+                converged = True
+                break
+            j = off[np.argmax(np.abs(pull[off]))]
+            sign[j] = np.sign(pull[j])
+            on = np.sort(np.append(on, j))
+        goal = np.zeros_like(w)
+        goal[on] = np.linalg.lstsq(h[np.ix_(on, on)], c[on] - l1 * sign[on], rcond=None)[0]
+        step = goal - w
+        cross = on[(w[on] != 0) & (np.sign(goal[on]) != sign[on])]
+        points = [goal]
+        for j in cross:
+            at = w - w[j] / step[j] * step
+            at[j] = 0.0
+            points.append(at)
+        best = min(points, key=value)
+        if value(best) >= value(w) - 1e-16 * max(1.0, abs(value(w))) and settled is False:
+            break  # no further progress in double precision
+        w = np.where(np.abs(best) > 1e-14, best, 0.0)
     w = w / sd
-    return float(my - mx @ w), w
+    return float(my - mx @ w), w, converged
+
+
+def _solved(g: np.ndarray, kind: str, params: dict):
+    """(intercept, weights, converged) of one parameter point."""
+    if kind == "elastic_net":
+        return solve_elastic_net(g, params["alpha"], params.get("l1_ratio", 0.2))
+    b, w = solve_ridge(g, 0.0 if kind == "ols" else params["alpha"])
+    return b, w, True
 
 
 def fit_linear(df: DataFrame, features: list[str], keys=(KEY, "horizon"), kind: str = "ridge",
-               alpha: float = 1.0, l1_ratio: float = 0.2, alphas=None) -> DataFrame:
-    """Per-key linear fit: (keys..., alpha, intercept, coef array<double>).
-    ``alphas`` fits a whole regularisation path from the same statistics."""
-    keys = [k for k in keys if k in df.columns]
-    p = features[1] if isinstance(features, tuple) else len(features)
-    grid = list(alphas) if alphas is not None else [alpha]
+               alpha: float = 1.0, l1_ratio: float = 0.2) -> DataFrame:
+    """Per-key linear fit: (keys..., intercept, coef array<double>, converged)."""
+    return fit_linear_grid(df, features, keys, kind, [{"alpha": alpha, "l1_ratio": l1_ratio}]).drop("param_id", "params")
 
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        g = _dense(pdf, p)
-        rows = []
-        for a in grid:
-            if kind == "elastic_net":
-                b, w = solve_elastic_net(g, a, l1_ratio)
-            else:
-                b, w = solve_ridge(g, 0.0 if kind == "ols" else a)
-            rows.append({**{k: pdf[k].iloc[0] for k in keys}, "alpha": float(a), "intercept": b,
-                         "coef": w.tolist(), "train_rows": int(round(g[0, 0]))})
-        return pd.DataFrame(rows)
 
-    schema = f"{_key_schema(keys)}, alpha double, intercept double, coef array<double>, train_rows long"
-    return gram(df, features, keys).groupBy(*keys).applyInPandas(solve, schema)
+_NOT_KEYS = ("intercept", "coef", "converged", "train_rows")
 
 
 def predict_linear(df: DataFrame, coefs: DataFrame, features: list[str], out: str = "yhat") -> DataFrame:
     """yhat = intercept + sum_i coef[i] * x_i, coefficients joined by key."""
-    keys = [k for k in coefs.columns if k not in ("intercept", "coef", "train_rows") and k in df.columns]
-    j = df.join(coefs, keys)
-    if isinstance(features, tuple):
-        prod = F.zip_with("coef", features[0], lambda a, b: a * b)
-        expr = F.col("intercept") + F.aggregate(prod, F.lit(0.0), lambda acc, x: acc + x)
-        return j.withColumn(out, expr).drop("intercept", "coef", "train_rows")
-    if len(features) > 40:  # a long chain of column terms is hard on the optimizer: use one array
-        arr = F.array(*[F.col(c).cast("double") for c in features])
-        expr = F.col("intercept") + F.aggregate(F.zip_with("coef", arr, lambda a, b: a * b), F.lit(0.0),
-                                                lambda acc, x: acc + x)
-        return j.withColumn(out, expr).drop("intercept", "coef", "train_rows")
-    expr = F.col("intercept")
-    for i, c in enumerate(features):
-        expr = expr + F.col("coef")[i] * F.col(c)
-    return j.withColumn(out, expr).drop("intercept", "coef", "train_rows")
+    keys = [k for k in coefs.columns if k not in _NOT_KEYS and k in df.columns]
+    x = F.col(features[0]) if isinstance(features, tuple) else F.array(*[F.col(c).cast("double") for c in features])
+    dot = F.aggregate(F.zip_with("coef", x, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
+    return df.join(coefs, keys).withColumn(out, F.col("intercept") + dot).drop(*_NOT_KEYS)
 
 
 # ---------------------------------------------------------------- window models
-def window_columns(lookback: int = C.WINDOW_LAGS) -> list[str]:
-    return [f"{C.TARGET}_seq_lag_{k}" for k in range(1, lookback + 1)]
-
-
 def transform_window(df: DataFrame, kind: str = "window", lookback: int = C.WINDOW_LAGS):
     """Model input array from the lag window: ``window`` as is; ``dlinear``
     moving-average remainder + the average (trend); ``nlinear`` minus the last
@@ -193,10 +198,19 @@ def transform_window(df: DataFrame, kind: str = "window", lookback: int = C.WIND
 
 # ---------------------------------------------------------------- Fourier / trend regression
 def fourier_features(df: DataFrame, time_col: str = "date", yearly: int = 10, weekly: int = 3,
-                     n_changepoints: int = 0) -> tuple[DataFrame, list[str]]:
+                     n_changepoints: int = 25) -> tuple[DataFrame, list[str]]:
     """Additive trend + yearly/weekly Fourier terms from the true time."""
-    t = F.unix_seconds(F.col(time_col).cast("timestamp")) / F.lit(86400.0)
+    from hourcast.operators.series import epoch_hour
+    t = epoch_hour(time_col) / F.lit(24.0)
     cols, names = [t.alias("t_days")], ["t_days"]
+    if n_changepoints:
+        # hinges at equal steps over the first 80% of the common time range
+        ends = df.agg(F.min(t).alias("lo"), F.max(t).alias("hi"))
+        lo, hi = ends.select("lo").scalar(), ends.select("hi").scalar()
+        for k in range(1, n_changepoints + 1):
+            at = lo + (hi - lo) * F.lit(0.8 * k / (n_changepoints + 1))
+            cols.append(F.greatest(F.lit(0.0), t - at).alias(f"hinge_{k}"))
+            names.append(f"hinge_{k}")
     for period, order, tag in ((365.25, yearly, "y"), (7.0, weekly, "w")):
         for k in range(1, order + 1):
             arg = F.lit(2 * np.pi * k / period) * t
@@ -211,12 +225,15 @@ def arma_regression(train: DataFrame, test: DataFrame, features: list[str], keys
     jobs): (1) y ~ x gives beta, u = y - x beta; (2) AR(24) on u gives the
     innovations e; (3) u ~ u_-1 + e_-1 gives (phi, theta).  The multi-step
     forecast over the adjacent test block is x beta + phi^(k-1) (phi u_T + theta e_T)."""
-    from hourcast.operators.series import block_window, core_only, with_halo
+    from hourcast.operators.series import block_hours, block_window, core_only, epoch_hour, with_halo
+    from hourcast.session import materialize
     keys = [k for k in keys if k in train.columns]
+    block = block_hours(train)
     beta = fit_linear(train, features, keys, "ols")
     u = predict_linear(train, beta, features, "_xb").withColumn("u", F.col("y") - F.col("_xb"))
     ar = 24
-    hx = with_halo(u, ar + 1, 0, 1 << 13)
+    u = materialize(u.select(*keys, "date", "_pos", "u"), "arma-residuals")
+    hx = with_halo(u, ar + 1, 0, block)
     w = block_window(keys)
     lags = [F.lag("u", k).over(w).alias(f"u_l{k}") for k in range(1, ar + 1)]
     ul = core_only(hx.select("*", *lags))
@@ -225,49 +242,30 @@ def arma_regression(train: DataFrame, test: DataFrame, features: list[str], keys
                         [f"u_l{k}" for k in range(1, ar + 1)], keys, "ols")
     e = predict_linear(ul, ar_fit, [f"u_l{k}" for k in range(1, ar + 1)], "_uhat").withColumn(
         "e", F.col("u") - F.col("_uhat"))
-    hx2 = with_halo(e.select(*keys, "date", "_pos", "u", "e"), 1, 0, 1 << 13)
+    e = materialize(e.select(*keys, "date", "_pos", "u", "e"), "arma-innovations")
+    hx2 = with_halo(e, 1, 0, block)
     w2 = block_window(keys)
     st = core_only(hx2.select("*", F.lag("u", 1).over(w2).alias("u1"), F.lag("e", 1).over(w2).alias("e1")))
     pq = fit_linear(st.select(*keys, "u1", "e1", F.col("u").alias("y")), ["u1", "e1"], keys, "ols")
     pq = pq.select(*keys, F.col("coef")[0].alias("phi"), F.col("coef")[1].alias("theta"))
     last = e.groupBy(*keys).agg(F.max_by(F.struct("u", "e"), "date").alias("_l"), F.max("date").alias("_tmax"))
     xb = predict_linear(test, beta, features, "_xb")
-    k = ((F.unix_seconds(F.col("date").cast("timestamp")) - F.unix_seconds(F.col("_tmax").cast("timestamp")))
-         / 3600).cast("int")
+    k = epoch_hour("date") - epoch_hour("_tmax")
     out = xb.join(last, keys).join(pq, keys)
     fc = F.col("_xb") + F.pow(F.col("phi"), k - 1) * (F.col("phi") * F.col("_l.u") + F.col("theta") * F.col("_l.e"))
     return out.withColumn("yhat", fc).drop("_xb", "_l", "_tmax", "phi", "theta")
 
 
 # ---------------------------------------------------------------- Spark ML trees
-TREE_PRESETS = {
-    "RandomForest": dict(kind="rf", numTrees=300, maxDepth=12, minInstancesPerNode=2, featureSubsetStrategy="all"),
-    "ExtraTrees": dict(kind="rf", numTrees=300, maxDepth=12, minInstancesPerNode=1, bootstrap=False,
-                       featureSubsetStrategy="onethird"),
-    "XGBoost": dict(kind="gbt", maxIter=500, maxDepth=6, stepSize=0.03, subsamplingRate=0.8,
-                    featureSubsetStrategy="0.8"),
-    "LightGBM": dict(kind="gbt", maxIter=500, maxDepth=6, stepSize=0.03, subsamplingRate=0.8,
-                     featureSubsetStrategy="0.8"),
-    "CatBoost": dict(kind="gbt", maxIter=500, maxDepth=6, stepSize=0.03, subsamplingRate=0.8,
-                     featureSubsetStrategy="0.8"),
-}
-
-
-def tree_pipeline(name: str, features: list[str], scale: float = 1.0, seed: int = C.RANDOM_SEED):
-    """Spark ML pipeline of a tree preset; ``scale`` shrinks trees/rounds for quick runs."""
+def tree_pipeline(name: str, features: list[str], seed: int = C.RANDOM_SEED):
+    """Spark ML pipeline of a published tree preset, at its published size."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-    cfg = dict(TREE_PRESETS[name])
+    cfg = dict(C.TREE_PRESETS[name])
     kind = cfg.pop("kind")
-    common = dict(featuresCol="features", labelCol="y", predictionCol="yhat", seed=seed, maxBins=64,
-                  maxMemoryInMB=64)
-    if kind == "rf":
-        cfg["numTrees"] = max(1, int(cfg["numTrees"] * scale))
-        est = RandomForestRegressor(**common, **cfg)
-    else:
-        cfg["maxIter"] = max(1, int(cfg["maxIter"] * scale))
-        est = GBTRegressor(**common, **cfg)
+    common = dict(featuresCol="features", labelCol="y", predictionCol="yhat", seed=seed, maxBins=64)
+    est = (RandomForestRegressor if kind == "rf" else GBTRegressor)(**common, **cfg)
     return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features", handleInvalid="skip"), est])
 
 
@@ -282,10 +280,6 @@ def spark_ml_linear(features: list[str], reg: float = 0.0, enet: float = 0.0):
                                              else "auto", standardization=True)])
 
 
-def best_params_json(params: dict) -> str:
-    return json.dumps(params, ensure_ascii=False) if params else ""
-
-
 # ---------------------------------------------------------------- grids, tuning, cross-validation
 TUNING_GRIDS = {
     # fixed values: the published search spaces
@@ -310,7 +304,7 @@ def sample_grid(grid: dict, n_iter: int = N_ITER, seed: int = C.RANDOM_SEED) ->
 
 
 def fit_linear_grid(df: DataFrame, features: list[str], keys, kind: str, grid: list[dict]) -> DataFrame:
-    """One Gram pass, every grid point solved: (keys..., param_id, params, intercept, coef)."""
+    """One Gram pass, every grid point solved: (keys..., param_id, params, intercept, coef, converged)."""
     keys = [k for k in keys if k in df.columns]
     p = features[1] if isinstance(features, tuple) else len(features)
 
@@ -318,48 +312,89 @@ def fit_linear_grid(df: DataFrame, features: list[str], keys, kind: str, grid: l
         g = _dense(pdf, p)
         rows = []
         for pid, prm in enumerate(grid):
-            if kind == "elastic_net":
-                b, w = solve_elastic_net(g, prm["alpha"], prm.get("l1_ratio", 0.2))
-            else:
-                b, w = solve_ridge(g, 0.0 if kind == "ols" else prm["alpha"])
+            b, w, ok = _solved(g, kind, prm)
             rows.append({**{k: pdf[k].iloc[0] for k in keys}, "param_id": pid,
-                         "params": json.dumps(prm), "intercept": b, "coef": w.tolist()})
+                         "params": json.dumps(prm), "intercept": b, "coef": w.tolist(), "converged": ok})
         return pd.DataFrame(rows)
 
-    schema = f"{_key_schema(keys)}, param_id int, params string, intercept double, coef array<double>"
+    schema = f"{_key_schema(keys)}, param_id int, params string, intercept double, coef array<double>, converged boolean"
     return gram(df, features, keys).groupBy(*keys).applyInPandas(solve, schema)
 
 
+SCORE_ROWS = 8192
+
+
+def fold_errors(rows: DataFrame, features: list[str], kind: str, grid: list[dict], keys, k: int) -> DataFrame:
+    """Error sums of every grid point on every expanding-window test block:
+    (keys..., fold, param_id, n, sae, sse, sy, syy).
+
+    No row is copied per fold: a row belongs to one segment (what precedes the
+    first test block, then the test blocks), a fold trains on the prefix sums of
+    its segments' Gram matrices, and all grid points of a fold score a chunk of
+    its test block in one matrix product."""
+    from hourcast.operators.prep import IDX, N, series_index
+    keys = [x for x in keys if x in rows.columns]
+    p = features[1] if isinstance(features, tuple) else len(features)
+    cols = [features[0]] if isinstance(features, tuple) else list(features)
+    d = rows if IDX in rows.columns else series_index(rows)
+    size = F.floor(F.col(N) / (k + 1))
+    first = F.col(N) - size * k
+    seg = F.when(F.col(IDX) < first, 0).otherwise(F.floor((F.col(IDX) - first) / size) + 1).cast("int")
+    d = d.filter(size > 0).select(*keys, *cols, "y", seg.alias("seg"), F.floor(F.col(IDX) / SCORE_ROWS).cast("int").alias("chunk"))
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        own, out = {k_: pdf[k_].iloc[0] for k_ in keys}, []
+        total = np.zeros((p + 2, p + 2))
+        for fold in range(1, k + 1):
+            total = total + _dense(pdf[pdf["seg"] == fold - 1], p) if (pdf["seg"] == fold - 1).any() else total
+            if total[0, 0] == 0:
+                continue
+            points = [_solved(total, kind, prm) for prm in grid]
+            out.append({**own, "seg": fold, "intercepts": [b for b, _, _ in points], "weights": np.concatenate([w for _, w, _ in points])})
+        return pd.DataFrame(out, columns=[*keys, "seg", "intercepts", "weights"])
+
+    fits = (gram(d, features, [*keys, "seg"]).groupBy(*keys)
+            .applyInPandas(solve, f"{_key_schema(keys)}, seg int, intercepts array<double>, weights array<double>"))
+    test = d.filter("seg > 0").dropna()
+    by = [*keys, "seg", "chunk"]
+    chunks = test.select(*by).distinct().toDF(*[f"_{c}" for c in by])  # other names than the rows they are matched with
+    fits = fits.toDF(*[f"_{c}" if c in by else c for c in fits.columns]).join(chunks, [f"_{c}" for c in (*keys, "seg")])
+
+    def score(f: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
+        names = [*keys, "fold", "param_id", "n", "sae", "sse", "sy", "syy"]
+        if not len(f) or not len(t):
+            return pd.DataFrame(columns=names)
+        x = np.stack(t[cols[0]].to_numpy()).astype(float) if isinstance(features, tuple) else t[cols].to_numpy(dtype=float)
+        y = t["y"].to_numpy(dtype=float)
+        e = x @ np.asarray(f["weights"].iloc[0]).reshape(len(grid), p).T + np.asarray(f["intercepts"].iloc[0]) - y[:, None]
+        return pd.DataFrame({**{k_: t[k_].iloc[0] for k_ in keys}, "fold": int(t["seg"].iloc[0]), "param_id": np.arange(len(grid)), "n": len(y),
+                             "sae": np.abs(e).sum(0), "sse": (e * e).sum(0), "sy": y.sum(), "syy": (y * y).sum()}, columns=names)
+
+    parts = fits.groupBy(*[f"_{c}" for c in by]).cogroup(test.groupBy(*by)).applyInPandas(
+        score, f"{_key_schema(keys)}, fold int, param_id int, n long, sae double, sse double, sy double, syy double")
+    return parts.groupBy(*keys, "fold", "param_id").agg(*[F.sum(c).alias(c) for c in ("n", "sae", "sse", "sy", "syy")])
+
+
 def tune_linear(tune_rows: DataFrame, features: list[str], kind: str, grid: list[dict],
                 keys=(KEY, "horizon"), k: int = C.CV_N_SPLITS) -> DataFrame:
     """Expanding-window CV (train on everything before each test block) over
     train+valid rows; score = mean fold MAE; best point per key (first on ties)."""
-    from pyspark.sql import Window
-
-    from hourcast.operators.prep import time_series_folds
     keys = [x for x in keys if x in tune_rows.columns]
-    folds = time_series_folds(tune_rows.drop("idx", "n"), k)
-    coefs = fit_linear_grid(folds.filter(F.col("role") == "train"), features, keys + ["fold"], kind, grid)
-    test = folds.filter(F.col("role") == "test")
-    scored = predict_linear(test, coefs, features)
-    fold_mae = scored.groupBy(*keys, "fold", "param_id", "params").agg(F.avg(F.abs(F.col("yhat") - F.col("y")))
-                                                                        .alias("mae"))
-    cv = fold_mae.groupBy(*keys, "param_id", "params").agg(F.avg("mae").alias("cv_mae"))
-    w = Window.partitionBy(*keys).orderBy("cv_mae", "param_id")
-    return cv.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 1).drop("_r")
+    errors = fold_errors(tune_rows.drop("idx", "n"), features, kind, grid, keys, k)
+    cv = errors.groupBy(*keys, "param_id").agg(F.avg(F.col("sae") / F.col("n")).alias("cv_mae"))
+    best = cv.groupBy(*keys).agg(F.min(F.struct("cv_mae", "param_id")).alias("_b")).select(*keys, "_b.param_id", "_b.cv_mae")
+    params = F.array(*[F.lit(json.dumps(g)) for g in grid])
+    return best.withColumn("params", F.element_at(params, F.col("param_id") + 1))
 
 
 def cross_validate(rows: DataFrame, features: list[str], kind: str, params: dict, keys=(KEY, "horizon"),
                    k: int = C.CV_N_SPLITS) -> DataFrame:
     """k-fold expanding-window CV: mean and population std over folds of MAE, RMSE, R2."""
     from hourcast.operators.metrics import r2_expr
-    from hourcast.operators.prep import time_series_folds
     keys = [x for x in keys if x in rows.columns]
-    folds = time_series_folds(rows.drop("idx", "n"), k)
-    coefs = fit_linear_grid(folds.filter(F.col("role") == "train"), features, keys + ["fold"], kind, [params])
-    s = predict_linear(folds.filter(F.col("role") == "test"), coefs, features)
-    e = F.col("yhat") - F.col("y")
-    per = s.groupBy(*keys, "fold").agg(F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"),
-                                       r2_expr(F.sum(e * e), F.var_pop("y") * F.count("y")).alias("r2"))
+    s = fold_errors(rows.drop("idx", "n"), features, kind, [params], keys, k)
+    spread = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
+    per = s.select(*keys, "fold", (F.col("sae") / F.col("n")).alias("mae"), F.sqrt(F.col("sse") / F.col("n")).alias("rmse"),
+                   r2_expr(F.col("sse"), spread).alias("r2"))
     return per.groupBy(*keys).agg(*[f(c).alias(f"{c}_{n}") for c in ("mae", "rmse", "r2")
                                     for f, n in ((F.avg, "mean"), (F.stddev_pop, "std"))])

@@ -95,14 +95,20 @@ def _arma():
     return build
 
 
-def _tree(preset, scale):
+def _tree(preset):
     def build(split, tune=False, name=""):
-        pipe = M.tree_pipeline(preset, C.FEATURES, scale)
-        parts = []
-        for h in sorted(r[0] for r in split.select("horizon").distinct().collect()):
+        """One ensemble per horizon, pooled over its series; the horizons are fitted side by side."""
+        from concurrent.futures import ThreadPoolExecutor
+
+        from pyspark import inheritable_thread_target
+
+        def one(h):
             s = split.filter(F.col("horizon") == h)
-            model = pipe.fit(s.filter(F.col("split") == "train"))
-            parts.append(model.transform(s.filter(F.col("split") == "test")))
+            model = M.tree_pipeline(preset, C.FEATURES).fit(s.filter(F.col("split") == "train"))
+            return model.transform(s.filter(F.col("split") == "test"))
+
+        with ThreadPoolExecutor(len(C.HORIZONS)) as pool:
+            parts = list(pool.map(inheritable_thread_target(split.sparkSession)(one), C.HORIZONS))
         out = parts[0]
         for p in parts[1:]:
             out = out.unionByName(p)
@@ -110,7 +116,7 @@ def _tree(preset, scale):
     return build
 
 
-def model_specs(tree_scale: float = 0.05, include_trees: bool = True) -> list[ModelSpec]:
+def model_specs(include_trees: bool = True) -> list[ModelSpec]:
     specs = [
         ModelSpec("Ridge", "tabular_linear", 1, _linear("ridge", {"alpha": 1.0}), True),
         ModelSpec("ElasticNet", "tabular_linear", 1, _linear("elastic_net", {"alpha": 0.01, "l1_ratio": 0.2}), True),
@@ -122,9 +128,9 @@ def model_specs(tree_scale: float = 0.05, include_trees: bool = True) -> list[Mo
         ModelSpec("SARIMAX", "statistical", 1, _arma()),
     ]
     if include_trees:
-        specs += [ModelSpec("RandomForest", "tabular_tree", 2, _tree("RandomForest", tree_scale)),
-                  ModelSpec("ExtraTrees", "tabular_tree", 2, _tree("ExtraTrees", tree_scale)),
-                  ModelSpec("XGBoost", "tabular_boosting", 2, _tree("XGBoost", tree_scale))]
+        specs += [ModelSpec("RandomForest", "tabular_tree", 2, _tree("RandomForest")),
+                  ModelSpec("ExtraTrees", "tabular_tree", 2, _tree("ExtraTrees")),
+                  ModelSpec("XGBoost", "tabular_boosting", 2, _tree("XGBoost"))]
     return specs
 
 
@@ -153,7 +159,9 @@ def benchmark(split: DataFrame, specs: list[ModelSpec], baselines: DataFrame | N
                          bool(tune and spec.tunable), 100 + order))
         except Exception as exc:  # noqa: BLE001 - the benchmark goes on
             errors.append({"station_id": None, "mode": mode, "horizon": None, "model": spec.name,
-                           "group": spec.group, "complexity_rank": spec.complexity_rank, "error": str(exc)[:500]})
+                           "group": spec.group, "complexity_rank": spec.complexity_rank, "error": str(exc)})
+    if not preds:
+        raise RuntimeError("every model failed: " + "; ".join(f"{e['model']}: {e['error'][:200]}" for e in errors))
     allp = preds[0]
     for p in preds[1:]:
         allp = allp.unionByName(p)

@@ -434,13 +434,10 @@ def q_metrics_union(spark, sf):
 
 @query("skip_report")
 def q_skip_report(spark, sf):
-    """Models not run, with reasons: seasonal naive with a period shorter than
-    the horizon, per station and horizon of the data."""
-    sh = _split(spark, sf).select("station_id", "horizon").distinct()
-    return (sh.filter(F.col("horizon") > 24)
-              .select("station_id", "horizon", F.lit("SeasonalNaive_24h").alias("model"),
-                      F.lit("skipped").alias("status"),
-                      F.concat(F.lit("shift_period=24 < horizon="), F.col("horizon")).alias("reason")))
+    """Models that are not run, with the published reasons, for every station of the data."""
+    stations = _split(spark, sf).select("station_id").distinct()
+    rows = F.explode(F.array(*[F.struct(F.lit(m).alias("model"), F.lit(r).alias("reason")) for m, r in C.SKIPPED_MODELS])).alias("s")
+    return stations.select("station_id", rows).select("station_id", "s.model", F.lit("skipped").alias("status"), "s.reason")
 
 
 # ---------------------------------------------------------------- backtests
@@ -513,16 +510,15 @@ def q_missing_month(spark, sf):
 
 @query("pred_vs_actual_tail")
 def q_tail(spark, sf):
-    return P.rounded(ED.pred_vs_actual_tail(_preds(spark, sf).filter(F.col("model") == "Persistence")))
+    return P.rounded(ED.pred_vs_actual_tail(_preds(spark, sf)).select("station_id", "horizon", "model", "date", "y", "yhat"))
 
 
 # ---------------------------------------------------------------- serving
 from hourcast.operators import serve as SV  # noqa: E402
 
 
-def _as_of(features):
-    """'now' for serving queries: the newest feature time over all stations."""
-    return features.agg(F.max("date")).first()[0]
+#: 'now' of the serving queries: after the event month; exactly at the age limit of its last hour, and past it.
+AS_OF_LAG, AS_OF_STALE = "2024-01-31 02:30:00", ("2024-01-31 05:00:00", "2024-01-31 05:00:01")
 
 
 @query("latest_actual")
@@ -533,7 +529,7 @@ def q_latest(spark, sf):
 @query("sensor_lag_hours")
 def q_sensor_lag(spark, sf):
     f = _features(spark, sf)
-    return SV.sensor_lag_hours(SV.latest_actual(f), _as_of(f)).select("station_id", "date", "lag_hours")
+    return SV.sensor_lag_hours(SV.latest_actual(f), AS_OF_LAG).select("station_id", "date", "lag_hours")
 
 
 @query("aqi_delta_24h")
@@ -583,13 +579,20 @@ def q_read_features(spark, sf):
 
 @query("high_watermark")
 def q_high_watermark(spark, sf):
-    state = SP.aq_hourly(spark, sf).select("station_id", F.col("datetime").alias("last_data_time"))
-    return ST.high_watermark(state)
+    """State of a load that stopped on 10 January and never reached one station, which gets the default."""
+    stations = SP.table(spark, sf, "events").select(F.col("event_type").alias("station_id"))
+    state = SP.aq_hourly(spark, sf).filter("datetime < timestamp_ntz'2024-01-10 00:00:00' and station_id <> 'click'")
+    return ST.high_watermark(state.select("station_id", F.col("datetime").alias("last_data_time")), expected=stations)
 
 
 @query("advance_watermark")
 def q_advance_watermark(spark, sf):
-    return ST.advance_watermark(SP.aq_hourly(spark, sf), SP.weather_hourly(spark, sf))
+    """One station has weather only, one readings that end before the weather, the others after it."""
+    aq = SP.aq_hourly(spark, sf)
+    known = aq.groupBy("station_id").agg(F.min("datetime").alias("last_data_time"))
+    loaded = aq.filter("station_id <> 'click' and (station_id <> 'error' or datetime < timestamp_ntz'2024-01-15 00:00:00')")
+    weather = SP.weather_hourly(spark, sf).filter("datetime < timestamp_ntz'2024-01-20 00:00:00'")
+    return ST.advance_watermark(loaded, weather, known)
 
 
 @query("needs_rebuild")
@@ -601,8 +604,10 @@ def q_needs_rebuild(spark, sf):
 
 @query("staleness")
 def q_staleness(spark, sf):
+    """At the age limit (not stale) and a second later (stale)."""
     f = _features(spark, sf)
-    return ST.staleness(f, _as_of(f))
+    at, late = (ST.staleness(f, t).withColumn("as_of", F.lit(t)) for t in AS_OF_STALE)
+    return at.unionByName(late)
 
 
 # ---------------------------------------------------------------- models (rows-only checks; numpy parity in tests)
@@ -610,8 +615,8 @@ from hourcast.plans import models as PMOD  # noqa: E402
 from hourcast.operators import models as MOD  # noqa: E402
 
 
-def _spec(name, scale=0.04):
-    return {s.name: s for s in PMOD.model_specs(tree_scale=scale)}[name]
+def _spec(name):
+    return {s.name: s for s in PMOD.model_specs()}[name]
 
 
 def _model_query(name, tune=False):
@@ -642,15 +647,14 @@ def q_cross_validate(spark, sf):
 def q_refit_full(spark, sf):
     """Coefficients of the export model fitted on all valid rows of each series."""
     c = MOD.fit_linear_grid(_split(spark, sf), C.FEATURES, ["station_id", "horizon"], "ridge", [{"alpha": 1.0}])
-    return c.select("station_id", "horizon", P.r6("intercept").alias("intercept"),
-                    F.size("coef").alias("n_coef"))
+    names = F.array(*[F.lit(x) for x in C.FEATURES])
+    return P.rounded(c.select("station_id", "horizon", "intercept", F.inline(F.arrays_zip(names.alias("feature"), F.col("coef").alias("weight")))))
 
 
 @query("benchmark")
 def q_benchmark(spark, sf):
-    """Baselines + linear, window and statistical models, metrics, champion rule."""
-    specs = [s for s in PMOD.model_specs(include_trees=False) if s.name in ("Ridge", "WindowRidge_168h", "SARIMAX")]
-    met, _ = PMOD.benchmark(_split(spark, sf), specs, BM.baseline_metrics(_features(spark, sf)), tune=False)
+    """Baselines and every model spec, tuned where the published run tunes, metrics and champion rule."""
+    met, _ = PMOD.benchmark(_split(spark, sf), PMOD.model_specs(), BM.baseline_metrics(_features(spark, sf)), tune=True)
     return met.select("station_id", "mode", "horizon", "model", "group", "complexity_rank", "MAE", "RMSE", "R2",
                       "n_test", "rank_mae", "selected_champion")
 
@@ -696,7 +700,7 @@ def q_shap_summary(spark, sf):
 @query("shapley_extreme_row")
 def q_shap_extreme(spark, sf):
     s, tr, coefs = _ridge_fit(spark, sf)
-    return P.rounded(EX.shapley_extreme_row(EX.shapley_linear(tr, tr, coefs, C.FEATURES), tr))
+    return P.rounded(EX.shapley_extreme_row(s.filter(F.col("split") == "test"), tr, coefs, C.FEATURES))
 
 
 @query("permutation_importance")
@@ -853,10 +857,9 @@ def q_read_model(spark, sf):
 
 @query("write_model_card")
 def q_write_model_card(spark, sf):
-    skipped = [r.asDict() for r in q_skip_report(spark, sf).select(
-        "model", "status", "reason", F.lit("operational").alias("mode")).distinct().collect()]
+    skipped = q_skip_report(spark, sf).select("model", "status", "reason", F.lit("operational").alias("mode")).distinct()
     path = _scratch(spark, "model-card")
-    FL.write_model_card(spark, skipped, path, {"scope": "station panel", "primary_mode": "operational"})
+    FL.write_model_card(skipped, path, {"scope": "station panel", "primary_mode": "operational"})
     return spark.read.json(f"{path}/skipped")
 
 

@@ -24,20 +24,42 @@ DEFAULT_CONF = {
 }
 
 
-def get_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "hourcast",
+def get_session(master: str | None = None, shuffle_partitions: int | None = None, app: str = "hourcast",
                 extra: dict | None = None) -> SparkSession:
-    b = SparkSession.builder.master(master).appName(app)
+    """A session with the engine's defaults. ``master`` and ``shuffle_partitions``
+    are for local runs and tests; left out, the submitted configuration decides."""
+    b = SparkSession.builder.appName(app)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master:
+        b = b.master(master)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, which may not have it on their path."""
+    import zipfile
+    root = os.path.dirname(os.path.abspath(__file__))
+    if getattr(spark, "_hourcast_shipped", False) or not os.path.isdir(root):
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="hourcast-"), "hourcast.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(root):
+            for n in names:
+                if n.endswith(".py"):
+                    z.write(os.path.join(folder, n), os.path.join("hourcast", os.path.relpath(os.path.join(folder, n), root)))
+    spark.sparkContext.addPyFile(archive)
+    spark._hourcast_shipped = True
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     d = spark.sparkContext.getCheckpointDir()
     if d:
@@ -46,22 +68,19 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; fall back to a scratch folder
-    only when nothing is configured (local tests)."""
+    """Use the cluster's ``spark.checkpoint.dir``; a scratch folder of our own
+    only on a local master where nothing is configured (tests)."""
     d = checkpoint_dir(spark)
     if not d:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="hourcast-ckpt-", dir=os.environ.get("HOURCAST_SCRATCH", "/tmp"))
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def conf_int(spark: SparkSession, key: str, default: int) -> int:
     try:
         v = spark.conf.get(key, None)
