@@ -16,7 +16,7 @@ from hourcast.operators.features import window_matrix
 from hourcast.operators.metrics import regression_metrics
 from hourcast.operators.prep import train_valid_union
 from hourcast.operators.select import select_champion
-from hourcast.session import materialize
+from hourcast.session import materialize, materialized
 
 KEYS = [KEY, "horizon"]
 PRED = [KEY, "horizon", "model", "date", "y", "yhat"]
@@ -134,18 +134,29 @@ def model_specs(include_trees: bool = True) -> list[ModelSpec]:
     return specs
 
 
-def fit_predict(split: DataFrame, spec: ModelSpec, tune: bool = False) -> tuple[DataFrame, float]:
+_RUNTIMES: dict = {}
+
+
+def fit_predict(split: DataFrame, spec: ModelSpec, tune: bool = False, memo: tuple | None = None) -> tuple[DataFrame, float]:
     """Predictions of one spec for every series, materialized (so runtime is
-    the spec's own fit + predict) with its wall time."""
+    the spec's own fit + predict) with its wall time.  ``memo`` names the split:
+    a model that this application has fitted to it is not fitted again."""
+    tuned = bool(tune and spec.tunable)
+    key = (split.sparkSession.sparkContext.applicationId, memo, spec.name, tuned)
+
+    def build():
+        return spec.build(split, tuned, spec.name).withColumn("model", F.lit(spec.name))
+
     t0 = time.perf_counter()
-    pred = spec.build(split, tune and spec.tunable, spec.name)
-    pred = materialize(pred.withColumn("model", F.lit(spec.name)), f"pred-{spec.name}")
-    pred.count()
-    return pred, time.perf_counter() - t0
+    if memo is None:
+        return materialize(build(), f"pred-{spec.name}"), time.perf_counter() - t0
+    pred = materialized(split.sparkSession, f"pred-{spec.name}", (memo, tuned), build)
+    _RUNTIMES.setdefault(key, time.perf_counter() - t0)
+    return pred, _RUNTIMES[key]
 
 
 def benchmark(split: DataFrame, specs: list[ModelSpec], baselines: DataFrame | None = None, tune: bool = True,
-              mode: str = "operational") -> tuple[DataFrame, DataFrame]:
+              mode: str = "operational", memo: tuple | None = None) -> tuple[DataFrame, DataFrame]:
     """(metrics with champion flags, long predictions).  A failing spec gives
     an error row and the run continues."""
     from hourcast.operators.select import error_rows
@@ -153,7 +164,7 @@ def benchmark(split: DataFrame, specs: list[ModelSpec], baselines: DataFrame | N
     preds, meta, errors = [], [], []
     for order, spec in enumerate(specs):
         try:
-            p, rt = fit_predict(split, spec, tune)
+            p, rt = fit_predict(split, spec, tune, memo)
             preds.append(p.select(*PRED, "best_params"))
             meta.append((spec.name, spec.group, spec.complexity_rank, round(rt, 4),
                          bool(tune and spec.tunable), 100 + order))

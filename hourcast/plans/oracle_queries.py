@@ -356,13 +356,15 @@ SQL["latest_feature_row"] = with_(*_FEAT, "lf AS (SELECT station_id, max(pos) AS
   {O.r6('(SELECT g.pm2_5 FROM feat g WHERE g.station_id = f.station_id AND g.pos = l.lp - 23)')} AS pm2_5_seq_lag_24,
   {O.r6('(SELECT g.pm2_5 FROM feat g WHERE g.station_id = f.station_id AND g.pos = l.lp - 167)')} AS pm2_5_seq_lag_168
 FROM feat f JOIN lf l ON l.station_id = f.station_id AND f.pos = l.lp"""
-SQL["inject_future_weather"] = with_(*_FEAT, "lr AS (SELECT f.* FROM feat f JOIN (SELECT station_id, max(date) AS d FROM feat GROUP BY 1) m ON m.station_id = f.station_id AND m.d = f.date)",
+SQL["inject_future_weather"] = with_(*_FEAT, "lr AS (SELECT f.* FROM feat f JOIN (SELECT station_id, max(date) AS d FROM feat WHERE date <= TIMESTAMP '2024-01-29 00:00:00' GROUP BY 1) m ON m.station_id = f.station_id AND m.d = f.date)",
                                      "hz AS (SELECT CAST(unnest([1, 24, 48, 72]) AS INTEGER) AS horizon)") + \
     "SELECT lr.station_id, lr.date, hz.horizon, " + ", ".join(
         O.r6(f"coalesce(w.{c}, lr.{c})") + f" AS {c}" for c in C.WEATHER_COLUMNS) + \
     " FROM lr CROSS JOIN hz LEFT JOIN weather w ON w.datetime = lr.date + hz.horizon * INTERVAL 1 HOUR"
 SQL["read_weather_json"] = SQL["detect_time_column"]
-SQL["read_weather_forecast"] = SQL["detect_time_column"]
+SQL["read_weather_forecast"] = SQL["detect_time_column"] + " WHERE datetime >= TIMESTAMP '2024-01-24 00:00:00'"
+SQL["write_metrics_csv"] = _SELQ + "SELECT station_id, mode, horizon, model, MAE, RMSE, R2, rank_mae, selected_champion FROM sel"
+SQL["write_runtime_csv"] = _SELQ + """SELECT station_id, mode, CAST(horizon AS INTEGER) AS horizon, model, "group", status FROM sel"""
 SQL["read_aq_csv"] = f"""SELECT 'sensor' AS station_id, date_trunc('second', ts) + INTERVAL 7 HOUR AS datetime,
   {O.r6('value')} AS pm2_5, {O.r6('value * 2')} AS pm10 FROM events"""
 SQL["write_features"] = with_(*_FEAT) + f"SELECT station_id, date, {O.r6('pm2_5')} AS pm2_5, {O.r6('target_pm2_5_t1')} AS target_pm2_5_t1 FROM feat"

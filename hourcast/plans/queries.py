@@ -573,7 +573,10 @@ def q_read_partitioned(spark, sf):
 
 @query("read_features")
 def q_read_features(spark, sf):
-    f = _features(spark, sf)
+    """The written feature table, found as the fallback of a path that does not exist."""
+    path = _scratch(spark, "features")
+    FL.write_features(_features(spark, sf), path)
+    f = FL.read_features(spark, path + "-missing", fallback=path)
     return P.rounded(f.select("station_id", "date", "pm2_5", "pm2_5_lag_24", "target_pm2_5_t24"))
 
 
@@ -621,9 +624,7 @@ def _spec(name):
 
 def _model_query(name, tune=False):
     def q(spark, sf):
-        s = _spec(name)
-        return P.rounded(s.build(_split(spark, sf), tune and s.tunable, s.name)
-                         .withColumn("model", F.lit(name)))
+        return P.rounded(PMOD.fit_predict(_split(spark, sf), _spec(name), tune, memo=(sf,))[0])
     return q
 
 
@@ -654,7 +655,7 @@ def q_refit_full(spark, sf):
 @query("benchmark")
 def q_benchmark(spark, sf):
     """Baselines and every model spec, tuned where the published run tunes, metrics and champion rule."""
-    met, _ = PMOD.benchmark(_split(spark, sf), PMOD.model_specs(), BM.baseline_metrics(_features(spark, sf)), tune=True)
+    met, _ = PMOD.benchmark(_split(spark, sf), PMOD.model_specs(), BM.baseline_metrics(_features(spark, sf)), tune=True, memo=(sf,))
     return met.select("station_id", "mode", "horizon", "model", "group", "complexity_rank", "MAE", "RMSE", "R2",
                       "n_test", "rank_mae", "selected_champion")
 
@@ -671,7 +672,12 @@ def q_stream_hourly_avg(spark, sf):
 
 @query("stream_dedupe")
 def q_stream_dedupe(spark, sf):
-    out = STR.run_available(spark, STR.stream_dedupe(STR.read_readings_stream(spark, sf)), "dedupe")
+    """A stream in which every seventh reading was fetched twice."""
+    landed = _scratch(spark, "landed")
+    ev = SP.table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    ev.write.parquet(landed)
+    ev.filter("event_id % 7 = 0").write.mode("append").parquet(landed)
+    out = STR.run_available(spark, STR.stream_dedupe(STR.read_readings_stream(spark, landed, "*.parquet")), "dedupe")
     return P.rounded(out.select("station_id", "event_id", "value"))
 
 
@@ -754,27 +760,33 @@ def _field(name):
 
 
 def _weather_payload_path(spark, sf):
-    """Weather landed as JSON payloads of parallel arrays, one document per day."""
-    w = SP.weather_hourly(spark, sf).withColumn("_day", F.to_date("datetime"))
+    return _payload_path(spark, SP.weather_hourly(spark, sf))
+
+
+def _payload_path(spark, weather):
+    """Weather landed as JSON payloads of parallel arrays, one file per day that holds one document over many lines."""
+    w = weather.withColumn("_day", F.to_date("datetime"))
     doc = w.groupBy("_day").agg(F.struct(
         F.array_sort(F.collect_list(F.date_format("datetime", "yyyy-MM-dd'T'HH:mm"))).alias("time"),
         *[F.transform(F.array_sort(F.collect_list(F.struct(F.col("datetime"), F.col(c)))), _field(c))
           .alias(c) for c in C.WEATHER_COLUMNS]).alias("hourly"))
     path = _scratch(spark, "weather-json")
-    doc.select("hourly").write.json(path)
-    return path
+    text = F.to_json("hourly", {"pretty": "true"})
+    (doc.select("_day", F.concat(F.lit('{"hourly": '), text, F.lit("}")).alias("value"))
+        .repartition("_day").write.partitionBy("_day").text(path))
+    return f"{path}/*"
 
 
 @query("read_weather_json")
 def q_read_weather_json(spark, sf):
-    return P.rounded(FL.weather_from_payload(spark.read.schema(FL.WEATHER_JSON_SCHEMA).json(
-        _weather_payload_path(spark, sf))))
+    return P.rounded(FL.read_weather_json(spark, _weather_payload_path(spark, sf)))
 
 
 @query("read_weather_forecast")
 def q_read_weather_forecast(spark, sf):
-    return P.rounded(FL.weather_from_payload(spark.read.schema(FL.WEATHER_JSON_SCHEMA).json(
-        _weather_payload_path(spark, sf))))
+    """Forecast documents, of which one lies ahead of the last measured week."""
+    w = SP.weather_hourly(spark, sf).filter("datetime >= timestamp_ntz'2024-01-24 00:00:00'")
+    return P.rounded(FL.read_weather_forecast(spark, _payload_path(spark, w)))
 
 
 @query("append_partitioned")
@@ -798,7 +810,9 @@ def q_latest_feature_row(spark, sf):
 
 @query("inject_future_weather")
 def q_inject_future_weather(spark, sf):
-    rows = SV.forecast_rows(_features(spark, sf)).select("station_id", "date", "horizon", *C.WEATHER_COLUMNS)
+    """Forecast rows of 29 January: the weather of the next two horizons is known, that of the last is not."""
+    known = _features(spark, sf).filter("date <= timestamp_ntz'2024-01-29 00:00:00'")
+    rows = SV.forecast_rows(known).select("station_id", "date", "horizon", *C.WEATHER_COLUMNS)
     return P.rounded(FE.inject_future_weather(rows, SP.weather_hourly(spark, sf)))
 
 
@@ -888,12 +902,14 @@ def q_write_leaderboards(spark, sf):
 @query("write_metrics_csv")
 def q_write_metrics_csv(spark, sf):
     path = _scratch(spark, "metrics-csv")
-    FL.write_metrics_csv(BM.baseline_metrics(_features(spark, sf)), path)
-    return spark.read.option("header", True).option("inferSchema", True).csv(path)
+    FL.write_metrics_csv(_selection(spark, sf), path)
+    m = spark.read.option("header", True).option("inferSchema", True).csv(path)
+    return m.select("station_id", "mode", "horizon", "model", "MAE", "RMSE", "R2", "rank_mae", "selected_champion")
 
 
 @query("write_runtime_csv")
 def q_write_runtime_csv(spark, sf):
     path = _scratch(spark, "runtime-csv")
     FL.write_runtime_csv(BM.baseline_metrics(_features(spark, sf)), path)
-    return spark.read.option("header", True).csv(path)
+    r = spark.read.option("header", True).csv(path)
+    return r.select("station_id", "mode", F.col("horizon").cast("int").alias("horizon"), "model", "group", "status")
