@@ -4,8 +4,9 @@ Documents with equal shingle sets are one class. The shingles of a class are ord
 frequency in the whole corpus, and the shingles that a partner may lack bound the prefix in which it must share one. A
 shingle of a single document can be shared with none, so classes with too many of those are out at once. Classes with
 the same size and prefix form a group; groups that share a prefix shingle are paired if sizes and positions allow the
-similarity; then members are verified on their whole sets. Members are not expanded into all pairs: groups are first
-joined through one member each, and only pairs that are not yet in one component follow.
+similarity, and parity bitmaps, whose distance bounds the sets' difference from below; then members are verified on all
+shingles that they share with anything. Members are not expanded into all pairs: groups are first joined through one
+member each, and only pairs that are not yet in one component follow.
 
 Frequencies take two shuffles of packed arrays, six bytes a shingle: to the shingle's bucket, and from there back to
 the batch of documents that it came from (shingles of one document stay behind).
@@ -21,9 +22,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourcast.llm.components import connected_components
-from hourcast.llm.hashing import set_key, shingle_set
+from hourcast.llm.hashing import mix, set_key, shingle_set
 from hourcast.llm.store import shuffle_partitions, table, written
 
+#: Bits of a class's parity bitmap.
+BITS = 512
 #: Shingles that a map task holds before it sends them to their buckets.
 BATCH = 1_000_000
 _PACKED = [("bucket", pa.int32()), ("batch", pa.int64()), ("tokens", pa.binary()), ("counts", pa.binary()),
@@ -63,34 +66,47 @@ def _unpack(blob: bytes, bucket: int) -> np.ndarray:
 
 def _shared_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """All shingles of some buckets: those of at least two documents go back to their batches, with their frequency."""
-    held = [row for batch in batches for row in batch.to_pylist()]
+    held, parts = [], []
+    for batch in batches:
+        for row in batch.to_pylist():
+            parts.append(_unpack(row.pop("tokens"), row["bucket"]))
+            held.append(row)
     if not held:
         return
-    parts = [_unpack(r["tokens"], r["bucket"]) for r in held]
+    sizes = [len(p) for p in parts]
     tokens = np.concatenate(parts)
+    del parts
     order = np.argsort(tokens)
     first = np.flatnonzero(np.diff(tokens[order], prepend=~tokens[order[:1]]) != 0) if len(tokens) else np.empty(0, np.int64)
     runs = np.diff(np.append(first, len(tokens)))
-    often = np.empty(len(tokens), np.int64)
-    often[order] = np.repeat(runs, runs)
-    del order
+    often = np.empty(len(tokens), np.uint32)
+    often[order] = np.repeat(np.minimum(runs, 0xFFFFFFFF).astype(np.uint32), runs)
+    del order, first, runs
     at, out = 0, []
-    for r, own in zip(held, parts):
-        df = often[at:at + len(own)]
-        at += len(own)
+    for r, size in zip(held, sizes):
+        own, df = tokens[at:at + size], often[at:at + size]
+        at += size
         counts = np.frombuffer(r["counts"], np.int32)
         keep = df > 1
         owner = np.repeat(np.arange(len(counts)), counts)[keep]
         shared = np.bincount(owner, minlength=len(counts)).astype(np.int32)
-        out.append((r["batch"], own[keep].tobytes(), np.minimum(df[keep], 0xFFFFFFFF).astype(np.uint32).tobytes(), shared.tobytes(), r["ids"], r["sizes"], r["keys"]))
-        if len(out) == 64:
+        out.append((r["batch"], own[keep].tobytes(), df[keep].tobytes(), shared.tobytes(), r["ids"], r["sizes"], r["keys"]))
+        if len(out) == 16:
             yield _rows(_SHARED, out)
             out = []
     yield _rows(_SHARED, out)
 
 
+def parity_bits(tokens: np.ndarray) -> np.ndarray:
+    """A bitmap whose bits are the parities of the tokens hashed to them: two bitmaps differ in at most as many bits as
+    the sets do in tokens."""
+    odd = np.bincount((mix(tokens.view(np.uint64)) & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _prefixes(percent: int):
-    """Per document: size, set key, number of its own shingles, and the shared ones of its prefix, rarest first."""
+    """Per document: size, set key, number of its own shingles; if a partner is possible, the shared shingles of its
+    prefix, rarest first, all shared shingles, and their bitmap."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[dict]] = {}
@@ -109,17 +125,21 @@ def _prefixes(percent: int):
             begin = np.append(0, np.cumsum(shared))
             single = sizes - shared
             spare = sizes - -(-percent * sizes // 100)  # shingles that a partner may lack
-            prefixes = [tokens[begin[i]:begin[i] + spare[i] + 1 - single[i]] if sizes[i] and single[i] <= spare[i] else None for i in range(len(sizes))]
+            open_ = [bool(sizes[i]) and single[i] <= spare[i] for i in range(len(sizes))]
+            wholes = [tokens[begin[i]:begin[i + 1]] if o else None for i, o in enumerate(open_)]
+            prefixes = [w[:spare[i] + 1 - single[i]] if w is not None else None for i, w in enumerate(wholes)]
+            bits = [parity_bits(w) if w is not None else None for w in wholes]
             keys = [named["keys"][16 * i:16 * i + 16] for i in range(len(sizes))]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(named["ids"], pa.int64()), pa.array(sizes), pa.array(keys, pa.binary()), pa.array(single), pa.array(prefixes, pa.list_(pa.int64()))],
-                ["doc_id", "n", "key", "single", "prefix"])
+            lists = [pa.array(x, pa.list_(pa.int64())) for x in (prefixes, wholes, bits)]
+            yield pa.RecordBatch.from_arrays([pa.array(named["ids"], pa.int64()), pa.array(sizes), pa.array(keys, pa.binary()), pa.array(single), *lists],
+                                             ["doc_id", "n", "key", "single", "prefix", "shared", "bits"])
 
     return run
 
 
 def prefix_table(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(doc_id, n, key, single, prefix) of each row of ``docs``; prefix is null where no partner is possible."""
+    """(doc_id, n, key, single, prefix, shared, bits) of each row of ``docs``; the last three are null where no partner
+    is possible."""
     buckets = min(shuffle_partitions(docs.sparkSession), 1 << 15)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,40 +158,37 @@ def prefix_table(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
     packed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(pack, _PACKED_DDL)
     shared = packed.repartition(buckets, "bucket").mapInArrow(_shared_shingles, _SHARED_DDL)
-    return shared.repartition(shuffle_partitions(docs.sparkSession), "batch").mapInArrow(_prefixes(percent), "doc_id long, n long, key binary, single long, prefix array<long>")
+    return shared.repartition(shuffle_partitions(docs.sparkSession), "batch").mapInArrow(_prefixes(percent), "doc_id long, n long, key binary, single long, prefix array<long>, shared array<long>, bits array<long>")
+
+
+def _near_enough(a: str, b: str, percent: int) -> F.Column:
+    """Whether the bitmaps of a and b (columns n, single, bits) leave the similarity possible; unknown bits do.
+
+    The sets differ in each one's own shingles and in at least as many shared ones as the bitmaps differ in bits."""
+    col = lambda t, c: F.col(f"{t}.{c}")
+    apart = F.aggregate(F.zip_with(col(a, "bits"), col(b, "bits"), lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("long")), F.lit(0).cast("long"), lambda t, x: t + x)
+    differ = F.coalesce(apart, F.lit(0)) + col(a, "single") + col(b, "single")
+    return (100 + percent) * differ <= (100 - percent) * (col(a, "n") + col(b, "n"))
 
 
 def group_pairs(groups: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of groups (gid, n, single, prefix) that share a prefix shingle at positions which allow the similarity."""
-    posts = groups.select("gid", "n", F.col("single"), F.posexplode("prefix").alias("at", "token")).select("token", "gid", "n", (F.col("n") - F.col("single") - F.col("at")).alias("left"))
+    """(a, b) of groups (gid, n, single, prefix, bits) that share a prefix shingle at positions which allow the
+    similarity, and whose bitmaps (of groups of one class) allow it."""
+    posts = groups.select("gid", "n", "single", "bits", F.posexplode("prefix").alias("at", "token")).select("token", "gid", "n", "single", "bits", (F.col("n") - F.col("single") - F.col("at")).alias("left"))
     a, b = posts.alias("a"), posts.alias("b")
     fits = (100 + percent) * F.least("a.left", "b.left") >= percent * (F.col("a.n") + F.col("b.n"))
+    fits &= _near_enough("a", "b", percent)
     return a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.gid") < F.col("b.gid")) & fits).select(F.col("a.gid").alias("a"), F.col("b.gid").alias("b")).distinct()
 
 
-def class_sets(docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
-    """(rep, tokens): the whole shingle set of each class (rep, key), from the text of its representative."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found: list[tuple] = []
-            for rep, key, text in zip(batch.column("rep"), batch.column("key"), batch.column("text")):
-                tokens = shingle_set(text.as_py(), words)
-                if set_key(tokens) == key.as_py():
-                    found.append((rep.as_py(), key.as_py(), tokens.view(np.int64)))
-            yield _rows([("rep", pa.int64()), ("key", pa.binary()), ("tokens", pa.list_(pa.int64()))], found)
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(classes.select("rep", "key"), "rep")
-    return rows.mapInArrow(run, "rep long, key binary, tokens array<long>").dropDuplicates(["key"])
-
-
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (x, y) of set keys whose whole sets reach the similarity, as (a, b) of representatives."""
-    x = sets.select(F.col("key").alias("x"), F.col("rep").alias("a"), F.col("tokens").alias("xs"))
-    y = sets.select(F.col("key").alias("y"), F.col("rep").alias("b"), F.col("tokens").alias("ys"))
+    """The pairs (x, y) of set keys whose whole sets reach the similarity, as (a, b) of representatives.
+
+    What two sets have in common is among the shingles that each shares with anything."""
+    x = sets.select(F.col("key").alias("x"), F.col("rep").alias("a"), F.col("n").alias("xn"), F.col("shared").alias("xs"))
+    y = sets.select(F.col("key").alias("y"), F.col("rep").alias("b"), F.col("n").alias("yn"), F.col("shared").alias("ys"))
     both = F.size(F.array_intersect("xs", "ys"))
-    union = F.size("xs") + F.size("ys") - both
-    return pairs.join(x, "x").join(y, "y").where(100 * both >= percent * union).select("a", "b")
+    return pairs.join(x, "x").join(y, "y").where(100 * both >= percent * (F.col("xn") + F.col("yn") - both)).select("a", "b")
 
 
 def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -183,35 +200,38 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFram
     several sets. A null doc_id takes part, but never names a component unless nothing else is in it (then null).
     """
     heads = written(prefix_table(docs, words, percent), "jaccard-prefixes")
-    classes = heads.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("single").alias("single"), F.first("prefix").alias("prefix"))
-    open_ = classes.where("prefix is not null and rep is not null").withColumn("gid", F.xxhash64("n", "single", "prefix"))
-    open_ = written(open_, "jaccard-classes")
-    groups = open_.groupBy("gid", "n", "single", "prefix").agg(F.count("*").alias("members"), F.min("key").alias("pivot"))
-    groups = written(groups, "jaccard-groups")
+    classes = heads.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"))
+    known = classes.where("rep is not null").select(F.col("key").alias("k"), "rep")
+    open_ = heads.where("prefix is not null").join(known, (F.col("key") == F.col("k")) & (F.col("doc_id") == F.col("rep"))).dropDuplicates(["key"])
+    open_ = written(open_.select("key", "rep", "n", "single", "prefix", "shared", "bits", F.xxhash64("n", "single", "prefix").alias("gid")), "jaccard-classes")
+    groups = open_.groupBy("gid", "n", "single", "prefix").agg(F.count("*").alias("members"), F.min("key").alias("pivot"), F.min("bits").alias("bits"))
+    groups = written(groups.withColumn("bits", F.when(F.col("members") == 1, F.col("bits"))), "jaccard-groups")
     pairs = written(group_pairs(groups, percent), "jaccard-group-pairs")
 
     paired = pairs.select(F.col("a").alias("gid")).union(pairs.select("b")).union(groups.where("members > 1").select("gid")).distinct()
-    members = written(open_.join(paired, "gid").select("gid", "key", "rep"), "jaccard-members")
-    sets = written(class_sets(docs, members.select("rep", "key").distinct(), words), "jaccard-sets")
+    sets = written(open_.join(paired, "gid").drop("prefix"), "jaccard-members")
+    members = sets.select("gid", "key", "rep", "n", "single", "bits")
     pivots = groups.groupBy("gid").agg(F.min("pivot").alias("pivot"))
     star = members.join(pivots, "gid").where("key <> pivot").select(F.col("pivot").alias("x"), F.col("key").alias("y"))
     across = pairs.join(pivots.toDF("a", "x"), "a").join(pivots.toDF("b", "y"), "b").where("x <> y").select("x", "y")
     edges = written(verified(star.union(across).distinct(), sets, percent), "jaccard-edges")
     near = connected_components(edges, "a", "b")
 
-    placed = members.join(near, F.col("rep") == F.col("node"), "left").select("gid", "key", "rep", F.coalesce("component", "rep").alias("part"))
+    placed = members.join(near, F.col("rep") == F.col("node"), "left").select("gid", "key", "n", "single", "bits", F.coalesce("component", "rep").alias("part"))
     placed = written(placed, "jaccard-placed")
-    spread = placed.groupBy("gid").agg(F.min("part").alias("low"), F.max("part").alias("high"))
-    a, b = spread.toDF("a", "low_a", "high_a"), spread.toDF("b", "low_b", "high_b")
-    todo = pairs.join(a, "a").join(b, "b").where("low_a <> low_b or low_a <> high_a or low_b <> high_b").select("a", "b")
+    spread = placed.groupBy("gid").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("members"))
+    a, b = spread.toDF("a", "low_a", "high_a", "m_a"), spread.toDF("b", "low_b", "high_b", "m_b")
+    # of two groups of one class each the only pair has been verified
+    todo = pairs.join(a, "a").join(b, "b").where("m_a + m_b > 2 and (low_a <> low_b or low_a <> high_a or low_b <> high_b)").select("a", "b")
     todo = todo.union(spread.where("low <> high").select(F.col("gid").alias("a"), F.col("gid").alias("b")))
-    left = placed.select(F.col("gid").alias("a"), F.col("key").alias("x"), F.col("part").alias("part_x"))
-    right = placed.select(F.col("gid").alias("b"), F.col("key").alias("y"), F.col("part").alias("part_y"))
-    rest = todo.join(left, "a").join(right, "b").where("part_x <> part_y and (a <> b or x < y)").select("x", "y").distinct()
+    left, right = placed.alias("l"), placed.alias("r")
+    rest = todo.join(left, F.col("a") == F.col("l.gid")).join(right, (F.col("b") == F.col("r.gid")) & (F.col("l.part") != F.col("r.part"))
+                                                               & ((F.col("a") != F.col("b")) | (F.col("l.key") < F.col("r.key"))) & _near_enough("l", "r", percent))
+    rest = rest.select(F.col("l.key").alias("x"), F.col("r.key").alias("y")).distinct()
     more = written(verified(rest, sets, percent), "jaccard-more-edges")
     linked = connected_components(edges.union(more), "a", "b")
 
-    reps = classes.select("key", "rep").join(linked, F.col("rep") == F.col("node"), "left").select("key", F.coalesce("component", "rep").alias("component"))
+    reps = classes.join(linked, F.col("rep") == F.col("node"), "left").select("key", F.coalesce("component", "rep").alias("component"))
     # rows that share a doc_id belong together even where their sets do not
     named = written(heads.select("doc_id", "n", "key").join(reps, "key", "left").select("doc_id", "n", F.coalesce("component", "doc_id").alias("component")), "jaccard-named")
     joint = named.where("doc_id is not null").groupBy("doc_id").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
