@@ -129,15 +129,15 @@ class LineIndex:
     def insert(self, docs: DataFrame) -> None:
         """Adds the documents' lines. A document inserted twice, or rows that share a doc_id, count once."""
         new = line_refs(docs, self.min_chars, self.shards)
-        self._replace(self.read("refs").unionByName(new).distinct() if self.version else new, None)
+        self._replace(self.read("refs").unionByName(new).distinct() if self.version else new)
 
     def delete(self, docs: DataFrame) -> None:
         """Takes the documents named by ``doc_id`` out; lines that thereby fall under ``min_docs`` are kept again."""
         gone = docs.select("doc_id").distinct().withColumnRenamed("doc_id", "gone")
         refs = self.read("refs")
-        self._replace(refs.join(gone, F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti"), self.version)
+        self._replace(refs.join(gone, F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti"))
 
-    def _replace(self, refs: DataFrame, _old: int | None) -> None:
+    def _replace(self, refs: DataFrame) -> None:
         was = self.read("counts").where(F.col("n_docs") >= self.min_docs).select("shard", "key") if self.version else None
         filters = self.read("filters") if self.version else None
         version = self.version + 1

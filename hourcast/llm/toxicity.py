@@ -11,7 +11,6 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -39,7 +38,7 @@ def features(word: str) -> tuple[str, ...]:
 class Hits(dict):
     """word -> those of its features that are in ``known``; a bounded memory of the words met so far."""
 
-    def __init__(self, known, most: int = 300_000):
+    def __init__(self, known, most: int = 100_000):
         super().__init__()
         self.known, self.most = known, most
 
@@ -71,14 +70,20 @@ def choose_words(sample: DataFrame, most: int = 4096, least_docs: int = 3) -> tu
 
     def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            sets = [{x for w in set(_WORD.findall((t or "").lower())) for x in features(w)} for t in f["text"]]
-            yield pd.DataFrame({"word": list(chain.from_iterable(sets)), "toxic": np.repeat(f["toxic"].to_numpy("int32"), [len(s) for s in sets])})
+            for s in range(0, len(f), 500):  # few documents at a time: their words are the memory this takes
+                seen: dict[str, list[int]] = {}
+                for text, toxic in zip(f["text"].iloc[s:s + 500], f["toxic"].iloc[s:s + 500]):
+                    for x in {x for w in set(_WORD.findall((text or "").lower())) for x in features(w)}:
+                        of = seen.setdefault(x, [0, 0])
+                        of[0] += int(toxic)
+                        of[1] += 1
+                yield pd.DataFrame({"word": list(seen), "a": [v[0] for v in seen.values()], "n": [v[1] for v in seen.values()]})
 
     sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     pos, neg = sizes.get(1, 0), sizes.get(0, 0)
     if not pos or not neg:
         return [], np.empty(0), pos, neg
-    counts = sample.mapInPandas(counted, "word string, toxic int").groupBy("word").agg(F.sum("toxic").alias("a"), F.count("*").alias("n")).where(F.col("n") >= least_docs)
+    counts = sample.mapInPandas(counted, "word string, a long, n long").groupBy("word").agg(F.sum("a").alias("a"), F.sum("n").alias("n")).where(F.col("n") >= least_docs)
     a, n, total = F.col("a").cast("double"), F.col("n").cast("double"), float(pos + neg)
     gap = a * total - n * pos
     chi = gap * gap / (n * (F.lit(total) - n + 1.0))
