@@ -38,12 +38,14 @@ def main() -> None:
     timed("baseline_selection", lambda: BM.baseline_selection(P.panel_features(spark, sf_dir)))
     # per-series linear models from one Gram pass
     split = P.panel_split(spark, sf_dir)
-    specs = {s.name: s for s in PM.model_specs(include_trees=False)}
+    specs = {s.name: s for s in PM.model_specs()}
     timed("ridge", lambda: specs["Ridge"].build(split, False, "Ridge"))
     timed("ridge_tuned_cv", lambda: specs["Ridge"].build(split, True, "Ridge"))
     timed("elastic_net", lambda: specs["ElasticNet"].build(split, False, "ElasticNet"))
     timed("window_ridge_168h", lambda: specs["WindowRidge_168h"].build(split, False, "WindowRidge_168h"))
     timed("arma_regression", lambda: specs["SARIMAX"].build(split, False, "SARIMAX"))
+    # trees at the published size (300 trees), pooled per horizon
+    timed("random_forest_300", lambda: specs["RandomForest"].build(split, False, "RandomForest"))
     # analysis and serving
     for q in ("acf", "spearman_matrix", "seasonal_decompose", "backtest_k1_k3", "latest_actual",
               "nowcast_validation"):
