@@ -27,7 +27,7 @@ WORD_END = "</w>"
 _SHIFT = 0x1000
 _NEVER = 1 << 60
 #: Chunks, pre-tokens and token pairs that a worker keeps before it starts anew.
-KEPT = 300_000
+KEPT = 120_000
 _ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _SPACES = re.compile("[\t-\r \x85\xa0  -     　]+")
