@@ -175,6 +175,8 @@ def repeated_starts(text: np.ndarray, folder: str, depth: int, valid: np.ndarray
     ``text`` is a uint8 array of characters from 2 on with SEPARATORs, one END, and ``depth`` + SPARE PADs behind it.
     """
     n = len(text) - depth - SPARE
+    if n > np.iinfo(_TUPLE["pos"]).max:
+        raise ValueError(f"{n} characters; a position in a queue has 32 bits")
     body = text[:n].astype(np.int16)
     # type S: smaller than the next suffix; equal characters share the type of the end of their run
     differs = np.append(body[1:] != body[:-1], True)

@@ -3,7 +3,9 @@
 A string of ``length`` bytes is dealt by the smallest hash among its k-mers, so equal strings meet wherever they stand.
 Consecutive starts with the same smallest hash make a piece; pieces whose hash is nowhere else can be skipped, equal
 pieces are one piece with a count. Each shard's pieces are sorted by external induced sorting (``induced``), and the
-common-prefix values between neighbours in the suffix array tell which starts repeat. Spans go back to the documents.
+common-prefix values between neighbours in the suffix array tell which starts repeat. A shard is sorted in batches of
+whole keys; a key with more pieces than a batch may hold is dealt anew by a hash of each of its strings, and the counts
+of the strings tell which repeat. Spans go back to the documents.
 """
 from __future__ import annotations
 
@@ -15,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hourcast.llm.hashing import mix, prefix_hash, powers, span_hash
@@ -23,7 +25,7 @@ from hourcast.llm.induced import END, PAD, SEPARATOR, SPARE, repeated_starts
 from hourcast.llm.store import shuffle_partitions, table, written
 
 KMER = 32
-#: Bytes of pieces that a shard is planned for; it sorts on disk whatever it gets.
+#: Bytes of pieces that a shard is planned for, and the most of one key that is sorted; a batch holds less than twice that.
 SHARD_BYTES = 8 << 20
 _NO_ID = -(1 << 63)
 
@@ -115,28 +117,17 @@ def cut_pieces(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     return _packed(docs).join(lists, ["did", "th"]).select("blob", "own").mapInArrow(run, "key long, h1 long, h2 long, n long, data binary")
 
 
-def repeated_in_shards(pieces: DataFrame, length: int, shards: int) -> DataFrame:
-    """(h1, h2, low, high): ranges of starts in a piece whose strings also start elsewhere."""
+def repeated_in_shards(pieces: DataFrame, length: int, shards: int, batch_bytes: int = SHARD_BYTES) -> DataFrame:
+    """(h1, h2, low, high): ranges of starts in a piece whose strings also start elsewhere.
+
+    Equal strings have one key, so a task sorts whole keys, ``batch_bytes`` and the rest of a key at a time.
+    """
     shift = bytes((i + 2) & 255 for i in range(256))  # no UTF-8 byte exceeds 0xF4, so none meets the marks
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        h1, h2, n, data = [], [], [], []
-        seen: set[tuple[int, int]] = set()
-        for batch in batches:
-            for a, b, many, blob in zip(*(batch.column(c) for c in ("h1", "h2", "n", "data"))):
-                name = (a.as_py(), b.as_py())
-                if name not in seen:
-                    seen.add(name)
-                    h1.append(name[0])
-                    h2.append(name[1])
-                    n.append(many.as_py())
-                    data.append(blob.as_py().translate(shift))
-        del seen
-        if not data:
-            return
+    def ranges(h1: list[int], h2: list[int], n: list[int], data: list[bytes]) -> pa.RecordBatch:
         sizes = np.array([len(d) for d in data])
         text = np.frombuffer(bytes([SEPARATOR]).join(data) + bytes([SEPARATOR, END]) + bytes([PAD]) * (length + SPARE), np.uint8)
-        del data
+        data.clear()
         begin = np.append(0, np.cumsum(sizes + 1)[:-1])
         edge = np.zeros(len(text) - length - SPARE + 1, np.int8)
         edge[begin] += 1
@@ -155,9 +146,55 @@ def repeated_in_shards(pieces: DataFrame, length: int, shards: int) -> DataFrame
         turn = np.diff(np.concatenate([[0], marks.astype(np.int8), [0]]))
         low, high = np.flatnonzero(turn == 1), np.flatnonzero(turn == -1)
         owner = np.searchsorted(begin, low, side="right") - 1
-        yield pa.RecordBatch.from_arrays([pa.array(np.array(h1)[owner]), pa.array(np.array(h2)[owner]), pa.array((low - begin[owner]).astype(np.int32)), pa.array((high - begin[owner]).astype(np.int32))], ["h1", "h2", "low", "high"])
+        return pa.RecordBatch.from_arrays([pa.array(np.array(h1)[owner]), pa.array(np.array(h2)[owner]), pa.array((low - begin[owner]).astype(np.int32)), pa.array((high - begin[owner]).astype(np.int32))], ["h1", "h2", "low", "high"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        h1, h2, n, data = [], [], [], []
+        seen: set[tuple[int, int]] = set()
+        held, last = 0, None
+        for batch in batches:
+            for key, a, b, many, blob in zip(*(batch.column(c) for c in ("key", "h1", "h2", "n", "data"))):
+                key = key.as_py()
+                if key != last:
+                    if held >= batch_bytes:
+                        yield ranges(h1, h2, n, data)
+                        h1, h2, n, data, held = [], [], [], [], 0
+                    seen.clear()
+                    last = key
+                name = (a.as_py(), b.as_py())
+                if name not in seen:
+                    seen.add(name)
+                    h1.append(name[0])
+                    h2.append(name[1])
+                    n.append(many.as_py())
+                    data.append(blob.as_py().translate(shift))
+                    held += len(data[-1])
+        if data:
+            yield ranges(h1, h2, n, data)
+
+    dealt = pieces.select("key", "h1", "h2", "n", "data").repartition(shards, "key").sortWithinPartitions("key")
+    return dealt.mapInArrow(run, "h1 long, h2 long, low int, high int")
+
+
+def repeated_by_string(pieces: DataFrame, length: int) -> DataFrame:
+    """The same ranges by the counts of each string, so that the pieces of one key lie with many tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, many, blob in zip(*(batch.column(c) for c in ("h1", "h2", "n", "data"))):
+                data = np.frombuffer(blob.as_buffer(), np.uint8)
+                first, second = prefix_hash(data), prefix_hash(data, 1)
+                for lo in range(0, len(data) - length + 1, 1 << 16):
+                    at = np.arange(lo, min(lo + (1 << 16), len(data) - length + 1))
+                    own = [np.full(len(at), v.as_py(), np.int64) for v in (a, b, many)]
+                    columns = [span_hash(first, at, at + length).view(np.int64), span_hash(second, at, at + length).view(np.int64), *own, at.astype(np.int32)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["s1", "s2", "h1", "h2", "n", "at"])
 
-    return pieces.select("key", "h1", "h2", "n", "data").repartition(shards, "key").mapInArrow(run, "h1 long, h2 long, low int, high int")
+    strings = pieces.dropDuplicates(["h1", "h2"]).mapInArrow(run, "s1 long, s2 long, h1 long, h2 long, n long, at int")
+    again = strings.groupBy("s1", "s2").agg(F.sum("n").alias("times")).where("times > 1").select("s1", "s2")
+    found = strings.join(again, ["s1", "s2"]).select("h1", "h2", "at")
+    found = found.withColumn("run", F.col("at") - F.row_number().over(Window.partitionBy("h1", "h2").orderBy("at")))
+    return found.groupBy("h1", "h2", "run").agg(F.min("at").alias("low"), (F.max("at") + 1).alias("high")).drop("run")
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -170,7 +207,7 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def remove_repeats(docs: DataFrame, length: int = 200, digest: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 200, digest: bool = False, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, and kept (binary: the bytes that stay) or with ``digest`` kept_sha256.
 
     Texts are UTF-8 bytes. Every byte goes that a ``length``-byte string covers which also starts anywhere else in the
@@ -183,8 +220,17 @@ def remove_repeats(docs: DataFrame, length: int = 200, digest: bool = False) ->
     reps = open_.groupBy("key", "h1", "h2").agg(F.count("*").alias("n"), F.min(F.struct("did", "th", "start", "count")).alias("at"))
     reps = written(reps.select("key", "h1", "h2", "n", "at.*"), "suffix-pieces")
     size = reps.agg(F.sum(F.col("count") + length)).first()[0] or 0
-    shards = max(shuffle_partitions(docs.sparkSession), -(-size // SHARD_BYTES))
-    ranges = written(repeated_in_shards(cut_pieces(docs, reps, length), length, shards), "suffix-ranges")
+    shards = max(shuffle_partitions(docs.sparkSession), -(-size // shard_bytes))
+    large = reps.groupBy("key").agg(F.sum(F.col("count") + length).alias("size")).where(F.col("size") > shard_bytes).select("key")
+    large = written(large, "suffix-large")
+    pieces = cut_pieces(docs, reps, length)
+    if large.head(1):
+        pieces = written(pieces, "suffix-cut")
+        ranges = repeated_in_shards(pieces.join(large, "key", "left_anti"), length, shards, shard_bytes)
+        ranges = ranges.unionByName(repeated_by_string(pieces.join(large, "key", "left_semi"), length))
+    else:
+        ranges = repeated_in_shards(pieces, length, shards, shard_bytes)
+    ranges = written(ranges, "suffix-ranges")
     spans = open_.join(ranges, ["h1", "h2"]).select("did", "th", (F.col("start") + F.col("low")).alias("lo"), (F.col("start") + F.col("high") + length - 1).alias("hi"))
     spans = spans.groupBy("did", "th").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
 

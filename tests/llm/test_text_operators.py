@@ -367,6 +367,45 @@ def test_suffix_dedup_odd_rows(spark):
     assert suffix_dedup.remove_repeats(frame(spark, [])).collect() == []
 
 
+def test_suffix_dedup_of_a_key_larger_than_a_batch(spark, monkeypatch):
+    """A passage shorter than a string, between unlike words, gives one key many distinct pieces; runs give long ones."""
+    rng = random.Random(15)
+    passage = words(rng, 20)[:60]
+    texts = [f"{words(rng, 30)} {passage} {words(rng, 30)}" for _ in range(60)]
+    texts += [*texts[:5], *(t[7:] + "x" for t in texts[5:9]), *("a" * n for n in (150, 150, 90, 5000)), "ab" * 700, None]
+    sizes, sort = [], suffix_dedup.repeated_in_shards
+    by_string, split = suffix_dedup.repeated_by_string, []
+
+    def seen(pieces, *a):
+        sizes.extend(r.size for r in pieces.groupBy("key").agg(F.sum(F.length("data")).alias("size")).collect())
+        return sort(pieces, *a)
+
+    def strings(pieces, *a):
+        split.append(pieces.count())
+        return by_string(pieces, *a)
+
+    monkeypatch.setattr(suffix_dedup, "repeated_in_shards", seen)
+    monkeypatch.setattr(suffix_dedup, "repeated_by_string", strings)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_dedup.remove_repeats(frame(spark, texts), 80, shard_bytes=2000).collect()}
+    assert [got[i] for i in range(len(texts))] == brute_repeats(texts, 80)
+    assert split[0] > 60 and max(sizes) <= 2000
+
+
+def test_suffix_dedup_batches_of_whole_keys(spark, corpus):
+    whole, cut = (sorted(suffix_dedup.remove_repeats(frame(spark, corpus), 40, digest=True, shard_bytes=b).collect(), key=str) for b in (8 << 20, 700))
+    assert whole == cut
+
+
+def test_induced_sorting_refuses_positions_over_32_bits(monkeypatch, tmp_path):
+    import numpy as np
+
+    from hourcast.llm import induced
+    monkeypatch.setattr(induced, "_TUPLE", np.dtype([("pos", "u1"), ("lcp", "u1")]))
+    text = np.frombuffer(b"a" * 300 + bytes([induced.SEPARATOR, induced.END]) + bytes([induced.PAD]) * (5 + induced.SPARE), np.uint8)
+    with pytest.raises(ValueError, match="32 bits"):
+        induced.repeated_starts(text, str(tmp_path), 5, np.ones(302, bool))
+
+
 def test_induced_sorting_with_queues_on_disk(tmp_path, monkeypatch):
     import numpy as np
 
