@@ -340,6 +340,11 @@ LEFT JOIN (SELECT station_id, max(datetime) AS mx FROM aq WHERE datetime < TIMES
 SQL["advance_watermark"] = with_(O.AQ, O.WEATHER) + """SELECT s.station_id, least(a.mx, (SELECT max(datetime) FROM weather WHERE datetime < TIMESTAMP '2024-01-20 00:00:00')) AS last_data_time
 FROM (SELECT DISTINCT station_id FROM aq) s
 LEFT JOIN (SELECT station_id, max(datetime) AS mx FROM aq WHERE station_id <> 'click' AND (station_id <> 'error' OR datetime < TIMESTAMP '2024-01-15 00:00:00') GROUP BY 1) a USING (station_id)"""
+SQL["high_watermark_all"] = with_(O.AQ) + """SELECT s.station_id, coalesce(a.mx, TIMESTAMP '2024-01-01 00:00:00') AS last_data_time
+FROM (SELECT DISTINCT event_type AS station_id FROM events) s
+LEFT JOIN (SELECT station_id, max(datetime) AS mx FROM aq GROUP BY 1) a USING (station_id)"""
+SQL["advance_watermark_all"] = with_(O.AQ, O.WEATHER) + """SELECT station_id, least(max(datetime), (SELECT max(datetime) FROM weather)) AS last_data_time
+FROM aq GROUP BY 1"""
 SQL["needs_rebuild"] = with_(*_FEAT) + """SELECT r.station_id, (f.mx IS NULL OR r.mx > f.mx) AS needs_rebuild
 FROM (SELECT station_id, max(datetime) AS mx FROM aq GROUP BY 1) r LEFT JOIN (SELECT station_id, max(date) AS mx FROM feat GROUP BY 1) f USING (station_id)"""
 SQL["staleness"] = with_(*_FEAT) + """SELECT station_id, max(date) AS feature_max,
@@ -361,8 +366,13 @@ SQL["inject_future_weather"] = with_(*_FEAT, "lr AS (SELECT f.* FROM feat f JOIN
     "SELECT lr.station_id, lr.date, hz.horizon, " + ", ".join(
         O.r6(f"coalesce(w.{c}, lr.{c})") + f" AS {c}" for c in C.WEATHER_COLUMNS) + \
     " FROM lr CROSS JOIN hz LEFT JOIN weather w ON w.datetime = lr.date + hz.horizon * INTERVAL 1 HOUR"
+SQL["inject_future_weather_all"] = with_(*_FEAT, "hz AS (SELECT CAST(unnest([1, 24, 48, 72]) AS INTEGER) AS horizon)") + \
+    "SELECT f.station_id, f.date, hz.horizon, " + ", ".join(
+        O.r6(f"coalesce(w.{c}, f.{c})") + f" AS {c}" for c in C.WEATHER_COLUMNS) + \
+    " FROM feat f CROSS JOIN hz LEFT JOIN weather w ON w.datetime = f.date + hz.horizon * INTERVAL 1 HOUR"
 SQL["read_weather_json"] = SQL["detect_time_column"]
 SQL["read_weather_forecast"] = SQL["detect_time_column"] + " WHERE datetime >= TIMESTAMP '2024-01-24 00:00:00'"
+SQL["read_weather_forecast_all"] = SQL["detect_time_column"]
 SQL["write_metrics_csv"] = _SELQ + "SELECT station_id, mode, horizon, model, MAE, RMSE, R2, rank_mae, selected_champion FROM sel"
 SQL["write_runtime_csv"] = _SELQ + """SELECT station_id, mode, CAST(horizon AS INTEGER) AS horizon, model, "group", status FROM sel"""
 SQL["read_aq_csv"] = f"""SELECT 'sensor' AS station_id, date_trunc('second', ts) + INTERVAL 7 HOUR AS datetime,

@@ -598,6 +598,22 @@ def q_advance_watermark(spark, sf):
     return ST.advance_watermark(loaded, weather, known)
 
 
+@query("high_watermark_all")
+def q_high_watermark_all(spark, sf):
+    """State of a load of every station-hour."""
+    stations = SP.table(spark, sf, "events").select(F.col("event_type").alias("station_id"))
+    state = SP.aq_hourly(spark, sf).select("station_id", F.col("datetime").alias("last_data_time"))
+    return ST.high_watermark(state, expected=stations)
+
+
+@query("advance_watermark_all")
+def q_advance_watermark_all(spark, sf):
+    """Every station-hour and all weather loaded, beside the state of a load that had each station's first hour."""
+    aq = SP.aq_hourly(spark, sf)
+    known = aq.groupBy("station_id").agg(F.min("datetime").alias("last_data_time"))
+    return ST.advance_watermark(aq, SP.weather_hourly(spark, sf), known)
+
+
 @query("needs_rebuild")
 def q_needs_rebuild(spark, sf):
     raw = SP.aq_hourly(spark, sf).groupBy("station_id").agg(F.max("datetime").alias("max_time"))
@@ -789,6 +805,12 @@ def q_read_weather_forecast(spark, sf):
     return P.rounded(FL.read_weather_forecast(spark, _payload_path(spark, w)))
 
 
+@query("read_weather_forecast_all")
+def q_read_weather_forecast_all(spark, sf):
+    """Forecast documents of every day."""
+    return P.rounded(FL.read_weather_forecast(spark, _weather_payload_path(spark, sf)))
+
+
 @query("append_partitioned")
 def q_append_partitioned(spark, sf):
     lake = _scratch(spark, "lake")
@@ -816,6 +838,14 @@ def q_inject_future_weather(spark, sf):
     return P.rounded(FE.inject_future_weather(rows, SP.weather_hourly(spark, sf)))
 
 
+@query("inject_future_weather_all")
+def q_inject_future_weather_all(spark, sf):
+    """Every feature row at every horizon: the weather ahead is known for all but the last rows."""
+    rows = _features(spark, sf).select("station_id", "date", F.explode(F.array(*[F.lit(h) for h in C.HORIZONS])).alias("horizon"),
+                                       *C.WEATHER_COLUMNS)
+    return P.rounded(FE.inject_future_weather(rows, SP.weather_hourly(spark, sf)))
+
+
 @query("compare_cv")
 def q_compare_cv(spark, sf):
     tv = PR.train_valid_union(_split(spark, sf))
