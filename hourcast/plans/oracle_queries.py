@@ -123,6 +123,13 @@ SQL["window_matrix"] = with_(*BASE) + f"""SELECT station_id, date, split, {O.r6(
          count(*) OVER (w ROWS BETWEEN 168 PRECEDING AND 1 PRECEDING) AS wn
   FROM split WHERE horizon = 24 WINDOW w AS (PARTITION BY station_id ORDER BY pos))
 WHERE wn = 168 AND split IN ('train', 'test')"""
+SQL["window_matrix_all"] = with_(*BASE) + f"""SELECT station_id, horizon, date, split, {O.r6('l1')} AS lag_1, {O.r6('l168')} AS lag_168,
+  {O.r6('ws')} AS window_sum FROM (
+  SELECT *, lag(pm2_5, 1) OVER w AS l1, lag(pm2_5, 168) OVER w AS l168,
+         sum(pm2_5) OVER (w ROWS BETWEEN 168 PRECEDING AND 1 PRECEDING) AS ws,
+         count(*) OVER (w ROWS BETWEEN 168 PRECEDING AND 1 PRECEDING) AS wn
+  FROM split WINDOW w AS (PARTITION BY station_id, horizon ORDER BY pos))
+WHERE wn = 168 AND split IN ('train', 'test')"""
 
 # ---------------------------------------------------------------- AQI and scalar functions
 _EV = "ev AS (SELECT event_id, value FROM events)"
@@ -159,6 +166,17 @@ SQL["time_series_folds"] = with_(*BASE, """tv AS (
               WHEN i < m - floor(m / 6) * 5 + fold * floor(m / 6) THEN 'test' END AS role, floor(m / 6) AS ts
   FROM tv, (SELECT CAST(unnest(range(1, 6)) AS INTEGER) AS fold))
 WHERE role IS NOT NULL AND ts > 0"""
+SQL["oracle_weather_shift_all"] = with_(*_FEAT) + " UNION ALL ".join(f"SELECT station_id, {h} AS horizon, date, " + ", ".join(
+    O.r6(f"lead({c}, {h}) OVER (PARTITION BY station_id ORDER BY pos)") + f" AS {c}" for c in C.WEATHER_COLUMNS) + " FROM feat" for h in C.HORIZONS)
+SQL["time_series_folds_all"] = with_(*BASE, """tv AS (
+  SELECT station_id, horizon, date, row_number() OVER (PARTITION BY station_id, horizon ORDER BY pos) - 1 AS i,
+         count(*) OVER (PARTITION BY station_id, horizon) AS m
+  FROM split WHERE split IN ('train', 'valid'))""") + """SELECT station_id, horizon, date, fold, role FROM (
+  SELECT station_id, horizon, date, fold,
+         CASE WHEN i < m - floor(m / 6) * 5 + (fold - 1) * floor(m / 6) THEN 'train'
+              WHEN i < m - floor(m / 6) * 5 + fold * floor(m / 6) THEN 'test' END AS role, floor(m / 6) AS ts
+  FROM tv, (SELECT CAST(unnest(range(1, 6)) AS INTEGER) AS fold))
+WHERE role IS NOT NULL AND ts > 0"""
 SQL["rolling_origin_windows"] = with_(*_FEAT, """ro AS (
   SELECT station_id, date, pm2_5, row_number() OVER (PARTITION BY station_id ORDER BY pos) - 1 AS i,
          count(*) OVER (PARTITION BY station_id) AS m FROM feat),

@@ -1,6 +1,10 @@
 """Registered queries: (spark, sf_dir) -> DataFrame, one per operator."""
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
+
 from hourcast.plans import common as P
 from hourcast.operators import clean as CL
 from hourcast.sources import panel as SP
@@ -246,17 +250,24 @@ def q_drop_train(spark, sf):
     return P.panel_features(spark, sf, is_inference=False).select("station_id", "date")
 
 
-@query("window_matrix")
-def q_window_matrix(spark, sf):
-    """168-lag windows of the h=24 masked rows, kept for train and test rows."""
-    s = _split(spark, sf).filter(F.col("horizon") == 24)
-    wm = FE.window_matrix(s)
+def _window_rows(spark, sf):
+    """168-lag windows of the masked rows of every horizon, kept for train and test rows."""
+    wm = FE.window_matrix(_split(spark, sf))
     wm = wm.filter(F.col("split").isin("train", "test"))
-    return wm.select("station_id", "date", "split", P.r6(F.col("window")[0]).alias("lag_1"),
+    return wm.select("station_id", "horizon", "date", "split", P.r6(F.col("window")[0]).alias("lag_1"),
                      P.r6(F.col("window")[167]).alias("lag_168"),
                      P.r6(F.aggregate("window", F.lit(0.0), lambda a, x: a + x)).alias("window_sum"))
 
 
+@query("window_matrix")
+def q_window_matrix(spark, sf):
+    """The windows of h=24."""
+    return _window_rows(spark, sf).filter(F.col("horizon") == 24).drop("horizon")
+
+
+REGISTRY["window_matrix_all"] = _window_rows
+
+
 # ---------------------------------------------------------------- AQI and scalar functions
 from hourcast.functions import aqi as AQ  # noqa: E402
 from hourcast.functions import text as TX  # noqa: E402
@@ -326,16 +337,33 @@ from hourcast.operators import prep as PR  # noqa: E402
 from hourcast.operators import baselines as BL  # noqa: E402
 
 
+def _weather_shift(spark, sf, horizon):
+    return PR.oracle_weather_shift(_features(spark, sf), horizon, "oracle_weather")
+
+
 @query("oracle_weather_shift")
 def q_oracle_weather(spark, sf):
-    f = PR.oracle_weather_shift(_features(spark, sf), 24, "oracle_weather")
-    return P.rounded(f.select("station_id", "date", *C.WEATHER_COLUMNS))
+    return P.rounded(_weather_shift(spark, sf, 24).select("station_id", "date", *C.WEATHER_COLUMNS))
+
+
+@query("oracle_weather_shift_all")
+def q_oracle_weather_all(spark, sf):
+    """The shift of every horizon."""
+    parts = [_weather_shift(spark, sf, h).select("station_id", F.lit(h).alias("horizon"), "date", *C.WEATHER_COLUMNS)
+             for h in C.HORIZONS]
+    return P.rounded(reduce(DataFrame.unionByName, parts))
+
+
+@query("time_series_folds_all")
+def q_folds_all(spark, sf):
+    """The folds of every horizon."""
+    s = PR.train_valid_union(_split(spark, sf)).drop("idx", "n")
+    return PR.time_series_folds(s).select("station_id", "horizon", "date", "fold", "role")
 
 
 @query("time_series_folds")
 def q_folds(spark, sf):
-    s = PR.train_valid_union(_split(spark, sf).filter(F.col("horizon") == 24)).drop("idx", "n")
-    return PR.time_series_folds(s).select("station_id", "date", "fold", "role")
+    return q_folds_all(spark, sf).filter(F.col("horizon") == 24).drop("horizon")
 
 
 @query("rolling_origin_windows")
@@ -884,14 +912,17 @@ def q_champion_entry(spark, sf):
 
 @query("write_model")
 def q_write_model(spark, sf):
-    """Pooled Spark ML ridge for h=1 saved and loaded back through the candidate list."""
-    s = _split(spark, sf).filter(F.col("horizon") == 1)
-    model = MOD.spark_ml_linear(C.FEATURES, reg=0.1).fit(s.filter(F.col("split") == "train"))
-    path = _scratch(spark, "model")
-    FL.write_model(model, path)
-    label, loaded = FL.read_model([("champion", path + "-missing"), ("legacy", path)])
-    out = loaded.transform(s.filter(F.col("split") == "test"))
-    return P.rounded(out.select("station_id", "date", "y", "yhat", F.lit(label).alias("source")))
+    """Pooled Spark ML ridge of each horizon saved and loaded back through the candidate list."""
+    parts = []
+    for h in C.HORIZONS:
+        s = _split(spark, sf).filter(F.col("horizon") == h)
+        model = MOD.spark_ml_linear(C.FEATURES, reg=0.1).fit(s.filter(F.col("split") == "train"))
+        path = _scratch(spark, f"model-t{h}")
+        FL.write_model(model, path)
+        label, loaded = FL.read_model([("champion", path + "-missing"), ("legacy", path)])
+        out = loaded.transform(s.filter(F.col("split") == "test"))
+        parts.append(out.select("station_id", "horizon", "date", "y", "yhat", F.lit(label).alias("source")))
+    return P.rounded(reduce(DataFrame.unionByName, parts))
 
 
 @query("read_model")

@@ -35,3 +35,9 @@ def test_forecasts_cover_every_hour_and_feature_row(spark):
         hits += ahead is not None
         assert abs(r[c] - (now[r.station_id, r.date] if ahead is None else ahead)) < 2e-6
     assert 0 < hits < rows.count() * len(C.HORIZONS)
+
+
+def test_every_horizon_is_served(spark):
+    for name in ("window_matrix_all", "time_series_folds_all", "oracle_weather_shift_all", "write_model"):
+        got = REGISTRY[name](spark, SF001)
+        assert {r.horizon for r in got.select("horizon").distinct().collect()} == set(C.HORIZONS), name
