@@ -1,4 +1,5 @@
 """Vector operators, archives and the pipeline against brute force."""
+import gzip
 import hashlib
 import random
 import uuid
@@ -131,6 +132,40 @@ def test_both_arc_versions_and_warc_headers(spark, tmp_path):
     assert all(h["warc-refers-to"] in ids for h in heads if h["warc-type"] == "revisit")
 
 
+@pytest.mark.parametrize("version", [1, 2])
+def test_archives_of_others(spark, tmp_path, version):
+    """Hand-made .arc.gz with a gzip member per record and payloads that are no UTF-8, converted, and read from .warc.gz."""
+    image, latin = bytes(range(256)) * 3 + b"\r\n\r\n\n", "caf\xe9".encode("latin-1")
+    head = b"HTTP/1.0 200 OK\r\nContent-Type: image/png\r\n\r\n"
+    rest = "" if version == 1 else " 200 - - 0 x.arc"
+    rows = [("http://a/i.png", "192.0.2.7", "image/png", head + image), ("dns:a", "0.0.0.0", "text/dns", latin), ("http://b/?#page_id=x", "192.0.2.8", "no-type", latin)]
+    about = f"{version} 0 x\n{warc.ARC_FIELDS[version]}\n".encode()
+    records = [f"filedesc://x.arc 0.0.0.0 19990102030405 text/plain{rest} {len(about)}\n".encode() + about + b"\n"]
+    records += [f"{u} {ip} 19990102030405 {mime}{rest} {len(block)}\n".encode() + block + b"\n" for u, ip, mime, block in rows]
+    arc, out, again = tmp_path / "arc", tmp_path / "warc", tmp_path / "again"
+    arc.mkdir()
+    again.mkdir()
+    (arc / "IA-0001.arc.gz").write_bytes(b"".join(gzip.compress(r) for r in records))
+    warc.convert_arc(spark, str(arc), str(out))
+    found = [x for r in warc._archives(spark, str(out)).collect() for x in warc.parse_warc(gzip.decompress(bytes(r.content)))]
+    heads = {f["warc-target-uri"]: (f["warc-type"], f["content-type"], f.get("warc-ip-address"), block) for f, block in found}
+    assert heads == {"http://a/i.png": ("response", "application/http; msgtype=response", "192.0.2.7", head + image),
+                     "dns:a": ("resource", "text/dns", None, latin), "http://b/?#page_id=x": ("resource", "application/octet-stream", "192.0.2.8", latin)}
+    assert len({f["warc-record-id"] for f, _ in found}) == 3
+    info = b"WARC/1.0\r\nWARC-Type: warcinfo\r\nContent-Length: 2\r\n\r\nok\r\n\r\n"
+    members = ["\r\n".join(["WARC/1.0", *(f"{k}: {v}" for k, v in f.items())]).encode() + b"\r\n\r\n" + block + b"\r\n\r\n" for f, block in found]
+    (again / "x.warc.gz").write_bytes(b"".join(gzip.compress(m) for m in [info, *members]))
+    got = {r.url: (r.record_type, bytes(r.payload)) for r in warc.read_warc(spark, str(again)).collect()}
+    assert got == {None: ("warcinfo", b"ok"), "http://a/i.png": ("response", image), "dns:a": ("resource", latin), "http://b/?#page_id=x": ("resource", latin)}
+
+
+def test_gzip_file_cut_short_is_an_error():
+    whole = gzip.compress(b"a" * 10) + gzip.compress(b"b" * 10)
+    assert warc._inflated(memoryview(whole)) == b"a" * 10 + b"b" * 10
+    with pytest.raises(ValueError, match="without end"):
+        warc._inflated(memoryview(whole[:-3]))
+
+
 @pytest.mark.parametrize("blob,what", [(b"x 1\nab", "version block"), (b"filedesc://a 0 0 t 9\n1 0 x\nab", "shorter"), (b"filedesc://a 0 0 t 6\n1 0 x\n\nhttp://x 0 text 2\nab\n", "fields")])
 def test_broken_arc_files_are_errors(blob, what):
     with pytest.raises(ValueError, match=what):
