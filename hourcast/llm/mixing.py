@@ -75,11 +75,13 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def repeated(docs: DataFrame) -> DataFrame:
     """``docs`` as the mix takes them: each document as often as the mix begins it, one that it never begins not at all.
 
-    A document is not split: the one at a source's cut stays whole. Rows that share a doc_id are taken alike, as often
-    as the most taken of them.
+    A document is not split: the one at a source's cut stays whole. One without words is taken as often as its source
+    is in full, once in a source that has no words at all. Rows that share a doc_id are taken alike, as often as the
+    most taken of them.
     """
-    whole = F.when(F.col("size") > 0, F.ceil(F.col("taken") / F.col("size"))).otherwise(0)
-    copies = mix_sources(docs).where("taken > 0").groupBy("doc_id").agg(F.max(whole).cast("int").alias("copies"))
+    full = F.when(F.col("source_size") > 0, F.expr("cast(floor(target + 0.5) as bigint) div source_size")).otherwise(1)
+    whole = F.when(F.col("size") > 0, F.ceil(F.col("taken") / F.col("size"))).otherwise(full)
+    copies = mix_sources(docs).groupBy("doc_id").agg(F.max(whole).cast("int").alias("copies")).where("copies > 0")
     rows = docs.alias("d").join(copies.alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")))
     return rows.select("d.*", F.explode(F.sequence(F.lit(1), "copies")).alias("__copy")).drop("__copy")
 

@@ -218,6 +218,16 @@ def test_mixing_odd_inputs(spark):
 
 
 # ---- toxicity ----------------------------------------------------------------------------------------------------------
+def test_mixing_keeps_documents_without_words(spark):
+    """Sources of 1, 5, 5 and 0 words."""
+    texts, sources = ["one", None, " ", "a b c d e", "", "f g h i j", "\n", None], list("aaabbccd")
+    docs = frame(spark, texts, sources=sources)
+    of = {r.source: 1 if not r.source_size else int(r.target + 0.5) // r.source_size for r in mixing.mix_sources(docs).collect()}
+    got = Counter(r.doc_id for r in mixing.repeated(docs).collect())
+    assert {i: got[i] for i in (1, 2, 4, 6, 7)} == {1: of["a"], 2: of["a"], 4: of["b"], 6: of["c"], 7: 1}
+    assert of["a"] > 0 and got[0] >= of["a"]
+
+
 def test_toxicity_learns_from_document_labels_and_finds_the_sentences(spark):
     rng = random.Random(6)
     texts, labels = [], []
