@@ -698,7 +698,7 @@ def q_refit_full(spark, sf):
 
 @query("benchmark")
 def q_benchmark(spark, sf):
-    """Baselines and every model spec, tuned where the published run tunes, metrics and champion rule."""
+    """Baselines and every model spec (XGBoost is the only boosted one), the linear ones tuned, metrics and champion rule."""
     met, _ = PMOD.benchmark(_split(spark, sf), PMOD.model_specs(), BM.baseline_metrics(_features(spark, sf)), tune=True, memo=(sf,))
     return met.select("station_id", "mode", "horizon", "model", "group", "complexity_rank", "MAE", "RMSE", "R2",
                       "n_test", "rank_mae", "selected_champion")
