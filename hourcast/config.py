@@ -174,12 +174,12 @@ SKIPPED_MODELS = [
     ("TFT", _NO_NEURAL),
 ]
 
-# --- fixed values: published sizes of the tree models --------------------------
+# --- fixed values: published sizes of the tree models, and the defaults of their trainers -----
 TREE_PRESETS = {
-    "RandomForest": dict(kind="rf", numTrees=300, maxDepth=12, minInstancesPerNode=2, featureSubsetStrategy="all"),
-    "ExtraTrees": dict(kind="rf", numTrees=300, maxDepth=12, minInstancesPerNode=2, bootstrap=False, featureSubsetStrategy="onethird"),
-    "XGBoost": dict(kind="gbt", maxIter=500, maxDepth=6, stepSize=0.03, subsamplingRate=0.8, featureSubsetStrategy="0.8"),
-    "LightGBM": dict(kind="gbt", maxIter=500, maxDepth=6, stepSize=0.03, subsamplingRate=0.8, featureSubsetStrategy="0.8"),
-    "CatBoost": dict(kind="gbt", maxIter=500, maxDepth=6, stepSize=0.03),
+    "RandomForest": dict(trees=300, depth=12, min_leaf=2, bootstrap=True, parts=4),
+    "ExtraTrees": dict(trees=300, depth=12, min_leaf=2, random_cuts=True, parts=4),
+    "XGBoost": dict(trees=500, depth=6, rate=0.03, rows=0.8, columns=0.8, l2=1.0, min_leaf=1),
+    "LightGBM": dict(trees=500, depth=6, rate=0.03, columns=0.8, growth="leaf", leaves=31, min_leaf=20),
+    "CatBoost": dict(trees=500, depth=6, rate=0.03, l2=3.0, growth="oblivious"),
 }
 ELASTIC_NET_MAX_ITER = 10_000

@@ -9,8 +9,7 @@ partials are summed by a small shuffle on (key, i, j), and each key's
 data, no per-station driver loop, no group ever collected into one task.
 Predictions are column expressions (coefficients joined by key).
 
-Tree ensembles use Spark ML estimators (distributed training), pooled over the
-series of a horizon.
+Tree ensembles are in ``trees.py``.
 """
 from __future__ import annotations
 
@@ -256,19 +255,7 @@ def arma_regression(train: DataFrame, test: DataFrame, features: list[str], keys
     return out.withColumn("yhat", fc).drop("_xb", "_l", "_tmax", "phi", "theta")
 
 
-# ---------------------------------------------------------------- Spark ML trees
-def tree_pipeline(name: str, features: list[str], seed: int = C.RANDOM_SEED):
-    """Spark ML pipeline of a published tree preset, at its published size."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-    cfg = dict(C.TREE_PRESETS[name])
-    kind = cfg.pop("kind")
-    common = dict(featuresCol="features", labelCol="y", predictionCol="yhat", seed=seed, maxBins=64)
-    est = (RandomForestRegressor if kind == "rf" else GBTRegressor)(**common, **cfg)
-    return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features", handleInvalid="skip"), est])
-
-
+# ---------------------------------------------------------------- pooled Spark ML model
 def spark_ml_linear(features: list[str], reg: float = 0.0, enet: float = 0.0):
     """Pooled Spark ML linear model (for serving / persistence)."""
     from pyspark.ml import Pipeline

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from hourcast import config as C
 from hourcast.config import KEY
 from hourcast.operators import models as M
+from hourcast.operators import trees as T
 from hourcast.operators.features import window_matrix
 from hourcast.operators.metrics import regression_metrics
 from hourcast.operators.prep import train_valid_union
@@ -95,24 +96,21 @@ def _arma():
     return build
 
 
+def tree_models(rows: DataFrame, params: T.TreeParams, keys=tuple(KEYS)) -> DataFrame:
+    """Model table of one ensemble per series of ``rows``."""
+    keys = list(keys)
+    cuts = materialize(T.cut_values(rows.dropna(subset=[*C.FEATURES, "y"]), C.FEATURES, keys), "tree-cuts")
+    blocks = materialize(T.binned_blocks(rows, C.FEATURES, keys, cuts), "tree-blocks")
+    return materialize(T.fit_trees(blocks, cuts, params, keys), "tree-models")
+
+
 def _tree(preset):
     def build(split, tune=False, name=""):
-        """One ensemble per horizon, pooled over its series; the horizons are fitted side by side."""
-        from concurrent.futures import ThreadPoolExecutor
-
-        from pyspark import inheritable_thread_target
-
-        def one(h):
-            s = split.filter(F.col("horizon") == h)
-            model = M.tree_pipeline(preset, C.FEATURES).fit(s.filter(F.col("split") == "train"))
-            return model.transform(s.filter(F.col("split") == "test"))
-
-        with ThreadPoolExecutor(len(C.HORIZONS)) as pool:
-            parts = list(pool.map(inheritable_thread_target(split.sparkSession)(one), C.HORIZONS))
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out.select(*[c for c in PRED if c != "model"], F.lit("").alias("best_params"))
+        """One ensemble per series, all of them grown by the same jobs."""
+        models = tree_models(split.filter(F.col("split") == "train"), T.params_of(preset))
+        test = split.filter(F.col("split") == "test")
+        pred = T.predict_trees(test, models, C.FEATURES, KEYS, ["date", "y"])
+        return pred.select(*[c for c in PRED if c != "model"], F.lit("").alias("best_params"))
     return build
 
 
@@ -130,7 +128,9 @@ def model_specs(include_trees: bool = True) -> list[ModelSpec]:
     if include_trees:
         specs += [ModelSpec("RandomForest", "tabular_tree", 2, _tree("RandomForest")),
                   ModelSpec("ExtraTrees", "tabular_tree", 2, _tree("ExtraTrees")),
-                  ModelSpec("XGBoost", "tabular_boosting", 2, _tree("XGBoost"))]
+                  ModelSpec("XGBoost", "tabular_boosting", 2, _tree("XGBoost")),
+                  ModelSpec("LightGBM", "tabular_boosting", 2, _tree("LightGBM")),
+                  ModelSpec("CatBoost", "tabular_boosting", 2, _tree("CatBoost"))]
     return specs
 
 
