@@ -35,7 +35,7 @@ def main() -> None:
     # flagship: persistence metrics per station x horizon
     timed("persistence_metrics", lambda: REGISTRY["persistence_metrics"](spark, sf_dir))
     # all baselines -> metrics -> ranking -> champion rule
-    timed("baseline_selection", lambda: BM.baseline_selection(P.panel_features(spark, sf_dir)))
+    timed("baseline_selection", lambda: BM.baseline_selection(P.panel_split(spark, sf_dir)))
     # per-series linear models from one Gram pass
     split = P.panel_split(spark, sf_dir)
     specs = {s.name: s for s in PM.model_specs()}
@@ -44,8 +44,10 @@ def main() -> None:
     timed("elastic_net", lambda: specs["ElasticNet"].build(split, False, "ElasticNet"))
     timed("window_ridge_168h", lambda: specs["WindowRidge_168h"].build(split, False, "WindowRidge_168h"))
     timed("arma_regression", lambda: specs["SARIMAX"].build(split, False, "SARIMAX"))
-    # trees at the published size (300 trees), pooled per horizon
+    # trees at their published sizes, one ensemble per series
     timed("random_forest_300", lambda: specs["RandomForest"].build(split, False, "RandomForest"))
+    timed("extra_trees_300", lambda: specs["ExtraTrees"].build(split, False, "ExtraTrees"))
+    timed("xgboost_500", lambda: specs["XGBoost"].build(split, False, "XGBoost"))
     # analysis and serving
     for q in ("acf", "spearman_matrix", "seasonal_decompose", "backtest_k1_k3", "latest_actual",
               "nowcast_validation"):

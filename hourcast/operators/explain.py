@@ -229,6 +229,7 @@ def importance_of(test: DataFrame, models: DataFrame, features: list[str], predi
             x[:, int(j)] = column
         return pd.DataFrame(out, columns=columns)
 
+    side, rows = T.spread(side, *[f"_{k}" for k in KEYS], "__blk"), T.spread(rows, *KEYS, "_blk")
     parts = side.groupBy(*[f"_{k}" for k in KEYS], "__blk").cogroup(rows.groupBy(*KEYS, "_blk")).applyInPandas(
         score, f"{kinds}, rep int, fi int, n long, sy double, syy double, sse double")
     total = parts.groupBy(*KEYS, "rep", "fi").agg(*[F.sum(c).alias(c) for c in ("n", "sy", "syy", "sse")])

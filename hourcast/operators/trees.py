@@ -394,7 +394,11 @@ def fit_trees(blocks: DataFrame, cuts: DataFrame, p: TreeParams, keys: list[str]
         made = fit_series(bins, row, y, c, p, int(head["first"].iloc[0]), int(head["trees"].iloc[0]))
         return pd.DataFrame([{k: pdf[k].iloc[0] for k in keys} | made], columns=names)
 
-    head = short.toDF(*[f"_{k}" for k in keys], "values", "first", "trees")
+    # a model costs far more than its bytes tell: it gets a partition, which is not merged with others for its size
+    spark = blocks.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(4 * n_parts * cuts.count(), 32 * spark.sparkContext.defaultParallelism))
+    work = work.repartition(n, *keys, "first")
+    head = short.toDF(*[f"_{k}" for k in keys], "values", "first", "trees").repartition(n, *[f"_{k}" for k in keys], "first")
     out = head.groupBy(*[f"_{k}" for k in keys], "first").cogroup(work.groupBy(*keys, "first")).applyInPandas(fit, f"{_key_types(blocks, keys)}, {MODEL}")
     long = cuts.filter(F.col("n") > TASK_ROWS)
     if long.isEmpty():
@@ -644,6 +648,12 @@ def _keeping(blocks: DataFrame, series: list[dict], keys: list[str], n_features:
 
 
 # ---------------------------------------------------------------- predictions
+def spread(df: DataFrame, *cols: str) -> DataFrame:
+    """``df`` by these columns in partitions that are not merged for their size: trees cost more than bytes tell."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism), *cols)
+
+
 def leaves_of(m, x: np.ndarray, roots: np.ndarray) -> np.ndarray:
     """Leaf of each row in each tree, [row, tree]."""
     feature, threshold, left = (np.asarray(m[k]) for k in ("feature", "threshold", "left"))
@@ -680,6 +690,7 @@ def by_block(rows: DataFrame, models: DataFrame, features: list[str], keys: list
             return pd.DataFrame(columns=[c.split()[0].strip("`") for c in schema.split(", ")])
         return apply(m, r[[*keys, *keep]], r[[f"_x{j}" for j in range(len(features))]].to_numpy(float))
 
+    heads, d = spread(heads, *[f"_{k}" for k in keys], "__blk"), spread(d, *keys, "_blk")
     return heads.groupBy(*[f"_{k}" for k in keys], "__blk").cogroup(d.groupBy(*keys, "_blk")).applyInPandas(run, schema)
 
 

@@ -31,7 +31,9 @@ def with_model_meta(metrics: DataFrame, mode: str = "operational") -> DataFrame:
 
 
 def baseline_metrics(features: DataFrame, horizons=None, mode: str = "operational") -> DataFrame:
-    preds = baseline_predictions(split_all(features, horizons), horizons)
+    """Metrics of the baselines on a feature table, or on one that is split already."""
+    split = features if "split" in features.columns else split_all(features, horizons)
+    preds = baseline_predictions(split, horizons)
     return with_model_meta(regression_metrics(preds), mode)
 
 

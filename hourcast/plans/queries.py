@@ -97,13 +97,13 @@ def q_regression_metrics(spark, sf):
 
 @query("rank_models")
 def q_rank_models(spark, sf):
-    m = BM.baseline_metrics(_features(spark, sf))
+    m = BM.baseline_metrics(_split(spark, sf))
     return SEL.rank_models(m).select("station_id", "mode", "horizon", "model", "MAE", "rank_mae")
 
 
 @query("select_champion")
 def q_select_champion(spark, sf):
-    m = BM.baseline_selection(_features(spark, sf))
+    m = BM.baseline_selection(_split(spark, sf))
     return m.select("station_id", "mode", "horizon", "model", "MAE", "rank_mae", "selected_champion")
 
 
@@ -419,7 +419,7 @@ def q_recall(spark, sf):
 
 
 def _selection(spark, sf):
-    return BM.baseline_selection(_features(spark, sf))
+    return BM.baseline_selection(_split(spark, sf))
 
 
 SEL_COLS = ["station_id", "mode", "horizon", "model", "group", "MAE", "rank_mae", "selected_champion"]
@@ -448,15 +448,15 @@ def q_combined(spark, sf):
 
 @query("compare_models")
 def q_compare(spark, sf):
-    return SEL.compare_models(BM.baseline_metrics(_features(spark, sf))).select(
+    return SEL.compare_models(BM.baseline_metrics(_split(spark, sf))).select(
         "station_id", "horizon", "model", "MAE", "avg_rank")
 
 
 @query("metrics_union")
 def q_metrics_union(spark, sf):
-    f = _features(spark, sf)
-    a = BM.baseline_metrics(f, mode="operational")
-    b = BM.baseline_metrics(f, mode="oracle_weather")
+    s = _split(spark, sf)
+    a = BM.baseline_metrics(s, mode="operational")
+    b = BM.baseline_metrics(s, mode="oracle_weather")
     return SEL.metrics_union(a, b).select("mode", "station_id", "horizon", "model", "MAE", "RMSE", "R2", "n_test")
 
 
@@ -678,6 +678,7 @@ for _qid, _name, _tune in (("ridge", "Ridge", False), ("elastic_net", "ElasticNe
                            ("fourier_regression", "FourierRegression", False),
                            ("arma_regression", "SARIMAX", False), ("random_forest", "RandomForest", False),
                            ("extra_trees", "ExtraTrees", False), ("gbt", "XGBoost", False),
+                           ("gbt_leafwise", "LightGBM", False), ("gbt_oblivious", "CatBoost", False),
                            ("tune", "Ridge", True), ("fit_predict", "ElasticNet", True)):
     REGISTRY[_qid] = _model_query(_name, _tune)
 
@@ -698,8 +699,8 @@ def q_refit_full(spark, sf):
 
 @query("benchmark")
 def q_benchmark(spark, sf):
-    """Baselines and every model spec (XGBoost is the only boosted one), the linear ones tuned, metrics and champion rule."""
-    met, _ = PMOD.benchmark(_split(spark, sf), PMOD.model_specs(), BM.baseline_metrics(_features(spark, sf)), tune=True, memo=(sf,))
+    """Baselines and every model spec, the linear ones tuned, metrics and champion rule."""
+    met, _ = PMOD.benchmark(_split(spark, sf), PMOD.model_specs(), BM.baseline_metrics(_split(spark, sf)), tune=True, memo=(sf,))
     return met.select("station_id", "mode", "horizon", "model", "group", "complexity_rank", "MAE", "RMSE", "R2",
                       "n_test", "rank_mae", "selected_champion")
 
@@ -732,6 +733,7 @@ def q_stream_append(spark, sf):
 
 # ---------------------------------------------------------------- explainability (rows-only; additivity in tests)
 from hourcast.operators import explain as EX  # noqa: E402
+from hourcast.operators import trees as MOD_T  # noqa: E402
 
 
 def _ridge_fit(spark, sf):
@@ -759,6 +761,35 @@ def q_perm_importance(spark, sf):
     return P.rounded(EX.permutation_importance(s.filter(F.col("split") == "test"), coefs, C.FEATURES))
 
 
+def _boosted(spark, sf):
+    s = _split(spark, sf)
+    return s, PMOD.tree_models(s.filter(F.col("split") == "train"), MOD_T.params_of("XGBoost"))
+
+
+@query("shapley_summary_trees")
+def q_shap_summary_trees(spark, sf):
+    """Mean attributions of the boosted model of every series over its test rows."""
+    s, models = _boosted(spark, sf)
+    return P.rounded(EX.shapley_summary(EX.shapley_trees(s.filter(F.col("split") == "test"), models, C.FEATURES)))
+
+
+@query("shapley_extreme_row_trees")
+def q_shap_extreme_trees(spark, sf):
+    s, models = _boosted(spark, sf)
+    return P.rounded(EX.shapley_trees(EX.extreme_rows(s.filter(F.col("split") == "test"), C.FEATURES), models, C.FEATURES))
+
+
+@query("permutation_importance_models")
+def q_perm_importance_models(spark, sf):
+    """Of the ridge and the boosted model of every series, by the same shuffles."""
+    s, models = _boosted(spark, sf)
+    test = s.filter(F.col("split") == "test")
+    _, _, coefs = _ridge_fit(spark, sf)
+    ridge = EX.importance_of(test, coefs.select("station_id", "horizon", "intercept", "coef"), C.FEATURES, EX.predict_coefficients)
+    trees = EX.importance_of(test, models, C.FEATURES, MOD_T.predicted)
+    return P.rounded(ridge.withColumn("model", F.lit("Ridge")).unionByName(trees.withColumn("model", F.lit("XGBoost"))))
+
+
 # ---------------------------------------------------------------- model serving
 @query("forecast_horizons")
 def q_forecast_horizons(spark, sf):
@@ -971,6 +1002,6 @@ def q_write_metrics_csv(spark, sf):
 @query("write_runtime_csv")
 def q_write_runtime_csv(spark, sf):
     path = _scratch(spark, "runtime-csv")
-    FL.write_runtime_csv(BM.baseline_metrics(_features(spark, sf)), path)
+    FL.write_runtime_csv(BM.baseline_metrics(_split(spark, sf)), path)
     r = spark.read.option("header", True).csv(path)
     return r.select("station_id", "mode", F.col("horizon").cast("int").alias("horizon"), "model", "group", "status")
