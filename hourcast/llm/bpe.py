@@ -1,13 +1,11 @@
 """BPE encoding and decoding by dynamic programming over prefixes.
 
-Every prefix of a pre-token has exactly one last token in its BPE encoding. An automaton gives the vocabulary tokens
-that end at each position; the last token of a prefix is the one that is compatible with the last token of the rest
-before it, and following these back-pointers from the end gives the exact ids. Two tokens are compatible if undoing
-their merges, latest first, never meets a merge across their border that would have come earlier.
+Every prefix of a pre-token has exactly one last token in its BPE encoding (see ``prefix_table``). Two tokens are
+compatible if undoing their merges, latest first, never meets a merge across their border that would have come earlier.
 
 The normalizer and the pre-tokenizer are those of the tokenizer's file. White space never joins two pre-tokens and is
-dropped, so a text is encoded by its white-space-free chunks, and each task keeps the chunks it has met (a bounded
-number of them).
+dropped, so a text is encoded by its white-space-free chunks, and each task keeps what it has met (two generations of
+bounded size). The pre-tokens of many texts that are new to a task are encoded in sorted order.
 """
 from __future__ import annotations
 
@@ -16,18 +14,18 @@ import json
 import re
 from collections.abc import Iterator
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from hourcast.llm.prefix_table import Met, PrefixTable, slices
 from hourcast.llm.store import table
 
 WORD_END = "</w>"
 _SHIFT = 0x1000
+#: In front of special tokens; no byte-level character.
+_SPECIAL = "\0"
 _NEVER = 1 << 60
-#: Chunks, pre-tokens and token pairs that a worker keeps before it starts anew.
-KEPT = 120_000
 _ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _SPACES = re.compile("[\t-\r \x85\xa0  -     　]+")
@@ -53,12 +51,7 @@ class PrefixEncoder:
             if made not in self.rank:
                 self.rank[made], self.parts[made] = rank, pair
         self.ids = {self.symbols(t): i for t, i in vocab.items()}
-        self.matches = ahocorasick.Automaton()
-        for symbols, i in self.ids.items():
-            if self.reachable(i):
-                self.matches.add_word(symbols, (len(symbols), i))
-        self.matches.make_automaton()
-        self.pairs: dict[int, bool] = {}
+        self.table = PrefixTable({symbols: i for symbols, i in self.ids.items() if self.reachable(i)}, self.fits)
 
     @staticmethod
     def symbols(token: str) -> str:
@@ -95,36 +88,16 @@ class PrefixEncoder:
             else:
                 return True
 
+    def fits(self, before: int, token: int) -> bool:
+        """Whether a token may follow another; those of the table stand alone anyway."""
+        return before < 0 or self.border_holds(before, token)
+
+    def encode_all(self, pieces: list[str]) -> Iterator[list[int]]:
+        """Ids of sorted pre-tokens in byte-level characters, whose last character ends a word."""
+        return self.table.encode_all(piece[:-1] + chr(ord(piece[-1]) + _SHIFT) for piece in pieces)
+
     def encode(self, piece: str) -> list[int]:
-        """Ids of a pre-token in byte-level characters, whose last character ends a word."""
-        if not piece:
-            return []
-        piece = piece[:-1] + chr(ord(piece[-1]) + _SHIFT)
-        last, pairs = [-1] * (len(piece) + 1), self.pairs
-        sizes = [0] * (len(piece) + 1)
-        for at, (size, token) in self.matches.iter(piece):
-            end = at + 1
-            if last[end] >= 0:
-                continue
-            begin = end - size
-            if begin:
-                before = last[begin]
-                if before < 0:
-                    continue
-                key = before << 32 | token
-                fits = pairs.get(key)
-                if fits is None:
-                    if len(pairs) > 2 * KEPT:
-                        pairs.clear()
-                    fits = pairs[key] = self.border_holds(before, token)
-                if not fits:
-                    continue
-            last[end], sizes[end] = token, size
-        out, end = [], len(piece)
-        while end:
-            out.append(last[end])
-            end -= sizes[end]
-        return out[::-1]
+        return next(self.encode_all([piece])) if piece else []
 
 
 class Coder:
@@ -143,40 +116,48 @@ class Coder:
         self.ascii = made["normalizer"] == _NORMALIZER and made["pre_tokenizer"] == _PRE_TOKENIZER
         self.special = {t["content"]: t["id"] for t in made["added_tokens"]}
         self.tokens = self.bpe.text | {i: t for t, i in self.special.items()}
+        self.number, self.spaced = {i: f"{i} " for i in self.tokens}, {i: f"{t} " for i, t in self.tokens.items()}
+        self.special_starts = {t[0] for t in self.special}
+        self.special_written = {_SPECIAL + t: self.written([i]) for t, i in self.special.items()}
         self.special_at = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.pieces: dict[str, list[int]] = {}
-        self.chunks: dict[str, tuple[int, str, str, bytes]] = {}
-
-    def chunk_ids(self, chunk: str) -> list[int]:
-        ids: list[int] = []
+        self.pieces, self.chunks = Met(self.pieces_made), Met(self.chunks_made)
+
+    def written(self, ids: list[int]) -> tuple[str, str]:
+        """Ids, each followed by a space, and their tokens likewise."""
+        return "".join([self.number[i] for i in ids]), "".join([self.spaced[i] for i in ids])
+
+    def pieces_made(self, pieces: list[str]) -> dict[str, tuple[str, str]]:
+        return {p: self.written(ids) for p, ids in zip(pieces, self.bpe.encode_all(pieces))}
+
+    def split_chunk(self, chunk: str) -> list[str]:
+        """A chunk's pre-tokens, and marked special tokens between them."""
+        if self.ascii and chunk.isascii():
+            if chunk.isalpha():
+                return [chunk.lower()]
+            if chunk.isprintable() and not self.special_starts.intersection(chunk):
+                return _ASCII_PIECES.findall(chunk.lower())
+        out: list[str] = []
         for part in self.special_at.split(chunk) if self.special_at else [chunk]:
             if part in self.special:
-                ids.append(self.special[part])
+                out.append(_SPECIAL + part)
             elif part:
-                plain = self.ascii and part.isascii() and part.isprintable()
-                for piece in _ASCII_PIECES.findall(part.lower()) if plain else [p for p, _ in self.split(self.normalize(part))]:
-                    found = self.pieces.get(piece)
-                    if found is None:
-                        if len(self.pieces) > KEPT:
-                            self.pieces.clear()
-                        found = self.pieces[piece] = self.bpe.encode(piece)
-                    ids += found
-        return ids
-
-    def coded(self, text: str) -> list[tuple[int, str, str, bytes]]:
-        """For each chunk of the text: number of ids, the ids and their tokens joined by spaces, the ids as int32."""
-        out, chunks = [], self.chunks
-        for chunk in _SPACES.split(text) if _ODD_SPACE.search(text) else text.split():
-            found = chunks.get(chunk)
-            if found is None:
-                if len(chunks) > KEPT:
-                    chunks.clear()
-                ids = self.chunk_ids(chunk)
-                found = chunks[chunk] = (len(ids), " ".join(map(str, ids)), " ".join([self.tokens[i] for i in ids]), np.array(ids, np.int32).tobytes())
-            if found[0]:
-                out.append(found)
+                out += [p for p, _ in self.split(self.normalize(part)) if p]
         return out
 
+    def chunks_made(self, chunks: list[str]) -> dict[str, tuple[str, str]]:
+        """For each chunk its ids, each followed by a space, and its tokens likewise."""
+        rows = [self.split_chunk(chunk) for chunk in chunks]
+        found = self.pieces.of([[p for p in row if not p.startswith(_SPECIAL)] for row in rows])
+        found.update(self.special_written)
+        return {chunk: found[row[0]] if len(row) == 1 else ("".join([found[p][0] for p in row]), "".join([found[p][1] for p in row]))
+                for chunk, row in zip(chunks, rows)}
+
+    def coded(self, texts: list[str]) -> Iterator[list[tuple[str, str]]]:
+        """For each text the ids and tokens of its chunks."""
+        rows = [_SPACES.split(text) if _ODD_SPACE.search(text) else text.split() for text in texts]
+        found = self.chunks.of(rows)
+        return ([found[c] for c in row] for row in rows)
+
 
 _coders: dict[int, Coder] = {}
 
@@ -200,25 +181,29 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, outputs: tuple[str, .
         source = docs.sparkSession.sparkContext.broadcast(f.read())  # one vocabulary: a few MB at any input size
     kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def made(output: str, rows: list[list[tuple]]) -> pa.Array:
-        if output == "ids":
-            values = np.frombuffer(b"".join([c[3] for row in rows for c in row]), np.int32)
-            ends = np.cumsum([0] + [sum([c[0] for c in row]) for row in rows])
-            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
-        place = 1 if output == "ids_sha256" else 2
-        joined = (" ".join([c[place] for c in row]) for row in rows)
-        if output == "decoded":
-            return pa.array(list(joined), pa.string())
-        return pa.array([hashlib.sha256(x.encode("utf-8", "surrogatepass")).hexdigest() for x in joined], pa.string())
+    def sha256(text: str) -> str:
+        return hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(source.value)
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                rows = [coder.coded(text.as_py() or "") for text in part.column("text")]
-                n = pa.array([sum([c[0] for c in row]) for row in rows], pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), n, *(made(o, rows) for o in outputs)], ["doc_id", "n_tokens", *outputs])
+            for part, texts in slices(batch):
+                out: dict[str, list] = {o: [] for o in ("n_tokens", *outputs)}
+                for row in coder.coded(texts):
+                    ids = "".join([c[0] for c in row])
+                    out["n_tokens"].append(ids.count(" "))
+                    if "ids" in outputs:
+                        out["ids"].append(np.array(ids.split(), np.int32))
+                    if "ids_sha256" in outputs:
+                        out["ids_sha256"].append(sha256(ids[:-1]))
+                    if "decoded" in outputs or "decoded_sha256" in outputs:
+                        decoded = "".join([c[1] for c in row])[:-1]
+                        if "decoded" in outputs:
+                            out["decoded"].append(decoded)
+                        if "decoded_sha256" in outputs:
+                            out["decoded_sha256"].append(sha256(decoded))
+                types = {"n_tokens": pa.int64(), "ids": pa.list_(pa.int32())}
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array(v, types.get(o, pa.string())) for o, v in out.items())], ["doc_id", *out])
 
     kinds = {"ids": "array<int>", "decoded": "string", "ids_sha256": "string", "decoded_sha256": "string"}
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, " + ", ".join(f"{o} {kinds[o]}" for o in outputs))
