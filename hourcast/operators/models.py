@@ -24,7 +24,7 @@ from hourcast import config as C
 from hourcast.config import KEY
 
 COEF_SCHEMA_KEYS = {"station_id": "string", "horizon": "int", "mode": "string", "fold": "int", "alpha": "double",
-                    "model": "string", "seg": "int"}
+                    "model": "string", "seg": "int", "window": "int"}
 
 
 def _key_schema(keys):
@@ -385,3 +385,33 @@ def cross_validate(rows: DataFrame, features: list[str], kind: str, params: dict
                    r2_expr(F.col("sse"), spread).alias("r2"))
     return per.groupBy(*keys).agg(*[f(c).alias(f"{c}_{n}") for c in ("mae", "rmse", "r2")
                                     for f, n in ((F.avg, "mean"), (F.stddev_pop, "std"))])
+
+
+# ---------------------------------------------------------------- rolling origins
+def rolling_origin_forecasts(windows: DataFrame, features: tuple[str, int], origins: DataFrame, alpha: float = 1.0, keys=(KEY, "horizon")) -> DataFrame:
+    """Forecasts of each series at the cut-offs of a rolling-origin backtest: (keys..., window, date, y, yhat).
+
+    ``windows``: rows (keys..., date, y, array feature), where y belongs to date + horizon hours; ``origins``: (station,
+    cutoffs), the sorted cut-off times. A cut-off's model may use a row only if its target was known by then. No row is
+    copied for a cut-off: a row belongs to the first cut-off that knows its target, and a cut-off trains on the sums of
+    the Gram matrices of all segments up to it. The forecast starts from the row at the cut-off itself."""
+    keys, (column, p) = list(keys), features
+    known = F.col("date") + F.make_dt_interval(hours=F.col("horizon"))
+    d = windows.join(origins.select(KEY, "cutoffs"), KEY).select(
+        *keys, "date", "y", column, "cutoffs", F.size(F.filter("cutoffs", lambda c: c < known)).alias("seg"))
+    train = d.filter(F.col("seg") < F.size("cutoffs")).select(*keys, "seg", column, "y")
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        out, total = [], np.zeros((p + 2, p + 2))
+        for seg in range(int(pdf["n_cutoffs"].iloc[0])):
+            own = pdf[pdf["seg"] == seg]
+            total = total + _dense(own, p) if len(own) else total
+            if total[0, 0] > 0:
+                b, w = solve_ridge(total, alpha)
+                out.append({**{k: pdf[k].iloc[0] for k in keys}, "window": seg, "intercept": b, "coef": w})
+        return pd.DataFrame(out, columns=[*keys, "window", "intercept", "coef"])
+
+    sums = gram(train, features, [*keys, "seg"]).join(origins.select(KEY, F.size("cutoffs").alias("n_cutoffs")), KEY)
+    fits = sums.groupBy(*keys).applyInPandas(solve, f"{_key_schema(keys)}, window int, intercept double, coef array<double>")
+    at = d.withColumn("window", (F.array_position("cutoffs", F.col("date")) - 1).cast("int")).filter("window >= 0")
+    return predict_linear(at.drop("cutoffs", "seg"), fits, features)

@@ -15,7 +15,7 @@ from hourcast.operators import models as M
 from hourcast.operators import trees as T
 from hourcast.operators.features import window_matrix
 from hourcast.operators.metrics import regression_metrics
-from hourcast.operators.prep import train_valid_union
+from hourcast.operators.prep import rolling_origin_windows, train_valid_union
 from hourcast.operators.select import select_champion
 from hourcast.session import materialize, materialized
 
@@ -74,6 +74,26 @@ def _window(kind="window", alpha=1.0):
     return build
 
 
+def rolling_origin_metrics(panel: DataFrame, split: DataFrame, kinds=("window", "dlinear", "nlinear"), alpha: float = 1.0) -> DataFrame:
+    """(station, window, horizon, model, cutoff, actual, yhat, abs_error): each window model refitted at every cut-off
+    of the rolling-origin backtest of the hourly series and held against the value ``horizon`` hours later."""
+    tail = rolling_origin_windows(panel.select(KEY, F.col(C.TIME).alias("date"), F.col(C.TARGET).alias("actual")))
+    tail = tail.select(KEY, "window", F.col("forecast_horizon").alias("horizon"), "actual",
+                       (F.col("date") - F.make_dt_interval(hours=F.col("forecast_horizon"))).alias("cutoff"))
+    origins = tail.groupBy(KEY).agg(F.array_sort(F.collect_set("cutoff")).alias("cutoffs"))  # six at most
+    out = None
+    for kind in kinds:
+        wm, feats = M.transform_window(window_matrix(split), kind)
+        shift = [F.col("_last")] if kind == "nlinear" else [F.lit(0.0).alias("_last")]
+        pred = M.rolling_origin_forecasts(wm.select(*KEYS, "date", "y", feats[0]), feats, origins, alpha)
+        pred = pred.join(wm.select(*KEYS, "date", *shift), [*KEYS, "date"]).withColumn("yhat", F.col("yhat") + F.col("_last"))
+        got = tail.join(pred.select(*KEYS, F.col("date").alias("cutoff"), "yhat"), [*KEYS, "cutoff"])
+        name = {"window": "WindowRidge_168h", "dlinear": "DLinear", "nlinear": "NLinear"}[kind]
+        got = got.select(*KEYS, "window", F.lit(name).alias("model"), "cutoff", "actual", "yhat", F.abs(F.col("yhat") - F.col("actual")).alias("abs_error"))
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
 def _fourier(alpha=1.0):
     def build(split, tune=False, name=""):
         df, names = M.fourier_features(split)

@@ -411,3 +411,9 @@ SQL["write_manifest"] = _MAN
 SQL["read_manifest"] = _MAN
 SQL["champion_entry"] = f"SELECT * FROM ({_MAN}) WHERE horizon = 24"
 SQL["stream_dedupe"] = f"SELECT event_type AS station_id, event_id, {O.r6('value')} AS value FROM events"
+
+# windows that end two hours or more before the last reading: what the watermark has passed
+_CLOSED = """SELECT event_type AS station_id, date_trunc('hour', ts)::TIMESTAMP AS datetime, round(avg(value) * 1000000) / 1000000 AS pm2_5, count(*) AS n
+FROM events GROUP BY 1, 2 HAVING max(date_trunc('hour', ts)) + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 2 HOUR FROM events)"""
+SQL["stream_hourly_avg_closed"] = _CLOSED
+SQL["stream_append_resume"] = _CLOSED

@@ -1005,3 +1005,96 @@ def q_write_runtime_csv(spark, sf):
     FL.write_runtime_csv(BM.baseline_metrics(_split(spark, sf)), path)
     r = spark.read.option("header", True).csv(path)
     return r.select("station_id", "mode", F.col("horizon").cast("int").alias("horizon"), "model", "group", "status")
+
+
+# ---------------------------------------------------------------- champion chain, rolling origins, resumed streams
+from hourcast.plans import champion as CH  # noqa: E402
+
+#: Models that compete for deployment in these queries, beside the baselines.
+COMPETING = ("Ridge", "ElasticNet", "LinearRegression", "ExtraTrees", "XGBoost")
+_EXPORTED: dict = {}
+
+
+def _model_selection(spark, sf):
+    """Metrics of the baselines and the competing models, with champion flags."""
+    specs = [s for s in PMOD.model_specs() if s.name in COMPETING]
+    return PMOD.benchmark(_split(spark, sf), specs, BM.baseline_metrics(_split(spark, sf)), tune=True, memo=(sf,))[0]
+
+
+def _exported(spark, sf):
+    """Champions that this application exported once, loaded again."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _EXPORTED:
+        root = _scratch(spark, "champions")
+        CH.export_champions(_model_selection(spark, sf), _split(spark, sf), root)
+        _EXPORTED[key] = root
+    return CH.Champions(spark, _EXPORTED[key])
+
+
+@query("deployable_champion_models")
+def q_deployable_models(spark, sf):
+    """The pick where models compete with the baselines: baselines win some series, which deploy their best model."""
+    return CH.champions_to_deploy(_model_selection(spark, sf)).select("station_id", "horizon", "model", "group", "MAE", "rank_mae", "selected_champion")
+
+
+@query("combined_leaderboard_models")
+def q_combined_models(spark, sf):
+    return SEL.combined_leaderboard(_model_selection(spark, sf)).select("station_id", "horizon", "model", "group", "tuned", "MAE", "group_order", "position")
+
+
+@query("export_champions")
+def q_export_champions(spark, sf):
+    """Manifest of the exported champions, read back."""
+    return P.rounded(_exported(spark, sf).manifest.drop("trained_at", "created_at", "feature_columns", "artifact_path"))
+
+
+@query("champion_forecast")
+def q_champion_forecast(spark, sf):
+    return P.rounded(CH.forecast(_exported(spark, sf), _features(spark, sf)))
+
+
+@query("champion_nowcast")
+def q_champion_nowcast(spark, sf):
+    """As of the hour behind the last one: stations have the row of the previous full hour."""
+    f = _features(spark, sf)
+    as_of = f.agg(F.max("date") + F.expr("INTERVAL 90 MINUTES")).first()[0]
+    return P.rounded(CH.nowcast(_exported(spark, sf), f, as_of))
+
+
+@query("champion_nowcast_validation")
+def q_champion_nowcast_validation(spark, sf):
+    return P.rounded(CH.nowcast_validation(_exported(spark, sf), _features(spark, sf)))
+
+
+@query("champion_cards")
+def q_champion_cards(spark, sf):
+    """A Markdown card for each champion, written as text files and read back."""
+    path = _scratch(spark, "cards")
+    CH.cards(_exported(spark, sf)).select("station_id", "horizon", "card").write.partitionBy("station_id", "horizon").option("lineSep", "\n\n").text(path)
+    return spark.read.option("wholetext", True).text(path).select("station_id", "horizon", F.rtrim(F.regexp_replace("value", "trained_at.*", "")).alias("card"))
+
+
+@query("rolling_origin_evaluation")
+def q_rolling_origin_evaluation(spark, sf):
+    return P.rounded(PMOD.rolling_origin_metrics(P.panel_clean(spark, sf), _split(spark, sf)))
+
+
+@query("stream_hourly_avg_closed")
+def q_stream_hourly_avg_closed(spark, sf):
+    """Hourly averages whose windows the watermark has passed; a window is withheld until readings two hours behind its
+    end have come."""
+    out = STR.run_available(spark, STR.stream_hourly_avg(STR.read_readings_stream(spark, sf)), "closed")
+    return P.rounded(out.drop("year", "month"))
+
+
+@query("stream_append_resume")
+def q_stream_append_resume(spark, sf):
+    """Readings land in two parts; the query stops behind the first and goes on from its checkpoint with the second."""
+    landed, lake = _scratch(spark, "landing"), _scratch(spark, "stream-lake")
+    ev = SP.table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    middle = F.lit(ev.agg(F.percentile_approx(F.col("ts").cast("timestamp").cast("long"), 0.5)).first()[0])
+    for part in (F.col("ts").cast("timestamp").cast("long") < middle, F.col("ts").cast("timestamp").cast("long") >= middle):
+        ev.filter(part).write.mode("append").parquet(landed)
+        stream = STR.stream_hourly_avg(STR.read_readings_stream(spark, landed, "*.parquet"))
+        STR.stream_append_batches(stream, f"{lake}/data", f"{lake}/checkpoint").awaitTermination()
+    return P.rounded(spark.read.parquet(f"{lake}/data").drop("batch", "year", "month"))

@@ -49,6 +49,18 @@ def stream_append(df: DataFrame, lake_path: str, checkpoint: str, trigger_once:
     return w.start()
 
 
+def stream_append_batches(df: DataFrame, lake_path: str, checkpoint: str):
+    """Append by micro-batches that can be repeated: batch ``n`` owns the partition ``batch=n`` of the lake and replaces
+    it as a whole, so a batch that was written but not yet committed when the query stopped is written again with the
+    same rows. Runs over everything available and returns the query; the checkpoint says where the next one goes on."""
+    def write(rows: DataFrame, batch: int) -> None:
+        out = rows.withColumn("year", F.year(TIME)).withColumn("month", F.month(TIME))
+        out.write.mode("overwrite").partitionBy("year", "month").parquet(f"{lake_path}/batch={batch}")
+
+    return (df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).outputMode("append")
+              .trigger(availableNow=True).start())
+
+
 def run_available(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Drive a streaming query over everything available into a Parquet
     table under the checkpoint folder and return the table."""
