@@ -61,7 +61,9 @@ class Queue:
         return rows
 
 
-_TUPLE = np.dtype([("pos", "<u4"), ("lcp", "u1")])
+#: Common prefixes have 16 bits: ``depth`` and the eight characters compared behind it fit.
+_LCP, _MOST, MAX_DEPTH = np.uint16, 65_535, 65_000
+_TUPLE = np.dtype([("pos", "<u4"), ("lcp", "<u2")])
 
 
 class Induction:
@@ -69,7 +71,7 @@ class Induction:
 
     def __init__(self, text: np.ndarray, queues: list[Queue], depth: int):
         self.text, self.queues, self.depth = text, queues, depth
-        self.least = np.full(256, 255, np.uint8)
+        self.least = np.full(256, _MOST, _LCP)
 
     def block(self, pos: np.ndarray, lcp: np.ndarray, wanted) -> None:
         """``wanted`` maps the preceding characters to whether their suffixes belong to this phase."""
@@ -91,15 +93,15 @@ class Induction:
             value = np.minimum(lows[:len(at)].astype(np.int64) + 1, self.depth)
             value[0] = min(value[0], int(carried[c]) + 1) if begun[c] else 0
             self.queues[c].append(pos[at] - 1, value)
-            self.least[c] = 255 if tail else lows[-1]
+            self.least[c] = _MOST if tail else lows[-1]
         self._carry = self.least.copy()
 
-    _carry = np.full(256, 255, np.uint8)
+    _carry = np.full(256, _MOST, _LCP)
 
 
 def common_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, depth: int) -> np.ndarray:
     """Common prefix lengths, ``depth`` at most, of the suffixes at a and b (the text ends in ``depth`` + SPARE PADs)."""
-    out = np.zeros(len(a), np.uint8)
+    out = np.zeros(len(a), _LCP)
     alive = np.arange(len(a))
     for done in range(0, depth, 8):
         if not len(alive):
@@ -109,7 +111,7 @@ def common_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, depth: int) ->
             at = np.arange(done, done + 8)
             same = text[a[part][:, None] + at] == text[b[part][:, None] + at]
             run = np.where(same.all(1), 8, np.argmin(same, axis=1))
-            out[part] += run.astype(np.uint8)
+            out[part] += run.astype(_LCP)
             alive[s:s + BLOCK] = np.where(run == 8, part, -1)
         alive = alive[alive >= 0]
     return np.minimum(out, depth)
@@ -174,6 +176,8 @@ def repeated_starts(text: np.ndarray, folder: str, depth: int, valid: np.ndarray
 
     ``text`` is a uint8 array of characters from 2 on with SEPARATORs, one END, and ``depth`` + SPARE PADs behind it.
     """
+    if not 1 <= depth <= MAX_DEPTH:
+        raise ValueError(f"a depth of {depth} characters; 1 to {MAX_DEPTH} are possible")
     n = len(text) - depth - SPARE
     if n > np.iinfo(_TUPLE["pos"]).max:
         raise ValueError(f"{n} characters; a position in a queue has 32 bits")
@@ -186,7 +190,7 @@ def repeated_starts(text: np.ndarray, folder: str, depth: int, valid: np.ndarray
     stars = np.flatnonzero(s_type & ~np.append(True, s_type[:-1]))
     del differs, to, s_type, body
     ordered = sort_reduced(text, stars, depth)
-    lcps = np.zeros(len(ordered), np.uint8)
+    lcps = np.zeros(len(ordered), _LCP)
     lcps[1:] = common_prefix(text, ordered[:-1], ordered[1:], depth)
     heads = text[ordered]
     star_at = np.searchsorted(heads, np.arange(257))
@@ -210,7 +214,7 @@ def repeated_starts(text: np.ndarray, folder: str, depth: int, valid: np.ndarray
 
     smaller = [Queue(os.path.join(folder, f"s{c}")) for c in range(255)]
     phase = Induction(text, smaller, depth)
-    joint = np.zeros(255, np.uint8)  # common prefix of a character's last L and first S suffix
+    joint = np.zeros(255, _LCP)  # common prefix of a character's last L and first S suffix
     for c in range(254, -1, -1):
         if c == END:
             break
@@ -221,7 +225,7 @@ def repeated_starts(text: np.ndarray, folder: str, depth: int, valid: np.ndarray
         size, follow = len(larger[c]), 0
         for hi in range(size, 0, -BLOCK):
             rows = larger[c].slice(max(0, hi - BLOCK), hi)[::-1]
-            lcp = np.empty(len(rows), np.uint8)
+            lcp = np.empty(len(rows), _LCP)
             lcp[1:] = rows["lcp"][:-1]
             if hi == size:
                 follow = joint[c] = pair(last, int(rows["pos"][0])) if last >= 0 else 0
@@ -235,7 +239,7 @@ def repeated_starts(text: np.ndarray, folder: str, depth: int, valid: np.ndarray
         pos = np.concatenate([up["pos"], down["pos"]])
         if len(pos) < 2:
             continue
-        lcp = np.zeros(len(pos), np.uint8)
+        lcp = np.zeros(len(pos), _LCP)
         lcp[:len(up)] = up["lcp"]
         if len(down):
             lcp[len(up)] = joint[c] if len(up) else 0

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hourcast.llm.hashing import mix, prefix_hash, powers, span_hash
-from hourcast.llm.induced import END, PAD, SEPARATOR, SPARE, repeated_starts
+from hourcast.llm.induced import END, MAX_DEPTH, PAD, SEPARATOR, SPARE, repeated_starts
 from hourcast.llm.store import shuffle_partitions, table, written
 
 KMER = 32
@@ -212,10 +212,13 @@ def remove_repeats(docs: DataFrame, length: int = 200, digest: bool = False, sha
 
     Texts are UTF-8 bytes. Every byte goes that a ``length``-byte string covers which also starts anywhere else in the
     corpus, the same text included; matches stay inside a text and are judged on the input. Null is the empty text.
-    Rows that repeat a text, with or without its doc_id, repeat its strings. Spans are maximal removed runs.
+    Rows that repeat a text, with or without its doc_id, repeat its strings. Spans are maximal removed runs. ``length``
+    is 1 to 65,000; other values raise ValueError.
     """
-    occ = occurrences(docs, length)
-    again = occurrences(docs, length).groupBy("key").agg(F.sum("times").alias("times")).where("times > 1").select("key")
+    if not 1 <= length <= MAX_DEPTH:
+        raise ValueError(f"strings of {length} bytes; 1 to {MAX_DEPTH} are possible")
+    occ = written(occurrences(docs, length), "suffix-occurrences")
+    again = occ.groupBy("key").agg(F.sum("times").alias("times")).where("times > 1").select("key")
     open_ = written(occ.drop("times").join(again, "key"), "suffix-open")
     reps = open_.groupBy("key", "h1", "h2").agg(F.count("*").alias("n"), F.min(F.struct("did", "th", "start", "count")).alias("at"))
     reps = written(reps.select("key", "h1", "h2", "n", "at.*"), "suffix-pieces")

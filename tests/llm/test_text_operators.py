@@ -368,6 +368,22 @@ def test_suffix_dedup_matches_brute_force(spark, corpus, length):
     assert [got[i] for i in range(len(texts))] == brute_repeats(texts, length)
 
 
+@pytest.mark.parametrize("length", [248, 249, 255, 256, 300])
+def test_suffix_dedup_of_long_strings(spark, length):
+    rng = random.Random(14)
+    passage = words(rng, 90)
+    texts = [words(rng, 60), *(words(rng, rng.randrange(30)) + passage[rng.randrange(40):] + words(rng, rng.randrange(30)) for _ in range(4)), "a" * 620, "ab" * 200]
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_dedup.remove_repeats(frame(spark, texts), length).collect()}
+    expected = brute_repeats(texts, length)
+    assert [got[i] for i in range(len(texts))] == expected and sum(e[1] > 0 for e in expected) > 3
+
+
+def test_suffix_dedup_length_has_a_range(spark):
+    for length in (0, 65_001):
+        with pytest.raises(ValueError):
+            suffix_dedup.remove_repeats(frame(spark, ["a"]), length)
+
+
 def test_suffix_dedup_odd_rows(spark):
     long = "".join(random.Random(13).choice("abcdefgh ") for _ in range(400))
     got = suffix_dedup.remove_repeats(frame(spark, [long, long, None], ids=[4, 4, None]), digest=True).collect()
