@@ -1011,7 +1011,7 @@ def q_write_runtime_csv(spark, sf):
 from hourcast.plans import champion as CH  # noqa: E402
 
 #: Models that compete for deployment in these queries, beside the baselines.
-COMPETING = ("Ridge", "ElasticNet", "LinearRegression", "ExtraTrees", "XGBoost")
+COMPETING = ("Ridge", "ElasticNet", "LinearRegression", "ExtraTrees")
 _EXPORTED: dict = {}
 
 
@@ -1071,7 +1071,7 @@ def q_champion_cards(spark, sf):
     """A Markdown card for each champion, written as text files and read back."""
     path = _scratch(spark, "cards")
     CH.cards(_exported(spark, sf)).select("station_id", "horizon", "card").write.partitionBy("station_id", "horizon").option("lineSep", "\n\n").text(path)
-    return spark.read.option("wholetext", True).text(path).select("station_id", "horizon", F.rtrim(F.regexp_replace("value", "trained_at.*", "")).alias("card"))
+    return spark.read.text(path, wholetext=True).select("station_id", "horizon", F.rtrim(F.regexp_replace("value", "- Artifact: .*\n*", "")).alias("card"))
 
 
 @query("rolling_origin_evaluation")
