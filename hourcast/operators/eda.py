@@ -35,6 +35,12 @@ def daily_trend(series: DataFrame, value: str = TARGET) -> DataFrame:
     return out.drop(POS)
 
 
+def with_thresholds(trend: DataFrame, thresholds=tuple(C.EDA_THRESHOLDS)) -> DataFrame:
+    """Adds the threshold lines of the daily chart and whether a day's mean lies above each (NULL on days without)."""
+    cols = [F.lit(float(t)).alias(f"threshold_{i}") for i, t in enumerate(thresholds)]
+    return trend.select("*", *cols, *[(F.col("daily_mean") > F.lit(float(t))).alias(f"above_{i}") for i, t in enumerate(thresholds)])
+
+
 def seasonal_decompose(clean: DataFrame, value: str = TARGET, period: int = C.DECOMPOSE_PERIOD) -> DataFrame:
     """Classical additive decomposition: centred 2x``period`` moving average
     trend, phase means of the detrended series (centred), residual."""

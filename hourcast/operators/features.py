@@ -176,7 +176,8 @@ def window_matrix(valid: DataFrame, lookback: int = C.WINDOW_LAGS, block: int |
 def latest_feature_row(features: DataFrame, feature_cols: list[str], history_col: str = TARGET,
                        seq_lags: int = C.WINDOW_LAGS) -> DataFrame:
     """Last row per station as model input; ``pm2_5_seq_lag_k`` columns are the
-    k-th value from the end of the station's history (k = 1..seq_lags)."""
+    k-th value from the end of the station's history (k = 1..seq_lags).  A
+    station whose history is shorter than a lag is an error."""
     missing = [c for c in feature_cols if c not in features.columns and not c.startswith(f"{TARGET}_seq_lag_")]
     if missing:
         raise KeyError(f"missing feature columns: {missing}")
@@ -187,9 +188,13 @@ def latest_feature_row(features: DataFrame, feature_cols: list[str], history_col
     hist = None
     if seq:
         # k-th from the end: position last - k + 1 (contiguous grid)
-        hist = tail.groupBy(KEY).agg(*[
-            F.max(F.when(F.col(POS) == F.col("_last") - (int(c.rsplit("_", 1)[1]) - 1), F.col(history_col)))
-             .alias(c) for c in seq])
+        def kth(c):
+            k = int(c.rsplit("_", 1)[1])
+            short = F.raise_error(F.concat(F.lit(f"not enough history to build {c} of station "), F.first(KEY))).cast("double")
+            value = F.max(F.when(F.col(POS) == F.col("_last") - (k - 1), F.col(history_col)))
+            return F.when(F.count(F.lit(1)) < k, short).otherwise(value).alias(c)
+
+        hist = tail.groupBy(KEY).agg(*[kth(c) for c in seq])
     row = tail.filter(F.col(POS) == F.col("_last")).select(
         KEY, "date" if "date" in df.columns else TIME, *[c for c in feature_cols if c not in seq])
     return row.join(hist, KEY, "left") if hist is not None else row

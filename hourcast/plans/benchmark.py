@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from hourcast import config as C
 from hourcast.operators import baselines as B
 from hourcast.operators.metrics import regression_metrics
-from hourcast.operators.prep import chrono_split, valid_rows_all
+from hourcast.operators.prep import chrono_split, oracle_weather_shift, valid_rows, valid_rows_all
 from hourcast.operators.select import select_champion
 
 
@@ -17,6 +17,17 @@ def split_all(features: DataFrame, horizons=None) -> DataFrame:
     return chrono_split(valid_rows_all(features, horizons or C.HORIZONS))
 
 
+def split_by_mode(features: DataFrame, horizons=None, modes=tuple(C.FORECAST_MODES)) -> DataFrame:
+    """(station, mode, horizon) target series with idx / n / split: the mode is part of the series, and in the mode
+    ``oracle_weather`` a row has the weather of its target hour."""
+    parts = [valid_rows(oracle_weather_shift(features, h, m), h).select(*features.columns, "y", "horizon", F.lit(m).alias("mode"))
+             for m in modes for h in horizons or C.HORIZONS]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return chrono_split(out)
+
+
 def baseline_predictions(split: DataFrame, horizons=None, only: str | None = None) -> DataFrame:
     return B._predict(split, B.baseline_specs(only), None, horizons=horizons or C.HORIZONS)
 

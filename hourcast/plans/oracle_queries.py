@@ -417,3 +417,11 @@ _CLOSED = """SELECT event_type AS station_id, date_trunc('hour', ts)::TIMESTAMP
 FROM events GROUP BY 1, 2 HAVING max(date_trunc('hour', ts)) + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 2 HOUR FROM events)"""
 SQL["stream_hourly_avg_closed"] = _CLOSED
 SQL["stream_append_resume"] = _CLOSED
+SQL["missing_report_after"] = with_(O.panel_clean(), "mr AS (SELECT station_id, count(*) AS n_rows, " + ", ".join(
+    f"count(*) FILTER (WHERE {c} IS NULL) AS {c}" for c in MEAS) + " FROM clean GROUP BY 1)") + \
+    f"SELECT station_id, n_rows, column_name, n_missing, {O.r6('n_missing * 100.0 / n_rows')} AS pct_missing FROM ({_stack})"
+SQL["daily_trend_thresholds"] = f"""SELECT *, 35.5::DOUBLE AS threshold_0, 55.5::DOUBLE AS threshold_1, daily_mean > 35.5::DOUBLE AS above_0, daily_mean > 55.5::DOUBLE AS above_1
+FROM ({SQL["daily_trend"]})"""
+SQL["backtest_seasons"] = with_(*_P) + f"""SELECT station_id, model, CASE WHEN month(date) IN (12, 1, 2) THEN 'DJF' WHEN month(date) IN (3, 4, 5) THEN 'MAM'
+  WHEN month(date) IN (6, 7, 8) THEN 'JJA' ELSE 'SON' END AS season, {O.r6('avg(abs(yhat - y))')} AS mae, count(*) AS n
+FROM preds WHERE horizon = 24 AND y IS NOT NULL AND yhat IS NOT NULL GROUP BY 1, 2, 3"""

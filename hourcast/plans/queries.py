@@ -1098,3 +1098,46 @@ def q_stream_append_resume(spark, sf):
         stream = STR.stream_hourly_avg(STR.read_readings_stream(spark, landed, "*.parquet"))
         STR.stream_append_batches(stream, f"{lake}/data", f"{lake}/checkpoint").awaitTermination()
     return P.rounded(spark.read.parquet(f"{lake}/data").drop("batch", "year", "month"))
+
+
+from hourcast.session import materialize  # noqa: E402
+
+
+# ---------------------------------------------------------------- runs in both forecast modes, and further reports
+@query("metrics_union_modes")
+def q_metrics_union_modes(spark, sf):
+    """Ridge and least squares fitted in both forecast modes; with the weather of the target hour they differ."""
+    keys = ["station_id", "mode", "horizon"]
+    split = materialize(BM.split_by_mode(_features(spark, sf)), "split-by-mode")
+    train, test = (split.filter(F.col("split") == s) for s in ("train", "test"))
+    parts = []
+    for name, kind, alpha in (("Ridge", "ridge", 1.0), ("LinearRegression", "ols", 0.0)):
+        coefs = MOD.fit_linear(train, C.FEATURES, keys, kind, alpha)
+        pred = MOD.predict_linear(test, coefs, C.FEATURES).select(*keys, "date", "y", "yhat", F.lit(name).alias("model"))
+        parts.append(MET.regression_metrics(pred, (*keys, "model")))
+    return SEL.metrics_union(*parts).select("mode", "station_id", "horizon", "model", "MAE", "RMSE", "R2", "n_test")
+
+
+@query("missing_report_after")
+def q_missing_report_after(spark, sf):
+    """What is still missing in the cleaned series: nothing, where a column has any value."""
+    return CL.missing_report(_clean(spark, sf), MEAS)
+
+
+@query("daily_trend_thresholds")
+def q_daily_trend_thresholds(spark, sf):
+    """The daily trend with the published threshold lines and the days above them."""
+    return ED.with_thresholds(P.rounded(ED.daily_trend(SP.daily_series(spark, sf))))
+
+
+@query("backtest_seasons")
+def q_backtest_seasons(spark, sf):
+    return P.rounded(BT.backtest_by_season(_preds(spark, sf)))
+
+
+@query("leaderboards_markdown")
+def q_leaderboards_markdown(spark, sf):
+    """The combined leaderboard written as a Markdown table and read back, a row per line."""
+    path = _scratch(spark, "leaderboard-md")
+    FL.write_markdown(SEL.combined_leaderboard(_selection(spark, sf)), path, ["station_id", "horizon", "group", "model", "MAE"], ["station_id", "horizon", "position"])
+    return spark.read.text(path).filter("value like '| %'").select(F.col("value").alias("line"))

@@ -123,11 +123,20 @@ def markdown_lines(table: DataFrame, cols: list[str], order: list[str]) -> DataF
     return table.orderBy(*order).select(F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |")).alias("line"))
 
 
+def write_markdown(table: DataFrame, path: str, cols: list[str], order: list[str]) -> None:
+    """A (small, per-report) table as one Markdown text file in the given order."""
+    head = [f"| {' | '.join(cols)} |", f"|{' --- |' * len(cols)}"]
+    lines = markdown_lines(table, cols, order).agg(F.concat_ws("\n", F.array(*[F.lit(h) for h in head]), F.collect_list("line")).alias("value"))
+    lines.coalesce(1).write.mode("overwrite").text(path)
+
+
 def write_leaderboards(selected: DataFrame, out_dir: str) -> None:
     from hourcast.operators.select import combined_leaderboard, final_leaderboard, leaderboard
     leaderboard(selected).write.mode("overwrite").parquet(f"{out_dir}/leaderboard")
     final_leaderboard(selected).write.mode("overwrite").parquet(f"{out_dir}/final_leaderboard")
-    combined_leaderboard(selected).write.mode("overwrite").parquet(f"{out_dir}/combined_leaderboard")
+    combined = combined_leaderboard(selected)
+    combined.write.mode("overwrite").parquet(f"{out_dir}/combined_leaderboard")
+    write_markdown(combined, f"{out_dir}/combined_leaderboard_md", [KEY, "horizon", "group", "model", "MAE"], [KEY, "horizon", "position"])
 
 
 MANIFEST_RULE = "lowest MAE; within 1%, simpler/faster wins"
