@@ -273,6 +273,10 @@ TUNING_GRIDS = {
     "Ridge": {"alpha": [0.01, 0.1, 1.0, 5.0, 10.0, 20.0, 30.0, 50.0, 100.0, 200.0]},
     "ElasticNet": {"alpha": [0.0001, 0.001, 0.01, 0.1, 1.0, 10.0, 30.0],
                    "l1_ratio": [0.05, 0.1, 0.2, 0.5, 0.7, 0.9, 0.95]},
+    "XGBoost": {"trees": [100, 300, 500, 800], "depth": [3, 4, 5, 6, 7, 8], "rate": [0.01, 0.03, 0.05, 0.1, 0.15],
+                "rows": [0.6, 0.7, 0.8, 0.9, 1.0], "columns": [0.6, 0.7, 0.8, 0.9, 1.0]},
+    "LightGBM": {"trees": [100, 300, 500, 800], "depth": [3, 4, 5, 6, 7, 8, -1], "rate": [0.01, 0.03, 0.05, 0.1, 0.15],
+                 "leaves": [15, 31, 63, 127], "rows": [0.6, 0.7, 0.8, 0.9, 1.0], "columns": [0.6, 0.7, 0.8, 0.9, 1.0]},
     "WindowRidge_168h": {"alpha": [0.01, 0.1, 1.0, 5.0, 10.0, 20.0, 30.0, 50.0, 100.0, 200.0]},
 }
 N_ITER = 16

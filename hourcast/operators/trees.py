@@ -698,3 +698,52 @@ def predict_trees(rows: DataFrame, models: DataFrame, features: list[str], keys:
     """(keys..., keep..., yhat) of every row whose series has a model and whose features are not null."""
     kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
     return by_block(rows, models, features, keys, keep, lambda m, r, x: r.assign(**{out: predicted(m, x)}), f"{_key_types(rows, keys)}, {kinds}, {out} double", position)
+
+
+# ---------------------------------------------------------------- tuning
+def tune_trees(rows: DataFrame, preset: dict, grid: list[dict], features: list[str], keys: list[str], k: int = C.CV_N_SPLITS, position: str = "idx") -> DataFrame:
+    """(keys..., param_id, cv_mae): the point of ``grid`` (changes to ``preset``) with the lowest mean fold MAE.
+
+    Expanding folds as for the linear models: of a series' n rows the last k blocks of n div (k + 1) are test blocks, and
+    a fold trains on all rows before its own. All points and folds share one binning of the series' rows; a task has one
+    point and fold of one series, or, for a series that is too long for a task, the level jobs have. ``position``
+    numbers a series' rows from 0 without gaps; rows with a null feature or target are not allowed for. A series with
+    fewer than k + 1 rows has no result."""
+    points = [TreeParams(**(preset | point)) for point in grid]
+    counted = cut_values(rows, features, keys).withColumn("size", F.floor(F.col("n") / (k + 1))).filter("size > 0")
+    blocks = binned_blocks(rows, features, keys, counted.drop("size"), position)
+    units = F.explode(F.array(*[F.struct(F.lit(d).alias("draw"), F.lit(f).alias("fold")) for d in range(len(points)) for f in range(1, k + 1)])).alias("u")
+    short = counted.filter(F.col("n") <= TASK_ROWS)
+    head = short.select(*keys, "values", "n", "size", units).select(*[F.col(c).alias(f"_{c}") for c in keys], "values", "n", "size", "u.draw", "u.fold")
+    work = blocks.join(short.select(*keys), keys, "left_semi").select("*", units).select(*blocks.columns, "u.draw", "u.fold")
+
+    def score(h: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        names = [*keys, "draw", "fold", "mae"]
+        if not len(h) or not len(b):
+            return pd.DataFrame(columns=names)
+        b, c, one = b.sort_values("blk"), Cuts(h["values"].iloc[0]), h.iloc[0]
+        bins = np.frombuffer(b"".join(b["bins"]), np.uint8).reshape(-1, len(c.edges))
+        row, y = np.frombuffer(b"".join(b["row"]), np.int64), np.frombuffer(b"".join(b["y"]))
+        p, start = points[int(one["draw"])], int(one["n"] - (k + 1 - one["fold"]) * one["size"])
+        model = fit_series(bins[:start], row[:start], y[:start], c, p, 0, p.trees)
+        test = slice(start, start + int(one["size"]))
+        x = np.column_stack([v[bins[test, j]] for j, v in enumerate(c.values)])  # a value of each row's bin stands for it
+        error = np.abs(predicted(pd.DataFrame([model]), x) - y[test])
+        return pd.DataFrame([{q: b[q].iloc[0] for q in keys} | {"draw": int(one["draw"]), "fold": int(one["fold"]), "mae": error.mean()}], columns=names)
+
+    left, right = spread(head, *[f"_{c}" for c in keys], "draw", "fold"), spread(work, *keys, "draw", "fold")
+    folds = left.groupBy(*[f"_{c}" for c in keys], "draw", "fold").cogroup(right.groupBy(*keys, "draw", "fold")).applyInPandas(
+        score, f"{_key_types(rows, keys)}, draw int, fold int, mae double")
+    long = counted.filter(F.col("n") > TASK_ROWS)
+    if not long.isEmpty():
+        d = rows.join(long.select(*keys, F.col("n").alias("_n"), "size"), keys)
+        for draw, p in enumerate(points):
+            for fold in range(1, k + 1):
+                start = F.col("_n") - (k + 1 - fold) * F.col("size")
+                train, test = d.filter(F.col(position) < start), d.filter((F.col(position) >= start) & (F.col(position) < start + F.col("size")))
+                models = fit_trees(binned_blocks(train, features, keys, long.drop("size"), position), long.drop("size"), p, keys)
+                pred = predict_trees(test, models, features, keys, ["y"], position=position)
+                folds = folds.unionByName(pred.groupBy(*keys).agg(F.avg(F.abs(F.col("yhat") - F.col("y"))).alias("mae")).select(
+                    *keys, F.lit(draw).alias("draw"), F.lit(fold).alias("fold"), "mae"))
+    cv = folds.groupBy(*keys, "draw").agg(F.avg("mae").alias("cv_mae"))
+    return cv.groupBy(*keys).agg(F.min(F.struct("cv_mae", "draw")).alias("b")).select(*keys, F.col("b.draw").alias("param_id"), F.col("b.cv_mae").alias("cv_mae"))

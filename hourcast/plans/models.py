@@ -3,6 +3,7 @@
 metrics in one aggregation, champion rule, deployable champion."""
 from __future__ import annotations
 
+import json
 import time
 from dataclasses import dataclass, field
 
@@ -124,9 +125,39 @@ def tree_models(rows: DataFrame, params: T.TreeParams, keys=tuple(KEYS)) -> Data
     return materialize(T.fit_trees(blocks, cuts, params, keys), "tree-models")
 
 
+def tree_grid(name: str, n_iter: int = M.N_ITER) -> list[dict]:
+    """Sampled points of a boosted model's published search space, as changes to its preset. A depth of -1 is none: the
+    leaves bound the tree; the row share of best-leaf-first boosting has no effect without a bagging frequency."""
+    points = [dict(p) for p in M.sample_grid(M.TUNING_GRIDS[name], n_iter)]
+    for p in points:
+        if p["depth"] < 0:
+            p["depth"] = p["leaves"] - 1
+        if name == "LightGBM":
+            p.pop("rows")
+    return points
+
+
+def tuned_tree_models(rows: DataFrame, preset: str, grid: list[dict], keys=tuple(KEYS)) -> tuple[DataFrame, DataFrame]:
+    """(models, best): boosted models refitted on all ``rows`` with the best grid point of each series, and that point.
+
+    The points that some series chose are fitted one after another, each for its own series."""
+    best = materialize(T.tune_trees(rows, C.TREE_PRESETS[preset], grid, C.FEATURES, list(keys)), "tree-tuning")
+    out = None
+    for r in best.select("param_id").distinct().collect():  # at most the grid's points
+        own = rows.join(best.filter(F.col("param_id") == r[0]).select(*keys), list(keys), "left_semi")
+        models = tree_models(own, T.params_of(preset, **grid[r[0]]), keys)
+        out = models if out is None else out.unionByName(models)
+    params = F.array(*[F.lit(json.dumps(g)) for g in grid])
+    return out, best.withColumn("params", F.element_at(params, F.col("param_id") + 1))
+
+
 def _tree(preset):
     def build(split, tune=False, name=""):
-        """One ensemble per series, all of them grown by the same jobs."""
+        """One ensemble per series, all of them grown by the same jobs; tuned on train and validation rows if asked."""
+        if tune and preset in M.TUNING_GRIDS:
+            models, best = tuned_tree_models(train_valid_union(split), preset, tree_grid(preset))
+            pred = T.predict_trees(split.filter(F.col("split") == "test"), models, C.FEATURES, KEYS, ["date", "y"])
+            return pred.join(best.select(*KEYS, F.col("params").alias("best_params")), KEYS).select(*[c for c in PRED if c != "model"], "best_params")
         models = tree_models(split.filter(F.col("split") == "train"), T.params_of(preset))
         test = split.filter(F.col("split") == "test")
         pred = T.predict_trees(test, models, C.FEATURES, KEYS, ["date", "y"])

@@ -668,7 +668,7 @@ def _spec(name):
 
 def _model_query(name, tune=False):
     def q(spark, sf):
-        return P.rounded(PMOD.fit_predict(_split(spark, sf), _spec(name), tune, memo=(sf,))[0])
+        return P.rounded(PMOD.fit_predict(_split(spark, sf), _spec(name), tune, memo=P.memo(spark, sf))[0])
     return q
 
 
@@ -700,7 +700,7 @@ def q_refit_full(spark, sf):
 @query("benchmark")
 def q_benchmark(spark, sf):
     """Baselines and every model spec, the linear ones tuned, metrics and champion rule."""
-    met, _ = PMOD.benchmark(_split(spark, sf), PMOD.model_specs(), BM.baseline_metrics(_split(spark, sf)), tune=True, memo=(sf,))
+    met, _ = PMOD.benchmark(_split(spark, sf), PMOD.model_specs(), BM.baseline_metrics(_split(spark, sf)), tune=True, memo=P.memo(spark, sf))
     return met.select("station_id", "mode", "horizon", "model", "group", "complexity_rank", "MAE", "RMSE", "R2",
                       "n_test", "rank_mae", "selected_champion")
 
@@ -1018,12 +1018,12 @@ _EXPORTED: dict = {}
 def _model_selection(spark, sf):
     """Metrics of the baselines and the competing models, with champion flags."""
     specs = [s for s in PMOD.model_specs() if s.name in COMPETING]
-    return PMOD.benchmark(_split(spark, sf), specs, BM.baseline_metrics(_split(spark, sf)), tune=True, memo=(sf,))[0]
+    return PMOD.benchmark(_split(spark, sf), specs, BM.baseline_metrics(_split(spark, sf)), tune=True, memo=P.memo(spark, sf))[0]
 
 
 def _exported(spark, sf):
     """Champions that this application exported once, loaded again."""
-    key = (spark.sparkContext.applicationId, sf)
+    key = (spark.sparkContext.applicationId, *P.memo(spark, sf))
     if key not in _EXPORTED:
         root = _scratch(spark, "champions")
         CH.export_champions(_model_selection(spark, sf), _split(spark, sf), root)

@@ -2,8 +2,8 @@
 
 A cluster names its shared checkpoint folder in ``spark.checkpoint.dir``; we
 read it from the session and only set our own when it is unset (tests, local
-runs). Lineage is cut with ``DataFrame.checkpoint()`` (reliable, written to that
-shared folder) — never with a local checkpoint.
+runs). Lineage is cut with Parquet tables written to that folder and read back
+(``materialize``) — never with a local checkpoint.
 """
 from __future__ import annotations
 
@@ -89,6 +89,21 @@ def conf_int(spark: SparkSession, key: str, default: int) -> int:
     return int(v) if v not in (None, "") else default
 
 
+def input_stamp(spark: SparkSession, folder: str) -> int:
+    """A number that changes with the files of a folder of tables: names, sizes and modification times."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found, todo = [], [path]
+    while todo:
+        for status in fs.listStatus(todo.pop()):
+            if status.isDirectory():
+                todo.append(status.getPath())
+            else:
+                found.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return hash(tuple(sorted(found)))
+
+
 _MATERIALIZED: dict = {}
 
 

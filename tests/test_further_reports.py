@@ -59,3 +59,13 @@ def test_thresholds_and_markdown(spark, tmp_path):
     FL.write_markdown(t, f"file://{tmp_path}/md", ["station_id", "daily_mean"], ["station_id"])
     text = next((tmp_path / "md").glob("part-*")).read_text()
     assert text == "| station_id | daily_mean |\n| --- | --- |\n| s | 35.5 |\n| t | 60.0 |\n| u |  |\n"
+
+
+def test_kept_results_are_those_of_the_files_as_they_are(spark, tmp_path):
+    from hourcast.session import input_stamp
+    (tmp_path / "t.parquet").mkdir()
+    (tmp_path / "t.parquet" / "a").write_text("1")
+    before = input_stamp(spark, f"file://{tmp_path}")
+    assert before == input_stamp(spark, f"file://{tmp_path}")
+    (tmp_path / "t.parquet" / "b").write_text("2")
+    assert before != input_stamp(spark, f"file://{tmp_path}")

@@ -5,6 +5,7 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from hourcast.operators import explain as EX
 from hourcast.operators import trees as T
@@ -257,3 +258,35 @@ def test_permutation_importance_of_trees(spark):
                 drops.append(r2(x) - r2(z))
             row = got[(got.station_id == s) & (got.feature == f)].iloc[0]
             assert np.isclose(row.importance_mean, np.mean(drops)) and np.isclose(row.importance_std, np.std(drops))
+
+
+# ---------------------------------------------------------------- tuning
+def test_tuning_against_direct_folds(spark, monkeypatch):
+    rows = panel(spark, n=70).dropna().withColumn("idx", F.when(F.col("station_id") == "s1", F.when(F.col("idx") > 3, F.col("idx") - 1).otherwise(F.col("idx"))).otherwise(F.col("idx")))
+    preset, grid = dict(trees=5, depth=2, rate=0.3, l2=1.0, min_leaf=1), [{"depth": 1}, {"depth": 4, "rate": 0.2}]
+    pdf = rows.toPandas()
+    expected = {}
+    for s, d in pdf.groupby("station_id"):
+        d = d.sort_values("idx")
+        x, y, n = d[FEATURES].to_numpy(float), d.y.to_numpy(), len(d)
+        size, cuts, scores = n // 3, Cuts([np.unique(x[:, j]) for j in range(3)]), []
+        for point in grid:
+            p, fold = TreeParams(**(preset | point)), []
+            for i in range(2):
+                start = n - (2 - i) * size
+                m = T.fit_series(cuts.bins(x[:start]), np.arange(start), y[:start], cuts, p, 0, p.trees)
+                fold.append(np.abs(T.predicted(pd.DataFrame([m]), x[start:start + size]) - y[start:start + size]).mean())
+            scores.append(np.mean(fold))
+        expected[s] = (int(np.argmin(scores)), min(scores))
+    for limit in (T.TASK_ROWS, 10):
+        monkeypatch.setattr(T, "TASK_ROWS", limit)
+        got = {r.station_id: r for r in T.tune_trees(rows, preset, grid, FEATURES, T.KEYS, k=2).collect()}
+        assert {s: r.param_id for s, r in got.items()} == {s: e[0] for s, e in expected.items()}
+        assert all(np.isclose(got[s].cv_mae, e[1]) for s, e in expected.items())
+
+
+def test_grids_of_boosted_models():
+    from hourcast.plans.models import tree_grid
+    for name in ("XGBoost", "LightGBM"):
+        points = tree_grid(name)
+        assert len(points) == 16 and all(p["depth"] > 0 for p in points) and [T.params_of(name, **p) for p in points]
