@@ -5,14 +5,16 @@ frequency in the whole corpus, and the shingles that a partner may lack bound th
 shingle of a single document can be shared with none, so classes with too many of those are out at once. Classes with
 the same size and prefix form a group; groups that share a prefix shingle are paired if sizes and positions allow the
 similarity, and parity bitmaps, whose distance bounds the sets' difference from below; then members are verified on all
-shingles that they share with anything. Members are not expanded into all pairs: groups are first joined through one
-member each, and only pairs that are not yet in one component follow.
+shingles that they share with anything. Members are not expanded into all pairs: each group is first held against a
+pivot for each of a few prefix shingles, then groups that are not in one component yet through one member each, and
+only pairs of members that are still in different components follow.
 
 Frequencies take two shuffles of packed arrays, six bytes a shingle: to the shingle's bucket, and from there back to
 the batch of documents that it came from (shingles of one document stay behind).
 """
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +29,10 @@ from hourcast.llm.store import shuffle_partitions, table, written
 
 #: Bits of a class's parity bitmap.
 BITS = 512
+#: From here on numbers stand for classes that hold no doc_id.
+STAND_IN = 1 << 62
+#: Prefix shingles of a group for which it meets a pivot before other pairs are looked for.
+PIVOTS = 4
 #: Shingles that a map task holds before it sends them to their buckets.
 BATCH = 1_000_000
 _PACKED = [("bucket", pa.int32()), ("batch", pa.int64()), ("tokens", pa.binary()), ("counts", pa.binary()),
@@ -171,20 +177,52 @@ def _near_enough(a: str, b: str, percent: int) -> F.Column:
     return (100 + percent) * differ <= (100 - percent) * (col(a, "n") + col(b, "n"))
 
 
+def _posts(groups: DataFrame) -> DataFrame:
+    """One row per group and prefix shingle, with the shingles that are left from there on."""
+    return groups.select("gid", "n", "single", "bits", *[c for c in ("low", "high") if c in groups.columns], F.posexplode("prefix").alias("at", "token")).withColumn(
+        "left", F.col("n") - F.col("single") - F.col("at"))
+
+
+def _fits(a: str, b: str, percent: int) -> F.Column:
+    """Whether sizes, the position of a shared shingle, and bitmaps leave the similarity possible."""
+    return ((100 + percent) * F.least(f"{a}.left", f"{b}.left") >= percent * (F.col(f"{a}.n") + F.col(f"{b}.n"))) & _near_enough(a, b, percent)
+
+
+def pivot_pairs(groups: DataFrame, percent: int) -> DataFrame:
+    """(a, b): groups and a pivot for each of their first PIVOTS prefix shingles. Of the groups that have a shingle and
+    nearly a size, the one of the smallest hash is the pivot, another for each shingle, so the pairs grow with the
+    groups, however many share a shingle."""
+    band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent)) if percent < 100 else F.col("n")
+    posts = _posts(groups).where(F.col("at") < PIVOTS).select("*", band.cast("long").alias("band"), F.xxhash64("token", "gid").alias("place"))
+    best = posts.groupBy("token", "band").agg(F.min_by(F.struct("gid", "n", "single", "bits", "left"), "place").alias("p"))
+    pivots = best.select(F.col("token").alias("t"), F.col("band").alias("w"), "p.*")
+    a, b = posts.alias("a"), pivots.alias("b")
+    found = a.join(b, (F.col("a.token") == F.col("b.t")) & (F.col("a.band") == F.col("b.w")) & (F.col("a.gid") != F.col("b.gid")) & _fits("a", "b", percent))
+    return found.select(F.least("a.gid", "b.gid").alias("a"), F.greatest("a.gid", "b.gid").alias("b")).distinct()
+
+
 def group_pairs(groups: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of groups (gid, n, single, prefix, bits) that share a prefix shingle at positions which allow the
-    similarity, and whose bitmaps (of groups of one class) allow it."""
-    posts = groups.select("gid", "n", "single", "bits", F.posexplode("prefix").alias("at", "token")).select("token", "gid", "n", "single", "bits", (F.col("n") - F.col("single") - F.col("at")).alias("left"))
+    """(a, b) of groups (gid, n, single, prefix, bits, low, high) that share a prefix shingle at positions which allow
+    the similarity, and whose bitmaps (of groups of one class) allow it.
+
+    ``low`` and ``high`` are the smallest and largest component of a group's members so far: groups that are wholly in
+    one component need no pair, and a shingle that only such groups have is not looked at."""
+    posts = _posts(groups)
+    mixed = posts.groupBy("token").agg(F.min("low").alias("l"), F.max("high").alias("h")).where("l <> h").select("token")
+    posts = posts.join(mixed, "token", "left_semi")
     a, b = posts.alias("a"), posts.alias("b")
-    fits = (100 + percent) * F.least("a.left", "b.left") >= percent * (F.col("a.n") + F.col("b.n"))
-    fits &= _near_enough("a", "b", percent)
-    return a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.gid") < F.col("b.gid")) & fits).select(F.col("a.gid").alias("a"), F.col("b.gid").alias("b")).distinct()
+    apart = (F.col("a.low") != F.col("b.low")) | (F.col("a.low") != F.col("a.high")) | (F.col("b.low") != F.col("b.high"))
+    return a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.gid") < F.col("b.gid")) & apart & _fits("a", "b", percent)).select(
+        F.col("a.gid").alias("a"), F.col("b.gid").alias("b")).distinct()
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (x, y) of set keys whose whole sets reach the similarity, as (a, b) of representatives.
 
     What two sets have in common is among the shingles that each shares with anything."""
+    pairs = written(pairs, "jaccard-candidates")
+    keys = pairs.select(F.col("x").alias("key")).union(pairs.select("y")).distinct()
+    sets = written(sets.select("key", "rep", "n", "shared").join(keys, "key", "left_semi"), "jaccard-members")
     x = sets.select(F.col("key").alias("x"), F.col("rep").alias("a"), F.col("n").alias("xn"), F.col("shared").alias("xs"))
     y = sets.select(F.col("key").alias("y"), F.col("rep").alias("b"), F.col("n").alias("yn"), F.col("shared").alias("ys"))
     both = F.size(F.array_intersect("xs", "ys"))
@@ -197,29 +235,40 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFram
     Two documents link when 100 * intersection >= percent * union of their sets of distinct ``words``-word shingles
     (A-Z lower-cased; fewer words: the whole sequence is one). component_id is the smallest doc_id reachable by links.
     Null, empty or blank texts have an empty set and link with nothing. Rows that share a doc_id are one document with
-    several sets. A null doc_id takes part, but never names a component unless nothing else is in it (then null).
+    several sets. A row without doc_id takes part like any other, but names no component: one without any doc_id is
+    null. doc_ids are below 2^62; above, classes without doc_id have stand-ins.
     """
     heads = written(prefix_table(docs, words, percent), "jaccard-prefixes")
-    classes = heads.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"))
-    known = classes.where("rep is not null").select(F.col("key").alias("k"), "rep")
-    open_ = heads.where("prefix is not null").join(known, (F.col("key") == F.col("k")) & (F.col("doc_id") == F.col("rep"))).dropDuplicates(["key"])
+    stand_in = F.lit(STAND_IN) + F.xxhash64("key").bitwiseAND(F.lit(STAND_IN - 1))
+    classes = heads.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep")).select("key", F.coalesce("rep", stand_in).alias("rep"))
+    known = classes.select(F.col("key").alias("k"), "rep")
+    open_ = heads.where("prefix is not null").join(known, (F.col("key") == F.col("k")) & (F.coalesce("doc_id", "rep") == F.col("rep"))).dropDuplicates(["key"])
     open_ = written(open_.select("key", "rep", "n", "single", "prefix", "shared", "bits", F.xxhash64("n", "single", "prefix").alias("gid")), "jaccard-classes")
     groups = open_.groupBy("gid", "n", "single", "prefix").agg(F.count("*").alias("members"), F.min("key").alias("pivot"), F.min("bits").alias("bits"))
     groups = written(groups.withColumn("bits", F.when(F.col("members") == 1, F.col("bits"))), "jaccard-groups")
-    pairs = written(group_pairs(groups, percent), "jaccard-group-pairs")
-
-    paired = pairs.select(F.col("a").alias("gid")).union(pairs.select("b")).union(groups.where("members > 1").select("gid")).distinct()
-    sets = written(open_.join(paired, "gid").drop("prefix"), "jaccard-members")
-    members = sets.select("gid", "key", "rep", "n", "single", "bits")
     pivots = groups.groupBy("gid").agg(F.min("pivot").alias("pivot"))
-    star = members.join(pivots, "gid").where("key <> pivot").select(F.col("pivot").alias("x"), F.col("key").alias("y"))
-    across = pairs.join(pivots.toDF("a", "x"), "a").join(pivots.toDF("b", "y"), "b").where("x <> y").select("x", "y")
-    edges = written(verified(star.union(across).distinct(), sets, percent), "jaccard-edges")
-    near = connected_components(edges, "a", "b")
+    members = open_.select("gid", "key", "rep", "n", "single", "bits")
+
+    def across(pairs: DataFrame) -> DataFrame:
+        return pairs.join(pivots.toDF("a", "x"), "a").join(pivots.toDF("b", "y"), "b").where("x <> y").select("x", "y")
 
-    placed = members.join(near, F.col("rep") == F.col("node"), "left").select("gid", "key", "n", "single", "bits", F.coalesce("component", "rep").alias("part"))
-    placed = written(placed, "jaccard-placed")
-    spread = placed.groupBy("gid").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("members"))
+    def place(edges: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+        """Members with their component so far, and of each group the smallest and the largest of them."""
+        near = connected_components(edges, "a", "b")
+        placed = members.join(near, F.col("rep") == F.col("node"), "left").select("gid", "key", "n", "single", "bits", F.coalesce("component", "rep").alias("part"))
+        placed = written(placed, name)
+        return placed, placed.groupBy("gid").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("members"))
+
+    # every member with its group's first one, every group with a few pivots: links that grow with the groups
+    star = members.join(pivots, "gid").where("key <> pivot").select(F.col("pivot").alias("x"), F.col("key").alias("y"))
+    first = star.union(across(pivot_pairs(groups, percent))).distinct()
+    edges = written(verified(first, open_, percent), "jaccard-edges")
+    _, spread = place(edges, "jaccard-placed")
+    # then one member of each of two groups that are not in one component yet
+    apart = groups.join(spread.select("gid", "low", "high"), "gid")
+    pairs = written(group_pairs(apart, percent), "jaccard-group-pairs")
+    edges = edges.union(written(verified(across(pairs).distinct(), open_, percent), "jaccard-across"))
+    placed, spread = place(edges, "jaccard-placed")
     a, b = spread.toDF("a", "low_a", "high_a", "m_a"), spread.toDF("b", "low_b", "high_b", "m_b")
     # of two groups of one class each the only pair has been verified
     todo = pairs.join(a, "a").join(b, "b").where("m_a + m_b > 2 and (low_a <> low_b or low_a <> high_a or low_b <> high_b)").select("a", "b")
@@ -228,10 +277,11 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFram
     rest = todo.join(left, F.col("a") == F.col("l.gid")).join(right, (F.col("b") == F.col("r.gid")) & (F.col("l.part") != F.col("r.part"))
                                                                & ((F.col("a") != F.col("b")) | (F.col("l.key") < F.col("r.key"))) & _near_enough("l", "r", percent))
     rest = rest.select(F.col("l.key").alias("x"), F.col("r.key").alias("y")).distinct()
-    more = written(verified(rest, sets, percent), "jaccard-more-edges")
+    more = written(verified(rest, open_, percent), "jaccard-more-edges")
     linked = connected_components(edges.union(more), "a", "b")
 
     reps = classes.join(linked, F.col("rep") == F.col("node"), "left").select("key", F.coalesce("component", "rep").alias("component"))
+    reps = reps.select("key", F.when(F.col("component") < STAND_IN, F.col("component")).alias("component"))
     # rows that share a doc_id belong together even where their sets do not
     named = written(heads.select("doc_id", "n", "key").join(reps, "key", "left").select("doc_id", "n", F.coalesce("component", "doc_id").alias("component")), "jaccard-named")
     joint = named.where("doc_id is not null").groupBy("doc_id").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
@@ -243,7 +293,7 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFram
 def one_of_each_group(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` whose doc_id names its component; of rows that repeat doc_id and text one stays.
 
-    Rows without doc_id stay unless they link with a row that has one.
+    Rows without doc_id cannot be told apart by it: all of them go if each links with a row that has one, else all stay.
     """
     kept = jaccard_join(docs, words, percent).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
     rows = docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__kept")), "left_semi")

@@ -88,6 +88,32 @@ def test_equal_prefixes_are_one_group_and_pairs_stay_few(spark):
     assert {r.component_id for r in jaccard_join.jaccard_join(frame(spark, texts)).collect()} == {0}
 
 
+def test_near_copies_with_unlike_prefixes(spark, monkeypatch):
+    rng = random.Random(15)
+    texts = []
+    for base in (words(rng, 150, 10**6).split(), words(rng, 150, 10**6).split()):
+        for _ in range(70):
+            w = list(base)
+            w[rng.randrange(len(w))] = f"new{rng.randrange(10**6)}"
+            texts.append(" ".join(w))
+    seen = []
+    pairs = jaccard_join.group_pairs
+    monkeypatch.setattr(jaccard_join, "group_pairs", lambda g, percent: seen.append(pairs(g, percent)) or seen[-1])
+    got = jaccard_join.jaccard_join(frame(spark, texts)).collect()
+    assert {tuple(r) for r in got} == brute_components(texts, list(range(len(texts))), 5, 80)
+    assert seen[0].count() < 400  # not the 2 * 70 * 69 / 2 pairs of two clusters
+
+
+def test_near_copies_without_id_link(spark):
+    rng = random.Random(16)
+    base, other = words(rng, 120, 10**6), words(rng, 120, 10**6)
+    texts = [base, base + " more", base + " more words", other, other + " more"]
+    got = jaccard_join.jaccard_join(frame(spark, texts, ids=[7, None, 4, None, None])).collect()
+    assert Counter((r.doc_id, r.component_id) for r in got) == Counter({(7, 4): 1, (4, 4): 1, (None, 4): 1, (None, None): 2})
+    kept = jaccard_join.one_of_each_group(frame(spark, texts, ids=[7, None, 4, None, None])).collect()
+    assert Counter(r.doc_id for r in kept) == Counter({4: 1, None: 3})  # two of them link with no id, so all stay
+
+
 # ---- components --------------------------------------------------------------------------------------------------------
 def test_components_of_chains_hubs_and_nothing(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(200, 200), (7, None)]
