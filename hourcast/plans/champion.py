@@ -18,6 +18,7 @@ from hourcast.operators import models as M
 from hourcast.operators import serve as SV
 from hourcast.operators import trees as T
 from hourcast.operators.select import deployable_champion
+from hourcast.operators.series import epoch_hour
 from hourcast.plans.models import tree_models
 from hourcast.sources import files as FL
 
@@ -100,7 +101,7 @@ class Champions:
 
     def predict(self, rows: DataFrame, keep: list[str]) -> DataFrame:
         """(keys, keep..., label, source, prediction) of every row: by its champion, else by the legacy table, else
-        null with the source ``missing``."""
+        null with the source ``missing``. ``keep`` must have the row's date, by whose hours rows are dealt."""
         d = rows.select(*KEYS, *keep, *[F.col(c).cast("double").alias(c) for c in C.FEATURES if c not in keep])
         out = d.select(*KEYS, *keep)
         scored = []
@@ -108,7 +109,7 @@ class Champions:
             linear = _dot(d, self.linear)
             scored.append(linear.select(*KEYS, *keep, "model", "prediction"))
             names = self.trees.select(*KEYS, "model").distinct()
-            trees = T.predict_trees(d.withColumn("_one", F.lit(0)), self.trees.drop("model"), C.FEATURES, KEYS, keep, "prediction", "_one").join(names, KEYS)
+            trees = T.predict_trees(d.withColumn("_hour", epoch_hour("date")), self.trees.drop("model"), C.FEATURES, KEYS, keep, "prediction", "_hour").join(names, KEYS)
             scored.append(trees.select(*KEYS, *keep, "model", "prediction"))
         found = None
         for s in scored:
