@@ -149,18 +149,26 @@ SPEARMAN_COLUMNS = ["pm2_5", "pm10", "co", "no2", "so2", "ozone", "temperature_2
                     "wind_speed_10m", "pressure_msl"]
 
 
+def _corr(a: str, b: str):
+    """Correlation, NaN where a column is constant: the built-in ``corr`` divides by zero there."""
+    sxx, syy = F.regr_sxx(a, b), F.regr_syy(a, b)
+    flat = (F.regr_count(a, b) > 1) & ((sxx == 0) | (syy == 0))
+    return F.when(flat, F.lit(float("nan"))).otherwise(F.try_divide(F.regr_sxy(a, b), F.sqrt(sxx * syy)))
+
+
 def spearman_matrix(clean: DataFrame) -> DataFrame:
     """Spearman correlation of the available pollutant/weather columns, lower
     triangle incl. diagonal, long form (col_a, col_b, rho).  Rows must be
-    complete (the clean panel has no NULLs).  All columns are ranked in one
-    long-form pass keyed by (station, column), then re-aligned by position."""
+    complete (the clean panel has no NULLs); a constant column correlates with
+    nothing (NaN).  All columns are ranked in one long-form pass keyed by
+    (station, column), then re-aligned by position."""
     cols = [c for c in SPEARMAN_COLUMNS if c in clean.columns]
     stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
     long = with_pos(clean).selectExpr(KEY, POS, f"stack({len(cols)}, {stack}) AS (col, v)")
     ranked = value_rank(long, "v", keys=[KEY, "col"])
     wide = ranked.groupBy(KEY, POS).pivot("col", cols).agg(F.first("v_rank"))
     pairs = [(a, b) for i, a in enumerate(cols) for j, b in enumerate(cols) if j <= i]
-    agg = wide.groupBy(KEY).agg(*[F.corr(F.col(a), F.col(b)).alias(f"_c{k}") for k, (a, b) in enumerate(pairs)])
+    agg = wide.groupBy(KEY).agg(*[_corr(a, b).alias(f"_c{k}") for k, (a, b) in enumerate(pairs)])
     rows = F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"_c{k}").alias("rho"))
                      for k, (a, b) in enumerate(pairs)])
     return agg.select(KEY, F.inline(rows))

@@ -51,3 +51,19 @@ def test_spearman_matches_pandas(spark):
     ref = pdf[["pm2_5", "pm10", "temperature_2m"]].corr(method="spearman")
     for (a, b), rho in got.items():
         assert abs(rho - ref.loc[a, b]) < 1e-12
+
+
+def test_spearman_of_constant_columns_is_nan(spark):
+    """A column that is constant in one station, as the hourly maximum of dense readings is, is no error."""
+    import math
+
+    from hourcast.operators.eda import spearman_matrix
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(s, t0 + dt.timedelta(hours=h), float(h * h % 11), 99.0 if s == "flat" else float(h)) for s in ("flat", "s") for h in range(40)]
+    rows.append(("one", t0, 1.0, 2.0))
+    df = spark.createDataFrame(rows, "station_id string, datetime timestamp_ntz, pm2_5 double, relative_humidity_2m double")
+    got = {(r.station_id, r.col_a[:2], r.col_b[:2]): r.rho for r in spearman_matrix(df).collect()}
+    assert len(got) == 9
+    assert math.isnan(got["flat", "re", "pm"]) and math.isnan(got["flat", "re", "re"]) and abs(got["flat", "pm", "pm"] - 1) < 1e-12
+    assert abs(got["s", "re", "re"] - 1) < 1e-12 and abs(got["s", "re", "pm"]) < 1
+    assert got["one", "re", "pm"] is None
