@@ -6,8 +6,9 @@ shingle of a single document can be shared with none, so classes with too many o
 the same size and prefix form a group; groups that share a prefix shingle are paired if sizes and positions allow the
 similarity, and parity bitmaps, whose distance bounds the sets' difference from below; then members are verified on all
 shingles that they share with anything. Members are not expanded into all pairs: each group is first held against a
-pivot for each of a few prefix shingles, then groups that are not in one component yet through one member each, and
-only pairs of members that are still in different components follow.
+pivot for each of a few prefix shingles, and in further rounds, while many pairs are open, against one pivot that its
+shingles agree on; then groups that are not in one component yet through one member each, and only pairs of members
+that are still in different components follow.
 
 Frequencies take two shuffles of packed arrays, six bytes a shingle: to the shingle's bucket, and from there back to
 the batch of documents that it came from (shingles of one document stay behind).
@@ -33,8 +34,12 @@ BITS = 512
 STAND_IN = 1 << 62
 #: Prefix shingles of a group for which it meets a pivot before other pairs are looked for.
 PIVOTS = 4
+#: Most rounds in which groups that are apart meet a common pivot.
+ROUNDS = 8
 #: Shingles that a map task holds before it sends them to their buckets.
-BATCH = 1_000_000
+BATCH = 500_000
+#: Parts of a bucket's shingles that are counted one after another.
+SLICES = 8
 _PACKED = [("bucket", pa.int32()), ("batch", pa.int64()), ("tokens", pa.binary()), ("counts", pa.binary()),
            ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("keys", pa.binary())]
 _PACKED_DDL = "bucket int, batch long, tokens binary, counts binary, ids array<long>, sizes array<int>, keys binary"
@@ -74,35 +79,47 @@ def _shared_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     """All shingles of some buckets: those of at least two documents go back to their batches, with their frequency."""
     held, parts = [], []
     for batch in batches:
-        for row in batch.to_pylist():
-            parts.append(_unpack(row.pop("tokens"), row["bucket"]))
+        tokens, rest = batch.column("tokens"), batch.drop_columns(["tokens"]).to_pylist()
+        for i, row in enumerate(rest):
+            parts.append(_unpack(tokens[i].as_buffer(), row["bucket"]))
             held.append(row)
     if not held:
         return
-    sizes = [len(p) for p in parts]
-    tokens = np.concatenate(parts)
-    del parts
-    order = np.argsort(tokens)
-    first = np.flatnonzero(np.diff(tokens[order], prepend=~tokens[order[:1]]) != 0) if len(tokens) else np.empty(0, np.int64)
-    runs = np.diff(np.append(first, len(tokens)))
-    often = np.empty(len(tokens), np.uint32)
-    often[order] = np.repeat(np.minimum(runs, 0xFFFFFFFF).astype(np.uint32), runs)
-    del order, first, runs
-    at, out = 0, []
-    for r, size in zip(held, sizes):
-        own, df = tokens[at:at + size], often[at:at + size]
-        at += size
+    often, out = _frequencies(parts), []
+    for i, r in enumerate(held):
         counts = np.frombuffer(r["counts"], np.int32)
-        keep = df > 1
+        keep = often[i] > 1
         owner = np.repeat(np.arange(len(counts)), counts)[keep]
         shared = np.bincount(owner, minlength=len(counts)).astype(np.int32)
-        out.append((r["batch"], own[keep].tobytes(), df[keep].tobytes(), shared.tobytes(), r["ids"], r["sizes"], r["keys"]))
+        out.append((r["batch"], parts[i][keep].tobytes(), often[i][keep].tobytes(), shared.tobytes(), r["ids"], r["sizes"], r["keys"]))
+        parts[i] = often[i] = held[i] = None
         if len(out) == 16:
             yield _rows(_SHARED, out)
             out = []
     yield _rows(_SHARED, out)
 
 
+def _frequencies(parts: list[np.ndarray]) -> list[np.ndarray]:
+    """How often each shingle of some documents occurs among them all, counted slice by slice of the shingles' values."""
+    often = [np.empty(len(p), np.uint32) for p in parts]
+    for s in range(SLICES):
+        at = [np.flatnonzero((p >> np.uint64(32)) % np.uint64(SLICES) == s) for p in parts]
+        tokens = np.concatenate([p[w] for p, w in zip(parts, at)])
+        if not len(tokens):
+            continue
+        order = np.argsort(tokens)
+        tokens = tokens[order]
+        first = np.append(0, np.flatnonzero(tokens[1:] != tokens[:-1]) + 1)
+        runs = np.diff(np.append(first, len(tokens)))
+        found = np.empty(len(tokens), np.uint32)
+        found[order] = np.repeat(np.minimum(runs, 0xFFFFFFFF).astype(np.uint32), runs)
+        begin = 0
+        for o, w in zip(often, at):
+            o[w] = found[begin:begin + len(w)]
+            begin += len(w)
+    return often
+
+
 def parity_bits(tokens: np.ndarray) -> np.ndarray:
     """A bitmap whose bits are the parities of the tokens hashed to them: two bitmaps differ in at most as many bits as
     the sets do in tokens."""
@@ -201,18 +218,48 @@ def pivot_pairs(groups: DataFrame, percent: int) -> DataFrame:
     return found.select(F.least("a.gid", "b.gid").alias("a"), F.greatest("a.gid", "b.gid").alias("b")).distinct()
 
 
+def _apart() -> F.Column:
+    """Whether groups a and b are not wholly in one component."""
+    return (F.col("a.low") != F.col("b.low")) | (F.col("a.low") != F.col("a.high")) | (F.col("b.low") != F.col("b.high"))
+
+
+def _mixed_posts(groups: DataFrame) -> DataFrame:
+    """The posts of shingles that groups of more than one component have."""
+    posts = _posts(groups)
+    mixed = posts.groupBy("token").agg(F.min("low").alias("l"), F.max("high").alias("h")).where("l <> h").select("token")
+    return posts.join(mixed, "token", "left_semi")
+
+
+def open_pairs(groups: DataFrame) -> tuple[int, int]:
+    """Pairs of groups in different components that share a prefix shingle, counted for each shingle, and the posts."""
+    per = _posts(groups).groupBy("token", "low").agg(F.count("*").cast("double").alias("c"))
+    per = per.groupBy("token").agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("own"))
+    found = per.agg(F.sum((F.col("c") * F.col("c") - F.col("own")) / 2).alias("pairs"), F.sum("c").alias("posts")).first()
+    return int(found["pairs"] or 0), int(found["posts"] or 0)
+
+
+def round_pairs(groups: DataFrame, percent: int, turn: int) -> DataFrame:
+    """(a, b): groups and, for each prefix shingle, the pivot of the groups with nearly their size, where the two are
+    apart. The order of the pivots is the same for all shingles of a round, so that the shingles of near copies agree on
+    one; another round has another order, and size bands shifted by a half."""
+    size = F.log(F.col("n").cast("double")) / math.log(100 / percent) if percent < 100 else F.col("n")
+    posts = _mixed_posts(groups).select("*", F.floor(size + (turn % 2) / 2).cast("long").alias("band"))
+    best = posts.groupBy("token", "band").agg(F.min_by(F.struct("gid", "n", "single", "bits", "left", "low", "high"), F.xxhash64(F.lit(turn), "gid")).alias("p"))
+    pivots = best.select(F.col("token").alias("t"), F.col("band").alias("w"), "p.*")
+    a, b = posts.alias("a"), pivots.alias("b")
+    found = a.join(b, (F.col("a.token") == F.col("b.t")) & (F.col("a.band") == F.col("b.w")) & (F.col("a.gid") != F.col("b.gid")) & _apart() & _fits("a", "b", percent))
+    return found.select(F.least("a.gid", "b.gid").alias("a"), F.greatest("a.gid", "b.gid").alias("b")).distinct()
+
+
 def group_pairs(groups: DataFrame, percent: int) -> DataFrame:
     """(a, b) of groups (gid, n, single, prefix, bits, low, high) that share a prefix shingle at positions which allow
     the similarity, and whose bitmaps (of groups of one class) allow it.
 
     ``low`` and ``high`` are the smallest and largest component of a group's members so far: groups that are wholly in
     one component need no pair, and a shingle that only such groups have is not looked at."""
-    posts = _posts(groups)
-    mixed = posts.groupBy("token").agg(F.min("low").alias("l"), F.max("high").alias("h")).where("l <> h").select("token")
-    posts = posts.join(mixed, "token", "left_semi")
+    posts = _mixed_posts(groups)
     a, b = posts.alias("a"), posts.alias("b")
-    apart = (F.col("a.low") != F.col("b.low")) | (F.col("a.low") != F.col("a.high")) | (F.col("b.low") != F.col("b.high"))
-    return a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.gid") < F.col("b.gid")) & apart & _fits("a", "b", percent)).select(
+    return a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.gid") < F.col("b.gid")) & _apart() & _fits("a", "b", percent)).select(
         F.col("a.gid").alias("a"), F.col("b.gid").alias("b")).distinct()
 
 
@@ -264,8 +311,19 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFram
     first = star.union(across(pivot_pairs(groups, percent))).distinct()
     edges = written(verified(first, open_, percent), "jaccard-edges")
     _, spread = place(edges, "jaccard-placed")
-    # then one member of each of two groups that are not in one component yet
+    # while near copies are in several components: every group with a pivot that its shingles agree on
     apart = groups.join(spread.select("gid", "low", "high"), "gid")
+    left, posts = open_pairs(apart)
+    for turn in range(ROUNDS):
+        if left <= posts:
+            break
+        edges = edges.union(written(verified(across(round_pairs(apart, percent, turn)).distinct(), open_, percent), "jaccard-round"))
+        _, spread = place(edges, "jaccard-placed")
+        apart = groups.join(spread.select("gid", "low", "high"), "gid")
+        before, (left, _) = left, open_pairs(apart)
+        if turn % 2 and left > 0.9 * before:
+            break
+    # then one member of each of two groups that are not in one component yet
     pairs = written(group_pairs(apart, percent), "jaccard-group-pairs")
     edges = edges.union(written(verified(across(pairs).distinct(), open_, percent), "jaccard-across"))
     placed, spread = place(edges, "jaccard-placed")

@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,6 +66,31 @@ def test_jaccard_join_matches_brute_force(spark, corpus, k, percent):
     assert {tuple(r) for r in got} == brute_components(corpus, list(range(len(corpus))), k, percent)
 
 
+def test_jaccard_join_near_copies_agree_on_pivots(spark, monkeypatch):
+    """Near copies whose rarest shingles only pairs of them share: common pivots link them, not all their pairs."""
+    base = [f"w{i}" for i in range(400)]
+    texts = []
+    for i in range(60):
+        w = list(base)
+        w[20 + i // 2 * 10] = f"pair{i // 2}"
+        if i % 2:
+            w[390] = f"own{i}"
+        texts.append(" ".join(w))
+    seen, pairs = [], jaccard_join.group_pairs
+    monkeypatch.setattr(jaccard_join, "group_pairs", lambda g, percent: seen.append(pairs(g, percent)) or seen[-1])
+    got = jaccard_join.jaccard_join(frame(spark, texts)).collect()
+    assert {r.component_id for r in got} == {0}
+    assert seen[0].count() < 60  # 1,740 pairs are apart where only the rarest shingles have pivots
+
+
+def test_jaccard_join_shingle_frequencies_by_slices():
+    rng = np.random.RandomState(5)
+    parts = [np.unique(rng.randint(0, 2000, n).astype(np.uint64) << np.uint64(31)) for n in (900, 1, 500, 1200)] + [np.empty(0, np.uint64)]
+    values, counts = np.unique(np.concatenate(parts), return_counts=True)
+    often = dict(zip(values.tolist(), counts.tolist()))
+    assert [o.tolist() for o in jaccard_join._frequencies(parts)] == [[often[x] for x in p.tolist()] for p in parts]
+
+
 def test_jaccard_join_ids_that_repeat_or_are_null(spark):
     rng = random.Random(1)
     a, b, c = words(rng, 50), words(rng, 50), words(rng, 50)
