@@ -5,10 +5,11 @@ frequency in the whole corpus, and the shingles that a partner may lack bound th
 shingle of a single document can be shared with none, so classes with too many of those are out at once. Classes with
 the same size and prefix form a group; groups that share a prefix shingle are paired if sizes and positions allow the
 similarity, and parity bitmaps, whose distance bounds the sets' difference from below; then members are verified on all
-shingles that they share with anything. Members are not expanded into all pairs: each group is first held against a
-pivot for each of a few prefix shingles, and in further rounds, while many pairs are open, against one pivot that its
-shingles agree on; then groups that are not in one component yet through one member each, and only pairs of members
-that are still in different components follow.
+shingles that they share with anything. Members are not expanded into all pairs: each group is first held against one
+pivot for each prefix shingle, the same one where shingles agree, and for the few frequent shingles against other pivots
+in further rounds, while many of their pairs are open; then groups that are not in one component yet through one member
+each, and only pairs of members that are still in different components follow. Prefix shingles that one group has alone
+are dropped once; the others are written with all that pivots need, so a round costs its frequent shingles only.
 
 Frequencies take two shuffles of packed arrays, six bytes a shingle: to the shingle's bucket, and from there back to
 the batch of documents that it came from (shingles of one document stay behind).
@@ -32,9 +33,9 @@ from hourcast.llm.store import shuffle_partitions, table, written
 BITS = 512
 #: From here on numbers stand for classes that hold no doc_id.
 STAND_IN = 1 << 62
-#: Prefix shingles of a group for which it meets a pivot before other pairs are looked for.
-PIVOTS = 4
-#: Most rounds in which groups that are apart meet a common pivot.
+#: A prefix shingle of more groups than this is frequent.
+OFTEN = 16
+#: Most rounds in which groups that are apart meet a common pivot of a frequent shingle.
 ROUNDS = 8
 #: Shingles that a map task holds before it sends them to their buckets.
 BATCH = 500_000
@@ -194,28 +195,17 @@ def _near_enough(a: str, b: str, percent: int) -> F.Column:
     return (100 + percent) * differ <= (100 - percent) * (col(a, "n") + col(b, "n"))
 
 
-def _posts(groups: DataFrame) -> DataFrame:
-    """One row per group and prefix shingle, with the shingles that are left from there on."""
-    return groups.select("gid", "n", "single", "bits", *[c for c in ("low", "high") if c in groups.columns], F.posexplode("prefix").alias("at", "token")).withColumn(
-        "left", F.col("n") - F.col("single") - F.col("at"))
+def posts_of(groups: DataFrame) -> DataFrame:
+    """(token, gid, n, left, often): one row per group and prefix shingle that other groups have in their prefixes too,
+    with the shingles that are left from there on and the number of its groups."""
+    posts = groups.select("gid", "n", "single", F.posexplode("prefix").alias("at", "token")).select("token", "gid", "n", (F.col("n") - F.col("single") - F.col("at")).alias("left"))
+    shared = groups.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count("*").alias("often")).where("often > 1")
+    return posts.join(shared, "token")
 
 
-def _fits(a: str, b: str, percent: int) -> F.Column:
-    """Whether sizes, the position of a shared shingle, and bitmaps leave the similarity possible."""
-    return ((100 + percent) * F.least(f"{a}.left", f"{b}.left") >= percent * (F.col(f"{a}.n") + F.col(f"{b}.n"))) & _near_enough(a, b, percent)
-
-
-def pivot_pairs(groups: DataFrame, percent: int) -> DataFrame:
-    """(a, b): groups and a pivot for each of their first PIVOTS prefix shingles. Of the groups that have a shingle and
-    nearly a size, the one of the smallest hash is the pivot, another for each shingle, so the pairs grow with the
-    groups, however many share a shingle."""
-    band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent)) if percent < 100 else F.col("n")
-    posts = _posts(groups).where(F.col("at") < PIVOTS).select("*", band.cast("long").alias("band"), F.xxhash64("token", "gid").alias("place"))
-    best = posts.groupBy("token", "band").agg(F.min_by(F.struct("gid", "n", "single", "bits", "left"), "place").alias("p"))
-    pivots = best.select(F.col("token").alias("t"), F.col("band").alias("w"), "p.*")
-    a, b = posts.alias("a"), pivots.alias("b")
-    found = a.join(b, (F.col("a.token") == F.col("b.t")) & (F.col("a.band") == F.col("b.w")) & (F.col("a.gid") != F.col("b.gid")) & _fits("a", "b", percent))
-    return found.select(F.least("a.gid", "b.gid").alias("a"), F.greatest("a.gid", "b.gid").alias("b")).distinct()
+def _in_place(a: str, b: str, percent: int) -> F.Column:
+    """Whether sizes and the position of a shared shingle leave the similarity possible."""
+    return (100 + percent) * F.least(f"{a}.left", f"{b}.left") >= percent * (F.col(f"{a}.n") + F.col(f"{b}.n"))
 
 
 def _apart() -> F.Column:
@@ -223,43 +213,49 @@ def _apart() -> F.Column:
     return (F.col("a.low") != F.col("b.low")) | (F.col("a.low") != F.col("a.high")) | (F.col("b.low") != F.col("b.high"))
 
 
-def _mixed_posts(groups: DataFrame) -> DataFrame:
-    """The posts of shingles that groups of more than one component have."""
-    posts = _posts(groups)
+def mixed_posts(posts: DataFrame, spread: DataFrame) -> DataFrame:
+    """The posts of shingles that groups of more than one component have, with their group's smallest and largest
+    component (``spread``: gid, low, high)."""
+    posts = posts.join(spread.select("gid", "low", "high"), "gid")
     mixed = posts.groupBy("token").agg(F.min("low").alias("l"), F.max("high").alias("h")).where("l <> h").select("token")
     return posts.join(mixed, "token", "left_semi")
 
 
-def open_pairs(groups: DataFrame) -> tuple[int, int]:
+def open_pairs(posts: DataFrame) -> tuple[int, int]:
     """Pairs of groups in different components that share a prefix shingle, counted for each shingle, and the posts."""
-    per = _posts(groups).groupBy("token", "low").agg(F.count("*").cast("double").alias("c"))
+    per = posts.groupBy("token", "low").agg(F.count("*").cast("double").alias("c"))
     per = per.groupBy("token").agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("own"))
     found = per.agg(F.sum((F.col("c") * F.col("c") - F.col("own")) / 2).alias("pairs"), F.sum("c").alias("posts")).first()
     return int(found["pairs"] or 0), int(found["posts"] or 0)
 
 
-def round_pairs(groups: DataFrame, percent: int, turn: int) -> DataFrame:
+def pivot_pairs(posts: DataFrame, groups: DataFrame, percent: int, turn: int) -> DataFrame:
     """(a, b): groups and, for each prefix shingle, the pivot of the groups with nearly their size, where the two are
-    apart. The order of the pivots is the same for all shingles of a round, so that the shingles of near copies agree on
-    one; another round has another order, and size bands shifted by a half."""
+    apart (posts without low and high: all are). The order of the pivots is the same for all shingles of a turn, so that
+    the shingles of near copies agree on one; another turn has another order, and size bands shifted by a half. The
+    pairs grow with the posts, however many groups share a shingle."""
     size = F.log(F.col("n").cast("double")) / math.log(100 / percent) if percent < 100 else F.col("n")
-    posts = _mixed_posts(groups).select("*", F.floor(size + (turn % 2) / 2).cast("long").alias("band"))
-    best = posts.groupBy("token", "band").agg(F.min_by(F.struct("gid", "n", "single", "bits", "left", "low", "high"), F.xxhash64(F.lit(turn), "gid")).alias("p"))
+    posts = posts.select("*", F.floor(size + (turn % 2) / 2).cast("long").alias("band"))
+    told = [c for c in ("gid", "n", "left", "low", "high") if c in posts.columns]
+    best = posts.groupBy("token", "band").agg(F.min_by(F.struct(*told), F.xxhash64(F.lit(turn), "gid")).alias("p"))
     pivots = best.select(F.col("token").alias("t"), F.col("band").alias("w"), "p.*")
     a, b = posts.alias("a"), pivots.alias("b")
-    found = a.join(b, (F.col("a.token") == F.col("b.t")) & (F.col("a.band") == F.col("b.w")) & (F.col("a.gid") != F.col("b.gid")) & _apart() & _fits("a", "b", percent))
-    return found.select(F.least("a.gid", "b.gid").alias("a"), F.greatest("a.gid", "b.gid").alias("b")).distinct()
+    apart = _apart() if "low" in told else F.lit(True)
+    found = a.join(b, (F.col("a.token") == F.col("b.t")) & (F.col("a.band") == F.col("b.w")) & (F.col("a.gid") != F.col("b.gid")) & apart & _in_place("a", "b", percent))
+    found = found.select(F.least("a.gid", "b.gid").alias("x"), F.greatest("a.gid", "b.gid").alias("y")).distinct()
+    bits = groups.select("gid", "n", "single", "bits")
+    l, r = bits.alias("l"), bits.alias("r")
+    return found.join(l, F.col("x") == F.col("l.gid")).join(r, F.col("y") == F.col("r.gid")).where(_near_enough("l", "r", percent)).select(F.col("x").alias("a"), F.col("y").alias("b"))
 
 
-def group_pairs(groups: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of groups (gid, n, single, prefix, bits, low, high) that share a prefix shingle at positions which allow
-    the similarity, and whose bitmaps (of groups of one class) allow it.
+def group_pairs(posts: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of groups that share a prefix shingle at positions which allow the similarity, and whose bitmaps (of groups
+    of one class) allow it. ``posts`` also has single and bits of its groups.
 
     ``low`` and ``high`` are the smallest and largest component of a group's members so far: groups that are wholly in
-    one component need no pair, and a shingle that only such groups have is not looked at."""
-    posts = _mixed_posts(groups)
+    one component need no pair."""
     a, b = posts.alias("a"), posts.alias("b")
-    return a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.gid") < F.col("b.gid")) & _apart() & _fits("a", "b", percent)).select(
+    return a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.gid") < F.col("b.gid")) & _apart() & _in_place("a", "b", percent) & _near_enough("a", "b", percent)).select(
         F.col("a.gid").alias("a"), F.col("b.gid").alias("b")).distinct()
 
 
@@ -306,24 +302,27 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFram
         placed = written(placed, name)
         return placed, placed.groupBy("gid").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("members"))
 
-    # every member with its group's first one, every group with a few pivots: links that grow with the groups
+    # every member with its group's first one, every group with a pivot for each prefix shingle: links that grow with the posts
+    posts = written(posts_of(groups), "jaccard-posts")
     star = members.join(pivots, "gid").where("key <> pivot").select(F.col("pivot").alias("x"), F.col("key").alias("y"))
-    first = star.union(across(pivot_pairs(groups, percent))).distinct()
+    first = star.union(across(pivot_pairs(posts, groups, percent, 0))).distinct()
     edges = written(verified(first, open_, percent), "jaccard-edges")
     _, spread = place(edges, "jaccard-placed")
-    # while near copies are in several components: every group with a pivot that its shingles agree on
-    apart = groups.join(spread.select("gid", "low", "high"), "gid")
-    left, posts = open_pairs(apart)
-    for turn in range(ROUNDS):
-        if left <= posts:
+    # while near copies are in several components: the groups of a frequent shingle with other pivots
+    often = posts.where(F.col("often") > OFTEN)
+    apart = written(mixed_posts(often, spread), "jaccard-apart")
+    left, many = open_pairs(apart)
+    for turn in range(1, ROUNDS + 1):
+        if left <= many:
             break
-        edges = edges.union(written(verified(across(round_pairs(apart, percent, turn)).distinct(), open_, percent), "jaccard-round"))
+        edges = edges.union(written(verified(across(pivot_pairs(apart, groups, percent, turn)).distinct(), open_, percent), "jaccard-round"))
         _, spread = place(edges, "jaccard-placed")
-        apart = groups.join(spread.select("gid", "low", "high"), "gid")
+        apart = written(mixed_posts(often, spread), "jaccard-apart")
         before, (left, _) = left, open_pairs(apart)
-        if turn % 2 and left > 0.9 * before:
+        if turn % 2 == 0 and left > 0.9 * before:
             break
     # then one member of each of two groups that are not in one component yet
+    apart = mixed_posts(posts, spread).join(groups.select("gid", "single", "bits"), "gid")
     pairs = written(group_pairs(apart, percent), "jaccard-group-pairs")
     edges = edges.union(written(verified(across(pairs).distinct(), open_, percent), "jaccard-across"))
     placed, spread = place(edges, "jaccard-placed")

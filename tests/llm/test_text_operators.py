@@ -83,6 +83,28 @@ def test_jaccard_join_near_copies_agree_on_pivots(spark, monkeypatch):
     assert seen[0].count() < 60  # 1,740 pairs are apart where only the rarest shingles have pivots
 
 
+def test_jaccard_join_rounds_read_frequent_shingles_only(spark, monkeypatch):
+    """Shingles that one group has alone are dropped once, and a round reads the posts of frequent shingles, not all."""
+    rng = random.Random(23)
+    texts = []
+    for size in (2, 2, 2, 3, 40):
+        base = words(rng, 120, 10**6).split()
+        for _ in range(size):
+            w = list(base)
+            for _ in range(3):
+                w[rng.randrange(len(w))] = f"new{rng.randrange(40)}"
+            texts += [" ".join(w)] * 2
+    tables, write = {}, jaccard_join.written
+    monkeypatch.setattr(jaccard_join, "written", lambda df, name: tables.setdefault(name, []).append(write(df, name)) or tables[name][-1])
+    got = jaccard_join.jaccard_join(frame(spark, texts)).collect()
+    assert {tuple(r) for r in got} == brute_components(texts, list(range(len(texts))), 5, 80)
+    held = Counter(t for r in tables["jaccard-groups"][0].collect() for t in r.prefix)
+    assert Counter(r.token for r in tables["jaccard-posts"][0].collect()) == {t: n for t, n in held.items() if n > 1}
+    assert min(held.values()) == 1 < jaccard_join.OFTEN < max(held.values())
+    for t in tables["jaccard-apart"]:
+        assert all(held[r.token] > jaccard_join.OFTEN for r in t.collect())
+
+
 def test_jaccard_join_shingle_frequencies_by_slices():
     rng = np.random.RandomState(5)
     parts = [np.unique(rng.randint(0, 2000, n).astype(np.uint64) << np.uint64(31)) for n in (900, 1, 500, 1200)] + [np.empty(0, np.uint64)]
