@@ -1,6 +1,7 @@
 """Tree ensembles: one tree against exhaustive search, draws, growth orders, level jobs against tasks, attributions."""
 import itertools
 import math
+import tracemalloc
 
 import numpy as np
 import pandas as pd
@@ -103,6 +104,52 @@ def test_random_cuts_are_drawn_and_the_best_of_them_is_taken():
     assert len(set(chosen)) == 40
 
 
+def naive_drawn(x, y, w, p, tree, path=1, depth=0):
+    """Each row's leaf value of a tree of random cuts, by recursion."""
+    mean = np.full(len(y), (w * y).sum() / w.sum())
+    if depth == p.depth or len(y) < 2:
+        return mean
+    u = T.uniform(3, tree, path, np.arange(x.shape[1]))
+    best, kept = 1e-10, None
+    for f in range(x.shape[1]):
+        left = x[:, f] <= x[:, f].min() + u[f] * (x[:, f].max() - x[:, f].min())
+        if min(left.sum(), (~left).sum()) < p.min_leaf:
+            continue
+        gain = sum((w[s] * y[s]).sum() ** 2 / w[s].sum() for s in (left, ~left)) - (w * y).sum() ** 2 / w.sum()
+        if gain > best * (1 + 1e-9):
+            best, kept = gain, left
+    if kept is None:
+        return mean
+    for side, on in enumerate((kept, ~kept)):
+        mean[on] = naive_drawn(x[on], y[on], w[on], p, tree, 2 * path + side, depth + 1)
+    return mean
+
+
+def test_trees_of_random_cuts_side_by_side_with_weights():
+    x, y, cuts = sample(5, n=260, levels=30)
+    p = TreeParams(3, 7, 3, random_cuts=True, bootstrap=True)
+    trees = np.arange(3)
+    t, r = np.nonzero(weights := T.row_weights(p, trees, np.arange(len(y))))
+    w = weights[t, r]
+    flat, leaf = T.grow(cuts.bins(x)[r], w, w * y[r], t, trees, p, cuts)
+    for i in trees:
+        assert np.allclose(flat["value"][leaf[t == i]], naive_drawn(x[r[t == i]], y[r[t == i]], w[t == i], p, i))
+    assert (flat["tree"][leaf] == t).all()
+
+
+def test_random_cuts_take_little_memory_for_a_row():
+    r = np.random.RandomState(0)
+    n, f = 8_000, 34
+    bins, y, one = r.randint(0, 256, (n, f)).astype(np.uint8), r.randn(n), np.ones(n)
+    cuts = Cuts([np.arange(256.0)] * f)
+    tracemalloc.start()
+    try:
+        T.grow(bins, one, y, np.zeros(n, int), np.array([0]), TreeParams(1, 6, 2, random_cuts=True), cuts)
+        assert tracemalloc.get_traced_memory()[1] < 700 * n
+    finally:
+        tracemalloc.stop()
+
+
 def test_best_leaf_first():
     x, y, cuts = sample(3, n=200)
     p = TreeParams(1, 8, 5, 0.5, growth="leaf", leaves=7)
@@ -193,6 +240,19 @@ def test_level_jobs_grow_the_same_trees_as_tasks(spark, monkeypatch, name):
     assert out[0].groupby("station_id").apply(lambda g: np.corrcoef(g.y, g.yhat)[0, 1], include_groups=False).min() > 0.6
 
 
+def test_long_series_grow_the_same_trees_of_random_cuts_as_tasks(spark, monkeypatch):
+    p, rows = PARAMS["extra"], panel(spark)
+    cuts = T.cut_values(rows.dropna(), FEATURES, T.KEYS)
+    blocks = T.binned_blocks(rows, FEATURES, T.KEYS, cuts)
+    out = []
+    for limit in (T.DRAWN_ROWS, 259):  # s2 is longer than 259 rows
+        monkeypatch.setattr(T, "DRAWN_ROWS", limit)
+        assert T.task_rows(p) == limit and T.task_rows(PARAMS["forest"]) == T.TASK_ROWS
+        models = T.fit_trees(blocks, cuts, p, T.KEYS)
+        out.append(T.predict_trees(rows, models, FEATURES, T.KEYS, ["idx", "y"]).orderBy("station_id", "idx").toPandas())
+    assert len(out[0]) == 519 and np.allclose(out[0].yhat, out[1].yhat)
+
+
 def test_a_series_without_rows_has_no_model(spark):
     rows = panel(spark).filter("idx < 0")
     cuts = T.cut_values(rows, FEATURES, T.KEYS)
