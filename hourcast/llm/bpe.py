@@ -9,9 +9,11 @@ bounded size). The pre-tokens of many texts that are new to a task are encoded i
 """
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
+import threading
 from collections.abc import Iterator
 
 import numpy as np
@@ -159,10 +161,16 @@ class Coder:
         return ([found[c] for c in row] for row in rows)
 
 
+#: Seconds without a task after which a worker lets its coder go: workers outlive the stage, and later stages need the memory.
+IDLE_S = 5.0
 _coders: dict[int, Coder] = {}
+_resting: list[threading.Timer] = []
 
 
 def _coder(source: str) -> Coder:
+    """The worker's coder, which its tasks share; ``_rest`` ends a task's use of it."""
+    while _resting:
+        _resting.pop().cancel()
     key = hash(source)
     if key not in _coders:
         _coders.clear()
@@ -170,6 +178,20 @@ def _coder(source: str) -> Coder:
     return _coders[key]
 
 
+def _rest() -> None:
+    """Lets the coder and all it has met go unless another task asks for it within ``IDLE_S`` seconds."""
+    timer = threading.Timer(IDLE_S, _forget)
+    timer.daemon = True
+    _resting.append(timer)
+    timer.start()
+
+
+def _forget() -> None:
+    _coders.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 def encode_documents(docs: DataFrame, tokenizer_path: str, outputs: tuple[str, ...] = ("ids", "decoded")) -> DataFrame:
     """doc_id, n_tokens and the named outputs: ids array<int>, decoded string, ids_sha256, decoded_sha256.
 
@@ -186,24 +208,28 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, outputs: tuple[str, .
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(source.value)
-        for batch in batches:
-            for part, texts in slices(batch):
-                out: dict[str, list] = {o: [] for o in ("n_tokens", *outputs)}
-                for row in coder.coded(texts):
-                    ids = "".join([c[0] for c in row])
-                    out["n_tokens"].append(ids.count(" "))
-                    if "ids" in outputs:
-                        out["ids"].append(np.array(ids.split(), np.int32))
-                    if "ids_sha256" in outputs:
-                        out["ids_sha256"].append(sha256(ids[:-1]))
-                    if "decoded" in outputs or "decoded_sha256" in outputs:
-                        decoded = "".join([c[1] for c in row])[:-1]
-                        if "decoded" in outputs:
-                            out["decoded"].append(decoded)
-                        if "decoded_sha256" in outputs:
-                            out["decoded_sha256"].append(sha256(decoded))
-                types = {"n_tokens": pa.int64(), "ids": pa.list_(pa.int32())}
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array(v, types.get(o, pa.string())) for o, v in out.items())], ["doc_id", *out])
+        try:
+            for batch in batches:
+                for part, texts in slices(batch):
+                    out: dict[str, list] = {o: [] for o in ("n_tokens", *outputs)}
+                    for row in coder.coded(texts):
+                        ids = "".join([c[0] for c in row])
+                        out["n_tokens"].append(ids.count(" "))
+                        if "ids" in outputs:
+                            out["ids"].append(np.array(ids.split(), np.int32))
+                        if "ids_sha256" in outputs:
+                            out["ids_sha256"].append(sha256(ids[:-1]))
+                        if "decoded" in outputs or "decoded_sha256" in outputs:
+                            decoded = "".join([c[1] for c in row])[:-1]
+                            if "decoded" in outputs:
+                                out["decoded"].append(decoded)
+                            if "decoded_sha256" in outputs:
+                                out["decoded_sha256"].append(sha256(decoded))
+                    types = {"n_tokens": pa.int64(), "ids": pa.list_(pa.int32())}
+                    yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array(v, types.get(o, pa.string())) for o, v in out.items())], ["doc_id", *out])
+        finally:
+            del coder
+            _rest()
 
     kinds = {"ids": "array<int>", "decoded": "string", "ids_sha256": "string", "decoded_sha256": "string"}
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, " + ", ".join(f"{o} {kinds[o]}" for o in outputs))

@@ -2,6 +2,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -523,3 +524,22 @@ def test_induced_sorting_with_queues_on_disk(tmp_path, monkeypatch):
         folder.mkdir()
         got = induced.repeated_starts(text, str(folder), depth, valid)
         assert got.tolist() == [bool(v) and seen[body[i:i + depth]] > 1 for i, v in enumerate(valid)]
+
+
+# ---- a worker's memory -----------------------------------------------------------------------------------------------
+def test_a_worker_lets_an_idle_bpe_coder_go(monkeypatch):
+    class Made:
+        def __init__(self, source):
+            self.source = source
+
+    monkeypatch.setattr(bpe, "Coder", Made)
+    monkeypatch.setattr(bpe, "IDLE_S", 0.3)
+    monkeypatch.setattr(bpe, "_coders", {})
+    first = bpe._coder("rules")
+    bpe._rest()
+    assert bpe._coder("rules") is first  # the next task comes in time
+    time.sleep(0.8)
+    assert bpe._coder("rules") is first  # and keeps it as long as it runs
+    bpe._rest()
+    time.sleep(1.5)
+    assert not bpe._coders
