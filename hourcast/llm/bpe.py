@@ -4,8 +4,9 @@ Every prefix of a pre-token has exactly one last token in its BPE encoding (see
 compatible if undoing their merges, latest first, never meets a merge across their border that would have come earlier.
 
 The normalizer and the pre-tokenizer are those of the tokenizer's file. White space never joins two pre-tokens and is
-dropped, so a text is encoded by its white-space-free chunks, and each task keeps what it has met (two generations of
-bounded size). The pre-tokens of many texts that are new to a task are encoded in sorted order.
+dropped. A text of Latin-1 characters is cut into its pre-tokens by one pattern, any other one into white-space-free
+chunks; each task keeps what it has met of both (two generations of bounded size). The pre-tokens of many texts that are
+new to a task are encoded in sorted order.
 """
 from __future__ import annotations
 
@@ -25,10 +26,11 @@ from hourcast.llm.store import table
 
 WORD_END = "</w>"
 _SHIFT = 0x1000
-#: In front of special tokens; no byte-level character.
-_SPECIAL = "\0"
+#: In front of special tokens, and of pre-tokens in byte-level characters; neither is a byte-level or a Latin-1 character.
+_SPECIAL, _BYTES = "\ufff0", "\ufff1"
 _NEVER = 1 << 60
-_ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+#: The pre-tokenizer's rules for Latin-1 characters in lower case.
+_LATIN_PIECES = re.compile("[a-zªµºß-öø-ÿ]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9²³¹¼-¾]|[^\t-\r \x85\xa0a-z0-9ªµºß-öø-ÿ²³¹¼-¾]+")
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _SPACES = re.compile("[\t-\r \x85\xa0  -     　]+")
 
@@ -39,6 +41,24 @@ _PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
     {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
 
 
+_OWN_BYTES = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_OTHER_BYTES = [b for b in range(256) if b not in _OWN_BYTES]
+#: The characters that stand for bytes, and what Latin-1 characters become in them.
+_BYTE_CHARS = {b: chr(b) for b in _OWN_BYTES} | {b: chr(256 + n) for n, b in enumerate(_OTHER_BYTES)}
+_LATIN_BYTES = {c: "".join([_BYTE_CHARS[b] for b in chr(c).encode()]) for c in range(256)}
+
+
+def is_latin(text: str) -> bool:
+    """Whether all characters are in Latin-1, where no two compose and each has one lower-case character."""
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class PrefixEncoder:
     """Exact BPE ids of pre-tokens, from the vocabulary and the merges of a tokenizer with word-end suffixes."""
 
@@ -114,12 +134,11 @@ class Coder:
         self.bpe = PrefixEncoder(model["vocab"], merges)
         library = Tokenizer.from_str(source)
         self.normalize, self.split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
-        #: Printable ASCII chunks need no library call if the file has the rules that _ASCII_PIECES states for them.
-        self.ascii = made["normalizer"] == _NORMALIZER and made["pre_tokenizer"] == _PRE_TOKENIZER
+        #: Latin-1 texts need no library call if the file has the rules that _LATIN_PIECES states for them.
+        self.latin = made["normalizer"] == _NORMALIZER and made["pre_tokenizer"] == _PRE_TOKENIZER
         self.special = {t["content"]: t["id"] for t in made["added_tokens"]}
         self.tokens = self.bpe.text | {i: t for t, i in self.special.items()}
         self.number, self.spaced = {i: f"{i} " for i in self.tokens}, {i: f"{t} " for i, t in self.tokens.items()}
-        self.special_starts = {t[0] for t in self.special}
         self.special_written = {_SPECIAL + t: self.written([i]) for t, i in self.special.items()}
         self.special_at = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.pieces, self.chunks = Met(self.pieces_made), Met(self.chunks_made)
@@ -129,21 +148,24 @@ class Coder:
         return "".join([self.number[i] for i in ids]), "".join([self.spaced[i] for i in ids])
 
     def pieces_made(self, pieces: list[str]) -> dict[str, tuple[str, str]]:
-        return {p: self.written(ids) for p, ids in zip(pieces, self.bpe.encode_all(pieces))}
+        """For each pre-token its ids, each followed by a space, and its tokens likewise."""
+        in_bytes = [p if p.isascii() and p.isprintable() else p[1:] if p[0] == _BYTES else p.translate(_LATIN_BYTES) for p in pieces]
+        return {p: self.written(ids) for p, ids in zip(pieces, self.bpe.encode_all(in_bytes))}
+
+    def plain(self, text: str) -> bool:
+        """Whether _LATIN_PIECES finds the pre-tokens of a text."""
+        return self.latin and is_latin(text) and not any(t in text for t in self.special)
 
     def split_chunk(self, chunk: str) -> list[str]:
         """A chunk's pre-tokens, and marked special tokens between them."""
-        if self.ascii and chunk.isascii():
-            if chunk.isalpha():
-                return [chunk.lower()]
-            if chunk.isprintable() and not self.special_starts.intersection(chunk):
-                return _ASCII_PIECES.findall(chunk.lower())
+        if self.plain(chunk):
+            return _LATIN_PIECES.findall(chunk.lower())
         out: list[str] = []
         for part in self.special_at.split(chunk) if self.special_at else [chunk]:
             if part in self.special:
                 out.append(_SPECIAL + part)
             elif part:
-                out += [p for p, _ in self.split(self.normalize(part)) if p]
+                out += [_BYTES + p for p, _ in self.split(self.normalize(part)) if p]
         return out
 
     def chunks_made(self, chunks: list[str]) -> dict[str, tuple[str, str]]:
@@ -155,10 +177,13 @@ class Coder:
                 for chunk, row in zip(chunks, rows)}
 
     def coded(self, texts: list[str]) -> Iterator[list[tuple[str, str]]]:
-        """For each text the ids and tokens of its chunks."""
-        rows = [_SPACES.split(text) if _ODD_SPACE.search(text) else text.split() for text in texts]
-        found = self.chunks.of(rows)
-        return ([found[c] for c in row] for row in rows)
+        """For each text the ids and tokens of its pre-tokens or chunks."""
+        plain = [self.plain(text) for text in texts]
+        rows = [_LATIN_PIECES.findall(text.lower()) if easy else _SPACES.split(text) if _ODD_SPACE.search(text) else text.split()
+                for text, easy in zip(texts, plain)]
+        chunks = self.chunks.of([row for row, easy in zip(rows, plain) if not easy])
+        pieces = self.pieces.of([row for row, easy in zip(rows, plain) if easy])
+        return ([met[c] for c in row] for row, met in zip(rows, (pieces if easy else chunks for easy in plain)))
 
 
 #: Seconds without a task after which a worker lets its coder go: workers outlive the stage, and later stages need the memory.

@@ -362,6 +362,30 @@ def test_bpe_equals_the_library(spark):
     assert bpe.encode_documents(frame(spark, []), bpe.word_bpe_path()).collect() == []
 
 
+def test_bpe_cuts_latin_texts_without_the_library():
+    from tokenizers import Tokenizer
+    with open(bpe.word_bpe_path(), encoding="utf-8") as f:
+        source = f.read()
+    library, coder, rng = Tokenizer.from_str(source), bpe.Coder(source), random.Random(11)
+
+    def same(texts):
+        for text, row in zip(texts, coder.coded(texts), strict=True):
+            ids = library.encode(text, add_special_tokens=False).ids
+            assert "".join([c[0] for c in row]) == "".join([f"{i} " for i in ids]), text
+            assert "".join([c[1] for c in row])[:-1] == library.decode(ids, skip_special_tokens=False), text
+
+    def called(text):
+        raise AssertionError(text)
+
+    kept = coder.normalize, coder.split
+    coder.normalize = coder.split = called
+    texts = [f"{a}{chr(c)}{b}" for c in range(256) for a in ("", "a", "É", "1", "'", " ") for b in ("", "s", "ß", "½", "<", "\xa0")]
+    texts += ["".join(rng.choices("aÉéßÿµª²½1×÷'s.\n\x00\x1c\x85\xa0\xad <|", k=rng.randrange(40))) for _ in range(500)]
+    same(texts + ["L'été, IT'S Ç'RE", "<|ENDOFTEXT|>é"])
+    coder.normalize, coder.split = kept  # pre-tokens of other texts are never taken for those met above
+    same(["Ã©", "é中 é", "中 Ã©", "é<|endoftext|>É", "e\u0301 é", "\ufff0é \ufff1é", "é", "Ä\u0300 ã中©"])
+
+
 def test_prefix_dp_on_small_vocabularies():
     """Against merging step by step, on random merge lists."""
     rng = random.Random(9)
